@@ -1,0 +1,85 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tidewater.operators import shape as P
+from conftest import rows
+
+
+def test_cast_columns_bad_input_is_null(spark):
+    df = spark.createDataFrame([("1", "31", "2020-01-05"), ("x", "3.5", "2020-13-01"), (None, "", "05/01/2020")],
+                               "id string, age string, d string")
+    out = P.cast_columns(df, {"id": "int", "age": "int", "d": ("date", "yyyy-MM-dd")})
+    assert dict(out.dtypes) == {"id": "int", "age": "int", "d": "date"}
+    assert rows(out) == sorted([(1, 31, dt.date(2020, 1, 5)), (None, None, None), (None, None, None)], key=repr)
+
+
+def test_bucket_boundaries_and_null(spark):
+    df = spark.createDataFrame([(29,), (30,), (39,), (40,), (None,)], "age int")
+    out = P.bucket(df, "age", [(30, "young"), (40, "mid")], "senior", "g")
+    assert rows(out) == sorted([(29, "young"), (30, "mid"), (39, "mid"), (40, "senior"), (None, "senior")], key=repr)
+    out2 = P.bucket(df, "age", [(30, "young")], "old", "g", null_label="unknown")
+    assert ("unknown",) in rows(out2.filter("age is null"), "g")
+
+
+def test_label_in_null_goes_to_no(spark):
+    df = spark.createDataFrame([("İstanbul",), ("Bursa",), (None,)], "city string")
+    out = P.label_in(df, "city", ["İstanbul", "Ankara", "İzmir"], "big", "other", "cat")
+    assert sorted(r.cat for r in out.collect()) == ["big", "other", "other"]
+
+
+def test_stamp_and_tenure(spark):
+    df = spark.createDataFrame([(dt.date(2020, 1, 1), 1000.0)], "d date, amount double")
+    s = P.stamp(df, "pd", "date", as_of="2021-01-01").first()
+    assert s.pd == dt.date(2021, 1, 1)
+    t = P.tenure(df, "d", "amount", as_of="2021-01-01").first()
+    assert abs(t.experience_years - 366 / 365) < 1e-12
+    assert abs(t.amount_per_year - 1000.0 / (366 / 365 + 1)) < 1e-9
+
+
+def test_json_fields_missing_vs_null(spark):
+    df = spark.createDataFrame([('{"t": 21.5}',), ('{}',), ('{"t": null}',), ("not json",)], "p string")
+    out = P.json_fields(df, "p", {"t": ("double", 0)}, reject_null=["t"])
+    got = sorted([(r.p, r.t, r.reject_reason) for r in out.collect()], key=repr)
+    assert ('{"t": 21.5}', 21.5, None) in got
+    assert ("{}", 0.0, None) in got
+    assert ('{"t": null}', 0.0, "null:t") in got
+    assert ("not json", 0.0, "bad_json") in got
+
+
+def test_fill_defaults_and_pick(spark):
+    df = spark.createDataFrame([(None, 2)], "a int, b int")
+    out = P.fill_defaults(df, {"a": 7, "c": "x"}).first()
+    assert (out.a, out.b, out.c) == (7, 2, "x")
+    nested = spark.createDataFrame([((1, (2,)),)], "s struct<x:int, y:struct<z:int>>")
+    assert P.pick(nested, {"x": "s.x", "deep": "s.y.z"}).first().asDict() == {"x": 1, "deep": 2}
+
+
+def test_normalise_notifications_shapes(spark):
+    df = spark.createDataFrame([
+        ('{"body": "{\\"recipient\\": \\"a@b.c\\", \\"type\\": \\"sms\\"}"}',),
+        ('{"body": {"subject": "Hi"}}',),
+        ('{"message": "bare"}',),
+        ("{broken",),
+    ], "body string")
+    out = {r.body: r for r in P.normalise_notifications(df, "body", as_of="2024-01-01 00:00:00").collect()}
+    r1 = [v for k, v in out.items() if "a@b.c" in k][0]
+    assert (r1.recipient, r1.notification_type, r1.subject) == ("a@b.c", "sms", "Bildirim")
+    r2 = [v for k, v in out.items() if "Hi" in k][0]
+    assert (r2.subject, r2.recipient) == ("Hi", "default@example.com")
+    r3 = out['{"message": "bare"}']
+    assert r3.message == "bare" and r3.status == "queued" and r3.reject_reason is None
+    assert out["{broken"].reject_reason == "bad_json"
+    assert len({r.message_id for r in out.values()}) == 4
+    assert r3.timestamp == "2024-01-01T00:00:00.000000"
+
+
+def test_render_build_extract(spark):
+    df = spark.createDataFrame([("Ali", None, "hello")], "name string, subj string, text string")
+    r = P.render(df, "To {name}: {subj}!", "t").first().t
+    assert r == "To Ali: !"
+    b = P.build_requests(df, "text", "Summarise:", 100, version="v1").first()
+    assert b.prompt == "Summarise:\n\nhello"
+    assert '"max_tokens":100' in b.request and '"role":"user"' in b.request and '"anthropic_version":"v1"' in b.request
+    resp = spark.createDataFrame([('{"content":[{"type":"text","text":"ok"}]}',), ("{}",)], "b string")
+    assert sorted([r.reply for r in P.extract_reply(resp, "b").collect()], key=repr) == sorted(["ok", None], key=repr)

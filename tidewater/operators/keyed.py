@@ -128,3 +128,49 @@ def expire(df: DataFrame, ts: str, seconds: int, as_of=None) -> DataFrame:
     ref = F.current_timestamp() if as_of is None else as_ts(as_of, ts_type(df, ts))
     lo = ref - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(seconds)))
     return df.filter(F.col(ts) > lo)
+
+
+# ------------------------------------------------------------------ change log
+# A keyed table kept as an append-only log of put / update / delete rows.
+# ``_op`` is the operation, ``_set`` the columns an update sets, ``_seq``
+# the order of application. The current table is one aggregate over the
+# log: every column takes its value from the newest row that defines it
+# (a put or delete defines every column, an update only those in
+# ``_set``); a key whose newest put/delete is a delete, with no later
+# update, is gone. Same semantics as upsert / update_by_key / delete_by_key.
+
+PUT, UPDATE, DELETE = "put", "update", "delete"
+OP, SET, SEQ = "_op", "_set", "_seq"
+
+
+def as_changes(df: DataFrame, op: str, seq, set_cols: Sequence[str] | None = None) -> DataFrame:
+    """Tag rows as change-log entries. For updates, ``_set`` lists the
+    columns of ``set_cols`` that are non-NULL in the row."""
+    seqc = F.lit(seq) if not hasattr(seq, "alias") else seq
+    if op == UPDATE:
+        cols = list(set_cols or [])
+        s = F.filter(F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in cols]), lambda x: x.isNotNull()) \
+            if cols else F.array().cast("array<string>")
+    else:
+        s = F.array().cast("array<string>")
+    return df.withColumns({OP: F.lit(op), SET: s, SEQ: seqc})
+
+
+def merge_changes(log: DataFrame, keys: Sequence[str], order: Sequence[str] = (SEQ,)) -> DataFrame:
+    """Current table from a change log (see module notes above)."""
+    keys = list(keys)
+    meta = {OP, SET, *order}
+    payload = [c for c in log.columns if c not in keys and c not in meta]
+    ordkey = F.struct(*[F.col(c) for c in order])
+    op = F.col(OP)
+    aggs = []
+    for c in payload:
+        defines = (op != F.lit(UPDATE)) | F.array_contains(F.col(SET), F.lit(c))
+        aggs.append(F.max_by(F.col(c), F.when(defines, ordkey)).alias(c))
+    last_full = F.when(op != F.lit(UPDATE), ordkey)
+    aggs += [F.max_by(op == F.lit(DELETE), last_full).alias("_tw_del"),
+             F.max(last_full).alias("_tw_full"),
+             F.max(F.when(op == F.lit(UPDATE), ordkey)).alias("_tw_upd")]
+    m = log.groupBy(*keys).agg(*aggs)
+    alive = (~F.coalesce(F.col("_tw_del"), F.lit(False))) | (F.col("_tw_upd") > F.col("_tw_full"))
+    return m.filter(alive).select(*keys, *payload)

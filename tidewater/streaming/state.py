@@ -1,0 +1,98 @@
+"""T5. Live alarm state per key with ``applyInPandasWithState``.
+
+Per key the state holds the open periods' partial statistics and the
+last ``periods - 1`` closed periods. A period closes when the event-time
+watermark passes its end; gaps are closed as missing periods, and an
+event-time timeout keeps closing periods for a key that went silent.
+Each closed period emits one row with the same columns and rules as the
+batch :func:`tidewater.operators.timeseries.alarm`.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from tidewater.operators.timeseries import ALARM, INSUFFICIENT_DATA, OK
+
+
+def _evaluate(window: list, periods: int, op: str, threshold: float, missing: str) -> tuple[bool, str]:
+    def breach(v):
+        if v is None:
+            return missing == "breach"
+        return {">": v > threshold, ">=": v >= threshold, "<": v < threshold, "<=": v <= threshold}[op]
+    flags = [breach(v) for v in window]
+    present = [v is not None or missing != "missing" for v in window]
+    if len(window) < periods:
+        state = INSUFFICIENT_DATA
+    elif all(flags):
+        state = ALARM
+    elif not all(present):
+        state = INSUFFICIENT_DATA
+    else:
+        state = OK
+    return flags[-1], state
+
+
+def stream_alarm(df: DataFrame, ts: str, value: str, by: Sequence[str], stat: str, op: str,
+                 threshold: float, periods: int, period_s: int = 300, delay: str = "10 minutes",
+                 missing: str = "missing") -> DataFrame:
+    """Live W1 over raw metric rows; output (by..., period_start, value,
+    breaching, state), one row per closed period per key."""
+    by = list(by)
+    period_us = int(period_s) * 1_000_000
+    d = (df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+         .select(*by, ts, F.col(value).cast("double").alias("_v"),
+                 (F.unix_micros(F.col(ts)) - F.pmod(F.unix_micros(F.col(ts)), F.lit(period_us))).alias("_p")))
+    key_fields = ", ".join(f"{c} {t}" for c, t in df.select(*by).dtypes)
+    out_schema = f"{key_fields}, period_start timestamp, value double, breaching boolean, state string"
+
+    def stat_of(acc):
+        s, n, mx, mn = acc
+        return {"Sum": s, "Average": s / n if n else None, "Maximum": mx, "Minimum": mn,
+                "SampleCount": float(n)}[stat]
+
+    def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        st = json.loads(state.get[0]) if state.exists else {"open": {}, "hist": [], "last": None}
+        open_p = {int(k): v for k, v in st["open"].items()}
+        for pdf in pdfs:
+            for p, grp in pdf.groupby("_p"):
+                p = int(p)
+                if st["last"] is not None and p <= st["last"]:
+                    continue  # late for an already closed period
+                vals = grp["_v"].dropna()
+                acc = open_p.get(p, [0.0, 0, None, None])
+                if len(vals):
+                    acc = [acc[0] + float(vals.sum()), acc[1] + int(len(vals)),
+                           max(x for x in [acc[2], float(vals.max())] if x is not None),
+                           min(x for x in [acc[3], float(vals.min())] if x is not None)]
+                open_p[p] = acc
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        rows = []
+        # close every period that ended before the watermark, gaps included
+        first = st["last"] + period_us if st["last"] is not None else (min(open_p) if open_p else None)
+        if first is not None:
+            p = first
+            while p + period_us <= wm_us and (open_p or st["last"] is not None):
+                acc = open_p.pop(p, None)
+                v = stat_of(acc) if acc and acc[1] else None
+                st["hist"] = (st["hist"] + [v])[-periods:]
+                flag, s = _evaluate(st["hist"], periods, op, threshold, missing)
+                rows.append((*key, pd.Timestamp(p, unit="us"), v, flag, s))
+                st["last"] = p
+                p += period_us
+        st["open"] = {str(k): v for k, v in open_p.items()}
+        state.update((json.dumps(st),))
+        nxt = (st["last"] + 2 * period_us) // 1000 if st["last"] is not None else None
+        if nxt is not None and nxt > state.getCurrentWatermarkMs():
+            state.setTimeoutTimestamp(int(nxt))
+        if rows:
+            yield pd.DataFrame(rows, columns=[*by, "period_start", "value", "breaching", "state"])
+
+    return d.groupBy(*by).applyInPandasWithState(fn, out_schema, "s string", "append",
+                                                 GroupStateTimeout.EventTimeTimeout)
