@@ -26,4 +26,8 @@ def tmp(tmp_path):
 def rows(df, *cols):
     """Sorted list of tuples (selected columns) for order-free asserts."""
     d = df.select(*cols) if cols else df
-    return sorted([tuple(r) for r in d.collect()], key=repr)
+    out = [tuple(r) for r in d.collect()]
+    try:
+        return sorted(out, key=lambda t: tuple((x is None, x) for x in t))
+    except TypeError:
+        return sorted(out, key=repr)

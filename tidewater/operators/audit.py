@@ -84,8 +84,10 @@ def explode_csv_text(df: DataFrame, col: str, schema: str, sep: str = ",") -> Da
 
     The first line is the header and is dropped by position; data lines
     are parsed with ``from_csv`` against ``schema`` (a DDL string)."""
-    lines = F.split(F.regexp_replace(F.trim(F.col(col)), "\r\n", "\n"), "\n")
-    rows = df.select("*", F.posexplode(lines).alias("_tw_pos", "_tw_line")).filter(F.col("_tw_pos") > 0)
+    text = F.regexp_replace(F.regexp_replace(F.col(col), "\r\n", "\n"), r"^\s+|\s+$", "")
+    lines = F.split(text, "\n")
+    rows = (df.select("*", F.posexplode(lines).alias("_tw_pos", "_tw_line"))
+            .filter((F.col("_tw_pos") > 0) & (F.col("_tw_line") != F.lit(""))))
     parsed = F.from_csv(F.col("_tw_line"), schema, {"sep": sep})
     return rows.select(*[c for c in df.columns if c != col], parsed.alias("_tw_rec")).select(
         *[c for c in df.columns if c != col], "_tw_rec.*")
