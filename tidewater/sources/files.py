@@ -33,16 +33,20 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
 def read_json_folder(spark: SparkSession, path: str, schema: StructType | str,
                      suffix: str = "*.json") -> tuple[DataFrame, DataFrame]:
     """S3. One JSON document per file under ``path`` (recursive), only files
-    matching ``suffix``. Returns ``(good, bad)``: a broken file becomes a
-    ``bad`` row (file path + raw text) instead of failing the read."""
+    matching ``suffix``. Returns ``(good, bad)``: a file that does not parse
+    becomes a ``bad`` row (file path + raw text) instead of failing the read.
+
+    Each file is read whole as text and parsed with ``from_json`` against
+    the given schema, so no inference pass runs over the folder.
+    """
     st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    st = StructType(list(st.fields) + [StructType.fromDDL(f"{CORRUPT} string").fields[0]])
-    raw = (spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", suffix)
-           .option("recursiveFileLookup", True).schema(st).json(path)
+    raw = (spark.read.option("wholetext", True).option("pathGlobFilter", suffix)
+           .option("recursiveFileLookup", True).text(path)
            .withColumn("file_path", F.col("_metadata.file_path")))
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select("file_path", F.col(CORRUPT).alias("raw"))
+    ok = F.try_parse_json(F.col("value")).isNotNull()
+    good = (raw.filter(ok).select(F.from_json(F.col("value"), st).alias("_d"), "file_path")
+            .select("_d.*", "file_path"))
+    bad = raw.filter(~ok).select("file_path", F.col("value").alias("raw"))
     return good, bad
 
 

@@ -4,6 +4,7 @@ writes idempotently per batch id."""
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable, Mapping, Sequence
 
@@ -22,6 +23,13 @@ from tidewater.streaming.sources import stream_files, stream_messages, stream_qu
 BATCH = tables.BATCH
 
 
+def _default_cp(spark: SparkSession, job: str, *paths: str) -> str:
+    """Checkpoint under the shared ``spark.checkpoint.dir``, unique per job
+    and per input/output paths, so two jobs never share state."""
+    h = hashlib.sha1("|".join(paths).encode()).hexdigest()[:16]
+    return checkpoint_path(spark, f"{job}-{h}")
+
+
 def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
            trigger: str | None) -> StreamingQuery:
     return (df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
@@ -50,7 +58,7 @@ def fan_out(df: DataFrame, sinks: Mapping[str, Callable[[DataFrame, int], None]]
                 sink(batch, batch_id)
         finally:
             batch.unpersist()
-    cp = checkpoint or checkpoint_path(df.sparkSession, "fan_out")
+    cp = checkpoint or _default_cp(df.sparkSession, "fan_out", *sorted(sinks))
     return _start(df, run, cp, trigger)
 
 
@@ -96,7 +104,7 @@ def run_sensor_ingest(spark: SparkSession, src: str, out: str, checkpoint: str |
             dead_letters(rows.filter(F.col("reject_reason").isNotNull()), os.path.join(out, "rejected"), batch_id)
         finally:
             rows.unpersist()
-    cp = checkpoint or checkpoint_path(spark, "sensor_ingest")
+    cp = checkpoint or _default_cp(spark, "sensor_ingest", src, out)
     return _start(stream_messages(spark, src), batch, cp, trigger)
 
 
@@ -150,7 +158,7 @@ def run_consumer(spark: SparkSession, src: str, log: str, out: str, checkpoint:
             _write_batch(counts, os.path.join(out, "counts"), batch_id)
         finally:
             rows.unpersist()
-    cp = checkpoint or checkpoint_path(spark, "consumer")
+    cp = checkpoint or _default_cp(spark, "consumer", src, log, out)
     return _start(stream_queue(spark, src, max_per_batch), batch, cp, trigger)
 
 
@@ -205,13 +213,14 @@ def apply_changes(spark: SparkSession, src: str, table: str, keys: Sequence[str]
         rows = change_rows(df, "value", keys, schema).persist()
         try:
             cols = list(schema)
-            tables.put(rows.filter(F.col("_op") == "put").select(*cols, "_pos"), table, batch_id,
-                       order_col="_pos")
-            dels = rows.filter(F.col("_op") == "delete").select(*keys, "_pos")
-            tables.append_changes(dels, table, batch_id, "delete", order_col="_pos")
+            puts = tables.changes(rows.filter(F.col("_op") == "put").select(*cols, "_pos"), batch_id,
+                                  "put", order_col="_pos")
+            dels = tables.changes(rows.filter(F.col("_op") == "delete").select(*keys, "_pos"), batch_id,
+                                  "delete", order_col="_pos")
+            tables.write_changes(puts.unionByName(dels, allowMissingColumns=True), table, batch_id)
         finally:
             rows.unpersist()
-    cp = checkpoint or checkpoint_path(spark, "apply_changes")
+    cp = checkpoint or _default_cp(spark, "apply_changes", src, table)
     return _start(stream_messages(spark, src), batch, cp, trigger)
 
 
@@ -234,7 +243,7 @@ def document_metadata(docs: DataFrame, as_of=None) -> DataFrame:
 
 
 def run_document_chain(spark: SparkSession, root: str, trigger: str | None = None,
-                       as_of=None) -> tuple[StreamingQuery, StreamingQuery]:
+                       as_of=None, checkpoint: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """T7. Two chained file jobs: ``root/incoming/*.txt`` -> sections ->
     one metadata JSON per document under ``root/metadata`` (converter);
     ``root/metadata`` -> rows appended to ``root/dashboard`` (the
@@ -248,7 +257,8 @@ def run_document_chain(spark: SparkSession, root: str, trigger: str | None = Non
         md.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
           .partitionBy("original_name").json(os.path.join(root, "metadata"))
 
-    q1 = _start(inc, convert, checkpoint_path(spark, "chain_convert", os.path.basename(root)), trigger)
+    cp = checkpoint or _default_cp(spark, "document_chain", root)
+    q1 = _start(inc, convert, os.path.join(cp, "convert"), trigger)
     q1.awaitTermination() if trigger in (None, "availableNow", "once") else None
     md_schema = "title string, slide_count int, first_title string, create_date string, source_path string"
     md = stream_files(spark, os.path.join(root, "metadata"), md_schema, glob="*.json") \
@@ -257,7 +267,7 @@ def run_document_chain(spark: SparkSession, root: str, trigger: str | None = Non
     def collect(df: DataFrame, batch_id: int) -> None:
         _write_batch(df, os.path.join(root, "dashboard"), batch_id)
 
-    q2 = _start(md, collect, checkpoint_path(spark, "chain_dashboard", os.path.basename(root)), trigger)
+    q2 = _start(md, collect, os.path.join(cp, "dashboard"), trigger)
     return q1, q2
 
 
@@ -273,6 +283,8 @@ def dashboard(spark: SparkSession, root: str) -> DataFrame:
 # --------------------------------------------------------- T8 file index
 
 FILE_INDEX_KEYS = ("file_id",)
+# Fixed value: the binaryFile source's schema (content is never selected).
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def file_index_rows(files: DataFrame, bucket: str, as_of=None) -> DataFrame:
@@ -289,11 +301,11 @@ def run_file_index(spark: SparkSession, src: str, out: str, bucket: str = "uploa
                    as_of=None) -> StreamingQuery:
     """T8. Each new file (metadata only, content never read) upserts its
     index row keyed by file name."""
-    files = stream_files(spark, src, None, glob=glob, fmt="binaryFile").drop("content")
+    files = stream_files(spark, src, BINARY_FILE_SCHEMA, glob=glob, fmt="binaryFile").drop("content")
 
     def batch(df: DataFrame, batch_id: int) -> None:
         tables.put(file_index_rows(df, bucket, as_of), out, batch_id)
-    cp = checkpoint or checkpoint_path(spark, "file_index")
+    cp = checkpoint or _default_cp(spark, "file_index", src, out)
     return _start(files, batch, cp, trigger)
 
 

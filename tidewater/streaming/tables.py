@@ -23,20 +23,30 @@ def _seq(batch_id: int):
                     F.monotonically_increasing_id().alias("r"))
 
 
-def append_changes(df: DataFrame, path: str, batch_id: int, op: str = PUT,
-                   set_cols: Sequence[str] | None = None, order_col: str | None = None) -> None:
-    """Write one batch of changes. Re-running the same ``batch_id`` replaces
-    that batch's partition, so replays do not duplicate rows.
-
-    ``order_col`` orders rows of the same key inside the batch (else the
-    row position is used)."""
+def changes(df: DataFrame, batch_id: int, op: str = PUT, set_cols: Sequence[str] | None = None,
+            order_col: str | None = None) -> DataFrame:
+    """Tag ``df`` as change rows of batch ``batch_id``. ``order_col`` orders
+    rows of the same key inside the batch (else the row position)."""
     seq = _seq(batch_id)
     if order_col:
         seq = F.struct(F.lit(int(batch_id)).cast("bigint").alias("b"),
                        F.col(order_col).cast("bigint").alias("r"))
-    ch = as_changes(df, op, seq, set_cols).withColumn(BATCH, F.lit(int(batch_id)))
-    (ch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH).parquet(os.path.join(path, "log")))
+    out = as_changes(df, op, seq, set_cols)
+    return out.drop(order_col) if order_col else out
+
+
+def write_changes(ch: DataFrame, path: str, batch_id: int) -> None:
+    """Write all change rows of one batch at once (puts, updates and deletes
+    unioned). Re-running the same ``batch_id`` replaces that batch's
+    partition, so replays do not duplicate rows."""
+    (ch.withColumn(BATCH, F.lit(int(batch_id))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(os.path.join(path, "log")))
+
+
+def append_changes(df: DataFrame, path: str, batch_id: int, op: str = PUT,
+                   set_cols: Sequence[str] | None = None, order_col: str | None = None) -> None:
+    """One kind of change for one batch (see :func:`write_changes`)."""
+    write_changes(changes(df, batch_id, op, set_cols, order_col), path, batch_id)
 
 
 def put(df, path, batch_id, order_col=None):
