@@ -172,7 +172,9 @@ def drift(baseline: DataFrame, current: DataFrame, col: str, bins: int = 10,
 
     def binned(df: DataFrame, side: str) -> DataFrame:
         x = F.col(col).cast("double")
-        b = F.size(F.filter(edges, lambda e: e <= x))
+        # bin = number of edges <= x (edges stay a scalar subquery; no lambda,
+        # since subqueries are not allowed inside higher-order functions)
+        b = sum((x >= F.element_at(edges, i + 1)).cast("int") for i in range(len(qs)))
         return (df.filter(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias(side)))
 
     j = binned(baseline, "b").join(binned(current, "c"), on="bin", how="full").fillna(0, ["b", "c"])
