@@ -94,25 +94,33 @@ def delete_by_key(base: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> D
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-          count_col: str | None = None) -> DataFrame:
-    """A16. One row per key: the first by ``order_by``; optional copy count."""
+          count_col: str | None = None, keep: Sequence[str] | None = None) -> DataFrame:
+    """A16. One row per key: the first by ``order_by``; optional copy count.
+
+    ``keep`` limits the carried columns (default: all), so a wide column
+    that is only a key (e.g. the text being de-duplicated) is not shuffled.
+    With a single ordering column and nothing else to carry, this is a plain
+    ``min`` (hash aggregate).
+    """
     keys = list(keys)
-    payload = [c for c in df.columns if c not in keys]
-    aggs = [F.min_by(F.struct(*payload), F.struct(*order_by)).alias(_ROW)]
-    if count_col:
-        aggs.append(F.count(F.lit(1)).alias(count_col))
-    out = df.groupBy(*keys).agg(*aggs)
+    payload = [c for c in (keep if keep is not None else df.columns) if c not in keys]
+    cnt = [F.count(F.lit(1)).alias(count_col)] if count_col else []
+    if len(order_by) == 1 and set(payload) <= set(order_by):
+        out = df.groupBy(*keys).agg(F.min(order_by[0]).alias(order_by[0]), *cnt)
+        return out.select(*keys, *payload, *([count_col] if count_col else []))
+    out = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), F.struct(*order_by)).alias(_ROW), *cnt)
     sel = [*keys, *[F.col(f"{_ROW}.{c}").alias(c) for c in payload]]
     if count_col:
         sel.append(count_col)
     return out.select(*sel)
 
 
-def dedup_text(df: DataFrame, text_col: str, id_col: str, count_col: str = "n_copies") -> DataFrame:
+def dedup_text(df: DataFrame, text_col: str, id_col: str, count_col: str = "n_copies",
+               keep: Sequence[str] | None = None) -> DataFrame:
     """A16 for long texts: group on a SHA-256 of the text so the shuffle key
     stays 32 bytes however long the documents are; keep the lowest id."""
     keyed = df.withColumn("_tw_h", F.sha2(F.col(text_col), 256))
-    return dedup(keyed, ["_tw_h"], [id_col], count_col).drop("_tw_h")
+    return dedup(keyed, ["_tw_h"], [id_col], count_col, keep).drop("_tw_h")
 
 
 def latest(df: DataFrame, ts: str, by: Sequence[str] = (), tie: Sequence[str] = ()) -> DataFrame:

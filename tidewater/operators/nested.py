@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from tidewater.session import spread
+
 # Event kinds, in classification order.
 API_GATEWAY, S3, DYNAMODB, SCHEDULED, GENERIC = "api_gateway", "s3", "dynamodb", "scheduled", "generic"
 SCHEDULED_SOURCE = "aws.events"
@@ -33,8 +35,8 @@ def event_kind(body: Column) -> Column:
 
 
 def classify_events(df: DataFrame, body_col: str, out: str = "kind") -> DataFrame:
-    """N1."""
-    return df.withColumn(out, event_kind(F.col(body_col)))
+    """N1. Parsing is per-row CPU work: narrow inputs are spread first."""
+    return spread(df).withColumn(out, event_kind(F.col(body_col)))
 
 
 # Schema of the storage-event records read by :func:`explode_records`.
@@ -46,7 +48,7 @@ def explode_records(df: DataFrame, body_col: str, keep: Sequence[str] = ()) -> D
     """N2. One row per storage-event record: event name, time, bucket, key
     (percent/plus-decoded; NULL when the escape is broken) and size."""
     parsed = F.from_json(F.col(body_col), S3_RECORDS)
-    r = df.select(*keep, F.explode(parsed["Records"]).alias("_r"))
+    r = spread(df).select(*keep, F.explode(parsed["Records"]).alias("_r"))
     return r.select(*keep,
                     F.col("_r.eventName").alias("event_name"),
                     F.col("_r.eventTime").alias("event_time"),
@@ -93,6 +95,7 @@ def decode_attributes(df: DataFrame, col: str, schema: Mapping[str, str]) -> Dat
     JSON text or map) -> typed columns; numbers via ``try_cast``."""
     m = F.from_json(F.col(col), "map<string, struct<S: string, N: string, BOOL: boolean>>") \
         if dict(df.dtypes)[col] == "string" else F.col(col)
+    df = spread(df)
     cols = {}
     for name, typ in schema.items():
         a = m[name]
@@ -119,7 +122,7 @@ def sections(df: DataFrame, text_col: str, id_cols: Sequence[str], sep: str = "\
     cleaned = F.transform(parts, lambda p: F.array_join(
         F.filter(F.transform(F.split(p, "\n", -1), strip), lambda ln: ln != F.lit("")), "\n"))
     kept = F.filter(cleaned, lambda p: p != F.lit(""))
-    s = df.select(*id_cols, F.posexplode(kept).alias("_pos", "body"))
+    s = spread(df).select(*id_cols, F.posexplode(kept).alias("_pos", "body"))
     first = F.substring_index(F.col("body"), "\n", 1)
     no = (F.col("_pos") + 1).cast("int")
     return s.select(*id_cols, no.alias("section_no"),

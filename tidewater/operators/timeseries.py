@@ -73,10 +73,19 @@ def alarm(stats: DataFrame, stat: str, op: str, threshold: float, periods: int,
         raise ValueError("missing must be 'missing', 'breach' or 'ok'")
     col = STATISTICS.get(stat, stat)
     s = stats.select(*by, ts_col, F.col(col).alias("_v"))
-    span = s.groupBy(*by).agg(F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi"))
+    # Gap fill in one pass over the per-period rows (no second scan, no join):
+    # each period also emits the silent periods up to the key's next period.
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(period_s)))
-    grid = span.select(*by, F.explode(F.sequence("_lo", "_hi", step)).alias(ts_col))
-    g = grid.join(s, on=[*by, ts_col], how="left")
+    order = (Window.partitionBy(*by) if by else Window).orderBy(ts_col)
+    nxt = F.lead(ts_col).over(order)
+    s = s.withColumn("_next", nxt)
+    gap = F.when(F.col("_next") > F.col(ts_col) + step,
+                 F.sequence(F.col(ts_col) + step, F.col("_next") - step, step))
+    own = F.array(F.struct(F.col(ts_col).alias("p"), F.col("_v").alias("v")))
+    silent = F.transform(F.coalesce(gap, F.array().cast(f"array<{dict(s.dtypes)[ts_col]}>")),
+                         lambda p: F.struct(p.alias("p"), F.lit(None).cast("double").alias("v")))
+    g = (s.select(*by, F.explode(F.concat(own, silent)).alias("_r"))
+         .select(*by, F.col("_r.p").alias(ts_col), F.col("_r.v").alias("_v")))
     v = F.col("_v")
     breach = F.when(v.isNull(), F.lit(missing == "breach")).otherwise(_compare(v, op, threshold))
     present = v.isNotNull() | F.lit(missing != "missing")

@@ -293,7 +293,7 @@ def expire_rows(spark, d):
 def dedup_exact(spark, d):
     """One document per distinct text (lowest id) with its copy count."""
     docs = load(spark, d, "documents").select("doc_id", "text")
-    return K.dedup_text(docs, "text", "doc_id", "n_copies").select("doc_id", "n_copies")
+    return K.dedup_text(docs, "text", "doc_id", "n_copies", keep=["doc_id"])
 
 
 # -------------------------------------------------------------- joins

@@ -82,3 +82,21 @@ def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     except Exception:  # statistics unavailable (e.g. remote session)
         return df
     return F.broadcast(df) if 0 <= size <= limit else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Parallelism floor for narrow inputs.
+
+    A scan of a few unsplittable files (one Parquet row group each) gives
+    fewer tasks than there are cores, and all per-row work before the first
+    shuffle then runs on those few. When ``df`` has fewer than half of
+    ``min_partitions`` (default: the session's default parallelism), it is
+    round-robin repartitioned to ``min_partitions``. On a large lake a scan
+    already has thousands of splits and this is a no-op (no shuffle).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:
+        return df
+    return df.repartition(target) if n * 2 <= target else df
