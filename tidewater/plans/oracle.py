@@ -354,3 +354,30 @@ UNION ALL
 SELECT 'o_totalprice', count(*), count(*) FILTER (WHERE o_totalprice IS NULL), count(DISTINCT o_totalprice),
        min(o_totalprice), max(o_totalprice), round(avg(o_totalprice), 2), round(stddev_samp(o_totalprice), 2) FROM orders
 """
+
+ORACLE_SQL["trust_principals"] = """
+SELECT s_suppkey, 'Service' AS type,
+       'svc-' || s_nationkey || ', svc-' || s_suppkey || ', a' AS shown, CAST(4 AS BIGINT) AS n_principals
+FROM supplier WHERE s_nationkey <> 0 AND s_acctbal < 0
+UNION ALL
+SELECT s_suppkey, 'AWS' AS type, 'arn:' || s_suppkey AS shown, CAST(1 AS BIGINT) AS n_principals
+FROM supplier WHERE s_nationkey <> 0 AND NOT (s_acctbal < 0)
+"""
+
+ORACLE_SQL["wildcard_statements"] = """
+SELECT p_partkey, CAST(0 AS BIGINT) AS statement_no FROM part WHERE p_size > 40 OR p_size < 5
+"""
+
+ORACLE_SQL["credential_audit"] = """
+WITH r AS (
+  SELECT c_name AS "user", c_acctbal >= 0 AS mfa,
+         CAST('2001-0' || ((c_custkey % 9) + 1) || '-15' AS TIMESTAMP) AS last_used,
+         CAST(c_mktsegment IN ('BUILDING', 'MACHINERY') AS INTEGER) + CAST(c_nationkey < 5 AS INTEGER) AS n_keys
+  FROM customer)
+SELECT "user", 'mfa_inactive' AS kind, CAST(NULL AS BIGINT) AS detail FROM r WHERE NOT mfa
+UNION ALL
+SELECT "user", 'password_stale' AS kind, date_diff('day', last_used, TIMESTAMP '2001-12-31 00:00:00') AS detail
+FROM r WHERE date_diff('day', last_used, TIMESTAMP '2001-12-31 00:00:00') > 90
+UNION ALL
+SELECT "user", 'active_keys' AS kind, CAST(n_keys AS BIGINT) AS detail FROM r WHERE n_keys > 0
+"""

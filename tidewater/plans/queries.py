@@ -544,3 +544,77 @@ def profile(spark, d):
     p = A.profile(load(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_totalprice"])
     return p.select("column", "n", "nulls", "n_distinct", "min", "max",
                     F.round("mean", 2).alias("mean"), F.round("stddev", 2).alias("stddev"))
+
+
+# -------------------------------------------------------------- identity audit
+
+def _trust_docs(s: DataFrame) -> DataFrame:
+    k, n = F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string")
+    principal = (F.when(F.col("s_nationkey") == 0, F.lit('"*"'))
+                 .when(F.col("s_acctbal") < 0,
+                       F.concat(F.lit('{"Service": ["svc-'), n, F.lit('", "svc-'), k, F.lit('", "a", "b"]}')))
+                 .otherwise(F.concat(F.lit('{"AWS": "arn:'), k, F.lit('"}'))))
+    doc = F.concat(F.lit('{"Version": "2012-10-17", "Statement": [{"Effect": "Allow", "Principal": '), principal,
+                   F.lit(', "Action": "sts:AssumeRole"}]}'))
+    return s.select("s_suppkey", doc.alias("trust_policy"))
+
+
+@query
+def trust_principals(spark, d):
+    """Trust principals (list or scalar) per supplier-derived role."""
+    roles = _trust_docs(load(spark, d, "supplier"))
+    t = AU.trust_principals(roles, "trust_policy", "s_suppkey")
+    return t.select("s_suppkey", "type", "shown", F.size("principals").cast("bigint").alias("n_principals"))
+
+
+@query
+def wildcard_statements(spark, d):
+    """Allow statements with a '*' action in part-derived policies."""
+    p = load(spark, d, "part")
+    act = (F.when(F.col("p_size") > 40, F.lit('"*"'))
+           .when(F.col("p_size") < 5, F.lit('["s3:GetObject", "*"]'))
+           .otherwise(F.lit('["s3:GetObject"]')))
+    doc = F.concat(F.lit('{"Statement": [{"Effect": "Allow", "Action": '), act,
+                   F.lit('}, {"Effect": "Deny", "Action": "*"}]}'))
+    w = AU.wildcard_statements(p.select("p_partkey", doc.alias("document")), "document", "p_partkey")
+    return w.select("p_partkey", F.col("statement_no").cast("bigint").alias("statement_no"))
+
+
+# Columns of the credential report built from each customer.
+REPORT_SCHEMA = ("user string, mfa_active string, password_enabled string, password_last_used string, "
+                 "access_key_1_active string, access_key_2_active string")
+
+
+@query
+def credential_audit(spark, d):
+    """A two-line CSV credential report per customer, parsed and audited."""
+    c = load(spark, d, "customer")
+    tf = lambda cond: F.when(cond, F.lit("true")).otherwise(F.lit("false"))
+    last = F.concat(F.lit("2001-0"), (F.pmod(F.col("c_custkey"), F.lit(9)) + 1).cast("string"),
+                    F.lit("-15T00:00:00+00:00"))
+    line = F.concat_ws(",", F.col("c_name"), tf(F.col("c_acctbal") >= 0), F.lit("true"), last,
+                       tf(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")), tf(F.col("c_nationkey") < 5))
+    header = "user,mfa_active,password_enabled,password_last_used,access_key_1_active,access_key_2_active"
+    docs = c.select(F.concat(F.lit(header + "\n"), line, F.lit("\n")).alias("content"))
+    report = AU.explode_csv_text(docs, "content", REPORT_SCHEMA)
+    return AU.credential_findings(report, as_of="2001-12-31 00:00:00", max_days=90)
+
+
+# ------------------------------------------------------- ML (rows-only check)
+
+@query
+def ml_split_sizes(spark, d):
+    """M1: repeatable 80/20 hash split of the orders, sizes per side."""
+    from tidewater.operators import ml as M
+    o = load(spark, d, "orders")
+    tr, te = M.split(o, "o_orderkey", 0.2, 42)
+    return (tr.select(F.lit("train").alias("side")).unionByName(te.select(F.lit("test").alias("side")))
+            .groupBy("side").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query
+def kmeans_sizes(spark, d):
+    """K-means (k = 10, seed 42) over the embeddings; cluster sizes."""
+    from tidewater.operators import ml as M
+    e = load(spark, d, "embeddings").select("vec_id", "embedding")
+    return M.cluster(e, "embedding", 10, seed=42).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
