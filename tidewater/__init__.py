@@ -5,6 +5,6 @@ Batch and streaming share the same operators; streams call them from
 ``foreachBatch`` so both paths give the same answer.
 """
 
-from tidewater.session import checkpoint_dir, get_session, sized_broadcast
+from tidewater.session import checkpoint_dir, cut_lineage, get_session, sized_broadcast, spread
 
-__all__ = ["get_session", "checkpoint_dir", "sized_broadcast"]
+__all__ = ["get_session", "checkpoint_dir", "cut_lineage", "sized_broadcast", "spread"]

@@ -8,10 +8,10 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Default ceiling for an explicit broadcast: the side must be *estimated*
-# by Catalyst below this many bytes, otherwise the planner's own choice
-# (sort-merge / shuffled hash join) is kept.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# Explicit broadcasts are bounded by the session's own
+# ``spark.sql.autoBroadcastJoinThreshold`` (10 MB unless the cluster
+# raises it); callers may pass a tighter or looser proven bound.
+FALLBACK_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def get_session(app: str = "tidewater", master: str | None = None,
@@ -48,11 +48,15 @@ def get_session(app: str = "tidewater", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (unit tests on a laptop) a private
-    folder is created and registered, so lineage cutting still works.
+    Only when the setting is absent *and* the master is local (unit tests,
+    a laptop) is a private folder created and registered. On a cluster a
+    machine-local folder would not survive executor loss, so an unset
+    setting is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
         d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -60,6 +64,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder: the plan is
+    replaced by the written data, so a lost executor re-reads files instead
+    of recomputing a long lineage. (Never ``localCheckpoint``.)"""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     """Sub-path below the shared checkpoint folder (stream state, snapshots)."""
     return os.path.join(checkpoint_dir(spark), *parts)
@@ -67,17 +79,29 @@ def checkpoint_path(spark: SparkSession, *parts: str) -> str:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (no job is run)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(v) if isinstance(v, int) else int(v.toString())
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes (fallback 10 MB when it is
+    disabled or unreadable)."""
+    try:
+        n = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:
+        n = -1
+    return n if n > 0 else FALLBACK_BROADCAST_BYTES
 
 
 def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast hint only when the optimizer's estimate is under ``max_bytes``.
+    """Broadcast hint only when the optimizer's estimate is under the bound
+    (default: the session's ``autoBroadcastJoinThreshold``).
 
-    Above the bound the frame is returned unchanged and the planner falls
-    back to a shuffle join (sort-merge, with AQE skew splitting).
+    Above the bound the frame is returned unchanged and the planner keeps a
+    shuffle join (sort-merge, with AQE skew splitting).
     """
-    limit = DEFAULT_BROADCAST_BYTES if max_bytes is None else max_bytes
     try:
+        limit = broadcast_limit(df.sparkSession) if max_bytes is None else max_bytes
         size = estimated_bytes(df)
     except Exception:  # statistics unavailable (e.g. remote session)
         return df

@@ -39,17 +39,52 @@ def _evaluate(window: list, periods: int, op: str, threshold: float, missing: st
     return flags[-1], state
 
 
+def _partials(by: list[str]):
+    """Map-side combine: one partial row per (key, period) per input
+    partition, so a hot key sends a handful of rows to the keyed shuffle
+    instead of all of its events."""
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc: dict = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            g = pdf.groupby(by + ["_p"], dropna=False, sort=False).agg(
+                _s=("_v", "sum"), _n=("_v", "count"), _mx=("_v", "max"), _mn=("_v", "min"), _tmax=("_ts", "max"))
+            for key, r in g.iterrows():
+                key = key if isinstance(key, tuple) else (key,)
+                a = acc.get(key)
+                if a is None:
+                    acc[key] = [r["_s"], r["_n"], r["_mx"], r["_mn"], r["_tmax"]]
+                else:
+                    a[0] += r["_s"]
+                    a[1] += r["_n"]
+                    a[2] = r["_mx"] if pd.isna(a[2]) else (a[2] if pd.isna(r["_mx"]) else max(a[2], r["_mx"]))
+                    a[3] = r["_mn"] if pd.isna(a[3]) else (a[3] if pd.isna(r["_mn"]) else min(a[3], r["_mn"]))
+                    a[4] = max(a[4], r["_tmax"])
+        if acc:
+            yield pd.DataFrame([(*k, *v) for k, v in acc.items()],
+                               columns=[*by, "_p", "_s", "_n", "_mx", "_mn", "_tmax"])
+    return combine
+
+
 def stream_alarm(df: DataFrame, ts: str, value: str, by: Sequence[str], stat: str, op: str,
                  threshold: float, periods: int, period_s: int = 300, delay: str = "10 minutes",
                  missing: str = "missing") -> DataFrame:
     """Live W1 over raw metric rows; output (by..., period_start, value,
-    breaching, state), one row per closed period per key."""
+    breaching, state), one row per closed period per key.
+
+    Rows are first combined per (key, period) inside each input partition
+    (``mapInPandas``); the watermark is the newest event time seen minus
+    ``delay``, taken from each partial's max event time.
+    """
     by = list(by)
     period_us = int(period_s) * 1_000_000
-    d = (df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-         .select(*by, ts, F.col(value).cast("double").alias("_v"),
-                 (F.unix_micros(F.col(ts)) - F.pmod(F.unix_micros(F.col(ts)), F.lit(period_us))).alias("_p")))
-    key_fields = ", ".join(f"{c} {t}" for c, t in df.select(*by).dtypes)
+    t = F.col(ts).cast("timestamp")
+    raw = df.select(*by, t.alias("_ts"), F.col(value).cast("double").alias("_v"),
+                    (F.unix_micros(t) - F.pmod(F.unix_micros(t), F.lit(period_us))).alias("_p"))
+    key_fields = ", ".join(f"{c} {ty}" for c, ty in df.select(*by).dtypes)
+    partial_schema = f"{key_fields}, _p bigint, _s double, _n bigint, _mx double, _mn double, _tmax timestamp"
+    d = raw.mapInPandas(_partials(by), partial_schema).withWatermark("_tmax", delay)
     out_schema = f"{key_fields}, period_start timestamp, value double, breaching boolean, state string"
 
     def stat_of(acc):
@@ -61,17 +96,17 @@ def stream_alarm(df: DataFrame, ts: str, value: str, by: Sequence[str], stat: st
         st = json.loads(state.get[0]) if state.exists else {"open": {}, "hist": [], "last": None}
         open_p = {int(k): v for k, v in st["open"].items()}
         for pdf in pdfs:
-            for p, grp in pdf.groupby("_p"):
+            for p, s_, n_, mx_, mn_ in zip(pdf["_p"], pdf["_s"], pdf["_n"], pdf["_mx"], pdf["_mn"]):
                 p = int(p)
                 if st["last"] is not None and p <= st["last"]:
                     continue  # late for an already closed period
-                vals = grp["_v"].dropna()
-                acc = open_p.get(p, [0.0, 0, None, None])
-                if len(vals):
-                    acc = [acc[0] + float(vals.sum()), acc[1] + int(len(vals)),
-                           max(x for x in [acc[2], float(vals.max())] if x is not None),
-                           min(x for x in [acc[3], float(vals.min())] if x is not None)]
-                open_p[p] = acc
+                if not n_:
+                    open_p.setdefault(p, [0.0, 0, None, None])
+                    continue
+                a = open_p.get(p, [0.0, 0, None, None])
+                open_p[p] = [a[0] + float(s_), a[1] + int(n_),
+                             float(mx_) if a[2] is None else max(a[2], float(mx_)),
+                             float(mn_) if a[3] is None else min(a[3], float(mn_))]
         wm_us = state.getCurrentWatermarkMs() * 1000
         rows = []
         # close every period that ended before the watermark, gaps included
