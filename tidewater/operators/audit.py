@@ -49,13 +49,15 @@ def enrich_roles(roles: DataFrame, policies: DataFrame, role_col: str = "RoleNam
 
 
 def with_mfa(users: DataFrame, devices: DataFrame, user_col: str = "UserName") -> DataFrame:
-    """J3. Users that have at least one device (semi join)."""
-    return users.join(devices.select(user_col), on=user_col, how="left_semi")
+    """J3. Users that have at least one device (semi join). Devices are
+    reduced to distinct users first (partial aggregate), so a user with a
+    huge device list does not skew the join."""
+    return users.join(devices.select(user_col).distinct(), on=user_col, how="left_semi")
 
 
 def without_mfa(users: DataFrame, devices: DataFrame, user_col: str = "UserName") -> DataFrame:
-    """J3. Users that have no device (anti join)."""
-    return users.join(devices.select(user_col), on=user_col, how="left_anti")
+    """J3. Users that have no device (anti join on distinct users)."""
+    return users.join(devices.select(user_col).distinct(), on=user_col, how="left_anti")
 
 
 def group_policies(membership: DataFrame, group_policies_df: DataFrame,
@@ -76,7 +78,7 @@ def user_permissions(direct: DataFrame, via_group: DataFrame, user_col: str = "U
     g = via_group.select(user_col, policy_col, "via_group").withColumn("origin", F.lit("group"))
     u = d.unionByName(g)
     totals = u.groupBy(user_col).agg(F.count(F.lit(1)).alias("total"))
-    return u.join(totals, on=user_col, how="inner")
+    return u.join(sized_broadcast(totals), on=user_col, how="inner")
 
 
 def explode_csv_text(df: DataFrame, col: str, schema: str, sep: str = ",") -> DataFrame:

@@ -113,14 +113,20 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
     A scan of a few unsplittable files (one Parquet row group each) gives
     fewer tasks than there are cores, and all per-row work before the first
-    shuffle then runs on those few. When ``df`` has fewer than half of
-    ``min_partitions`` (default: the session's default parallelism), it is
-    round-robin repartitioned to ``min_partitions``. On a large lake a scan
-    already has thousands of splits and this is a no-op (no shuffle).
+    shuffle then runs on those few. When ``df`` is such a narrow plan (no
+    exchange, no subquery) with fewer than half of ``min_partitions``
+    (default: the session's default parallelism) partitions, it is
+    round-robin repartitioned to ``min_partitions``. Plans that already
+    shuffle are left alone, so counting partitions never runs a job; on a
+    large lake a scan has thousands of splits and this is a no-op.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     try:
-        n = df.rdd.getNumPartitions()
+        plan = df._jdf.queryExecution().executedPlan()
+        text = plan.toString()
+        if "Exchange" in text or "Subquery" in text or "AdaptiveSparkPlan" in text:
+            return df
+        n = plan.execute().getNumPartitions()
     except Exception:
         return df
     return df.repartition(target) if n * 2 <= target else df
