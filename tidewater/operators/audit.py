@@ -13,10 +13,9 @@ from tidewater.functions.text import is_true
 from tidewater.functions.time import as_ts, elapsed_days
 from tidewater.session import sized_broadcast
 
-# The credential report's root account name, its "never"
-# markers and the timestamp layout of its last-used column.
+# The credential report's root account name and the
+# timestamp layout of its last-used column.
 ROOT_ACCOUNT = "<root_account>"
-NEVER = ("N/A", "no_information", "not_supported")
 REPORT_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
 
 

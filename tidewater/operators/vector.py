@@ -2,11 +2,13 @@
 
 Exact cosine top-k without a cross join and without emitting pairs:
 both sides are hash-split into blocks; every (query block, corpus block)
-pair meets in one cogroup task that multiplies the two blocks with numpy
-(Arrow batches in, k rows per query out) and keeps an exact top-k per
-query. The final top-k per query runs over (corpus blocks × k)
-candidates with ``row_number() <= k``. Work per task is bounded by the
-block sizes, chosen from Catalyst's size estimate.
+pair meets in one cogroup task that multiplies query chunks against the
+corpus block with numpy (Arrow batches in, k rows per query out) and keeps
+an exact top-k per query. The final top-k per query runs over (corpus
+blocks × k) candidates with ``row_number() <= k`` (map-side limited).
+Block counts come from Catalyst's size estimate; memory per task is
+bounded by the corpus block and the query chunk. With few queries (the
+retrieval case) there is one query block and the corpus is read once.
 """
 
 from __future__ import annotations
@@ -20,16 +22,30 @@ from pyspark.sql import functions as F
 
 from tidewater.session import estimated_bytes
 
-# Target bytes of one block of vectors (float32 on disk).
-BLOCK_BYTES = 64 * 1024 * 1024
+# Target (estimated) bytes of one block: the corpus block stays small
+# because every query chunk is multiplied against all of it; query blocks
+# may be larger since they are processed QUERY_CHUNK rows at a time, which
+# bounds the in-task similarity matrix to QUERY_CHUNK x corpus-block rows.
+CORPUS_BLOCK_BYTES = 8 * 1024 * 1024
+QUERY_BLOCK_BYTES = 64 * 1024 * 1024
+QUERY_CHUNK = 512
 NEIGHBOUR_SCHEMA = "query_id long, neighbor_id long, similarity double"
 
 
+# Sizes at or above this are Catalyst's "unknown" (e.g. local rows).
+_UNKNOWN = 1 << 60
+
+
 def _blocks(df: DataFrame, target: int) -> int:
+    """Blocks for ``df`` from its size estimate; an unknown size falls back to
+    the session's default parallelism."""
     try:
-        return max(1, math.ceil(estimated_bytes(df) / target))
+        est = estimated_bytes(df)
     except Exception:
-        return 1
+        est = _UNKNOWN
+    if est >= _UNKNOWN:
+        return max(1, df.sparkSession.sparkContext.defaultParallelism)
+    return max(1, math.ceil(est / target))
 
 
 def _unit(mat: np.ndarray) -> np.ndarray:
@@ -40,12 +56,8 @@ def _unit(mat: np.ndarray) -> np.ndarray:
     return out
 
 
-def block_top_k(q_ids: np.ndarray, q_mat: np.ndarray, c_ids: np.ndarray, c_mat: np.ndarray,
-                k: int, exclude_self: bool) -> pd.DataFrame:
-    """Exact top-k of one block pair, ordered by (similarity desc, id asc)."""
-    if len(q_ids) == 0 or len(c_ids) == 0:
-        return pd.DataFrame({"query_id": [], "neighbor_id": [], "similarity": []})
-    sims = _unit(q_mat) @ _unit(c_mat).T
+def _chunk_top_k(q_ids, q_unit, c_ids, c_unit, k, exclude_self):
+    sims = q_unit @ c_unit.T
     sims = np.where(np.isnan(sims), -np.inf, sims)
     if exclude_self:
         sims[q_ids[:, None] == c_ids[None, :]] = -np.inf
@@ -59,6 +71,23 @@ def block_top_k(q_ids: np.ndarray, q_mat: np.ndarray, c_ids: np.ndarray, c_mat:
         qs.append(np.full(len(order), q_ids[i]))
         ns.append(c_ids[order])
         ss.append(sims[i, order])
+    return qs, ns, ss
+
+
+def block_top_k(q_ids: np.ndarray, q_mat: np.ndarray, c_ids: np.ndarray, c_mat: np.ndarray,
+                k: int, exclude_self: bool, chunk: int = QUERY_CHUNK) -> pd.DataFrame:
+    """Exact top-k of one block pair, ordered by (similarity desc, id asc);
+    queries are taken ``chunk`` rows at a time."""
+    if len(q_ids) == 0 or len(c_ids) == 0:
+        return pd.DataFrame({"query_id": np.array([], "int64"), "neighbor_id": np.array([], "int64"),
+                             "similarity": np.array([], "float64")})
+    c_unit = _unit(c_mat)
+    qs, ns, ss = [], [], []
+    for lo in range(0, len(q_ids), chunk):
+        a, b, c = _chunk_top_k(q_ids[lo:lo + chunk], _unit(q_mat[lo:lo + chunk]), c_ids, c_unit, k, exclude_self)
+        qs += a
+        ns += b
+        ss += c
     return pd.DataFrame({"query_id": np.concatenate(qs).astype("int64"),
                          "neighbor_id": np.concatenate(ns).astype("int64"),
                          "similarity": np.concatenate(ss).astype("float64")})
@@ -78,16 +107,16 @@ def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, id_col: str
         corpus = corpus.filter(F.col(prefix_col).startswith(prefix))
     q = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
     c = corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
-    nq = query_blocks or _blocks(q, BLOCK_BYTES)
-    nc = corpus_blocks or _blocks(c, BLOCK_BYTES)
+    nq = query_blocks or _blocks(q, QUERY_BLOCK_BYTES)
+    nc = corpus_blocks or _blocks(c, CORPUS_BLOCK_BYTES)
     q_rep = q.withColumns({"qb": F.pmod(F.xxhash64("id"), F.lit(nq)),
                            "cb": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nc - 1).cast("long")))})
     c_rep = c.withColumns({"cb": F.pmod(F.xxhash64("id"), F.lit(nc)),
                            "qb": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nq - 1).cast("long")))})
 
     def pair(qdf: pd.DataFrame, cdf: pd.DataFrame) -> pd.DataFrame:
-        qm = np.array(qdf["v"].tolist(), dtype=np.float64) if len(qdf) else np.zeros((0, 0))
-        cm = np.array(cdf["v"].tolist(), dtype=np.float64) if len(cdf) else np.zeros((0, 0))
+        qm = np.stack(qdf["v"].to_numpy()).astype(np.float64) if len(qdf) else np.zeros((0, 0))
+        cm = np.stack(cdf["v"].to_numpy()).astype(np.float64) if len(cdf) else np.zeros((0, 0))
         return block_top_k(qdf["id"].to_numpy(np.int64), qm, cdf["id"].to_numpy(np.int64), cm,
                            k, exclude_self)
 

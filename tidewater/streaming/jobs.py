@@ -113,9 +113,10 @@ SENSOR_KEYS = ("device_id", "timestamp")
 
 # ------------------------------------------------------------- T2 consumer
 
-# Fixed value: text sent for each notification (fields of the message).
-NOTIFICATION_TEXT = ("Yeni Bildirim\n\nAlıcı: {recipient}\nKonu: {subject}\nMesaj: {message}\n"
-                     "Tarih: {timestamp}\nID: {message_id}")
+# Fixed value: text sent for each notification (fields of the message),
+# without the surrounding blank lines.
+NOTIFICATION_TEXT = ("🔔 Yeni Bildirim\n\n📧 Alıcı: {recipient}\n📌 Konu: {subject}\n💬 Mesaj: {message}\n"
+                     "📅 Tarih: {timestamp}\n🆔 ID: {message_id}")
 SENT = "sent"
 MESSAGE_KEYS = ("message_id", "timestamp")
 
