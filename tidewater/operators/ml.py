@@ -24,6 +24,9 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tidewater.session import ship_by_value
+
+ship_by_value(__name__)
 
 
 def _bucket(id_col: str, seed: int):

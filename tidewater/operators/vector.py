@@ -20,7 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.session import estimated_bytes
+from tidewater.session import estimated_bytes, ship_by_value
+
+ship_by_value(__name__)
 
 # Target (estimated) bytes of one block: the corpus block stays small
 # because every query chunk is multiplied against all of it; query blocks

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -130,3 +131,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     except Exception:
         return df
     return df.repartition(target) if n * 2 <= target else df
+
+
+def ship_by_value(module_name: str) -> None:
+    """Pickle the functions of ``module_name`` by value when they are sent to
+    Python workers (pandas UDFs, ``mapInPandas``), so executors need not have
+    this package installed."""
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[module_name])
+    except Exception:  # older cloudpickle: workers must import the package
+        pass

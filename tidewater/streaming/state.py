@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidewater.operators.timeseries import ALARM, INSUFFICIENT_DATA, OK
+from tidewater.session import ship_by_value
+
+ship_by_value(__name__)
 
 
 def _evaluate(window: list, periods: int, op: str, threshold: float, missing: str) -> tuple[bool, str]:
