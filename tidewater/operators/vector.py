@@ -127,32 +127,3 @@ def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, id_col: str
     w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), F.col("neighbor_id").asc())
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "neighbor_id", "similarity"))
-
-
-def vector_top_k_lsh(queries: DataFrame, corpus: DataFrame, k: int = 5, id_col: str = "vec_id",
-                     vec_col: str = "embedding", bucket_length: float = 0.5,
-                     num_tables: int = 4, max_distance: float = 1.0, seed: int = 42) -> DataFrame:
-    """W7 at scale, approximate: random-projection LSH on unit vectors
-    (Euclidean distance on unit vectors is monotone in cosine), then top-k
-    among the candidates that share a bucket. Tested for recall, not
-    equality."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    def unit(df):
-        v = F.col(vec_col).cast("array<double>")
-        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-        return df.select(F.col(id_col).cast("long").alias("id"),
-                         array_to_vector(F.transform(v, lambda x: x / norm)).alias("features"))
-
-    qu, cu = unit(queries), unit(corpus)
-    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes",
-                                        bucketLength=bucket_length, numHashTables=num_tables,
-                                        seed=seed).fit(cu)
-    pairs = (model.approxSimilarityJoin(qu, cu, max_distance, distCol="dist")
-             .select(F.col("datasetA.id").alias("query_id"), F.col("datasetB.id").alias("neighbor_id"), "dist")
-             .filter(F.col("query_id") != F.col("neighbor_id")))
-    sim = (F.lit(1.0) - F.col("dist") * F.col("dist") / F.lit(2.0)).alias("similarity")
-    w = Window.partitionBy("query_id").orderBy(F.col("dist").asc(), F.col("neighbor_id").asc())
-    return (pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "neighbor_id", sim))
