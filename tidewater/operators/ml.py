@@ -24,7 +24,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tidewater.session import ship_by_value
+from tidewater.session import ship_by_value, spread
 
 ship_by_value(__name__)
 
@@ -49,12 +49,23 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
 
 
-def train_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100,
+def _featurize(df: DataFrame, features: Sequence[str] | str) -> tuple[DataFrame, list]:
+    """Training input with parallelism floor; ``features`` is a list of numeric
+    columns (assembled in the pipeline) or one array column (converted here)."""
+    df = spread(df)
+    if isinstance(features, str):
+        return df.withColumn("features", array_to_vector(F.col(features))), []
+    return df, [_assembler(features)]
+
+
+def train_forest(df: DataFrame, features: Sequence[str] | str, label: str, num_trees: int = 100,
                  seed: int = 42, max_depth: int = 5) -> PipelineModel:
-    """M2. Random forest (100 trees, seed 42) on numeric feature columns."""
+    """M2. Random forest (100 trees, seed 42) on numeric feature columns or
+    one array column."""
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees, seed=seed,
                                 maxDepth=max_depth)
-    return Pipeline(stages=[_assembler(features), rf]).fit(df)
+    d, stages = _featurize(df, features)
+    return Pipeline(stages=[*stages, rf]).fit(d)
 
 
 def train_linear(df: DataFrame, features: Sequence[str], label: str, kind: str = "logistic",
@@ -62,25 +73,29 @@ def train_linear(df: DataFrame, features: Sequence[str], label: str, kind: str =
     """M8. Logistic (classification) or linear (regression) learner."""
     est = (LogisticRegression(labelCol=label, maxIter=max_iter) if kind == "logistic"
            else LinearRegression(labelCol=label, maxIter=max_iter))
-    return Pipeline(stages=[_assembler(features), est]).fit(df)
+    return Pipeline(stages=[_assembler(features), est]).fit(spread(df))
 
 
 def train_boosted(df: DataFrame, features: Sequence[str], label: str, max_iter: int = 20,
                   seed: int = 42) -> PipelineModel:
     """M9. Gradient-boosted trees (binary labels)."""
     gbt = GBTClassifier(labelCol=label, maxIter=max_iter, seed=seed)
-    return Pipeline(stages=[_assembler(features), gbt]).fit(df)
+    return Pipeline(stages=[_assembler(features), gbt]).fit(spread(df))
 
 
 def train_fm(df: DataFrame, features: Sequence[str], label: str, factor_size: int = 8,
              seed: int = 42) -> PipelineModel:
     """M11. Factorisation machine classifier."""
     fm = FMClassifier(labelCol=label, factorSize=factor_size, seed=seed)
-    return Pipeline(stages=[_assembler(features), fm]).fit(df)
+    return Pipeline(stages=[_assembler(features), fm]).fit(spread(df))
 
 
-def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """M3. Batch prediction; probability as a plain array (JSON/CSV friendly)."""
+def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (),
+            features: str | None = None) -> DataFrame:
+    """M3. Batch prediction; probability as a plain array (JSON/CSV friendly).
+    ``features`` names an array column when the model was trained on one."""
+    if features is not None:
+        df = df.withColumn("features", array_to_vector(F.col(features)))
     out = model.transform(df)
     cols = [*keep, F.col("prediction")]
     if "probability" in out.columns:
@@ -122,7 +137,7 @@ def train_pixels(df: DataFrame, label: str = "label", pixels: str = "pixels",
                  seed: int = 42) -> PipelineModel:
     """M5. Dense 784-128-10 network on pixel arrays (Spark ML has no
     convolution; the multilayer perceptron is the closest built-in)."""
-    d = df.withColumn("features", array_to_vector(F.col(pixels)))
+    d = spread(df).withColumn("features", array_to_vector(F.col(pixels)))
     mlp = MultilayerPerceptronClassifier(labelCol=label, featuresCol="features", layers=list(layers),
                                          blockSize=block_size, maxIter=max_iter, seed=seed)
     return Pipeline(stages=[mlp]).fit(d)

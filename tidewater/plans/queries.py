@@ -618,3 +618,15 @@ def kmeans_sizes(spark, d):
     from tidewater.operators import ml as M
     e = load(spark, d, "embeddings").select("vec_id", "embedding")
     return M.cluster(e, "embedding", 10, seed=42).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def forest_eval(spark, d):
+    """80/20 hash split of the embeddings, random forest
+    (100 trees, seed 42) on the vector, accuracy on the held-out part."""
+    from tidewater.operators import ml as M
+    e = load(spark, d, "embeddings").select("vec_id", "label", "embedding")
+    train, test = M.split(e, "vec_id", 0.2, 42)
+    model = M.train_forest(train, "embedding", "label", num_trees=100, seed=42)
+    pred = M.predict(model, test, keep=["label"], features="embedding")
+    return A.evaluate(pred.withColumn("prediction", F.col("prediction").cast("int")), "label", "prediction")
