@@ -110,22 +110,30 @@ PROFILE_STATS = ["n", "nulls", "n_distinct", "min", "max", "mean", "stddev"]
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact_distinct: bool = True) -> DataFrame:
-    """A15. One pass over ``df``; one output row per numeric column.
-
-    ``exact_distinct=False`` swaps ``count(DISTINCT)`` (an Expand plus a
-    second aggregate per column) for HyperLogLog++ ``approx_count_distinct``,
-    which is the right choice on very wide or very large tables.
+    """A15. One output row per numeric column: n, nulls, distinct, min, max,
+    mean, sample stddev.
+
+    Counts and moments come from one aggregate pass. Exact distinct counts
+    are one scalar subquery per column (each reads only its column and
+    de-duplicates with a partial aggregate), instead of ``count(DISTINCT)``
+    in the main pass, which Spark plans as an Expand that copies every row
+    once per distinct column. ``exact_distinct=False`` uses HyperLogLog++
+    (``approx_count_distinct``) inside the single pass.
     """
     cols = list(cols or [f.name for f in df.schema.fields
                          if f.dataType.typeName() in ("integer", "long", "double", "float", "short", "decimal")])
     aggs: list[Column] = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        dist = F.countDistinct(c) if exact_distinct else F.approx_count_distinct(c)
         aggs += [F.count(F.lit(1)).alias(f"n_{i}"), F.count_if(F.col(c).isNull()).alias(f"nulls_{i}"),
-                 dist.alias(f"n_distinct_{i}"), F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}"),
+                 F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}"),
                  F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"stddev_{i}")]
+        if not exact_distinct:
+            aggs.append(F.approx_count_distinct(c).alias(f"n_distinct_{i}"))
     wide = df.agg(*aggs)
+    if exact_distinct:
+        wide = wide.withColumns({f"n_distinct_{i}": df.select(F.countDistinct(c)).scalar()
+                                 for i, c in enumerate(cols)})
     stack_args = ", ".join(
         f"'{c}', n_{i}, nulls_{i}, n_distinct_{i}, min_{i}, max_{i}, mean_{i}, stddev_{i}"
         for i, c in enumerate(cols))
