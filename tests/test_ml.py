@@ -80,3 +80,16 @@ def test_drift_and_handler(spark):
     out = M.apply_handler(spark.range(6), handler, "id long, double long")
     bad = out.filter("error is not null").collect()
     assert len(bad) == 1 and "boom" in bad[0].error and out.filter("error is null").count() == 5
+
+
+def test_batch_predict_files(spark, tmp):
+    df, feats = _emb(spark)
+    model = M.train_forest(df, feats, "label", num_trees=5)
+    src = tmp + "/in"
+    df.limit(30).write.option("header", True).csv(src)
+    schema = "vec_id long, label int, " + ", ".join(f"{f} double" for f in feats)
+    M.batch_predict(spark, model, src, "csv", tmp + "/out_csv", "csv", schema=schema, keep=["vec_id"])
+    M.batch_predict(spark, model, src, "csv", tmp + "/out_json", "json", schema=schema, keep=["vec_id"])
+    got = spark.read.option("header", True).csv(tmp + "/out_csv")
+    assert got.count() == 30 and set(got.columns) == {"vec_id", "prediction", "probability"}
+    assert len(spark.read.json(tmp + "/out_json").first().probability) == 10

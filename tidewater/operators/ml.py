@@ -103,6 +103,26 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (),
     return out.select(*cols)
 
 
+def batch_predict(spark, model: PipelineModel, src: str, src_fmt: str, dst: str, dst_fmt: str,
+                  schema: str | None = None, keep: Sequence[str] = (), features: str | None = None) -> None:
+    """M3. Files in, predictions out: JSON or CSV (header) on both sides.
+    CSV cannot hold arrays, so probabilities are written as JSON text there."""
+    r = spark.read.format(src_fmt)
+    if src_fmt == "csv":
+        r = r.option("header", True)
+    if src_fmt == "json":
+        r = r.option("multiLine", True)
+    if schema:
+        r = r.schema(schema)
+    out = predict(model, r.load(src), keep, features)
+    if dst_fmt == "csv" and "probability" in out.columns:
+        out = out.withColumn("probability", F.to_json("probability"))
+    w = out.write.mode("overwrite").format(dst_fmt)
+    if dst_fmt == "csv":
+        w = w.option("header", True)
+    w.save(dst)
+
+
 def accuracy(pred: DataFrame, label: str) -> DataFrame:
     """Share of correct predictions (one-row frame)."""
     return pred.agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("accuracy"),
