@@ -252,3 +252,39 @@ def test_failed_batch_replays_to_same_table(spark, tmp):
     assert log.count() == 3  # 3 valid messages; a duplicated batch would show 6
     items = tables.read_table(spark, os.path.join(out, "items"), jobs.SENSOR_KEYS)
     assert rows(items, "device_id") == [("d1",), ("d2",)]
+
+
+def test_compact_every_and_late_rows(spark, tmp):
+    src, out = os.path.join(tmp, "src"), os.path.join(tmp, "out")
+    for i in range(4):
+        _write_lines(src, f"m{i}.json", [{"topic": "sensors/t", "device_id": f"d{i % 2}",
+                                          "timestamp": f"2024-01-01T00:0{i}:00Z", "temperature": i}])
+    s = jobs.stream_messages(spark, src, max_files=1)
+    q = jobs._start(s, lambda df, bid: (tables.put(jobs.sensor_rows(df, "2024-01-02 00:00:00")
+                                                    .filter("reject_reason is null").drop("reject_reason"),
+                                                    os.path.join(out, "items"), bid),
+                                         tables.maybe_compact(spark, os.path.join(out, "items"), jobs.SENSOR_KEYS, bid, 2)),
+                    os.path.join(tmp, "cp"), None)
+    _run(q)
+    assert tables._latest_snapshot(spark, os.path.join(out, "items")) == 2
+    assert tables.read_table(spark, os.path.join(out, "items"), jobs.SENSOR_KEYS).count() == 4
+    # late rows: the watermark drops them and the progress counts them
+    m = os.path.join(tmp, "m")
+    t0 = dt.datetime(2024, 1, 1)
+    _write_lines(m, "a.json", [{"k": "a", "ts": (t0 + dt.timedelta(hours=2)).isoformat(), "v": 1.0}])
+    _write_lines(m, "b.json", [{"k": "a", "ts": t0.isoformat(), "v": 5.0}])
+    _write_lines(m, "c.json", [{"k": "a", "ts": (t0 + dt.timedelta(minutes=1)).isoformat(), "v": 7.0}])
+    import time as _t
+    now = _t.time()
+    for i, f in enumerate(["a.json", "b.json", "c.json"]):  # read in this order, one file per batch
+        os.utime(os.path.join(m, f), (now - 60 + 30 * i, now - 60 + 30 * i))
+    st = spark.readStream.schema("k string, ts timestamp_ntz, v double").option("maxFilesPerTrigger", 1).json(m)
+    q = (jobs.stream_metrics(st, "ts", "v", by=["k"], period_s=300, delay="10 minutes").writeStream
+         .format("memory").queryName("late_t").outputMode("append").trigger(availableNow=True)
+         .option("checkpointLocation", os.path.join(tmp, "cpm")).start())
+    _run(q)
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p["stateOperators"])
+    # lateness is judged against the previous batch's watermark: b (next batch
+    # after the jump) is still counted, c (one batch later) is dropped
+    assert dropped == 1
+    assert rows(spark.table("late_t"), "sum") == [(5.0,)]

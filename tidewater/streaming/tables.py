@@ -102,4 +102,13 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], upto_batch: int
     last = spark.read.parquet(os.path.join(path, "log")).agg(F.max(BATCH)).first()[0]
     if last is not None and last > upto_batch:
         raise ValueError("compact only up to the newest batch written")
+    if _latest_snapshot(spark, path) == int(upto_batch):
+        return  # already compacted (replayed batch)
     snap.write.mode("overwrite").parquet(os.path.join(path, "snapshot", f"v={int(upto_batch)}"))
+
+
+def maybe_compact(spark: SparkSession, path: str, keys: Sequence[str], batch_id: int,
+                  every: int | None) -> None:
+    """Compact after every ``every``-th batch (``None``: never)."""
+    if every and batch_id > 0 and batch_id % every == 0:
+        compact(spark, path, keys, batch_id)
