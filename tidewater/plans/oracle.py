@@ -381,3 +381,89 @@ FROM r WHERE date_diff('day', last_used, TIMESTAMP '2001-12-31 00:00:00') > 90
 UNION ALL
 SELECT "user", 'active_keys' AS kind, CAST(n_keys AS BIGINT) AS detail FROM r WHERE n_keys > 0
 """
+
+ORACLE_SQL["pick_stamp"] = """
+SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, DATE '2024-01-01' AS processing_date FROM customer
+"""
+
+ORACLE_SQL["notifications"] = """
+WITH r AS (
+  SELECT c_custkey, c_acctbal, c_mktsegment, c_name, 'cust' || c_custkey || '@example.com' AS who FROM customer),
+b AS (
+  SELECT *, CASE WHEN c_acctbal < 0 THEN '{"body": "{broken' || who
+                 WHEN c_mktsegment = 'BUILDING' THEN '{"body": "{\\"recipient\\": \\"' || who || '\\", \\"type\\": \\"sms\\"}"}'
+                 WHEN c_mktsegment = 'MACHINERY' THEN '{"body": {"subject": "Hi ' || c_name || '"}}'
+                 ELSE '{"message": "Hello ' || c_name || '", "recipient": "' || who || '"}' END AS request
+  FROM r)
+SELECT c_custkey, sha256(request) AS message_id,
+       CASE WHEN c_acctbal >= 0 AND c_mktsegment IN ('BUILDING') THEN who
+            WHEN c_acctbal >= 0 AND c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN who
+            ELSE 'default@example.com' END AS recipient,
+       CASE WHEN c_acctbal >= 0 AND c_mktsegment = 'MACHINERY' THEN 'Hi ' || c_name ELSE 'Bildirim' END AS subject,
+       CASE WHEN c_acctbal >= 0 AND c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN 'Hello ' || c_name
+            ELSE 'Merhaba!' END AS message,
+       CASE WHEN c_acctbal >= 0 AND c_mktsegment = 'BUILDING' THEN 'sms' ELSE 'email' END AS notification_type,
+       'queued' AS status,
+       CASE WHEN c_acctbal < 0 THEN 'bad_json' END AS reject_reason
+FROM b
+"""
+
+ORACLE_SQL["where_eq_signup"] = """
+SELECT event_id, user_id FROM events WHERE event_type = 'signup'
+"""
+
+ORACLE_SQL["tagged_parts"] = """
+SELECT p_partkey FROM part WHERE p_type = 'ECONOMY'
+"""
+
+ORACLE_SQL["value_errors"] = """
+SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value_num,
+       CASE WHEN event_type = 'error' THEN 'value_num: could not convert' END AS error
+FROM events
+"""
+
+ORACLE_SQL["clean_documents"] = """
+SELECT lang, count(*) AS n, 'kept' AS outcome FROM documents WHERE text IS NOT NULL AND n_chars >= 50 GROUP BY lang
+UNION ALL
+SELECT CASE WHEN text IS NULL THEN 'null:text' ELSE 'too_short' END AS lang, count(*) AS n, 'rejected' AS outcome
+FROM documents WHERE text IS NULL OR NOT (n_chars >= 50) GROUP BY 1
+"""
+
+ORACLE_SQL["enrich_roles"] = """
+WITH p AS (SELECT n.n_name, s.s_name, CAST(s.s_suppkey AS VARCHAR) AS arn
+           FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
+a AS (SELECT n_name, count(*) AS n_policies, arg_min(s_name, (s_name, arn)) AS first_policy FROM p GROUP BY 1)
+SELECT n.n_name AS RoleName, COALESCE(a.n_policies, 0) AS n_policies, a.first_policy
+FROM nation n LEFT JOIN a ON n.n_name = a.n_name
+"""
+
+ORACLE_SQL["attach_object_info"] = """
+SELECT l_orderkey, l_linenumber, l_partkey AS key, p_size AS size FROM lineitem JOIN part ON l_partkey = p_partkey
+"""
+
+ORACLE_SQL["active_keys"] = """
+SELECT c_name AS "user",
+       CAST(CAST(c_mktsegment IN ('BUILDING', 'MACHINERY') AS INTEGER) + CAST(c_nationkey < 5 AS INTEGER) AS INTEGER) AS active_keys
+FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') OR c_nationkey < 5
+"""
+
+ORACLE_SQL["sort_orders"] = """
+SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey
+"""
+
+ORACLE_SQL["object_versions"] = """
+SELECT p_partkey AS key, p_size AS size, false AS is_marker FROM part
+UNION ALL
+SELECT p_partkey AS key, p_size AS size, true AS is_marker FROM part WHERE p_size < 3
+"""
+
+ORACLE_SQL["describe_nations"] = """
+WITH f AS (SELECT n.n_name AS table_name, count(*) AS items FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+           WHERE c.c_acctbal > 9900 GROUP BY 1)
+SELECT n.n_name AS table_name, f.items, CASE WHEN f.items IS NULL THEN 'not found' END AS error
+FROM nation n LEFT JOIN f ON n.n_name = f.table_name
+"""
+
+ORACLE_SQL["join_list_names"] = """
+SELECT c_custkey, replace(c_name, '#', ' / ') AS display FROM customer
+"""

@@ -630,3 +630,163 @@ def forest_eval(spark, d):
     model = M.train_forest(train, "embedding", "label", num_trees=100, seed=42)
     pred = M.predict(model, test, keep=["label"], features="embedding")
     return A.evaluate(pred.withColumn("prediction", F.col("prediction").cast("int")), "label", "prediction")
+
+
+# ------------------------------------------------ more single-operator bindings
+
+@query
+def pick_stamp(spark, d):
+    """Renamed projection of the customers plus a fixed processing date."""
+    c = P.pick(load(spark, d, "customer"), {"id": "c_custkey", "name": "c_name", "segment": "c_mktsegment"})
+    return P.stamp(c, "processing_date", "date", as_of="2024-01-01")
+
+
+def _requests(c: DataFrame) -> DataFrame:
+    """Notification requests derived from customers, in the three accepted
+    shapes (JSON text under body, object under body, bare object) plus broken
+    JSON for negative balances."""
+    who = F.concat(F.lit("cust"), F.col("c_custkey").cast("string"), F.lit("@example.com"))
+    seg = F.col("c_mktsegment")
+    body = (F.when(F.col("c_acctbal") < 0, F.concat(F.lit('{"body": "{broken'), who))
+            .when(seg == "BUILDING", F.concat(F.lit('{"body": "{\\"recipient\\": \\"'), who,
+                                              F.lit('\\", \\"type\\": \\"sms\\"}"}')))
+            .when(seg == "MACHINERY", F.concat(F.lit('{"body": {"subject": "Hi '), F.col("c_name"), F.lit('"}}')))
+            .otherwise(F.concat(F.lit('{"message": "Hello '), F.col("c_name"), F.lit('", "recipient": "'), who,
+                                F.lit('"}'))))
+    return c.select("c_custkey", body.alias("request"))
+
+
+@query
+def notifications(spark, d):
+    """Request bodies normalised to notification rows."""
+    r = _requests(load(spark, d, "customer"))
+    n = P.normalise_notifications(r, "request", as_of="2024-01-01 00:00:00")
+    return n.select("c_custkey", "message_id", "recipient", "subject", "message", "notification_type", "status",
+                    "reject_reason")
+
+
+@query
+def where_eq_signup(spark, d):
+    """equality on a non-key attribute."""
+    return FL.where_eq(load(spark, d, "events"), "event_type", "signup").select("event_id", "user_id")
+
+
+@query
+def tagged_parts(spark, d):
+    """F8: parts whose tag list holds type = ECONOMY."""
+    p = load(spark, d, "part")
+    tags = F.array(F.struct(F.lit("brand").alias("Key"), F.col("p_brand").alias("Value")),
+                   F.struct(F.lit("type").alias("Key"), F.col("p_type").alias("Value")))
+    return FL.where_tag(p.select("p_partkey", tags.alias("tags")), "tags", "type", "ECONOMY").select("p_partkey")
+
+
+@query
+def value_errors(spark, d):
+    """per-record conversion errors isolated in an error column."""
+    e = load(spark, d, "events").select(
+        "event_id", F.when(F.col("event_type") == "error", F.lit("n/a"))
+        .otherwise(F.col("value").cast("string")).alias("value_text"))
+    out = FL.isolate_errors(e, {"value_num": (F.col("value_text").try_cast("double"), "value_text")})
+    return out.select("event_id", "value_num", "error")
+
+
+@query
+def clean_documents(spark, d):
+    """drop-null / fill / rule gate over documents, counted per outcome."""
+    docs = load(spark, d, "documents").select("doc_id", "text", "lang", "n_chars")
+    good, bad = FL.clean(docs, drop_null=["text"], fill={"lang": "unknown"},
+                         rules=[("too_short", F.col("n_chars") >= 50)])
+    g = good.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).withColumn("outcome", F.lit("kept"))
+    b = bad.groupBy(F.col("reject_reason").alias("lang")).agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("outcome", F.lit("rejected"))
+    return g.unionByName(b)
+
+
+@query
+def enrich_roles(spark, d):
+    """Nations as roles with their suppliers as an attached-policy list."""
+    roles = load(spark, d, "nation").select(F.col("n_name").alias("RoleName"), "n_nationkey")
+    pol = (load(spark, d, "supplier").join(load(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+           .select(F.col("n_name").alias("RoleName"), F.col("s_name").alias("PolicyName"),
+                   F.col("s_suppkey").cast("string").alias("PolicyArn")))
+    r = AU.enrich_roles(roles, pol)
+    return r.select("RoleName", F.size("policies").cast("bigint").alias("n_policies"),
+                    F.get(F.col("policies"), 0)["PolicyName"].alias("first_policy"))
+
+
+@query
+def attach_object_info(spark, d):
+    """Line-item 'events' joined to the part 'inventory' (size)."""
+    ev = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.lit("parts").alias("bucket"),
+                                           F.col("l_partkey").alias("key"))
+    inv = load(spark, d, "part").select(F.lit("parts").alias("bucket"), F.col("p_partkey").alias("key"),
+                                        F.col("p_size").alias("size"))
+    return J.attach_object_info(ev, inv).select("l_orderkey", "l_linenumber", "key", "size")
+
+
+def _report(c: DataFrame) -> DataFrame:
+    tf = lambda cond: F.when(cond, F.lit("true")).otherwise(F.lit("false"))
+    return c.select(F.col("c_name").alias("user"),
+                    tf(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).alias("access_key_1_active"),
+                    tf(F.col("c_nationkey") < 5).alias("access_key_2_active"))
+
+
+@query
+def active_keys(spark, d):
+    """Users with active access keys and how many."""
+    return AU.active_keys(_report(load(spark, d, "customer")))
+
+
+@query
+def sort_orders(spark, d):
+    """Orders in ascending time (ties by key)."""
+    return O.sort_by(load(spark, d, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"])
+
+
+@query
+def object_versions(spark, d):
+    """Part 'versions' with small parts also listed as delete markers."""
+    p = load(spark, d, "part").select(F.col("p_partkey").alias("key"), F.col("p_size").alias("size"))
+    return J.object_versions(p, p.filter(F.col("size") < 3))
+
+
+@query
+def describe_nations(spark, d):
+    """Every nation listed; facts only where rich customers exist, else 'not found'."""
+    n = load(spark, d, "nation").select(F.col("n_name").alias("table_name"), "n_nationkey")
+    facts = (load(spark, d, "customer").filter(F.col("c_acctbal") > 9900)
+             .join(load(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+             .groupBy(F.col("n_name").alias("table_name")).agg(F.count(F.lit(1)).alias("items")))
+    return N.describe_tables(n, facts)
+
+
+@query
+def join_list_names(spark, d):
+    """Name parts as a list, joined back with a separator."""
+    c = load(spark, d, "customer").select("c_custkey", F.split("c_name", "#").alias("parts"))
+    return N.join_list(c, "parts", " / ", out="display").select("c_custkey", "display")
+
+
+# ----------------------------------------------- ML (rows-only check)
+
+@query
+def shuffle_orders(spark, d):
+    """M6: seeded, repeatable order of the orders."""
+    from tidewater.operators import ml as M
+    return M.shuffle(load(spark, d, "orders").select("o_orderkey"), "o_orderkey", 7)
+
+
+@query
+def drift_totalprice(spark, d):
+    """M7: population stability of order prices, first half of the period vs the second."""
+    from tidewater.operators import ml as M
+    o = load(spark, d, "orders")
+    cut = _ntz("1998-05-01 00:00:00")
+    return M.drift(o.filter(F.col("o_orderdate") < cut), o.filter(F.col("o_orderdate") >= cut), "o_totalprice")
+
+
+@query
+def pca_embeddings(spark, d):
+    """First 3 principal components of every embedding."""
+    from tidewater.operators import ml as M
+    return M.reduce(load(spark, d, "embeddings").select("vec_id", "embedding"), "embedding", 3)
