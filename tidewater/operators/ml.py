@@ -224,12 +224,16 @@ def drift(baseline: DataFrame, current: DataFrame, col: str, bins: int = 10,
 
 
 def apply_handler(df: DataFrame, fn: Callable[[dict], dict], schema: str,
-                  error_col: str = "error") -> DataFrame:
+                  error_col: str = "error", keep: Sequence[str] = ()) -> DataFrame:
     """M16. User handler per record inside ``mapInPandas`` (one Python
-    worker per partition, Arrow batches). A record whose handler raises
-    becomes a row with ``error`` set; the batch goes on."""
+    worker per partition, Arrow batches). ``keep`` columns are copied from
+    the input to every output row; a record whose handler raises becomes a
+    row with ``error`` set (and its ``keep`` values); the batch goes on."""
     from pyspark.sql.types import StructType
     out_fields = [f.name for f in StructType.fromDDL(schema).fields]
+    keep = list(keep)
+    keep_ddl = ", ".join(f"{c} {t}" for c, t in df.select(*keep).dtypes) if keep else ""
+    cols = keep + out_fields + [error_col]
 
     def run(batches):
         for pdf in batches:
@@ -240,7 +244,10 @@ def apply_handler(df: DataFrame, fn: Callable[[dict], dict], schema: str,
                     r[error_col] = None
                 except Exception as e:  # isolate the failing record
                     r = {error_col: f"{type(e).__name__}: {e}"}
-                out.append({k: r.get(k) for k in out_fields + [error_col]})
-            yield pd.DataFrame(out, columns=out_fields + [error_col])
+                for c in keep:
+                    r[c] = rec[c]
+                out.append({c: r.get(c) for c in cols})
+            yield pd.DataFrame(out, columns=cols)
 
-    return df.mapInPandas(run, f"{schema}, {error_col} string")
+    full = ", ".join(x for x in [keep_ddl, schema, f"{error_col} string"] if x)
+    return df.mapInPandas(run, full)

@@ -467,3 +467,16 @@ FROM nation n LEFT JOIN f ON n.n_name = f.table_name
 ORACLE_SQL["join_list_names"] = """
 SELECT c_custkey, replace(c_name, '#', ' / ') AS display FROM customer
 """
+
+ORACLE_SQL["order_json"] = """
+SELECT o_orderkey, json_object('o_orderkey', o_orderkey, 'o_orderstatus', o_orderstatus,
+                               'price', CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE))::VARCHAR AS json
+FROM orders
+"""
+
+ORACLE_SQL["event_handler"] = """
+SELECT event_id,
+       CASE WHEN event_type = 'error' THEN NULL WHEN value > 100 THEN 'high' ELSE 'low' END AS value_class,
+       CASE WHEN event_type = 'error' THEN 'ValueError: rejected' END AS error
+FROM events
+"""

@@ -24,6 +24,9 @@ from tidewater.operators import ordering as O
 from tidewater.operators import shape as P
 from tidewater.operators import timeseries as TS
 from tidewater.operators.vector import vector_top_k
+from tidewater.session import ship_by_value
+
+ship_by_value(__name__)  # the user handler below runs in Python workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -790,3 +793,41 @@ def pca_embeddings(spark, d):
     """First 3 principal components of every embedding."""
     from tidewater.operators import ml as M
     return M.reduce(load(spark, d, "embeddings").select("vec_id", "embedding"), "embedding", 3)
+
+
+@query
+def order_json(spark, d):
+    """Each order as JSON text, its decimal price written as a number."""
+    o = load(spark, d, "orders").select("o_orderkey", "o_orderstatus",
+                                        F.col("o_totalprice").cast("decimal(12,2)").alias("price"))
+    return N.as_json(o, ["o_orderkey", "o_orderstatus", "price"], out="json", keep=["o_orderkey"])
+
+
+def _event_handler(rec: dict) -> dict:
+    """A per-record user handler: error events are rejected, values classed."""
+    if rec["event_type"] == "error":
+        raise ValueError("rejected")
+    return {"value_class": "high" if rec["value"] > 100 else "low"}
+
+
+@query
+def event_handler(spark, d):
+    """User handler per event (mapInPandas); failures isolated per record."""
+    from tidewater.operators import ml as M
+    e = load(spark, d, "events").select("event_id", "event_type", "value")
+    return M.apply_handler(e, _event_handler, "value_class string", keep=["event_id"])
+
+
+@query
+def logistic_eval(spark, d):
+    """Logistic regression on the first 16 embedding dimensions,
+    label 'label < 5', accuracy on the 20% hash split."""
+    from tidewater.operators import ml as M
+    feats = [f"f{i}" for i in range(16)]
+    e = load(spark, d, "embeddings").select(
+        "vec_id", (F.col("label") < 5).cast("int").alias("y"),
+        *[F.col("embedding")[i].cast("double").alias(f) for i, f in enumerate(feats)])
+    train, test = M.split(e, "vec_id", 0.2, 42)
+    model = M.train_linear(train, feats, "y", kind="logistic")
+    pred = M.predict(model, test, keep=["y"]).withColumn("prediction", F.col("prediction").cast("int"))
+    return A.evaluate(pred, "y", "prediction")
