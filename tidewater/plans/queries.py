@@ -24,7 +24,7 @@ from tidewater.operators import ordering as O
 from tidewater.operators import shape as P
 from tidewater.operators import timeseries as TS
 from tidewater.operators.vector import vector_top_k
-from tidewater.session import ship_by_value
+from tidewater.session import ship_by_value, spread
 
 ship_by_value(__name__)  # the user handler below runs in Python workers
 
@@ -386,7 +386,7 @@ def _envelopes(e: DataFrame) -> DataFrame:
 @query
 def classify_events(spark, d):
     """Envelopes derived from each event, classified."""
-    env = _envelopes(load(spark, d, "events"))
+    env = _envelopes(spread(load(spark, d, "events").select("event_id", "event_type", "value")))
     return N.classify_events(env, "envelope").select("event_id", "kind")
 
 
@@ -394,7 +394,9 @@ def classify_events(spark, d):
 def explode_records(spark, d):
     """Every line item becomes a storage event with two records (part
     object, supplier object); records exploded and keys decoded."""
-    li = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    # spread the narrow scan before the bodies are built: the shuffle then
+    # moves four integers per row instead of a JSON text
+    li = spread(load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     rec = lambda bucket, key: F.concat(
         F.lit('{"eventName":"ObjectCreated:Put","s3":{"bucket":{"name":"'), bucket,
         F.lit('"},"object":{"key":"'), key, F.lit('"}}}'))
@@ -413,7 +415,7 @@ def explode_records(spark, d):
 def flatten_two(spark, d):
     """Each order as a listing with two reservations (one empty); the
     first holds a tagged instance and a bare one."""
-    o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    o = spread(load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
     inst_t = "struct<InstanceId: string, InstanceType: string, State: struct<Name: string>, " \
              "PublicIpAddress: string, Placement: struct<AvailabilityZone: string>, LaunchTime: string, " \
              "Tags: array<struct<Key: string, Value: string>>>"
@@ -441,7 +443,7 @@ def flatten_two(spark, d):
 @query
 def decode_attributes(spark, d):
     """Type-tagged attribute JSON built from each order, decoded back."""
-    o = load(spark, d, "orders")
+    o = spread(load(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"))
     doc = F.concat(F.lit('{"key":{"N":"'), F.col("o_orderkey").cast("string"), F.lit('"},"status":{"S":"'),
                    F.col("o_orderstatus"), F.lit('"},"price":{"N":"'), F.col("o_totalprice").cast("string"), F.lit('"}}'))
     a = N.decode_attributes(o.select(doc.alias("image")), "image",
