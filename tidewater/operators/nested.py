@@ -112,22 +112,23 @@ def sections(df: DataFrame, text_col: str, id_cols: Sequence[str], sep: str = "\
              title_prefix: str = "Section") -> DataFrame:
     """N7. Numbered sections of each document.
 
-    The text is cut at ``sep``; every section's lines are trimmed, blank
-    lines dropped and sections left empty dropped. Numbering is 1-based
-    over the kept sections. The title is the first line, or
-    ``"<title_prefix> n"`` when that line is empty after trimming.
+    The text is cut at ``sep``. A section's body is its lines trimmed, with
+    blank lines dropped; sections with an empty body are dropped and the
+    rest numbered from 1. The title is the section's first line (trimmed);
+    when that line is blank the section has no title and gets
+    ``"<title_prefix> n"`` (the reference's ``Slide n``).
     """
     strip = lambda s: F.regexp_replace(s, r"^\s+|\s+$", "")
     parts = F.split(F.col(text_col), sep, -1)
-    cleaned = F.transform(parts, lambda p: F.array_join(
-        F.filter(F.transform(F.split(p, "\n", -1), strip), lambda ln: ln != F.lit("")), "\n"))
-    kept = F.filter(cleaned, lambda p: p != F.lit(""))
-    s = spread(df).select(*id_cols, F.posexplode(kept).alias("_pos", "body"))
-    first = F.substring_index(F.col("body"), "\n", 1)
+    secs = F.transform(parts, lambda p: F.struct(
+        strip(F.substring_index(p, "\n", 1)).alias("first"),
+        F.array_join(F.filter(F.transform(F.split(p, "\n", -1), strip), lambda ln: ln != F.lit("")), "\n").alias("body")))
+    kept = F.filter(secs, lambda x: x["body"] != F.lit(""))
+    s = spread(df).select(*id_cols, F.posexplode(kept).alias("_pos", "_s"))
     no = (F.col("_pos") + 1).cast("int")
-    return s.select(*id_cols, no.alias("section_no"),
-                    F.when(first != "", first).otherwise(F.concat(F.lit(f"{title_prefix} "), no.cast("string"))).alias("title"),
-                    "body")
+    title = F.when(F.col("_s.first") != "", F.col("_s.first")).otherwise(
+        F.concat(F.lit(f"{title_prefix} "), no.cast("string")))
+    return s.select(*id_cols, no.alias("section_no"), title.alias("title"), F.col("_s.body").alias("body"))
 
 
 def join_list(df: DataFrame, col: str, sep: str = ", ", out: str | None = None,
