@@ -112,11 +112,15 @@ def test_dedup_stream(spark, tmp):
 
 
 def _metric_files(src, t0):
-    # three files, 25 minutes apart, so the watermark closes periods in between
+    # three files, 25 minutes apart, so the watermark closes periods in between;
+    # explicit modification times fix the order in which the source reads them
+    import time as _t
+    now = _t.time()
     for f in range(3):
         recs = [{"k": "a" if i % 2 else "b", "ts": (t0 + dt.timedelta(minutes=25 * f + i)).isoformat(),
                  "v": float(50 + 40 * ((f + i) % 3))} for i in range(0, 20, 2)]
         _write_lines(src, f"f{f}.json", recs)
+        os.utime(os.path.join(src, f"f{f}.json"), (now - 100 + 30 * f, now - 100 + 30 * f))
 
 
 def test_stream_metrics_equal_batch(spark, tmp):
