@@ -53,3 +53,42 @@ def test_anomalies(spark):
     df = spark.createDataFrame(vals, "v double")
     a = TS.anomalies(df, "v", z=2.5)
     assert rows(a.filter("is_anomaly"), "v") == [(100.0,)]
+
+
+def _brute_alarm(points, op, thr, n, missing):
+    """Direct reading of the W1 rules over one key's per-period values."""
+    if not points:
+        return []
+    lo, hi = min(points), max(points)
+    out, hist = [], []
+    for p in range(lo, hi + 1):
+        v = points.get(p)
+        hist.append(v)
+        w = hist[-n:]
+        br = [(missing == "breach") if x is None else (x > thr if op == ">" else x < thr) for x in w]
+        pres = [x is not None or missing != "missing" for x in w]
+        if len(w) < n:
+            st = "INSUFFICIENT_DATA"
+        elif all(br):
+            st = "ALARM"
+        elif not all(pres):
+            st = "INSUFFICIENT_DATA"
+        else:
+            st = "OK"
+        out.append((p, st))
+    return out
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.dictionaries(st.integers(0, 30), st.floats(0, 200, allow_nan=False), min_size=1, max_size=20),
+       st.sampled_from([">", "<"]), st.integers(1, 3), st.sampled_from(["missing", "breach", "ok"]))
+def test_alarm_matches_brute_force(spark, points, op, n, missing):
+    rows_ = [(T0 + dt.timedelta(seconds=300 * p), "k", v) for p, v in points.items()]
+    df = spark.createDataFrame(rows_, "ts timestamp_ntz, k string, v double")
+    s = TS.metric_statistics(df, "ts", "v", by=["k"], stats=["Maximum"])
+    got = [(int((r.period_start - T0).total_seconds() // 300), r.state)
+           for r in TS.alarm(s, "Maximum", op, 100.0, n, by=["k"], missing=missing).orderBy("period_start").collect()]
+    assert got == _brute_alarm(points, op, 100.0, n, missing)
