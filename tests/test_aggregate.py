@@ -48,3 +48,8 @@ def test_profile_and_constraints(spark):
     assert chk[("a", "max")] is False and chk[("b", "min")] is True and chk[("b", "null_ratio")] is True
     approx = A.profile(df, exact_distinct=False)
     assert {r.column: r.n_distinct for r in approx.collect()}["a"] == 2
+
+
+def test_gather_rows_counts(spark):
+    df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (2, "c", 1)], "k int, name string, size int")
+    assert rows(A.gather_rows(df, ["k"], ["name"])) == [(1, "a", 2), (1, "b", 2), (2, "c", 1)]

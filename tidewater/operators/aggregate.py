@@ -53,6 +53,20 @@ def gather(df: DataFrame, by: Sequence[str], fields: Sequence[str],
     return (df.groupBy(*by).agg(items.alias(out), F.count(F.lit(1)).alias(count_out)))
 
 
+def gather_rows(df: DataFrame, by: Sequence[str], fields: Sequence[str],
+                count_out: str = "n_items") -> DataFrame:
+    """A6 in row form: every record of a group with the group's count.
+
+    Nothing is collected: counts are a partial aggregate joined back on the
+    key (size-checked broadcast, else a sort-merge join that AQE splits when
+    one key is hot). Use this instead of :func:`gather` when a group may be
+    too large to hold as one value.
+    """
+    from tidewater.session import sized_broadcast
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias(count_out))
+    return df.select(*by, *fields).join(sized_broadcast(counts), on=list(by), how="inner")
+
+
 def table_stats(df: DataFrame, size_col: str | None = None, key_col: str | None = None,
                 by: Sequence[str] = ()) -> DataFrame:
     """A12. Count, distinct keys, total / mean / max size."""
