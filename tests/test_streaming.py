@@ -292,3 +292,31 @@ def test_compact_every_and_late_rows(spark, tmp):
     # after the jump) is still counted, c (one batch later) is dropped
     assert dropped == 1
     assert rows(spark.table("late_t"), "sum") == [(5.0,)]
+
+
+def test_trigger_kwargs():
+    from tidewater.streaming.sources import trigger_kwargs
+    assert trigger_kwargs(None) == {"availableNow": True}
+    assert trigger_kwargs("once") == {"once": True}
+    assert trigger_kwargs("5 minutes") == {"processingTime": "5 minutes"}
+
+
+def test_stream_alarm_ttl_forgets_silent_key(spark, tmp):
+    src = os.path.join(tmp, "ttl")
+    t0 = dt.datetime(2024, 1, 1)
+    import time as _t
+    now = _t.time()
+    # key b reports once; key a keeps the watermark moving for an hour
+    _write_lines(src, "f0.json", [{"k": "a", "ts": t0.isoformat(), "v": 1.0}, {"k": "b", "ts": t0.isoformat(), "v": 1.0}])
+    _write_lines(src, "f1.json", [{"k": "a", "ts": (t0 + dt.timedelta(minutes=60)).isoformat(), "v": 1.0}])
+    _write_lines(src, "f2.json", [{"k": "a", "ts": (t0 + dt.timedelta(minutes=120)).isoformat(), "v": 1.0}])
+    for i in range(3):
+        os.utime(os.path.join(src, f"f{i}.json"), (now - 100 + 30 * i, now - 100 + 30 * i))
+    s = spark.readStream.schema("k string, ts timestamp_ntz, v double").option("maxFilesPerTrigger", 1).json(src)
+    q = (stream_alarm(s, "ts", "v", ["k"], "Average", ">", 5.0, 2, period_s=300, delay="1 minute", ttl_s=1800)
+         .writeStream.format("memory").queryName("ttl_t").outputMode("append").trigger(availableNow=True)
+         .option("checkpointLocation", os.path.join(tmp, "cp")).start())
+    _run(q)
+    b_rows = spark.table("ttl_t").filter("k = 'b'").count()
+    a_rows = spark.table("ttl_t").filter("k = 'a'").count()
+    assert a_rows > b_rows >= 1 and b_rows <= 1800 // 300 + 1  # b stops after its retention

@@ -72,16 +72,19 @@ def _partials(by: list[str]):
 
 def stream_alarm(df: DataFrame, ts: str, value: str, by: Sequence[str], stat: str, op: str,
                  threshold: float, periods: int, period_s: int = 300, delay: str = "10 minutes",
-                 missing: str = "missing") -> DataFrame:
+                 missing: str = "missing", ttl_s: int | None = 86_400) -> DataFrame:
     """Live W1 over raw metric rows; output (by..., period_start, value,
     breaching, state), one row per closed period per key.
 
     Rows are first combined per (key, period) inside each input partition
     (``mapInPandas``); the watermark is the newest event time seen minus
-    ``delay``, taken from each partial's max event time.
+    ``delay``, taken from each partial's max event time. A key silent for
+    ``ttl_s`` seconds (T10 retention; ``None`` keeps it forever) has its
+    state removed and stops emitting until it reports again.
     """
     by = list(by)
     period_us = int(period_s) * 1_000_000
+    ttl_us = None if ttl_s is None else int(ttl_s) * 1_000_000
     t = F.col(ts).cast("timestamp")
     raw = df.select(*by, t.alias("_ts"), F.col(value).cast("double").alias("_v"),
                     (F.unix_micros(t) - F.pmod(F.unix_micros(t), F.lit(period_us))).alias("_p"))
@@ -96,7 +99,7 @@ def stream_alarm(df: DataFrame, ts: str, value: str, by: Sequence[str], stat: st
                 "SampleCount": float(n)}[stat]
 
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        st = json.loads(state.get[0]) if state.exists else {"open": {}, "hist": [], "last": None}
+        st = json.loads(state.get[0]) if state.exists else {"open": {}, "hist": [], "last": None, "seen": None}
         open_p = {int(k): v for k, v in st["open"].items()}
         for pdf in pdfs:
             for p, s_, n_, mx_, mn_ in zip(pdf["_p"], pdf["_s"], pdf["_n"], pdf["_mx"], pdf["_mn"]):
@@ -106,6 +109,7 @@ def stream_alarm(df: DataFrame, ts: str, value: str, by: Sequence[str], stat: st
                 if not n_:
                     open_p.setdefault(p, [0.0, 0, None, None])
                     continue
+                st["seen"] = p if st.get("seen") is None else max(st["seen"], p)
                 a = open_p.get(p, [0.0, 0, None, None])
                 open_p[p] = [a[0] + float(s_), a[1] + int(n_),
                              float(mx_) if a[2] is None else max(a[2], float(mx_)),
@@ -114,9 +118,14 @@ def stream_alarm(df: DataFrame, ts: str, value: str, by: Sequence[str], stat: st
         rows = []
         # close every period that ended before the watermark, gaps included
         first = st["last"] + period_us if st["last"] is not None else (min(open_p) if open_p else None)
+        expired = False
         if first is not None:
             p = first
             while p + period_us <= wm_us and (open_p or st["last"] is not None):
+                if (ttl_us is not None and not open_p and st.get("seen") is not None
+                        and p - st["seen"] >= ttl_us):
+                    expired = True  # silent longer than the retention
+                    break
                 acc = open_p.pop(p, None)
                 v = stat_of(acc) if acc and acc[1] else None
                 st["hist"] = (st["hist"] + [v])[-periods:]
@@ -125,10 +134,21 @@ def stream_alarm(df: DataFrame, ts: str, value: str, by: Sequence[str], stat: st
                 st["last"] = p
                 p += period_us
         st["open"] = {str(k): v for k, v in open_p.items()}
+        if expired:
+            state.remove()  # forget the key until it reports again
+            if rows:
+                yield pd.DataFrame(rows, columns=[*by, "period_start", "value", "breaching", "state"])
+            return
         state.update((json.dumps(st),))
-        nxt = (st["last"] + 2 * period_us) // 1000 if st["last"] is not None else None
-        if nxt is not None and nxt > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(int(nxt))
+        # wake up when the next period can close, even if the key stays silent
+        if st["last"] is not None:
+            nxt = (st["last"] + 2 * period_us) // 1000
+        elif open_p:
+            nxt = (min(open_p) + period_us) // 1000
+        else:
+            nxt = None
+        if nxt is not None:
+            state.setTimeoutTimestamp(int(max(nxt, state.getCurrentWatermarkMs() + 1)))
         if rows:
             yield pd.DataFrame(rows, columns=[*by, "period_start", "value", "breaching", "state"])
 
