@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tidewater.operators import aggregate as A
 from conftest import rows
 

@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from tidewater.operators import audit as AU
 from tidewater.operators import joins as J
 from conftest import rows

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tidewater.operators import shape as P
 from conftest import rows
 

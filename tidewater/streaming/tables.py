@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.keyed import DELETE, PUT, SEQ, UPDATE, as_changes, merge_changes
+from tidewater.operators.keyed import DELETE, PUT, UPDATE, as_changes, merge_changes
 
 BATCH = "_batch"
 
