@@ -38,9 +38,23 @@ def get_session(app: str = "tidewater", master: str | None = None,
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    elif not (master or "").startswith("local"):
+        # Cluster sizing: start every shuffle wide and let AQE coalesce to
+        # ~128 MB partitions. AQE can merge small partitions but cannot split
+        # ordinary large ones, so a 200-partition default would leave
+        # hundreds of GB per reduce task at 100 TB; oversized skewed
+        # partitions are split by the skew-join rule.
+        conf.update({
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+            "spark.sql.files.maxPartitionBytes": "256m",
+        })
     conf.update(extra or {})
+    active = SparkSession.getActiveSession()
     for k, v in conf.items():
-        b = b.config(k, v)
+        # never override what the cluster (spark-submit / defaults) already set
+        if active is None or active.conf.get(k, None) is None or k in (extra or {}):
+            b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
