@@ -49,11 +49,15 @@ def get_session(app: str = "tidewater", master: str | None = None,
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
             "spark.sql.files.maxPartitionBytes": "256m",
         })
+    forced = set(extra or {}) | ({"spark.sql.shuffle.partitions"} if shuffle_partitions else set())
     conf.update(extra or {})
+    from pyspark import SparkConf
+    preset = SparkConf()  # spark-submit / spark-defaults.conf values
     active = SparkSession.getActiveSession()
     for k, v in conf.items():
-        # never override what the cluster (spark-submit / defaults) already set
-        if active is None or active.conf.get(k, None) is None or k in (extra or {}):
+        # never override what the cluster already set, unless asked explicitly
+        taken = preset.contains(k) or (active is not None and active.conf.get(k, None) is not None)
+        if k in forced or not taken:
             b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
