@@ -215,12 +215,14 @@ def drift(baseline: DataFrame, current: DataFrame, col: str, bins: int = 10,
         b = sum((x >= F.element_at(edges, i + 1)).cast("int") for i in range(len(qs)))
         return (df.filter(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias(side)))
 
+    from pyspark.sql import Window
     j = binned(baseline, "b").join(binned(current, "c"), on="bin", how="full").fillna(0, ["b", "c"])
-    tb = baseline.filter(F.col(col).isNotNull()).select(F.count(F.lit(1))).scalar()
-    tc = current.filter(F.col(col).isNotNull()).select(F.count(F.lit(1))).scalar()
-    pb = F.greatest(F.col("b") / tb, F.lit(eps))
-    pc = F.greatest(F.col("c") / tc, F.lit(eps))
-    return j.agg(F.sum((pc - pb) * F.log(pc / pb)).alias("psi"))
+    # totals from the (at most bins + 1) binned rows, not from new scans
+    everything = Window.partitionBy()
+    pb = F.greatest(F.col("b") / F.sum("b").over(everything), F.lit(eps))
+    pc = F.greatest(F.col("c") / F.sum("c").over(everything), F.lit(eps))
+    return (j.select(((pc - pb) * F.log(pc / pb)).alias("_t"))
+            .agg(F.sum("_t").alias("psi")))
 
 
 def apply_handler(df: DataFrame, fn: Callable[[dict], dict], schema: str,
