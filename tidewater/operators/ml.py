@@ -50,8 +50,10 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
 
 
 def _featurize(df: DataFrame, features: Sequence[str] | str) -> tuple[DataFrame, list]:
-    """Training input with parallelism floor; ``features`` is a list of numeric
-    columns (assembled in the pipeline) or one array column (converted here)."""
+    """Forest training input with the parallelism floor (trees of one level
+    are grown in parallel over partitions; iterative learners, which run one
+    job per iteration, keep the input's partitioning). ``features`` is a
+    list of numeric columns (assembled in the pipeline) or one array column."""
     df = spread(df)
     if isinstance(features, str):
         return df.withColumn("features", array_to_vector(F.col(features))), []
@@ -73,21 +75,21 @@ def train_linear(df: DataFrame, features: Sequence[str], label: str, kind: str =
     """M8. Logistic (classification) or linear (regression) learner."""
     est = (LogisticRegression(labelCol=label, maxIter=max_iter) if kind == "logistic"
            else LinearRegression(labelCol=label, maxIter=max_iter))
-    return Pipeline(stages=[_assembler(features), est]).fit(spread(df))
+    return Pipeline(stages=[_assembler(features), est]).fit(df)
 
 
 def train_boosted(df: DataFrame, features: Sequence[str], label: str, max_iter: int = 20,
                   seed: int = 42) -> PipelineModel:
     """M9. Gradient-boosted trees (binary labels)."""
     gbt = GBTClassifier(labelCol=label, maxIter=max_iter, seed=seed)
-    return Pipeline(stages=[_assembler(features), gbt]).fit(spread(df))
+    return Pipeline(stages=[_assembler(features), gbt]).fit(df)
 
 
 def train_fm(df: DataFrame, features: Sequence[str], label: str, factor_size: int = 8,
              seed: int = 42) -> PipelineModel:
     """M11. Factorisation machine classifier."""
     fm = FMClassifier(labelCol=label, factorSize=factor_size, seed=seed)
-    return Pipeline(stages=[_assembler(features), fm]).fit(spread(df))
+    return Pipeline(stages=[_assembler(features), fm]).fit(df)
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (),
@@ -157,7 +159,7 @@ def train_pixels(df: DataFrame, label: str = "label", pixels: str = "pixels",
                  seed: int = 42) -> PipelineModel:
     """M5. Dense 784-128-10 network on pixel arrays (Spark ML has no
     convolution; the multilayer perceptron is the closest built-in)."""
-    d = spread(df).withColumn("features", array_to_vector(F.col(pixels)))
+    d = df.withColumn("features", array_to_vector(F.col(pixels)))
     mlp = MultilayerPerceptronClassifier(labelCol=label, featuresCol="features", layers=list(layers),
                                          blockSize=block_size, maxIter=max_iter, seed=seed)
     return Pipeline(stages=[mlp]).fit(d)
