@@ -137,8 +137,10 @@ def test_stream_metrics_equal_batch(spark, tmp):
                                  "ts", "v", by=["k"], period_s=300)
     got = rows(live, "period_start", "k", "sum", "sample_count")
     want = rows(batch, "period_start", "k", "sum", "sample_count")
-    assert got and set(got) <= set(want)
-    assert len(got) >= len(want) - 4  # only the periods still open at the end are missing
+    # exactly the periods the final watermark has closed
+    wm = dt.datetime.fromisoformat(q.lastProgress["eventTime"]["watermark"].replace("Z", ""))
+    closed = [r for r in want if r[0] + dt.timedelta(seconds=300) <= wm]
+    assert got == closed and len(closed) >= len(want) - 4
 
 
 def test_stream_alarm_matches_batch(spark, tmp):
@@ -154,8 +156,10 @@ def test_stream_alarm_matches_batch(spark, tmp):
     stats = TS.metric_statistics(spark.read.schema("k string, ts timestamp_ntz, v double").json(src),
                                  "ts", "v", by=["k"], period_s=300, stats=["Average"])
     batch = rows(TS.alarm(stats, "Average", ">", 60.0, 2, by=["k"]), "k", "period_start", "state")
-    assert live and set(live) <= set(batch)
-    assert len(live) >= len(batch) - 4  # only periods the final watermark has not passed are missing
+    # exactly the periods the final watermark has closed, with the batch states
+    wm = dt.datetime.fromisoformat(q.lastProgress["eventTime"]["watermark"].replace("Z", ""))
+    closed = [r for r in batch if r[1] + dt.timedelta(seconds=300) <= wm]
+    assert live == closed and len(closed) >= len(batch) - 4
 
 
 def test_apply_changes_and_file_index(spark, tmp):
