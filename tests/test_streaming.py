@@ -97,6 +97,10 @@ def test_consumer_bad_record_and_counts(spark, tmp):
     assert failed == [("bad_json",), ("missing message_id",)]
     sent = spark.read.parquet(os.path.join(out, "sent")).filter("message_id = 'm0'").first()
     assert "Mesaj: hello 0" in sent.text
+    # stream = batch: the same operators over all queue files at once
+    b = jobs.consume_rows(spark.read.text(q), as_of="2024-01-01 01:00:00").filter("error is null")
+    cols = ["message_id", "timestamp", "status", "processed_at"]
+    assert rows(t, *cols) == rows(b, *cols)
 
 
 def test_dedup_stream(spark, tmp):
