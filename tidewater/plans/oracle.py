@@ -480,3 +480,16 @@ SELECT event_id,
        CASE WHEN event_type = 'error' THEN 'ValueError: rejected' END AS error
 FROM events
 """
+
+ORACLE_SQL["event_metrics"] = """
+SELECT 'App/Events' AS namespace, 'Value' AS metric_name, value, 'None' AS unit, ts AS "timestamp",
+       event_type
+FROM events
+"""
+
+ORACLE_SQL["event_logs"] = """
+SELECT '/app/events' AS log_group, 'stream-1' AS log_stream, epoch_us(ts) // 1000 AS "timestamp",
+       json_object('timestamp', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), 'message', event_type,
+                   'source', 'tidewater')::VARCHAR AS message
+FROM events
+"""

@@ -833,3 +833,22 @@ def logistic_eval(spark, d):
     model = M.train_linear(train, feats, "y", kind="logistic")
     pred = M.predict(model, test, keep=["y"]).withColumn("prediction", F.col("prediction").cast("int"))
     return A.evaluate(pred, "y", "prediction")
+
+
+@query
+def event_metrics(spark, d):
+    """K7: every event as a metric row (namespace, name, value, unit, time,
+    dimensions); the event-type dimension read back from the map."""
+    from tidewater.sinks import to_metrics
+    e = load(spark, d, "events")
+    m = to_metrics(e, "App/Events", "Value", "value", "ts", unit="None", dims={"EventType": "event_type"})
+    return m.select("namespace", "metric_name", "value", "unit", "timestamp",
+                    F.col("dimensions")["EventType"].alias("event_type"))
+
+
+@query
+def event_logs(spark, d):
+    """K8: every event as a log row: epoch-ms time and a JSON message."""
+    from tidewater.sinks import to_log_rows
+    e = load(spark, d, "events")
+    return to_log_rows(e, "/app/events", "stream-1", "event_type", "ts", source="tidewater")
