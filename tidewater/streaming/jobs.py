@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,7 +59,12 @@ def fan_out(df: DataFrame, sinks: Mapping[str, Callable[[DataFrame, int], None]]
                 sink(batch, batch_id)
         finally:
             batch.unpersist()
-    cp = checkpoint or _default_cp(df.sparkSession, "fan_out", *sorted(sinks))
+    if checkpoint is None:
+        # identity of the stream: its logical plan without attribute ids, which
+        # names the source path and format, and so is stable across restarts
+        plan = re.sub(r"#\d+L?", "", df._jdf.queryExecution().logical().toString())
+        checkpoint = _default_cp(df.sparkSession, "fan_out", plan, *sorted(sinks))
+    cp = checkpoint
     return _start(df, run, cp, trigger)
 
 
