@@ -80,3 +80,20 @@ def test_assemble_chunks_and_blocks(spark):
                                       F.col("id").cast("string").alias("t"))
     one = N.ordered_concat(big, ["k"], "seq", "t", sep=",", block=7).first()
     assert one.text == ",".join(str(i) for i in range(1000)) and one.n_parts == 1000
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 60), st.text("xyz", max_size=3)),
+                min_size=1, max_size=40, unique_by=lambda t: (t[0], t[1])),
+       st.integers(1, 16))
+def test_ordered_concat_matches_python(spark, pieces, block):
+    df = spark.createDataFrame(pieces, "k string, seq int, t string")
+    got = {r.k: (r.text, r.n_parts) for r in N.ordered_concat(df, ["k"], "seq", "t", sep="|", block=block).collect()}
+    want = {}
+    for k in {p[0] for p in pieces}:
+        mine = sorted((s, t) for kk, s, t in pieces if kk == k)
+        want[k] = ("|".join(t for _, t in mine), len(mine))
+    assert got == want
