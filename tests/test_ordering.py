@@ -37,3 +37,20 @@ def test_chat_history_and_leaderboard_ties(spark):
     s = spark.createDataFrame([("u1", 5.0), ("u2", 5.0), ("u3", 1.0)], "u string, s double")
     assert rows(O.leaderboard(s, [], "s", 2), "u", "rank") == [("u1", 1), ("u2", 1)]
     assert rows(O.leaderboard(s, [], "s", 2, method="dense_rank"), "u", "rank") == [("u1", 1), ("u2", 1), ("u3", 2)]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["g1", "g2", "g3"]), st.integers(0, 1000)), min_size=1, max_size=50,
+                unique_by=lambda t: t[1]),
+       st.integers(1, 5))
+def test_first_n_matches_python(spark, items, n):
+    df = spark.createDataFrame(items, "g string, v int")
+    got = sorted(tuple(r) for r in O.first_n(df, n, order=["v"], by=["g"]).select("g", "rank", "v", "total", "more").collect())
+    want = []
+    for g in {i[0] for i in items}:
+        vs = sorted(v for gg, v in items if gg == g)
+        want += [(g, r + 1, v, len(vs), max(len(vs) - n, 0)) for r, v in enumerate(vs[:n])]
+    assert got == sorted(want)
