@@ -51,3 +51,24 @@ def test_profile_and_constraints(spark):
 def test_gather_rows_counts(spark):
     df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (2, "c", 1)], "k int, name string, size int")
     assert rows(A.gather_rows(df, ["k"], ["name"])) == [(1, "a", 2), (1, "b", 2), (2, "c", 1)]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3)), min_size=1, max_size=60))
+def test_classification_report_matches_python(spark, pairs):
+    df = spark.createDataFrame(pairs, "label int, pred int")
+    got = {r["class"]: (r.precision, r.recall, r.f1, r.support) for r in A.classification_report(df, "label", "pred").collect()}
+    want = {}
+    for c in {x for p in pairs for x in p}:
+        tp = sum(1 for l, p in pairs if l == c and p == c)
+        sup = sum(1 for l, _ in pairs if l == c)
+        prd = sum(1 for _, p in pairs if p == c)
+        pr = tp / prd if prd else 0.0
+        rc = tp / sup if sup else 0.0
+        want[c] = (pr, rc, 2 * pr * rc / (pr + rc) if pr + rc else 0.0, sup)
+    assert set(got) == set(want)
+    for c in want:
+        assert all(abs(a - b) < 1e-12 for a, b in zip(got[c], want[c])), (c, got[c], want[c])
