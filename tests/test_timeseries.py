@@ -90,3 +90,23 @@ def test_alarm_matches_brute_force(spark, points, op, n, missing):
     got = [(int((r.period_start - T0).total_seconds() // 300), r.state)
            for r in TS.alarm(s, "Maximum", op, 100.0, n, by=["k"], missing=missing).orderBy("period_start").collect()]
     assert got == _brute_alarm(points, op, 100.0, n, missing)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3600), st.sampled_from(["x", "y"]), st.integers(-50, 50)),
+                min_size=1, max_size=40),
+       st.integers(0, 1800), st.integers(1800, 3601))
+def test_metric_statistics_matches_python(spark, pts, start, end):
+    df = spark.createDataFrame([(T0 + dt.timedelta(seconds=s), k, float(v)) for s, k, v in pts],
+                               "ts timestamp_ntz, k string, v double")
+    out = TS.metric_statistics(df, "ts", "v", by=["k"], period_s=300,
+                               start=(T0 + dt.timedelta(seconds=start)).isoformat(sep=" "),
+                               end=(T0 + dt.timedelta(seconds=end)).isoformat(sep=" "))
+    got = sorted((int((r.period_start - T0).total_seconds()), r.k, r.sum, r.maximum, r.minimum, r.sample_count)
+                 for r in out.collect())
+    groups = {}
+    for s, k, v in pts:
+        if start <= s < end:
+            groups.setdefault((s // 300 * 300, k), []).append(float(v))
+    want = sorted((p, k, sum(vs), max(vs), min(vs), len(vs)) for (p, k), vs in groups.items())
+    assert got == want
