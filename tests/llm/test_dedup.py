@@ -1,0 +1,147 @@
+"""Operators 2 and 3, and the components under them, against plain Python."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from helpers import doc_frame, near_components, shingles
+from tidewater.llm import bloom
+from tidewater.llm.components import components
+from tidewater.llm.exact_dedup import drop_duplicates, mark_duplicates
+from tidewater.llm.ngram_join import drop_near_duplicates, heap_merge, ngram_components, op3_ngram_join, reaches
+from tidewater.llm.shingles import shingle_sets
+
+SF = "/root/testdata/sf0.001"
+ODD = [(1, None), (2, ""), (3, "a"), (4, "a"), (None, "a"), (None, "b c"), (5, "x " * 30000), (6, "x " * 30000),
+       (7, "A b\tc"), (8, "a  b c"), (8, "a  b c"), (9, "é É"), (10, " \n\t ")]
+
+
+def test_exact_marks(spark):
+    got = mark_duplicates(doc_frame(spark, ODD, extra=True)).collect()
+    assert len(got) == len(ODD)
+    by = {}
+    for i, t in ODD:
+        by.setdefault(t or "", []).append(i)
+    want = sorted((str(i), str(max((x for x in g if x is not None), default=None)), len(g)) for g in by.values() for i in g)
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size) for r in got) == want
+    assert all(r.kept == (r.doc_id == r.keep_id) for r in got)
+
+
+@pytest.mark.parametrize("max_words", [1, 1 << 20])  # 1: a saturated filter changes no result
+def test_exact_drop(spark, max_words):
+    df = doc_frame(spark, ODD, extra=True)
+    got = drop_duplicates(df, max_words=max_words)
+    assert got.columns == df.columns
+    rows = got.collect()
+    assert sorted(r.text or "" for r in rows) == sorted({t or "" for _, t in ODD})
+    assert {r.text or "": r.doc_id for r in rows}["a"] == 4
+    assert drop_duplicates(df.limit(0)).count() == 0 and mark_duplicates(df.limit(0)).count() == 0
+
+
+def test_bloom_has_no_false_negatives(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(5000).withColumn("v", F.col("id") % 4000)
+    bits = bloom.with_bits(df, F.xxhash64("v"), bloom.n_words(5000))
+    got = bloom.probe(bits, bloom.repeat_filter(bits), "maybe")
+    assert got.where("v < 1000 AND NOT maybe").count() == 0
+    assert got.where("v >= 1000 AND maybe").count() < 300
+
+
+def test_shingle_sets_match_the_definition():
+    rng = random.Random(3)
+    texts = ["", None, "One", "one two three", " ".join(rng.choice("ab cd ef gh IJ é ü".split()) for _ in range(400)), "a\x0bb\x0cc\rd\te",
+             " x y z w", "x" * 3000000 + " tail of it"]
+    for k in (1, 4, 5):
+        got = list(shingle_sets(texts, k))
+        assert [len(g) for g in got] == [len(shingles(t, k)) for t in texts]
+        assert all((np.diff(g.astype(object)) > 0).all() for g in got if len(g) > 1)
+    a, b = shingle_sets(["q The cat sat on it", "the CAT sat on  it"], 4)
+    assert len(set(a.tolist()) & set(b.tolist())) == 2
+
+
+@given(st.lists(st.lists(st.integers(0, 30), unique=True).map(sorted), max_size=8), st.integers(0, 12))
+@settings(max_examples=100, deadline=None)
+def test_heap_merge_and_probe(lists, need):
+    from collections import Counter
+    assert dict(heap_merge(lists)) == Counter(v for l in lists for v in l)
+    if len(lists) > 1:
+        x, y = (np.array(l, np.int64) for l in lists[:2])
+        both = len(set(lists[0]) & set(lists[1]))
+        got = reaches(x, y, need, step=3)
+        assert got == both if both >= need else got < need
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(40)] + [(7, 7)]
+    got = {r.v: r.label for r in components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
+    root = {}
+
+    def find(v):
+        while root.setdefault(v, v) != v:
+            v = root[v]
+        return v
+    for a, b in edges:
+        root[find(a)] = find(b)
+    for a in got:
+        for b in got:
+            assert (got[a] == got[b]) == (find(a) == find(b))
+    assert set(got) == {v for e in edges if e[0] != e[1] for v in e}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def _families(seed=1):
+    """Near copies around the threshold, a hot family, a passage in many unlike texts."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    rows, passage = [], [word() for _ in range(60)]
+    for _ in range(12):
+        base = [word() for _ in range(rng.choice((3, 8, 30, 120)))]
+        for _ in range(6):
+            v = list(base)
+            for _ in range(rng.randrange(0, 1 + len(v) // 20 + 1)):
+                v[rng.randrange(len(v))] = word()
+            rows.append(" ".join(v))
+    hot = [word() for _ in range(80)]
+    for _ in range(90):
+        v = list(hot)
+        v[rng.randrange(len(v))] = word()
+        rows.append(" ".join(v))
+    rows += [" ".join(passage + [word() for _ in range(rng.randrange(2, 14))]) for _ in range(90)]
+    rows += [rows[0]] * 40 + [rows[80]] * 5
+    rng.shuffle(rows)
+    return list(enumerate(rows)) + ODD
+
+
+@pytest.mark.parametrize("k,percent,max_list", [(4, 85, 64), (5, 80, 8), (4, 85, 4)])
+def test_ngram_components_equal_all_pairs(spark, k, percent, max_list):
+    rows = [(None if i is None else i + 1000 * (n >= 230), t) for n, (i, t) in enumerate(_families())]
+    sets, want = near_components(rows, k, percent)
+    got = ngram_components(doc_frame(spark, rows, extra=True), words=k, percent=percent, max_list=max_list).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == \
+        sorted((str(i), len(s), str(want[n])) for n, ((i, _), s) in enumerate(zip(rows, sets)))
+
+
+def test_near_drop(spark):
+    rows = [(i, t) for i, t in enumerate(t for _, t in _families(2) if t and t.strip())]
+    _, want = near_components(rows, 5, 80)
+    df = doc_frame(spark, rows, extra=True)
+    got = drop_near_duplicates(df, max_words=1)
+    assert got.columns == df.columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(want.values()))
+    assert drop_near_duplicates(df.limit(0)).count() == 0 and ngram_components(df.limit(0)).count() == 0
+
+
+def test_op3_equals_all_pairs_on_the_table(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    sets, want = near_components(rows, 4, 85)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in op3_ngram_join(spark, SF).collect()}
+    assert got == {i: (len(s), want[n]) for n, ((i, _), s) in enumerate(zip(rows, sets))}
+
+
+def test_native_dedup_plan_has_no_python(spark):
+    for df in (mark_duplicates(doc_frame(spark, ODD)), drop_duplicates(doc_frame(spark, ODD))):
+        assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
