@@ -15,10 +15,11 @@ in a partner, which the search uses in three steps:
    other T - 1, longer lists are not merged but binary-probed, which is done
    on the candidate's own sorted shingles (the transposed index). Probing
    ends as soon as T can't be reached.
-3. Lists longer than ``max_list`` are never spread into pairs. In rounds, a
-   few members of each list (hubs, four times as many each round) are probed
-   against the list's other members outside their component, then leave the
-   list. A list is done when its members are one component.
+3. Lists longer than ``max_list`` are never spread into pairs. Lists with the
+   same smallest-hash member (hub) are a bundle; every member is probed against
+   the hub, and a bundle that is one component then is done. The others are
+   dealt into chunks of bounded size, and every two chunks are compared in a
+   task of their own, which gives a forest of links, not the pairs.
 
 Every link between different sets either is found or lies inside a component
 already, so components are exact; they are joined by contraction.
@@ -36,6 +37,7 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +48,7 @@ from tidewater.llm.components import components
 from tidewater.llm.shingles import shingle_sets
 
 MAX_LIST = 64
+CHUNK = 1024         # sets compared with each other at a time, of long lists
 _QUARTER = np.uint64(1 << 62)
 
 
@@ -175,26 +178,66 @@ def _short_pairs(entries: DataFrame, percent: int, max_list: int) -> DataFrame:
                  .mapInArrow(_merge_rows, "x long, y long"))
 
 
-def _long_links(entries: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> tuple[DataFrame | None, DataFrame]:
-    """Work off the long lists in rounds; the labels after the last."""
-    hubs = 1
+def _block_links(percent: int):
+    """Links between the two chunks of a block (or within one), a forest of them, by blocked matrix products."""
+    def run(b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("rep", kind="stable").reset_index(drop=True)
+        n, lens = b["n"].to_numpy(), b["s"].map(len).to_numpy()
+        _, col = np.unique(np.concatenate(b["s"].to_list()), return_inverse=True)
+        row = np.repeat(np.arange(len(b)), lens)
+        order = np.argsort(col, kind="stable")
+        col, row = col[order], row[order]
+        left = np.flatnonzero(b["chunk"] == b["i"])
+        right = np.flatnonzero(b["chunk"] == b["j"])
+        both = np.zeros((len(left), len(right)), np.float32)
+        for c in range(0, int(col[-1]) + 1, 4096):   # dense in slices: bounded memory
+            lo, hi = np.searchsorted(col, [c, c + 4096])
+            m = np.zeros((len(b), 4096), np.float32)
+            m[row[lo:hi], col[lo:hi] - c] = 1
+            both += m[left] @ m[right].T
+        links = np.argwhere((100 + percent) * both.astype(np.int64) >= percent * (n[left][:, None] + n[right][None, :]))
+        labels, reps = b["label"].tolist(), b["rep"].tolist()
+        root: dict[int, int] = {}
+
+        def find(v: int) -> int:
+            while (q := root.setdefault(v, v)) != v:
+                root[v] = v = root[q]
+            return v
+
+        out = []
+        for x, y in links:
+            x, y = left[x], right[y]
+            lx, ly = find(labels[x]), find(labels[y])
+            if lx != ly:
+                root[lx] = ly
+                out.append((reps[x], reps[y]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    return run
+
+
+def _long_links(entries: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, chunk: int) -> DataFrame:
+    """The labels after the links of the long lists.
+
+    Lists with the same hub (the member with the smallest hash) are one
+    bundle. Every member is probed against the hub; bundles that are one
+    component then are done. The others are dealt into chunks and every two
+    chunks are compared in a task of their own.
+    """
     order = F.struct(F.xxhash64("rep"), "rep")
-    while True:
-        named = entries.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left") \
-                       .withColumn("label", F.coalesce("label", "rep"))
-        open_ = named.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
-        named = stored(named.join(open_, "h"), "lists")
-        if named.isEmpty():
-            return labels
-        slot = F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(hubs))
-        hub = stored(named.groupBy("h", slot.alias("slot")).agg(F.min(order).alias("o"), F.min_by(F.struct("n", "label"), order).alias("w"))
-                          .select("h", F.col("o.rep").alias("x"), F.col("w.n").alias("m"), F.col("w.label").alias("lx")), "hubs")
-        pairs = (named.join(hub, "h").where(f"label <> lx AND 100 * least(n, m) >= {percent} * greatest(n, m)")
-                      .select(F.least("x", "rep").alias("x"), F.greatest("x", "rep").alias("y")).distinct())
-        links = _probe(pairs, sets, percent)
-        labels = relabel(labels, links)
-        entries = stored(named.select("h", "rep", "n").join(hub.select("h", F.col("x").alias("rep")), ["h", "rep"], "left_anti"), "lists")
-        hubs *= 4
+    hubs = entries.groupBy("h").agg(F.min(order).alias("o")).select("h", F.col("o.rep").alias("hub"))
+    members = stored(entries.join(hubs, "h").groupBy("hub", "rep").agg(F.first("n").alias("n")), "bundles")
+    if members.isEmpty():
+        return labels
+    star = members.where("hub <> rep").select(F.least("hub", "rep").alias("x"), F.greatest("hub", "rep").alias("y")).distinct()
+    labels = relabel(labels, _probe(star, sets, percent))
+    named = members.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    open_ = (named.groupBy("hub").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"))
+                  .where("lo <> hi").select("hub", F.expr(f"cast((size + {chunk} - 1) div {chunk} as int)").alias("chunks")))
+    dealt = (named.join(open_, "hub").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+                  .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
+                  .select("hub", "rep", "label", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")))
+    blocks = dealt.join(sets.select("rep", "n", "s"), "rep").groupBy("hub", "i", "j")
+    return relabel(labels, stored(blocks.applyInPandas(_block_links(percent), "a long, b long"), "links"))
 
 
 def relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -205,7 +248,7 @@ def relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
-                max_list: int = MAX_LIST, max_words: int = bloom.MAX_WORDS) -> tuple[DataFrame, DataFrame]:
+                max_list: int = MAX_LIST, chunk: int = CHUNK, max_words: int = bloom.MAX_WORDS) -> tuple[DataFrame, DataFrame]:
     """``(key, id, n)`` of every row, and ``(key, id, label)`` of the rows that have links.
 
     The key is a hash of id and text; rows of one component have one label.
@@ -229,7 +272,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     entries = stored(entries.join(size_of, "h"), "entries")
     links = _probe(_short_pairs(entries.where(F.col("c") <= max_list), percent, max_list), sets, percent)
     labels = components(links)
-    labels = _long_links(entries.where(F.col("c") > max_list).select("h", "rep", "n"), sets, labels, percent)
+    labels = _long_links(entries.where(F.col("c") > max_list).select("h", "rep", "n"), sets, labels, percent, chunk)
 
     member = (full.select("key", "digest").distinct().join(reps.select("digest", "rep"), "digest")
                   .join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left")
@@ -239,9 +282,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
-                     max_list: int = MAX_LIST) -> DataFrame:
+                     max_list: int = MAX_LIST, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable) of every row."""
-    thin, member = near_groups(docs, id_col, text_col, words, percent, max_list)
+    thin, member = near_groups(docs, id_col, text_col, words, percent, max_list, chunk)
     least = member.groupBy("label").agg(F.min("id").alias("least"))
     named = member.join(least, "label").select("key", "least")
     return (thin.join(named, "key", "left")
@@ -249,12 +292,12 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
-                         max_list: int = MAX_LIST, max_words: int = bloom.MAX_WORDS) -> DataFrame:
+                         max_list: int = MAX_LIST, chunk: int = CHUNK, max_words: int = bloom.MAX_WORDS) -> DataFrame:
     """The rows of ``docs``, one of each component (the smallest id), columns unchanged.
 
     Rows that a Bloom filter of the dropped keys clears are not shuffled.
     """
-    _, member = near_groups(docs, id_col, text_col, words, percent, max_list, max_words)
+    _, member = near_groups(docs, id_col, text_col, words, percent, max_list, chunk, max_words)
     order = F.struct(F.col("id").isNull(), "id", "key")
     stays = member.groupBy("label").agg(F.min(order).alias("o")).select("label", F.col("o.key").alias("stay"))
     dropped = stored(member.join(stays, "label").where("key <> stay").select("key"), "dropped")
