@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.session import checkpoint_dir, ship_by_value
 
-__all__ = ["stored", "shared_path", "table", "ship_by_value"]
+__all__ = ["stored", "shared_path", "small_batches", "table", "ship_by_value"]
+
+BATCH_ROWS = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,3 +33,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after bounding the session's Arrow batches to ``BATCH_ROWS`` rows of whole texts (a smaller setting stays)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm import bloom
-from tidewater.llm.common import ship_by_value, stored, table
+from tidewater.llm.common import ship_by_value, small_batches, stored, table
 from tidewater.llm.components import components
 from tidewater.llm.shingles import shingle_sets
 
@@ -253,7 +253,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The key is a hash of id and text; rows of one component have one label.
     """
-    src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    src = small_batches(docs).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     src = src.withColumn("key", F.xxhash64("id", "text"))
     id_type = src.schema["id"].dataType.simpleString()
     thin = stored(src.select("key", "id", "text").mapInArrow(_thin(words), f"key long, id {id_type}, n long, q array<long>"), "thin")

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import ship_by_value, stored, table
+from tidewater.llm.common import ship_by_value, small_batches, stored, table
 
 MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
@@ -82,7 +82,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_
             out["id"] = out["id"].astype("Int64")
             yield out
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    src = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # ids as text: a batch with a null id would otherwise become floats
     src = src.withColumn("id", F.col("id").cast("string"))
 

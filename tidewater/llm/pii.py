@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import ship_by_value, stored, table
+from tidewater.llm.common import ship_by_value, small_batches, stored, table
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "identity", "iban", "secret", "name")
@@ -199,7 +199,7 @@ def spans_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                                 "base": [[dict(kind=k, a=a, b=b) for k, a, b in s] for s in base],
                                 "cand": [[dict(kind=k, a=a, b=b, code=c) for k, a, b, c in s] for s in cand]})
 
-    src = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    src = small_batches(docs).select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return src.mapInPandas(run, schema)
 
 

@@ -7,8 +7,8 @@ features with the largest remaining gain get two-dimensional tables boosted
 the same way. A score is the logistic of the sum of table entries: vectorised
 bin additions.
 
-The model is fitted on the driver from at most ``max_train`` labelled rows
-(the smallest hashes of their ids): features only, no texts. Everything else
+The model is fitted on the driver from about ``max_train`` labelled rows at
+most (chosen by a hash of their ids): features only, no texts. Everything else
 runs over all rows. Null and empty texts have features too (all zero) and a
 score; without labels the score is 0.5; rows with a null id never train.
 """
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import ship_by_value, stored, table
+from tidewater.llm.common import ship_by_value, small_batches, stored, table
 
 MAX_TRAIN = 20_000   # labelled rows used to fit the model, at most
 THRESHOLD = 0.3
@@ -53,7 +53,7 @@ def features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         for b in batches:
             yield pd.DataFrame({"id": b["id"], "x": [text_features(t) for t in b["text"]]})
 
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    src = small_batches(df).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return src.mapInPandas(run, "id long, x array<double>")
 
 
@@ -173,10 +173,13 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def train(feats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Gam:
-    """Fit on labelled rows that are not held out: the ``max_train`` with the smallest id hashes."""
+    """Fit on labelled rows that are not held out: about ``max_train`` of them, by a hash of the id, if there are more."""
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").alias("y")).where("y IN (0, 1)")
-    rows = (feats.join(known, "id").where(~held_out("id"))
-                 .orderBy(F.xxhash64("id"), "y").limit(max_train).select("x", "y").toPandas())
+    known = known.where(~held_out("id"))
+    share = max_train / max(1, known.count())
+    if share < 1:
+        known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    rows = feats.join(known, "id").select("id", "x", "y").toPandas().sort_values(["id", "y"])
     return fit(np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES)), rows["y"].to_numpy())
 
 

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import ship_by_value, table
+from tidewater.llm.common import ship_by_value, small_batches, table
 
 MARK = "▁"
 _PARTS = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
@@ -285,7 +285,7 @@ def encode_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             ids = list(m.encode(b["text"].tolist(), known))
             yield pd.DataFrame({"id": b["id"], "text": b["text"], "ids": ids, "decoded": [m.decode(i) for i in ids]})
 
-    src = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    src = small_batches(docs).select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     out = src.mapInPandas(run, "id string, text string, ids array<int>, decoded string")
     return out.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType))
 
@@ -306,7 +306,7 @@ def encode_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                 "ids_crc32": [zlib.crc32(i.astype("<u4").tobytes()) for i in ids],
                                 "round_trip": [m.decode(i) == t for i, t in zip(ids, texts)]})
 
-    src = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    src = small_batches(docs).select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     out = src.mapInPandas(run, "id string, n_tokens long, n_byte_tokens long, ids_crc32 long, round_trip boolean")
     return out.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType)).withColumnRenamed("id", id_col)
 

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import ship_by_value, stored, table
+from tidewater.llm.common import ship_by_value, small_batches, stored, table
 
 MIN_PAGES = 5
 LOW = 0.3            # composite importance below which a branch is noise
@@ -215,7 +215,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
     """page_id, url, text and n_chars of every row."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"),
+    src = small_batches(pages).select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"),
                        F.xxhash64(host).alias("host"))
     noise = stored(style_tree(src.select("host", "html")).where((F.col("pages") >= min_pages) & (F.col("importance") < low))
                    .select("host", "path"), "noise")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm import bloom
-from tidewater.llm.common import shared_path, ship_by_value, stored, table
+from tidewater.llm.common import shared_path, ship_by_value, small_batches, stored, table
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -60,7 +60,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
 
 def _segments(spark: SparkSession, path: str) -> DataFrame:
     """The bytes between magics, in order within a split: (file, block, value)."""
-    rows = spark.read.option("lineSep", MAGIC).text(path)
+    rows = small_batches(spark.read.option("lineSep", MAGIC).text(path))
     return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                        F.col("value").cast("binary").alias("value"))
 
