@@ -11,7 +11,7 @@ of their neighbours needs. Clustered vectors need few cells, random ones many.
 
 Equal vectors are one index entry with their smallest ids, so a vector that a
 third of the rows share costs no more than any other. Cells with many entries
-are dealt into chunks. The codebooks are fitted on the driver from at most
+are dealt into chunks. The codebooks are fitted on the driver from about
 ``max_train`` vectors (the smallest hashes); every row is indexed. Cells are
 counted over all entries; there are at most ``MAX_CENTROIDS ** 2`` of them.
 
@@ -93,6 +93,15 @@ def reach(d1: np.ndarray, d2: np.ndarray, counts: np.ndarray, wanted: list, reca
     return int(np.quantile(need, recall, method="higher")) if need else 0
 
 
+def _sample(df: DataFrame, rows: int, most: int) -> np.ndarray:
+    """The vectors of about ``most`` rows at most, chosen by their hash."""
+    part = df.select("va", "vb", "v")
+    if rows > most:
+        part = part.where(F.pmod("va", F.lit(1 << 30)) < int(most / rows * (1 << 30)))
+    got = part.toPandas().sort_values(["va", "vb"])
+    return _matrix(got["v"])
+
+
 def _matrix(col: pd.Series) -> np.ndarray:
     return np.array(col.to_list(), np.float64)
 
@@ -145,7 +154,9 @@ def nearest_rows(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     if not total:
         return rows.sparkSession.createDataFrame([], schema)
 
-    sample = unit(_matrix(entries.orderBy("va", "vb").limit(max_train).select("v").toPandas()["v"]))
+    sample = unit(_sample(entries, total, max_train).reshape(-1, dims))
+    if not len(sample):
+        sample = unit(_matrix(entries.limit(1).select("v").toPandas()["v"]))
     m = max(1, min(MAX_CENTROIDS, math.isqrt(total // 50), len(sample)))
     half = max(1, dims // 2)
     books = kmeans(sample[:, :half], m), kmeans(sample[:, half:], m) if dims > 1 else np.zeros((1, 0))
@@ -161,8 +172,8 @@ def nearest_rows(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     for r in index.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():  # at most MAX_CENTROIDS ** 2 rows
         counts[r.cell] = r.n
     asked = rows.where(F.col("vec_id") % every == 0)
-    queries = asked.groupBy("va", "vb").agg(F.first("v").alias("v"))
-    tried = unit(_matrix(queries.orderBy("va", "vb").limit(PROBES).select("v").toPandas()["v"]).reshape(-1, dims))
+    queries = stored(asked.groupBy("va", "vb").agg(F.first("v").alias("v")), "queries")
+    tried = unit(_sample(queries, queries.count(), PROBES).reshape(-1, dims))
 
     def brute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -182,11 +193,9 @@ def nearest_rows(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                 continue
             x = unit(_matrix(b["v"]))
             d1, d2 = _far(x[:, :half], books[0]), _far(x[:, half:], books[1])
-            out = []
-            for i, (va, vb, v) in enumerate(zip(b["va"], b["vb"], b["v"])):
-                for c in visit(d1[i], d2[i], counts, target):
-                    out += [(va, vb, v, c, s) for s in range(-(-int(counts[c]) // CHUNK))]
-            yield pd.DataFrame(out, columns=["va", "vb", "v", "cell", "chunk"])
+            for i, (va, vb, v) in enumerate(zip(b["va"], b["vb"], b["v"])):  # a query at a time: its rows are many
+                out = [(va, vb, v, c, s) for c in visit(d1[i], d2[i], counts, target) for s in range(-(-int(counts[c]) // CHUNK))]
+                yield pd.DataFrame(out, columns=["va", "vb", "v", "cell", "chunk"])
 
     sent = queries.mapInPandas(probes, "va long, vb long, v array<double>, cell long, chunk int")
     chunks = F.udf(lambda c: -(-int(counts[c]) // CHUNK), "int") if counts.max() > CHUNK else (lambda c: F.lit(1))
