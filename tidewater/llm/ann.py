@@ -36,7 +36,7 @@ from tidewater.llm.common import ship_by_value, stored, table
 
 MAX_TRAIN = 8192
 MAX_CENTROIDS = 256
-CHUNK = 8192          # entries of a cell scanned by one task at a time
+CHUNK = 4096          # entries of neighbouring cells scanned together
 RECALL = 0.97         # share of the sampled queries' neighbours that the visit must reach
 PROBES = 128          # queries answered by brute force to measure how far to visit, at most
 
@@ -106,25 +106,43 @@ def _matrix(col: pd.Series) -> np.ndarray:
     return np.array(col.to_list(), np.float64)
 
 
+def blocks_of(counts: np.ndarray, chunk: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each cell's first block and number of blocks: neighbouring cells share one of about ``chunk`` entries, large cells have several."""
+    first, parts = np.zeros(len(counts), np.int64), np.ones(len(counts), np.int64)
+    block, held = 0, 0
+    for c, n in enumerate(counts.tolist()):
+        if n > chunk:
+            block += held > 0
+            first[c], parts[c] = block, -(-n // chunk)
+            block, held = block + int(parts[c]), 0
+            continue
+        if held + n > chunk:
+            block, held = block + 1, 0
+        first[c] = block
+        held += n
+    return first, parts
+
+
 def _scan(k: int):
-    """Per cell chunk: each query's ``k`` best entries, ties to the smaller least id."""
+    """Per block: each query's ``k`` best entries of the cells that it visits, ties to the smaller least id."""
     def run(queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(entries):
-            e, least = _matrix(entries["v"]), entries["least"].to_numpy()
+            e, least, ids = _matrix(entries["v"]), entries["least"].to_numpy(), entries["ids"].to_list()
+            names, of = np.unique(entries["cell"].to_numpy(), return_inverse=True)
             ne = np.sqrt((e ** 2).sum(1))
-            ids = entries["ids"].to_list()
+            take = min(4 * k, len(e))
             for a in range(0, len(queries), 256):
                 part = queries.iloc[a:a + 256]
                 q = _matrix(part["v"])
-                rough = (q @ e.T) / ne
-                take = min(4 * k, len(e))
-                for row, qa, qb in zip(range(len(part)), part["va"], part["vb"]):
-                    best = np.argpartition(-rough[row], take - 1)[:take]
-                    best = np.union1d(best, np.flatnonzero(rough[row] >= rough[row][best].min() - 1e-12)) if take < len(e) else best
-                    s = (e[best] * q[row]).sum(1) / (ne[best] * np.sqrt((q[row] ** 2).sum()))
-                    for i in np.lexsort((least[best], -s))[:k]:
-                        out.append((qa, qb, float(s[i]), int(least[best[i]]), list(ids[best[i]])))
+                visits = np.stack([np.isin(names, c) for c in part["cells"]])
+                rough = np.where(visits[:, of], (q @ e.T) / ne, -np.inf)
+                cut = np.partition(rough, len(e) - take, axis=1)[:, len(e) - take]
+                for i, (qa, qb) in enumerate(zip(part["va"], part["vb"])):
+                    best = np.flatnonzero((rough[i] >= cut[i] - 1e-12) & (rough[i] > -np.inf))
+                    s = (e[best] * q[i]).sum(1) / (ne[best] * np.sqrt((q[i] ** 2).sum()))
+                    for j in np.lexsort((least[best], -s))[:k]:
+                        out.append((qa, qb, float(s[j]), int(least[best[j]]), list(ids[best[j]])))
         return pd.DataFrame(out, columns=["va", "vb", "score", "least", "ids"])
     return run
 
@@ -141,7 +159,7 @@ def entries_of(vectors: DataFrame, id_col: str, vec_col: str, k: int) -> tuple[D
 
 
 def nearest_rows(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 50, k: int = 5,
-                 recall: float = RECALL, max_train: int = MAX_TRAIN) -> DataFrame:
+                 recall: float = RECALL, max_train: int = MAX_TRAIN, chunk: int = CHUNK) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every row whose id is divisible by ``every``."""
     rows, dims = entries_of(vectors, id_col, vec_col, k)
     rows = stored(rows, "vectors")
@@ -187,20 +205,29 @@ def nearest_rows(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                    .where(F.col("r") <= k + 1).select("q", "cell").collect())  # at most PROBES * (k + 1) rows
     target = reach(_far(tried[:, :half], books[0]), _far(tried[:, half:], books[1]), counts, wanted, recall)
 
+    first, parts = blocks_of(counts, chunk)
+
     def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if not len(b):
                 continue
             x = unit(_matrix(b["v"]))
             d1, d2 = _far(x[:, :half], books[0]), _far(x[:, half:], books[1])
-            for i, (va, vb, v) in enumerate(zip(b["va"], b["vb"], b["v"])):  # a query at a time: its rows are many
-                out = [(va, vb, v, c, s) for c in visit(d1[i], d2[i], counts, target) for s in range(-(-int(counts[c]) // CHUNK))]
-                yield pd.DataFrame(out, columns=["va", "vb", "v", "cell", "chunk"])
-
-    sent = queries.mapInPandas(probes, "va long, vb long, v array<double>, cell long, chunk int")
-    chunks = F.udf(lambda c: -(-int(counts[c]) // CHUNK), "int") if counts.max() > CHUNK else (lambda c: F.lit(1))
-    held = index.withColumn("chunk", F.pmod(F.xxhash64("va", "vb"), chunks(F.col("cell"))).cast("int"))
-    found = (sent.groupBy("cell", "chunk").cogroup(held.groupBy("cell", "chunk"))
+            for i, (va, vb, v) in enumerate(zip(b["va"], b["vb"], b["v"])):
+                to: dict[int, list[int]] = {}
+                for c in visit(d1[i], d2[i], counts, target):
+                    for j in range(int(parts[c])):
+                        to.setdefault(int(first[c]) + j, []).append(c)
+                yield pd.DataFrame({"va": va, "vb": vb, "v": [v] * len(to), "cells": list(to.values()), "block": list(to)})
+
+    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            c = b["cell"].to_numpy()
+            yield b.assign(block=first[c] + b["vb"].to_numpy() % parts[c])
+
+    sent = queries.mapInPandas(probes, "va long, vb long, v array<double>, cells array<long>, block long")
+    held = index.mapInPandas(dealt, "va long, vb long, least long, ids array<long>, v array<double>, cell long, block long")
+    found = (sent.groupBy("block").cogroup(held.groupBy("block"))
                  .applyInPandas(_scan(k + 1), "va long, vb long, score double, least long, ids array<long>"))
     best = Window.partitionBy("va", "vb").orderBy(F.desc("score"), "least")
     top = stored(found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
