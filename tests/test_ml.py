@@ -91,5 +91,5 @@ def test_batch_predict_files(spark, tmp):
     M.batch_predict(spark, model, src, "csv", tmp + "/out_csv", "csv", schema=schema, keep=["vec_id"])
     M.batch_predict(spark, model, src, "csv", tmp + "/out_json", "json", schema=schema, keep=["vec_id"])
     got = spark.read.option("header", True).csv(tmp + "/out_csv")
-    assert got.count() == 30 and set(got.columns) == {"vec_id", "prediction", "probability"}
+    assert got.count() == 30 and set(got.columns) == {"vec_id", "prediction", "probability", "error"}
     assert len(spark.read.json(tmp + "/out_json").first().probability) == 10

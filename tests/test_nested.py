@@ -56,10 +56,10 @@ def test_sections_title_fallback(spark):
     text = "  Title one \n body a\n\n\n\n   \nSecond\n\n  \n next  "
     df = spark.createDataFrame([(1, text)], "id int, text string")
     got = rows(N.sections(df, "text", ["id"]), "section_no", "title", "body")
-    # sections 2 and 3 start with a blank line: no title, so "Section n"
-    assert got == [(1, "Title one", "Title one\nbody a"), (2, "Section 2", "Second"), (3, "Section 3", "next")]
+    # section 2 is blank, 3 and 4 start with a blank line: no title, so "Section n"
+    assert got == [(1, "Title one", "Title one\nbody a"), (2, "Section 2", ""), (3, "Section 3", "Second"), (4, "Section 4", "next")]
     lines = rows(N.sections(df, "text", ["id"], sep="\n"), "section_no", "title")
-    assert [t for _, t in lines] == ["Title one", "body a", "Second", "next"]
+    assert [t for _, t in lines] == ["Title one", "body a", *[f"Section {n}" for n in (3, 4, 5, 6)], "Second", "Section 8", "Section 9", "next"]
 
 
 def test_join_list_and_as_json(spark):

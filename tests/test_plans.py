@@ -2,16 +2,16 @@
 
 import re
 
-import __spark_entry__ as E
 from conftest import SF001
+from tidewater.plans import QUERIES
 
 
 def _plan(spark, name):
-    return E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_no_cartesian_or_nested_loop(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in ("forest_eval", "logistic_eval", "kmeans_sizes", "pca_embeddings"):
             continue  # these train a model while building the frame
         plan = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()

@@ -204,7 +204,7 @@ def test_document_chain_and_fan_out(spark, tmp):
     q1, q2 = jobs.run_document_chain(spark, root, as_of="2024-01-01 00:00:00")
     _run(q2)
     d = jobs.dashboard(spark, root).collect()
-    assert [(r.title, r.slide_count, r.first_title) for r in d] == [("Q1 Sales Report", 2, "Sales")]
+    assert [(r.title, r.slide_count, r.first_title) for r in d] == [("Q1 Sales Report", 4, "Sales")]
     src = os.path.join(tmp, "fan")
     _write_lines(src, "a.json", [{"x": 1}, {"x": 2}])
     seen = {}

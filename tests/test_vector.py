@@ -24,7 +24,7 @@ def test_blocked_equals_brute_force(spark):
     want = _brute(np.array(ids), mat.astype(np.float64), 5)
     for qb, cb in [(1, 1), (3, 4)]:
         got = {}
-        for r in vector_top_k(df, df, 5, query_blocks=qb, corpus_blocks=cb).orderBy("query_id", "rank").collect():
+        for r in vector_top_k(df, df, 5, exclude_self=True, query_blocks=qb, corpus_blocks=cb).orderBy("query_id", "rank").collect():
             got.setdefault(r.query_id, []).append(r.neighbor_id)
         assert got == want
     pre = vector_top_k(df, df, 3, prefix="src1/", prefix_col="source", corpus_blocks=2)

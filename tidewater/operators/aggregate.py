@@ -88,9 +88,11 @@ def queue_depth(df: DataFrame, status_col: str = "status", by: Sequence[str] = (
 
 
 def evaluate(df: DataFrame, label: str, pred: str, loss: str | None = None) -> DataFrame:
-    """A9. Mean loss and accuracy in percent over all rows."""
+    """A9. Mean loss and accuracy in percent over all rows; a row without a
+    label or a prediction counts as wrong."""
+    hit = F.coalesce(F.col(label) == F.col(pred), F.lit(False))
     aggs = [F.count(F.lit(1)).alias("n"),
-            (F.lit(100.0) * F.avg((F.col(label) == F.col(pred)).cast("double"))).alias("accuracy_pct")]
+            (F.lit(100.0) * F.avg(hit.cast("double"))).alias("accuracy_pct")]
     if loss:
         aggs.insert(1, F.avg(loss).alias("mean_loss"))
     return df.agg(*aggs)

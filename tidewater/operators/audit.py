@@ -4,10 +4,12 @@ one API call per user become joins against pre-aggregated sides."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewater.functions.text import is_true
 from tidewater.functions.time import as_ts, elapsed_days
@@ -83,15 +85,23 @@ def user_permissions(direct: DataFrame, via_group: DataFrame, user_col: str = "U
 def explode_csv_text(df: DataFrame, col: str, schema: str, sep: str = ",") -> DataFrame:
     """N10. A CSV document held in one value -> one row per data line.
 
-    The first line is the header and is dropped by position; data lines
-    are parsed with ``from_csv`` against ``schema`` (a DDL string)."""
+    The first line is the header: each column of ``schema`` (a DDL string)
+    is read from the place its name has there, NULL where it has none.
+    Fields may be quoted, with doubled quotes inside; a record is a line."""
     text = F.regexp_replace(F.regexp_replace(F.col(col), "\r\n", "\n"), r"^\s+|\s+$", "")
     lines = F.split(text, "\n")
+    comma = f"{re.escape(sep)}(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)"  # outside quotes
+    fields = lambda line: F.transform(F.split(line, comma, -1), lambda x: F.when(
+        x.startswith('"'), F.replace(F.regexp_replace(x, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(x))
     rows = (df.select("*", F.posexplode(lines).alias("_tw_pos", "_tw_line"))
             .filter((F.col("_tw_pos") > 0) & (F.col("_tw_line") != F.lit(""))))
-    parsed = F.from_csv(F.col("_tw_line"), schema, {"sep": sep})
-    return rows.select(*[c for c in df.columns if c != col], parsed.alias("_tw_rec")).select(
-        *[c for c in df.columns if c != col], "_tw_rec.*")
+    rows = rows.withColumns({"_tw_head": fields(F.element_at(F.split(F.regexp_replace(F.regexp_replace(
+        F.col(col), "\r\n", "\n"), r"^\s+|\s+$", ""), "\n"), 1)), "_tw_vals": fields(F.col("_tw_line"))})
+    place = lambda name: F.array_position("_tw_head", name).cast("int")
+    value = lambda f: F.when(place(f.name) > 0, F.try_element_at("_tw_vals", place(f.name))).try_cast(f.dataType)
+    return rows.select(*[c for c in df.columns if c != col],
+                       *[F.when(value(f) == "", None).otherwise(value(f)).alias(f.name) if f.dataType.simpleString() == "string"
+                         else value(f).alias(f.name) for f in StructType.fromDDL(schema).fields])
 
 
 def credential_findings(report: DataFrame, as_of=None, max_days: int = 90) -> DataFrame:

@@ -46,7 +46,9 @@ def shuffle(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    """Training on a missing value is an error (impute or filter first): no
+    row leaves without notice. Prediction keeps such rows, see ``predict``."""
+    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
 
 
 def _featurize(df: DataFrame, features: Sequence[str] | str) -> tuple[DataFrame, list]:
@@ -70,11 +72,13 @@ def train_forest(df: DataFrame, features: Sequence[str] | str, label: str, num_t
     return Pipeline(stages=[*stages, rf]).fit(d)
 
 
-def train_linear(df: DataFrame, features: Sequence[str], label: str, kind: str = "logistic",
+def train_linear(df: DataFrame, features: Sequence[str] | str, label: str, kind: str = "logistic",
                  max_iter: int = 100) -> PipelineModel:
     """M8. Logistic (classification) or linear (regression) learner."""
     est = (LogisticRegression(labelCol=label, maxIter=max_iter) if kind == "logistic"
            else LinearRegression(labelCol=label, maxIter=max_iter))
+    if isinstance(features, str):
+        return Pipeline(stages=[est]).fit(df.withColumn("features", array_to_vector(F.col(features))))
     return Pipeline(stages=[_assembler(features), est]).fit(df)
 
 
@@ -95,14 +99,26 @@ def train_fm(df: DataFrame, features: Sequence[str], label: str, factor_size: in
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (),
             features: str | None = None) -> DataFrame:
     """M3. Batch prediction; probability as a plain array (JSON/CSV friendly).
-    ``features`` names an array column when the model was trained on one."""
+    ``features`` names an array column when the model was trained on one.
+    Every row comes back: one with a missing feature has no prediction and
+    says so in ``error``."""
     if features is not None:
-        df = df.withColumn("features", array_to_vector(F.col(features)))
-    out = model.transform(df)
-    cols = [*keep, F.col("prediction")]
+        # a vector must exist for the model to run; the result is masked below
+        blank = F.array_repeat(F.lit(0.0), int(model.stages[-1].numFeatures))
+        fine = F.coalesce(F.forall(features, lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))), F.lit(False))
+        df = df.withColumn("features", array_to_vector(F.when(fine, F.col(features).cast("array<double>")).otherwise(blank)))
+    else:
+        fine = F.lit(True)
+        for st in model.stages:
+            if isinstance(st, VectorAssembler):
+                st.setHandleInvalid("keep")
+                for c in st.getInputCols():
+                    fine = fine & F.col(c).isNotNull() & ~F.isnan(F.coalesce(F.col(c).cast("double"), F.lit(0.0)))
+    out = model.transform(df.withColumn("_tw_fine", fine))
+    cols = [*keep, F.when(F.col("_tw_fine"), F.col("prediction")).alias("prediction")]
     if "probability" in out.columns:
-        cols.append(vector_to_array("probability").alias("probability"))
-    return out.select(*cols)
+        cols.append(F.when(F.col("_tw_fine"), vector_to_array("probability")).alias("probability"))
+    return out.select(*cols, F.when(~F.col("_tw_fine"), F.lit("missing feature")).alias("error"))
 
 
 def batch_predict(spark, model: PipelineModel, src: str, src_fmt: str, dst: str, dst_fmt: str,
@@ -191,11 +207,12 @@ def topics(df: DataFrame, text_col: str, k: int, vocab: int = 5000, max_iter: in
     return model.transform(df).withColumn("topic_mix", vector_to_array("_mix")).drop("_tok", "_tf", "_mix")
 
 
-def word_vectors(df: DataFrame, text_col: str, size: int = 50, seed: int = 42) -> DataFrame:
-    """M15. Word2Vec embeddings: one row per vocabulary word."""
+def word_vectors(df: DataFrame, text_col: str, size: int = 50, seed: int = 42, min_count: int = 1) -> DataFrame:
+    """M15. Word2Vec embeddings: one row per vocabulary word, words seen once
+    too (``min_count`` leaves rarer ones out)."""
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"\W+", minTokenLength=2)
     d = tok.transform(df)
-    model = Word2Vec(vectorSize=size, inputCol="_tok", outputCol="_vec", seed=seed, minCount=2).fit(d)
+    model = Word2Vec(vectorSize=size, inputCol="_tok", outputCol="_vec", seed=seed, minCount=min_count).fit(d)
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
@@ -205,7 +222,8 @@ def drift(baseline: DataFrame, current: DataFrame, col: str, bins: int = 10,
 
     Bin edges are baseline quantiles (one ``percentile_approx`` scalar
     subquery); both frames are binned by the same edges and counted, and
-    ``PSI = Σ (c - b)·ln(c / b)`` over bin shares (``eps`` smoothing).
+    ``PSI = Σ (c - b)·ln(c / b)`` over bin shares (``eps`` smoothing). NULLs
+    and NaNs are a bin of their own; an empty frame has share 0 everywhere.
     """
     qs = [i / bins for i in range(1, bins)]
     edges = baseline.select(F.percentile_approx(F.col(col).cast("double"), qs, 10_000)).scalar()
@@ -215,14 +233,15 @@ def drift(baseline: DataFrame, current: DataFrame, col: str, bins: int = 10,
         # bin = number of edges <= x (edges stay a scalar subquery; no lambda,
         # since subqueries are not allowed inside higher-order functions)
         b = sum((x >= F.element_at(edges, i + 1)).cast("int") for i in range(len(qs)))
-        return (df.filter(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias(side)))
+        b = F.when(x.isNull() | F.isnan(x), F.lit(-1)).otherwise(F.coalesce(b, F.lit(0)))
+        return (df.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias(side)))
 
     from pyspark.sql import Window
     j = binned(baseline, "b").join(binned(current, "c"), on="bin", how="full").fillna(0, ["b", "c"])
     # totals from the (at most bins + 1) binned rows, not from new scans
     everything = Window.partitionBy()
-    pb = F.greatest(F.col("b") / F.sum("b").over(everything), F.lit(eps))
-    pc = F.greatest(F.col("c") / F.sum("c").over(everything), F.lit(eps))
+    pb = F.greatest(F.try_divide(F.col("b"), F.sum("b").over(everything)), F.lit(eps))
+    pc = F.greatest(F.try_divide(F.col("c"), F.sum("c").over(everything)), F.lit(eps))
     return (j.select(((pc - pb) * F.log(pc / pb)).alias("_t"))
             .agg(F.sum("_t").alias("psi")))
 

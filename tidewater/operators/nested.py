@@ -112,19 +112,18 @@ def sections(df: DataFrame, text_col: str, id_cols: Sequence[str], sep: str = "\
              title_prefix: str = "Section") -> DataFrame:
     """N7. Numbered sections of each document.
 
-    The text is cut at ``sep``. A section's body is its lines trimmed, with
-    blank lines dropped; sections with an empty body are dropped and the
-    rest numbered from 1. The title is the section's first line (trimmed);
-    when that line is blank the section has no title and gets
-    ``"<title_prefix> n"`` (the reference's ``Slide n``).
+    The text is cut at ``sep`` and every section is numbered from 1, blank
+    ones too. A section's body is its lines trimmed, with blank lines
+    dropped. The title is the section's first line (trimmed), or
+    ``"<title_prefix> n"`` when that line is blank. A NULL text is one blank
+    section.
     """
     strip = lambda s: F.regexp_replace(s, r"^\s+|\s+$", "")
-    parts = F.split(F.col(text_col), sep, -1)
+    parts = F.split(F.coalesce(F.col(text_col), F.lit("")), sep, -1)
     secs = F.transform(parts, lambda p: F.struct(
         strip(F.substring_index(p, "\n", 1)).alias("first"),
         F.array_join(F.filter(F.transform(F.split(p, "\n", -1), strip), lambda ln: ln != F.lit("")), "\n").alias("body")))
-    kept = F.filter(secs, lambda x: x["body"] != F.lit(""))
-    s = spread(df).select(*id_cols, F.posexplode(kept).alias("_pos", "_s"))
+    s = spread(df).select(*id_cols, F.posexplode(secs).alias("_pos", "_s"))
     no = (F.col("_pos") + 1).cast("int")
     title = F.when(F.col("_s.first") != "", F.col("_s.first")).otherwise(
         F.concat(F.lit(f"{title_prefix} "), no.cast("string")))

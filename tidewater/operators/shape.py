@@ -68,12 +68,13 @@ def stamp(df: DataFrame, out: str, kind: str = "date", as_of=None) -> DataFrame:
 
 def tenure(df: DataFrame, date_col: str, amount_col: str, as_of=None,
            years_out: str = "experience_years", ratio_out: str = "amount_per_year") -> DataFrame:
-    """P5. ``years = datediff(as_of, date) / 365``; ``ratio = amount / (years + 1)``."""
+    """P5. ``years = datediff(as_of, date) / 365``; ``ratio = amount / (years + 1)``
+    (NULL where that is a division by zero)."""
     ref = F.current_date() if as_of is None else as_ts(as_of).cast("date")
     years = F.datediff(ref, F.col(date_col).cast("date")) / F.lit(365)
     return df.withColumns({
         years_out: years,
-        ratio_out: F.col(amount_col) / (years + F.lit(1)),
+        ratio_out: F.try_divide(F.col(amount_col), years + F.lit(1)),
     })
 
 

@@ -96,7 +96,7 @@ def block_top_k(q_ids: np.ndarray, q_mat: np.ndarray, c_ids: np.ndarray, c_mat:
 
 
 def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, id_col: str = "vec_id",
-                 vec_col: str = "embedding", exclude_self: bool = True,
+                 vec_col: str = "embedding", exclude_self: bool = False,
                  prefix: str | None = None, prefix_col: str | None = None,
                  query_blocks: int | None = None, corpus_blocks: int | None = None) -> DataFrame:
     """W7. Exact cosine top-k neighbours of every query row.
@@ -104,6 +104,9 @@ def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, id_col: str
     ``prefix``/``prefix_col`` restricts the corpus to rows whose
     ``prefix_col`` starts with ``prefix`` (pushed to the scan). Output:
     ``query_id, rank, neighbor_id, similarity`` (ties: lower id first).
+    ``exclude_self`` leaves out the corpus row with the query's id: for a
+    table searched in itself. Rows without a direction (NULL, zero or NaN
+    vectors) are neighbours of nothing and have none.
     """
     if prefix is not None:
         corpus = corpus.filter(F.col(prefix_col).startswith(prefix))

@@ -276,8 +276,8 @@ WITH l AS (
          generate_subscripts(string_split(text, chr(10)), 1) AS ord
   FROM documents),
 t AS (SELECT doc_id, ord, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS title FROM l)
-SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS section_no, title
-FROM t WHERE title <> ''
+SELECT doc_id, ord AS section_no, CASE WHEN title <> '' THEN title ELSE 'Section ' || ord END AS title
+FROM t
 """
 
 ORACLE_SQL["assemble_turns"] = """

@@ -454,7 +454,7 @@ def decode_attributes(spark, d):
 
 @query
 def sections(spark, d):
-    """Numbered non-blank lines of every document, trimmed."""
+    """Numbered lines of every document, trimmed; a blank one is titled by its number."""
     docs = load(spark, d, "documents").select("doc_id", "text")
     s = N.sections(docs, "text", ["doc_id"], sep="\n")
     return s.select("doc_id", F.col("section_no").cast("bigint").alias("section_no"), "title")
@@ -523,7 +523,7 @@ def leaderboard(spark, d):
 def vector_top5(spark, d):
     """Exact cosine top-5 neighbours of every embedding (self excluded)."""
     e = load(spark, d, "embeddings")
-    t = vector_top_k(e, e, k=5)
+    t = vector_top_k(e, e, k=5, exclude_self=True)
     return t.select("query_id", F.col("rank").cast("bigint").alias("rank"), "neighbor_id",
                     F.round("similarity", 4).alias("similarity"))
 
@@ -597,9 +597,10 @@ def credential_audit(spark, d):
     tf = lambda cond: F.when(cond, F.lit("true")).otherwise(F.lit("false"))
     last = F.concat(F.lit("2001-0"), (F.pmod(F.col("c_custkey"), F.lit(9)) + 1).cast("string"),
                     F.lit("-15T00:00:00+00:00"))
-    line = F.concat_ws(",", F.col("c_name"), tf(F.col("c_acctbal") >= 0), F.lit("true"), last,
-                       tf(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")), tf(F.col("c_nationkey") < 5))
-    header = "user,mfa_active,password_enabled,password_last_used,access_key_1_active,access_key_2_active"
+    # the columns in another order than the schema, with one that nobody asked for
+    line = F.concat_ws(",", tf(F.col("c_nationkey") < 5), F.lit('"arn:x, ""y"""'), last, F.col("c_name"), tf(F.col("c_acctbal") >= 0),
+                       tf(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")), F.lit("true"))
+    header = "access_key_2_active,arn,password_last_used,user,mfa_active,access_key_1_active,password_enabled"
     docs = c.select(F.concat(F.lit(header + "\n"), line, F.lit("\n")).alias("content"))
     report = AU.explode_csv_text(docs, "content", REPORT_SCHEMA)
     return AU.credential_findings(report, as_of="2001-12-31 00:00:00", max_days=90)
@@ -822,16 +823,13 @@ def event_handler(spark, d):
 
 @query
 def logistic_eval(spark, d):
-    """Logistic regression on the first 16 embedding dimensions,
+    """Logistic regression on the whole embedding,
     label 'label < 5', accuracy on the 20% hash split."""
     from tidewater.operators import ml as M
-    feats = [f"f{i}" for i in range(16)]
-    e = load(spark, d, "embeddings").select(
-        "vec_id", (F.col("label") < 5).cast("int").alias("y"),
-        *[F.col("embedding")[i].cast("double").alias(f) for i, f in enumerate(feats)])
+    e = load(spark, d, "embeddings").select("vec_id", (F.col("label") < 5).cast("int").alias("y"), "embedding")
     train, test = M.split(e, "vec_id", 0.2, 42)
-    model = M.train_linear(train, feats, "y", kind="logistic")
-    pred = M.predict(model, test, keep=["y"]).withColumn("prediction", F.col("prediction").cast("int"))
+    model = M.train_linear(train, "embedding", "y", kind="logistic")
+    pred = M.predict(model, test, keep=["y"], features="embedding").withColumn("prediction", F.col("prediction").cast("int"))
     return A.evaluate(pred, "y", "prediction")
 
 

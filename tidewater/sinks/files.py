@@ -46,11 +46,16 @@ def to_metrics(df: DataFrame, namespace: str, name: str, value: str | Column, ts
 def to_log_rows(df: DataFrame, group: str, stream: str, message: str | Column, ts: str,
                 source: str = "tidewater") -> DataFrame:
     """K8. Log rows: group, stream, epoch-ms timestamp and a JSON message
-    ``{"timestamp": iso, "message": ..., "source": ...}``."""
+    ``{"timestamp": iso, "message": ..., "source": ...}``. A timestamp
+    without a zone is UTC, whatever the session's zone."""
     m = F.col(message) if isinstance(message, str) else message
+    if dict(df.dtypes)[ts] == "timestamp_ntz":
+        millis = F.expr(f"timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', `{ts}`)").cast("bigint")
+    else:
+        millis = F.unix_millis(F.col(ts).cast("timestamp"))
     iso = F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return df.select(F.lit(group).alias("log_group"), F.lit(stream).alias("log_stream"),
-                     F.unix_millis(F.col(ts).cast("timestamp")).alias("timestamp"),
+                     millis.alias("timestamp"),
                      F.to_json(F.struct(iso.alias("timestamp"), m.cast("string").alias("message"),
                                         F.lit(source).alias("source"))).alias("message"))
 

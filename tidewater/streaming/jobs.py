@@ -79,6 +79,21 @@ READINGS = ("temperature", "humidity", "pressure")
 READING_TYPE = "decimal(38,10)"
 
 
+# Place of a message among all messages of a batch: the same whatever the split.
+PLACE = ("_time", "_file", "_block", "_line")
+
+
+def placed(messages: DataFrame) -> DataFrame:
+    """Messages with their file's time and name and the split's start."""
+    return messages.select("value", F.col("_metadata.file_modification_time").alias("_time"), F.col("_metadata.file_path").alias("_file"),
+                           F.col("_metadata.file_block_start").alias("_block"))
+
+
+def _lined(batch: DataFrame) -> DataFrame:
+    """A batch of ``placed`` messages with ``_line``, which rises with the lines of a split."""
+    return batch.withColumn("_line", F.monotonically_increasing_id())
+
+
 def sensor_rows(lines: DataFrame, as_of=None, pattern: str = "sensors/#",
                 reject_null: Sequence[str] = ()) -> DataFrame:
     """Sensor messages (raw JSON text in ``value``) -> stored items with a
@@ -87,7 +102,7 @@ def sensor_rows(lines: DataFrame, as_of=None, pattern: str = "sensors/#",
     ts_now = F.date_format(F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp"),
                            "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     base = lines.select(
-        "value",
+        "value", *[c for c in lines.columns if c == "_place"],
         F.coalesce(F.try_variant_get(v, "$.topic", "string"), F.lit(DEFAULT_TOPIC)).alias("topic"),
         F.try_variant_get(v, "$.device_id", "string").alias("device_id"),
         F.coalesce(F.try_variant_get(v, "$.timestamp", "string"), ts_now).alias("timestamp"))
@@ -106,16 +121,16 @@ def run_sensor_ingest(spark: SparkSession, src: str, out: str, checkpoint: str |
     ``out/rejected``. Replays of a batch are idempotent; with
     ``compact_every`` the item log is folded into a snapshot every N batches."""
     def batch(df: DataFrame, batch_id: int) -> None:
-        rows = sensor_rows(df, as_of, pattern, reject_null).persist()
+        rows = sensor_rows(_lined(df).withColumn("_place", F.struct(*PLACE)).drop(*PLACE), as_of, pattern, reject_null).persist()
         try:
             good = rows.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-            tables.put(good, os.path.join(out, "items"), batch_id)
+            tables.put(good, os.path.join(out, "items"), batch_id, order_col="_place")
             tables.maybe_compact(spark, os.path.join(out, "items"), SENSOR_KEYS, batch_id, compact_every)
-            dead_letters(rows.filter(F.col("reject_reason").isNotNull()), os.path.join(out, "rejected"), batch_id)
+            dead_letters(rows.filter(F.col("reject_reason").isNotNull()).drop("_place"), os.path.join(out, "rejected"), batch_id)
         finally:
             rows.unpersist()
     cp = checkpoint or _default_cp(spark, "sensor_ingest", src, out)
-    return _start(stream_messages(spark, src), batch, cp, trigger)
+    return _start(placed(stream_messages(spark, src)), batch, cp, trigger)
 
 
 
@@ -132,7 +147,7 @@ MESSAGE_KEYS = ("message_id", "timestamp")
 def consume_rows(lines: DataFrame, as_of=None) -> DataFrame:
     """Queue records (``{"body": "<message json>"}`` per line) -> parsed
     messages with the rendered text and an ``error`` for records that
-    cannot be processed (bad JSON, missing id or timestamp)."""
+    cannot be processed (bad JSON, or a missing required field)."""
     outer = F.try_parse_json(F.col("value"))
     body_txt = F.coalesce(F.try_variant_get(outer, "$.body", "string"), F.col("value"))
     m = F.try_parse_json(body_txt)
@@ -142,7 +157,10 @@ def consume_rows(lines: DataFrame, as_of=None) -> DataFrame:
                       g("message").alias("message"), m.isNull().alias("_bad"))
     df = df.withColumn("error", F.when(F.col("_bad"), F.lit("bad_json"))
                        .when(F.col("message_id").isNull(), F.lit("missing message_id"))
-                       .when(F.col("timestamp").isNull(), F.lit("missing timestamp"))).drop("_bad")
+                       .when(F.col("timestamp").isNull(), F.lit("missing timestamp"))
+                       .when(F.col("recipient").isNull(), F.lit("missing recipient"))
+                       .when(F.col("subject").isNull(), F.lit("missing subject"))
+                       .when(F.col("message").isNull(), F.lit("missing message"))).drop("_bad")
     df = P.render(df, NOTIFICATION_TEXT, "text")
     ts = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     return df.withColumns({"status": F.lit(SENT),
@@ -205,13 +223,20 @@ def stream_metrics(df: DataFrame, ts: str, value: str, by: Sequence[str] = (), p
 
 # --------------------------------------------------------- T6 change apply
 
-def change_rows(df: DataFrame, body_col: str, keys: Sequence[str], schema: Mapping[str, str]) -> DataFrame:
+def change_rows(df: DataFrame, body_col: str, keys: Sequence[str], schema: Mapping[str, str],
+                order_cols: Sequence[str] = ()) -> DataFrame:
     """Change-stream records (``Records[].eventName`` INSERT / MODIFY /
-    REMOVE with ``dynamodb.NewImage`` / ``Keys``) -> typed rows + op."""
+    REMOVE with ``dynamodb.NewImage`` / ``Keys``) -> typed rows + op.
+
+    ``_pos`` orders the records: by their sequence number where they have
+    one, then by the message's place (``order_cols`` of ``df``: its file's
+    time and name, and its line there) and the record's place in it."""
     rec_t = ("struct<Records: array<struct<eventName: string, dynamodb: struct<"
-             "Keys: map<string, struct<S: string, N: string, BOOL: boolean>>, "
+             "SequenceNumber: string, Keys: map<string, struct<S: string, N: string, BOOL: boolean>>, "
              "NewImage: map<string, struct<S: string, N: string, BOOL: boolean>>>>>>")
-    r = df.select(F.posexplode(F.from_json(F.col(body_col), rec_t)["Records"]).alias("_pos", "r"))
+    r = df.select(*order_cols, F.posexplode(F.from_json(F.col(body_col), rec_t)["Records"]).alias("_at", "r"))
+    number = F.col("r.dynamodb.SequenceNumber").try_cast("decimal(38,0)")
+    r = r.withColumn("_pos", F.struct(number.alias("number"), *order_cols, "_at"))
     img = F.coalesce(F.col("r.dynamodb.NewImage"), F.col("r.dynamodb.Keys"))
     d = r.select("_pos", F.col("r.eventName").alias("event_name"), img.alias("_img"))
     d = N.decode_attributes(d, "_img", schema).drop("_img")
@@ -222,9 +247,9 @@ def apply_changes(spark: SparkSession, src: str, table: str, keys: Sequence[str]
                   schema: Mapping[str, str], checkpoint: str | None = None,
                   trigger: str | None = None) -> StreamingQuery:
     """T6. Apply a change stream to a keyed table: inserts and modifies are
-    puts, removes are deletes, in record order within each batch."""
+    puts, removes are deletes, in the records' order (see ``change_rows``)."""
     def batch(df: DataFrame, batch_id: int) -> None:
-        rows = change_rows(df, "value", keys, schema).persist()
+        rows = change_rows(_lined(df), "value", keys, schema, PLACE).persist()
         try:
             cols = list(schema)
             puts = tables.changes(rows.filter(F.col("_op") == "put").select(*cols, "_pos"), batch_id,
@@ -235,7 +260,7 @@ def apply_changes(spark: SparkSession, src: str, table: str, keys: Sequence[str]
         finally:
             rows.unpersist()
     cp = checkpoint or _default_cp(spark, "apply_changes", src, table)
-    return _start(stream_messages(spark, src), batch, cp, trigger)
+    return _start(placed(stream_messages(spark, src)), batch, cp, trigger)
 
 
 # ---------------------------------------------------- T7 document chain

@@ -30,7 +30,7 @@ def changes(df: DataFrame, batch_id: int, op: str = PUT, set_cols: Sequence[str]
     seq = _seq(batch_id)
     if order_col:
         seq = F.struct(F.lit(int(batch_id)).cast("bigint").alias("b"),
-                       F.col(order_col).cast("bigint").alias("r"))
+                       F.col(order_col).alias("r"))
     out = as_changes(df, op, seq, set_cols)
     return out.drop(order_col) if order_col else out
 
