@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from tidewater.operators import timeseries as TS
 from conftest import rows
 
@@ -46,6 +48,37 @@ def test_alarm_less_than_on_sum(spark):
     assert got == ["INSUFFICIENT_DATA", "ALARM", "OK"]
 
 
+def test_alarm_range_fills_silence(spark):
+    at = lambda s: (T0 + dt.timedelta(seconds=s)).isoformat(sep=" ")
+    # a: one row, then silent; b: rows only after the range; c: named, without rows
+    df = _m(spark, [(300, "a", 5.0), (3600, "b", 5.0)])
+    s = TS.metric_statistics(df, "ts", "v", by=["k"], stats=["Sum"])
+    out = TS.alarm(s, "Sum", "<", 1, 2, by=["k"], missing="breach", start=at(-300), end=at(1200),
+                   keys=spark.createDataFrame([("c",), ("a",)], "k string"))
+    got = {k: [r.state for r in out.where(f"k = '{k}'").orderBy("period_start").collect()] for k in "abc"}
+    assert got["a"] == ["INSUFFICIENT_DATA", "ALARM", "OK", "OK", "ALARM"]
+    assert got["b"] == got["c"] == ["INSUFFICIENT_DATA"] + ["ALARM"] * 4
+    none = TS.metric_statistics(df.where("false"), "ts", "v", stats=["Sum"])
+    one = TS.alarm(none, "Sum", "<", 1, 2, missing="breach", start=at(0), end=at(900))
+    assert [r.state for r in one.orderBy("period_start").collect()] == ["INSUFFICIENT_DATA", "ALARM", "ALARM"]
+    with pytest.raises(ValueError):
+        TS.alarm(s, "Sum", "<", 1, 2, by=["k"], start=at(10), end=at(900))
+
+
+def test_anomalies_do_not_shuffle_events(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    df = spark.range(200_000).selectExpr("id % 5 AS k", "cast(id as double) AS v")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")  # below the estimate of an unwritten aggregate
+        plan = TS.anomalies(df, "v", by=["k"])._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = TS.anomalies(df, "v", by=["k"])._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_anomalies(spark):
     vals = [(float(x),) for x in [10, 11, 9, 10, 10, 11, 9, 10, 10, 100]]
     df = spark.createDataFrame(vals, "v double")

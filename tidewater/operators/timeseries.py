@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.time import as_ts, ts_type
-from tidewater.session import sized_broadcast
+from tidewater.session import materialised, sized_broadcast
 
 # Statistic names and their output columns.
 STATISTICS = {
@@ -58,7 +59,7 @@ def _compare(v, op: str, threshold: float):
 
 def alarm(stats: DataFrame, stat: str, op: str, threshold: float, periods: int,
           by: Sequence[str] = (), period_s: int = 300, ts_col: str = "period_start",
-          missing: str = "missing") -> DataFrame:
+          missing: str = "missing", start=None, end=None, keys: DataFrame | None = None) -> DataFrame:
     """W1. Alarm state per key and period: ALARM when the last ``periods``
     periods all breach ``stat op threshold``.
 
@@ -68,24 +69,47 @@ def alarm(stats: DataFrame, stat: str, op: str, threshold: float, periods: int,
     frame), ``"breach"`` (counts as breaching) or ``"ok"`` (counts as not
     breaching). Rows per key = periods in the key's span, so the window's
     per-key partition is bounded by time, not by event volume.
+
+    With ``start`` and ``end`` (texts or datetimes on period boundaries, end
+    exclusive) every key is evaluated over that whole range: silence before
+    its first and after its last period is filled too, and periods outside
+    are not looked at. Keys are those of ``stats`` (at any time) and of
+    ``keys``, which names keys that may have no row at all; without ``by``
+    the one series is evaluated even if ``stats`` is empty.
     """
     if missing not in ("missing", "breach", "ok"):
         raise ValueError("missing must be 'missing', 'breach' or 'ok'")
+    if (start is None) != (end is None) or (keys is not None and end is None):
+        raise ValueError("start and end go together, and keys need them")
+    if start is not None and any(pd.Timestamp(t) != pd.Timestamp(t).floor(f"{period_s}s") for t in (start, end)):
+        raise ValueError("start and end must be on period boundaries")
     col = STATISTICS.get(stat, stat)
     s = stats.select(*by, ts_col, F.col(col).alias("_v"))
     # Gap fill in one pass over the per-period rows (no second scan, no join):
     # each period also emits the silent periods up to the key's next period.
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(period_s)))
     order = (Window.partitionBy(*by) if by else Window).orderBy(ts_col)
-    nxt = F.lead(ts_col).over(order)
-    s = s.withColumn("_next", nxt)
-    gap = F.when(F.col("_next") > F.col(ts_col) + step,
-                 F.sequence(F.col(ts_col) + step, F.col("_next") - step, step))
+    ts_dtype = dict(s.dtypes)[ts_col]
+    periods_of = lambda first, stop: F.coalesce(  # noqa: E731  the periods from first up to, not with, stop
+        F.when(first < stop, F.sequence(first, stop - step, step)), F.array().cast(f"array<{ts_dtype}>"))
+    if start is None:
+        s = s.withColumn("_next", F.lead(ts_col).over(order))
+        gaps = periods_of(F.col(ts_col) + step, F.col("_next"))
+    else:
+        lo, hi = as_ts(start, ts_dtype), as_ts(end, ts_dtype)
+        if keys is not None or not by:  # a row at the end of the range, which is cut off again
+            ends = keys.select(*by).distinct() if by else s.sparkSession.range(1)
+            s = s.unionByName(ends.select(*by, hi.alias(ts_col), F.lit(None).cast(dict(s.dtypes)["_v"]).alias("_v")))
+        s = s.withColumns({"_next": F.coalesce(F.lead(ts_col).over(order), hi), "_prev": F.lag(ts_col).over(order)})
+        before = F.when(F.col("_prev").isNull(), periods_of(lo, F.least(ts_col, hi)))
+        gaps = F.concat(F.coalesce(before, F.array().cast(f"array<{ts_dtype}>")),
+                        periods_of(F.greatest(F.col(ts_col) + step, lo), F.least(F.col("_next"), hi)))
     own = F.array(F.struct(F.col(ts_col).alias("p"), F.col("_v").alias("v")))
-    silent = F.transform(F.coalesce(gap, F.array().cast(f"array<{dict(s.dtypes)[ts_col]}>")),
-                         lambda p: F.struct(p.alias("p"), F.lit(None).cast("double").alias("v")))
+    silent = F.transform(gaps, lambda p: F.struct(p.alias("p"), F.lit(None).cast(dict(s.dtypes)["_v"]).alias("v")))
     g = (s.select(*by, F.explode(F.concat(own, silent)).alias("_r"))
          .select(*by, F.col("_r.p").alias(ts_col), F.col("_r.v").alias("_v")))
+    if start is not None:
+        g = g.where((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
     v = F.col("_v")
     breach = F.when(v.isNull(), F.lit(missing == "breach")).otherwise(_compare(v, op, threshold))
     present = v.isNotNull() | F.lit(missing != "missing")
@@ -106,11 +130,12 @@ def alarm(stats: DataFrame, stat: str, op: str, threshold: float, periods: int,
 def anomalies(df: DataFrame, value: str, by: Sequence[str] = (), z: float = 3.0,
               out: str = "z_score") -> DataFrame:
     """M10. Flag rows more than ``z`` sample standard deviations from their
-    group mean. Group moments are a partial aggregate joined back (one
-    row per group; broadcast only under the size check)."""
+    group mean. Group moments are a partial aggregate, written to the shared
+    checkpoint folder (its true size is known then) and joined back: one row
+    per group, broadcast only under the size check."""
     if by:
         moments = df.groupBy(*by).agg(F.avg(value).alias("_mu"), F.stddev_samp(value).alias("_sd"))
-        j = df.join(sized_broadcast(moments), on=list(by), how="inner")
+        j = df.join(sized_broadcast(materialised(moments, "moments")), on=list(by), how="inner")
     else:  # global moments as scalar subqueries, no join at all
         j = df.withColumns({"_mu": df.select(F.avg(value)).scalar(),
                             "_sd": df.select(F.stddev_samp(value)).scalar()})

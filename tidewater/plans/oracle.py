@@ -134,6 +134,21 @@ SELECT event_type, period_start, round(average, 4) AS average, breaching,
 FROM w
 """
 
+ORACLE_SQL["alarm_silence"] = """
+WITH s AS (SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS period_start, sum(value) AS sum
+           FROM events GROUP BY 1, 2),
+grid AS (SELECT event_type, unnest(generate_series(TIMESTAMP '2023-12-31 00:00:00', TIMESTAMP '2024-02-01 23:55:00',
+                                                   INTERVAL 5 MINUTE)) AS period_start
+         FROM (SELECT DISTINCT event_type FROM events)),
+f AS (SELECT grid.event_type, grid.period_start, s.sum, COALESCE(s.sum < 1.0, true) AS breaching
+      FROM grid LEFT JOIN s ON grid.event_type = s.event_type AND grid.period_start = s.period_start),
+w AS (SELECT *, sum(CAST(breaching AS INTEGER)) OVER win AS nb, count(*) OVER win AS nr
+      FROM f WINDOW win AS (PARTITION BY event_type ORDER BY period_start ROWS BETWEEN 1 PRECEDING AND CURRENT ROW))
+SELECT event_type, period_start, round(sum, 4) AS sum, breaching,
+       CASE WHEN nr < 2 THEN 'INSUFFICIENT_DATA' WHEN nb = 2 THEN 'ALARM' ELSE 'OK' END AS state
+FROM w
+"""
+
 ORACLE_SQL["anomalies_z3"] = """
 WITH m AS (SELECT event_id, value, avg(value) OVER (PARTITION BY event_type) AS mu,
                   stddev_samp(value) OVER (PARTITION BY event_type) AS sd FROM events)

@@ -220,6 +220,15 @@ def alarm_2x5min(spark, d):
     return a.withColumn("average", F.round("average", 4))
 
 
+@query
+def alarm_silence(spark, d):
+    """W1 over a range that ends after the data: Sum < 1 for 2 periods, silence breaches."""
+    s = TS.metric_statistics(load(spark, d, "events"), "ts", "value", by=["event_type"], period_s=300, stats=["Sum"])
+    a = TS.alarm(s, "Sum", "<", 1.0, 2, by=["event_type"], period_s=300, missing="breach",
+                 start="2023-12-31 00:00:00", end="2024-02-02 00:00:00")
+    return a.withColumn("sum", F.round("sum", 4))
+
+
 @query
 def anomalies_z3(spark, d):
     """Values more than 3 standard deviations from their type's mean."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,28 +104,42 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(spark: SparkSession) -> int:
-    """The session's broadcast threshold in bytes (fallback 10 MB when it is
-    disabled or unreadable)."""
+    """The session's broadcast threshold in bytes; 0 when broadcasts are off
+    (the fallback of 10 MB only when the setting is unreadable)."""
     try:
-        n = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+        return max(0, int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()))
     except Exception:
-        n = -1
-    return n if n > 0 else FALLBACK_BROADCAST_BYTES
+        return FALLBACK_BROADCAST_BYTES
 
 
 def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Broadcast hint only when the optimizer's estimate is under the bound
     (default: the session's ``autoBroadcastJoinThreshold``).
 
-    Above the bound the frame is returned unchanged and the planner keeps a
-    shuffle join (sort-merge, with AQE skew splitting).
+    Above the bound, or with broadcasts turned off in the session, the frame
+    is returned unchanged and the planner keeps a shuffle join (sort-merge,
+    with AQE skew splitting).
     """
     try:
-        limit = broadcast_limit(df.sparkSession) if max_bytes is None else max_bytes
+        limit = broadcast_limit(df.sparkSession)
+        if limit and max_bytes is not None:
+            limit = max_bytes
         size = estimated_bytes(df)
     except Exception:  # statistics unavailable (e.g. remote session)
         return df
-    return F.broadcast(df) if 0 <= size <= limit else df
+    return F.broadcast(df) if limit and 0 <= size <= limit else df
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared checkpoint folder and read back.
+
+    For small aggregates that are joined to their own large input: the
+    estimate of an aggregate is its input's size, the written table has its
+    true one, so :func:`sized_broadcast` can decide. Runs a job.
+    """
+    path = checkpoint_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
