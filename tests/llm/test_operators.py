@@ -242,3 +242,15 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     assert all(got[i].text == f"Text {i} only here\nMore {i}" for i in range(8)) and got[3].n_chars == len(got[3].text)
     assert got[9].text == "" and got[10].n_chars == 0 and got[11].text.startswith("Same words")
     assert extract(df.limit(0)).count() == 0
+
+
+def test_style_tree_removes_what_a_host_repeats_inside_the_article(spark):
+    page = ("<body><p>Dated {0}</p><article><div><p>Read our other texts</p></div><h1>Title {0}</h1><p>Text {0}</p><p>Follow us</p><p>More {0}</p></article>"
+            "<div class=x><p>Mind the gap</p></div></body>")
+    rows = [(i, "https://a.example/", page.format(i)) for i in range(8)]
+    rows += [(20 + i, "https://copies.example/", "<body><main><p>One text</p><p>in two blocks</p></main></body>") for i in range(8)]
+    rows += [(40, "https://few.example/", page.format(40))]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Dated {i}\nTitle {i}\nText {i}\nMore {i}" for i in range(8))
+    assert all(got[20 + i] == "One text\nin two blocks" for i in range(8))
+    assert got[40].split("\n") == ["Dated 40", "Read our other texts", "Title 40", "Text 40", "Follow us", "More 40", "Mind the gap"]

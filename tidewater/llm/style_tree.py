@@ -6,13 +6,16 @@ of its child styles over the pages that have it; its content importance is
 one minus the mean entropy of its text blocks over those pages (a block on
 every page has entropy 1, a block on one page 0). Composite importance is a
 weighted sum. Branches of low importance are noise and are removed from each
-page. What elements say about themselves comes first: navigation, forms,
-advertising, comments and the like have no importance anywhere, and blocks of
-an article element have full importance.
+page, inside an article element too; so is a single block of low importance
+that at least half of the pages with its node have. What elements say about
+themselves is a prior: that of navigation, forms, advertising, comments and
+the like is 0 and stays 0, that of an article element counts as ``PRIOR``
+pages of full importance. A page that the tree would leave without any of its
+article's blocks (a host of copies of one page) keeps them.
 
 Counts of (host, path, style or block) are combined in each map task before
 they are shuffled, so a host with a third of the pages is no hot spot; pages
-are joined with their host's noise paths by a broadcast while those are few
+are joined with their host's noise by a broadcast while that is little
 (``MAX_NOISE`` rows), else on host and a salt.
 
 Rules for odd input: null or empty html has the empty text; a page without
@@ -36,7 +39,8 @@ from tidewater.llm.common import ship_by_value, small_batches, stored, table
 MIN_PAGES = 5
 LOW = 0.3            # composite importance below which a branch is noise
 GAMMA = 0.9          # weight of content against presentation
-MAX_NOISE = 200_000  # noise paths that are broadcast, at most (16 bytes each)
+PRIOR = 1            # pages of full importance that an article element counts as
+MAX_NOISE = 200_000  # noise paths and blocks that are broadcast, at most (16 bytes each)
 SALTS = 64
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|\Z)|<[/A-Za-z][^>]*(?:>|\Z)", re.S)
@@ -169,46 +173,75 @@ def _hash(values: list[str]) -> list[int]:
     return pd.util.hash_array(np.array(values, dtype=object), categorize=False).view(np.int64).tolist() if values else []
 
 
+def _block(path: str, text: str) -> str:
+    return f"{path}\n{text}"
+
+
 def _nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Once per page: (host, path, 0, child styles) and (host, path, 1, block) as hashes, of blocks not settled by themselves."""
+    """Once per page: (host, path, 0, main, child styles) and (host, path, 1, main, block) as hashes, of blocks that aren't noise by themselves."""
     for b in batches:
-        hosts, paths, kinds, values = [], [], [], []
+        hosts, paths, kinds, mains, values = [], [], [], [], []
         for host, html in zip(b["host"], b["html"]):
             blocks, styles = parse(html)
-            open_ = {(p, t) for p, noise, main, t in blocks if not noise and not main}
-            for path in {p for p, _ in open_}:
-                hosts.append(host), paths.append(path), kinds.append(0), values.append(" ".join(styles.get(path, [])))
-            for path, t in open_:
-                hosts.append(host), paths.append(path), kinds.append(1), values.append(t)
+            open_ = {(p, t): main for p, noise, main, t in blocks if not noise}
+            for path, main in {p: main for (p, _), main in open_.items()}.items():
+                hosts.append(host), paths.append(path), kinds.append(0), mains.append(main), values.append(" ".join(styles.get(path, [])))
+            for (path, t), main in open_.items():
+                hosts.append(host), paths.append(path), kinds.append(1), mains.append(main), values.append(_block(path, t))
         yield pd.DataFrame({"host": np.array(hosts, np.int64), "path": np.array(_hash(paths), np.int64), "kind": np.array(kinds, np.int32),
-                            "value": np.array(_hash(values), np.int64)})
+                            "main": np.array(mains, bool), "value": np.array(_hash(values), np.int64)})
+
+
+def counted(pages: DataFrame) -> DataFrame:
+    """(host, path, kind, value, n, main): on how many pages every style and block is; ``pages`` has host (a hash) and html."""
+    seen = pages.mapInPandas(_nodes, "host long, path long, kind int, main boolean, value long")
+    return seen.groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n"), F.max("main").alias("main"))
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance) of every node that has open blocks; ``pages`` has host (a hash) and html."""
-    seen = pages.mapInPandas(_nodes, "host long, path long, kind int, value long")
-    n = seen.groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+def style_tree(n: DataFrame) -> DataFrame:
+    """(host, path, pages, main, importance) of every node that has open blocks; ``n`` is from ``counted``."""
     spread = n.groupBy("host", "path").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
         F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("style"),
         F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("block"),
-        F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("blocks"))
+        F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("blocks"),
+        F.max("main").alias("main"))
     base = F.log("pages")
     # -sum(p log p) to base m is (log m - sum(n log n) / m) / log m
     look = F.when(F.col("pages") > 1, 1 - F.col("style") / F.col("pages") / base).otherwise(1.0)
     content = F.when(F.col("pages") > 1, 1 - F.col("block") / F.col("blocks") / base).otherwise(1.0)
-    return spread.select("host", "path", "pages", (GAMMA * content + (1 - GAMMA) * look).alias("importance"))
+    return spread.select("host", "path", "pages", "main", _with_prior(GAMMA * content + (1 - GAMMA) * look).alias("importance"))
+
+
+def _with_prior(importance):
+    return F.when(F.col("main"), (importance * F.col("pages") + PRIOR) / (F.col("pages") + PRIOR)).otherwise(importance)
+
+
+def noise_of(pages: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
+    """(host, hash) of the paths and of the blocks of low importance."""
+    n = stored(counted(pages), "styles")
+    nodes = stored(style_tree(n).where(F.col("pages") >= min_pages), "nodes")
+    paths = nodes.where(F.col("importance") < low).select("host", F.col("path").alias("hash"))
+    known = nodes.select("host", "path", "pages", "main")
+    if nodes.count() <= MAX_NOISE:
+        known = F.broadcast(known)
+    repeated = n.where((F.col("kind") == 1) & (2 * F.col("n") >= min_pages)).drop("main").join(known, ["host", "path"])
+    blocks = repeated.where((2 * F.col("n") >= F.col("pages")) & (_with_prior(1 - F.log("n") / F.log("pages")) < low))
+    return stored(paths.union(blocks.select("host", F.col("value").alias("hash"))), "noise")
 
 
 def main_text(html: str | None, noise: set[int] | frozenset[int] = frozenset()) -> str:
-    """The page's article: its article elements' blocks, or else all open blocks outside noise paths."""
+    """The page's blocks that are neither noise by themselves nor among the host's ``noise`` paths and blocks."""
     blocks, _ = parse(html)
     open_ = [(p, main, t) for p, noisy, main, t in blocks if not noisy]
-    if any(main for _, main, _ in open_):
-        return "\n".join(t for _, main, t in open_ if main)
+    left = open_
     if noise and open_:
-        open_ = [x for x, h in zip(open_, _hash([p for p, _, _ in open_])) if h not in noise]
-    return "\n".join(t for _, _, t in open_)
+        by_path, by_block = _hash([p for p, _, _ in open_]), _hash([_block(p, t) for p, _, t in open_])
+        left = [x for x, p, b in zip(open_, by_path, by_block) if p not in noise and b not in noise]
+        if not any(main for _, main, _ in left):
+            kept = {id(x) for x in left}
+            left = [x for x in open_ if x[1] or id(x) in kept]
+    return "\n".join(t for _, _, t in left)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -217,9 +250,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     src = small_batches(pages).select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"),
                        F.xxhash64(host).alias("host"))
-    noise = stored(style_tree(src.select("host", "html")).where((F.col("pages") >= min_pages) & (F.col("importance") < low))
-                   .select("host", "path"), "noise")
-    per_host = noise.groupBy("host").agg(F.collect_set("path").alias("noise"))
+    noise = noise_of(src.select("host", "html"), min_pages, low)
+    per_host = noise.groupBy("host").agg(F.collect_set("hash").alias("noise"))
     id_type = src.schema["page_id"].dataType.simpleString()
     if noise.count() <= MAX_NOISE:
         joined = src.join(F.broadcast(per_host), "host", "left")
