@@ -234,6 +234,19 @@ def test_main_text():
     assert main_text(None) == "" and main_text("a < b &lt; c <p") == "a < b < c"
 
 
+def test_layout_words_do_not_mark_the_article():
+    text = "<p>The text</p><div class=share>Tell all</div>"
+    for page in ("<body class='has-sidebar'><article>{}</article></body>", "<html class=no-cookie><body class='no-comments'><div>{}</div></body></html>",
+                 "<body><article class='post share'>{}</article></body>", "<body><main id='search-results'>{}</main></body>",
+                 "<body><main id=search><article class='post related'>{}</article></main></body>", "<body><div id=widget role=main>{}</div></body>",
+                 "<body><div class='sticky-header'><div id=no-sidebar><article>{}</article></div></div><p class=ad>Buy</p></body>",
+                 "<body><div class=has-sidebar><article>{}</article><div class=comments><article>Nice!</article></div></div></body>",
+                 "<body><article>{}<article class=comment>Nice!</article></article></body>"):
+        assert main_text(page.format(text)) == "The text", page
+    assert main_text("<body><p>The text</p><div id=comments><article>Nice!</article></div></body>") == "The text"
+    assert main_text("<body><p>The text</p><div class=sidebar>Links</div><div hidden><article>Old</article></div></body>") == "The text"
+
+
 def test_style_tree_removes_what_a_host_repeats(spark):
     page = "<body><div class=top1><p>Same words on every page</p></div><div class=content><p>Text {0} only here</p><p>More {0}</p></div></body>"
     rows = [(i, "https://u@A.example:80/x", page.format(i)) for i in range(8)] + [(9, None, None), (10, "bad", ""), (11, "https://b.example/", page.format(11))]

@@ -18,6 +18,13 @@ they are shuffled, so a host with a third of the pages is no hot spot; pages
 are joined with their host's noise by a broadcast while that is little
 (``MAX_NOISE`` rows), else on host and a salt.
 
+Words of class, id and role mark no html, body, main or article element, as
+they name the layout there (``has-sidebar``, ``post share``), save articles
+within an article, which are its comments. Nor do they mark what is around the
+article: when all articles of a page are in marked elements, the marks around
+those with the fewest are lifted, unless an element is wholly named as one of
+comments or related pages.
+
 Rules for odd input: null or empty html has the empty text; a page without
 url is of the host ''; repeated rows are handled alike; hosts with fewer than
 ``MIN_PAGES`` pages with a node keep it; an empty table gives an empty result.
@@ -61,6 +68,8 @@ _NOISE_WORDS = frozenset(
     "recommendations widget search pagination pager copyright legal disclaimer complementary contentinfo hidden skip toolbar masthead "
     "topbar".split())
 _HEADER_WORDS = frozenset(("header",))
+# Whole names of branches whose articles are other people's or other pages'.
+_OTHERS = frozenset("comment comments disqus reply replies responses related recommended recommendations".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _DIGITS = re.compile(r"[0-9]+")
 
@@ -69,23 +78,34 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(raw)} if raw.strip(" /") else {}
 
 
-def _element(tag: str, raw: str, in_article: bool) -> tuple[str, bool, bool]:
-    """(signature, is noise, is an article) of an element."""
+def _element(tag: str, raw: str, in_article: bool, nested: bool = False) -> tuple[str, bool, bool, bool]:
+    """(signature, is noise, is noise by its words alone, is an article) of an element; ``nested``: within an article element."""
     a = _attributes(raw)
     names = " ".join(a.get(k, "") for k in ("class", "id", "role", "aria-label" if tag in ("div", "section") else "role")).lower()
     words = set(re.split(r"[^a-z]+", names))
     main = tag in ("article", "main") or a.get("role") in ("main", "article") or a.get("itemprop") == "articleBody"
-    noise = (tag in _NOISE_TAGS or bool(words & _NOISE_WORDS) or "hidden" in a or a.get("aria-hidden") == "true"
-             or bool(_HIDDEN.search(a.get("style", ""))) or not in_article and (tag == "header" or bool(words & _HEADER_WORDS)))
+    noise = (tag in _NOISE_TAGS or "hidden" in a or a.get("aria-hidden") == "true" or bool(_HIDDEN.search(a.get("style", "")))
+             or not in_article and tag == "header")
+    layout = tag in ("html", "body") or main and not nested
+    named = not layout and (bool(words & _NOISE_WORDS) or not in_article and bool(words & _HEADER_WORDS))
+    noise = noise or named and not main and not _OTHERS.isdisjoint(names.split())
     label = _DIGITS.sub("0", ".".join(sorted(f"{a.get('class', '')} {a.get('id', '')}".split())))
-    return f"{tag}.{label}" if label else tag, noise, main
+    return f"{tag}.{label}" if label else tag, noise, named, main
+
+
+def _lift(blocks: list[tuple[str, bool, tuple[int, ...], bool, str]]) -> list[tuple[str, bool, bool, str]]:
+    """(path, noise, in an article, text) of blocks with the elements around them that words mark."""
+    named = [marks for _, noise, marks, main, _ in blocks if main and not noise]
+    least = min(map(len, named), default=0)
+    lifted = {m for marks in named if len(marks) == least for m in marks}
+    return [(path, noise or not lifted.issuperset(marks), main, text) for path, noise, marks, main, text in blocks]
 
 
 def parse(html: str | None) -> tuple[list[tuple[str, bool, bool, str]], dict[str, list[str]]]:
     """The text blocks (path, noise, in an article, text) in page order, and the child styles of each path."""
-    blocks: list[tuple[str, bool, bool, str]] = []
+    blocks: list[tuple[str, bool, tuple[int, ...], bool, str]] = []
     styles: dict[str, list[str]] = {}
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, noise, in article
+    stack: list[tuple[str, str, bool, tuple[int, ...], bool]] = [("", "", False, (), False)]  # tag, path, noise, marked elements, in article
     text: list[str] = []
 
     def flush() -> None:
@@ -93,8 +113,8 @@ def parse(html: str | None) -> tuple[list[tuple[str, bool, bool, str]], dict[str
             s = " ".join(entities.unescape("".join(text)).split())
             text.clear()
             if s:
-                _, path, noise, main = stack[-1]
-                blocks.append((path, noise, main, s))
+                _, path, noise, marks, main = stack[-1]
+                blocks.append((path, noise, marks, main, s))
 
     def close(k: int) -> None:
         flush()
@@ -143,7 +163,7 @@ def parse(html: str | None) -> tuple[list[tuple[str, bool, bool, str]], dict[str
         if tag not in _BLOCK and tag not in _NOISE_TAGS:
             if "hidden" in m[3] or "class" in m[3] or "id" in m[3]:
                 # inline elements that say they are noise are branches too
-                if _element(tag, m[3], stack[-1][3])[1]:
+                if any(_element(tag, m[3], stack[-1][4])[1:3]):
                     end = re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(src, pos)
                     pos = end.end() if end else pos
             continue
@@ -160,13 +180,14 @@ def parse(html: str | None) -> tuple[list[tuple[str, bool, bool, str]], dict[str
                 break
             if stack[k][0] in _SCOPE:
                 break
-        _, path, noise, main = stack[-1]
-        name, own_noise, own_main = _element(tag, m[3], main)
+        _, path, noise, marks, main = stack[-1]
+        name, own_noise, named, own_main = _element(tag, m[3], main, main and any(x[0] == "article" for x in stack))
         styles.setdefault(path, []).append(name)
         if not m[3].rstrip().endswith("/"):
-            stack.append((tag, f"{path}/{name}", noise or own_noise, (main or own_main) and not own_noise))
+            stack.append((tag, f"{path}/{name}", noise or own_noise, (*marks, m.start()) if named else marks,
+                          (main and not named or own_main) and not own_noise))
     flush()
-    return blocks, styles
+    return _lift(blocks), styles
 
 
 def _hash(values: list[str]) -> list[int]:
