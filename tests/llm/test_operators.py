@@ -193,6 +193,28 @@ def test_lines_keep_one_of_each_group(spark, max_list):
     assert len(got) == len(rows) and {(str(r.doc_id), r.text) for r in got} == set(want)
 
 
+def test_lines_recall_against_edit_similarity_alone(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randrange(3, 8)))
+    lines = []
+    for n in (10, 20, 40, 60):
+        for _ in range(30):
+            a = [word() for _ in range(n)]
+            b, c = list(a), list(" ".join(a))
+            b[rng.randrange(n)] = word()
+            for i in rng.sample(range(len(c)), len(c) // 20):
+                c[i] = rng.choice("vwxyz")
+            lines += [(n, " ".join(a)), (n, " ".join(b)), (n, "".join(c))]
+    want = {n: set() for n, _ in lines}
+    for i, (n, x) in enumerate(lines):
+        if any(alike(x, y, 0.9) for _, y in lines[:i]):
+            want[n].add(i)
+    got = {r.doc_id for r in dedup_lines(doc_frame(spark, [(i, x) for i, (_, x) in enumerate(lines)])).collect() if r.n_dropped}
+    assert got <= set().union(*want.values())
+    for n, alike_before in want.items():
+        assert len(alike_before) >= 40 and len(got & alike_before) >= 0.95 * len(alike_before), n
+
+
 def test_visit_order_and_blocks():
     rng = np.random.default_rng(3)
     d1, d2, counts = rng.random(7), rng.random(5), rng.integers(0, 4, 35)
