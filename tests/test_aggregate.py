@@ -48,6 +48,21 @@ def test_profile_and_constraints(spark):
     assert {r.column: r.n_distinct for r in approx.collect()}["a"] == 2
 
 
+def test_profile_covers_every_column(spark):
+    schema = "s string, d date, f boolean, l array<int>, b binary, m map<string,int>, `a.b` int"
+    from datetime import date
+    row = lambda s, d: (s, d and date(2020, 1, d), True, [1], b"x", {"k": 1}, 7)
+    base = A.profile(spark.createDataFrame([row("b", 2), row("c", 3), row("c", None)], schema))
+    p = {r.column: r for r in base.collect()}
+    assert list(p) == ["s", "d", "f", "l", "b", "m", "a.b"]
+    assert (p["s"].n, p["s"].nulls, p["s"].n_distinct, p["s"].min_text, p["s"].max_text, p["s"].mean) == (3, 0, 2, "b", "c", None)
+    assert (p["d"].nulls, p["d"].min_text, p["d"].max_text, p["f"].max_text, p["b"].n_distinct) == (1, "2020-01-02", "2020-01-03", "true", 1)
+    assert p["a.b"].max == 7.0 and p["a.b"].max_text is None
+    current = A.profile(spark.createDataFrame([row("a", 2), row(None, 2), row(None, 3)], schema))
+    chk = {(r.column, r.check): r.ok for r in A.check_constraints(current, base).collect()}
+    assert not chk[("s", "null_ratio")] and not chk[("s", "min")] and chk[("s", "max")] and chk[("d", "min")] and ("s", "mean") not in chk
+
+
 def test_gather_rows_counts(spark):
     df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (2, "c", 1)], "k int, name string, size int")
     assert rows(A.gather_rows(df, ["k"], ["name"])) == [(1, "a", 2), (1, "b", 2), (2, "c", 1)]

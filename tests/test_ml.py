@@ -93,3 +93,11 @@ def test_batch_predict_files(spark, tmp):
     got = spark.read.option("header", True).csv(tmp + "/out_csv")
     assert got.count() == 30 and set(got.columns) == {"vec_id", "prediction", "probability", "error"}
     assert len(spark.read.json(tmp + "/out_json").first().probability) == 10
+
+
+def test_topics_keep_every_word(spark):
+    from tidewater.operators import ml
+    words = " ".join(f"w{i:05d}" for i in range(5000))
+    df = spark.createDataFrame([(1, f"{words} {words}"), (2, "rare")], "id int, text string")
+    mix = {r.id: r.topic_mix for r in ml.topics(df, "text", 2, max_iter=1).collect()}
+    assert abs(sum(mix[2]) - 1) < 1e-6

@@ -123,11 +123,16 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 # Statistic names of a column profile, in output order.
 PROFILE_STATS = ["n", "nulls", "n_distinct", "min", "max", "mean", "stddev"]
+_NUMERIC = ("integer", "long", "double", "float", "short", "byte", "decimal")
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact_distinct: bool = True) -> DataFrame:
-    """A15. One output row per numeric column: n, nulls, distinct, min, max,
-    mean, sample stddev.
+    """A15. One output row per column: n, nulls, distinct, min, max, mean,
+    sample stddev, type.
+
+    ``min`` and ``max`` are numbers; columns of other types have NULL there and
+    in the moments, and their range as text in ``min_text`` and ``max_text``
+    (in the order of the type; nested values in that of their text).
 
     Counts and moments come from one aggregate pass. Exact distinct counts
     are one scalar subquery per column (each reads only its column and
@@ -136,25 +141,35 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact_distinct: bo
     once per distinct column. ``exact_distinct=False`` uses HyperLogLog++
     (``approx_count_distinct``) inside the single pass.
     """
-    cols = list(cols or [f.name for f in df.schema.fields
-                         if f.dataType.typeName() in ("integer", "long", "double", "float", "short", "decimal")])
+    cols = list(cols or df.columns)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def comparable(c: str) -> Column:
+        kind = kinds[c].typeName()
+        if kind == "binary":
+            return F.hex(F.col(f"`{c}`"))
+        return F.col(f"`{c}`").cast("string") if kind in ("array", "map", "struct", "variant") else F.col(f"`{c}`")
+
     aggs: list[Column] = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(F.lit(1)).alias(f"n_{i}"), F.count_if(F.col(c).isNull()).alias(f"nulls_{i}"),
+        v = comparable(c)
+        numeric = kinds[c].typeName() in _NUMERIC
+        x = v.cast("double") if numeric else F.lit(None).cast("double")
+        t = F.lit(None).cast("string") if numeric else v
+        aggs += [F.count(F.lit(1)).alias(f"n_{i}"), F.count_if(v.isNull()).alias(f"nulls_{i}"),
                  F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}"),
-                 F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"stddev_{i}")]
+                 F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"stddev_{i}"),
+                 F.min(t).cast("string").alias(f"min_text_{i}"), F.max(t).cast("string").alias(f"max_text_{i}")]
         if not exact_distinct:
-            aggs.append(F.approx_count_distinct(c).alias(f"n_distinct_{i}"))
+            aggs.append(F.approx_count_distinct(v).alias(f"n_distinct_{i}"))
     wide = df.agg(*aggs)
     if exact_distinct:
-        wide = wide.withColumns({f"n_distinct_{i}": df.select(F.countDistinct(c)).scalar()
+        wide = wide.withColumns({f"n_distinct_{i}": df.select(F.countDistinct(comparable(c))).scalar()
                                  for i, c in enumerate(cols)})
-    stack_args = ", ".join(
-        f"'{c}', n_{i}, nulls_{i}, n_distinct_{i}, min_{i}, max_{i}, mean_{i}, stddev_{i}"
-        for i, c in enumerate(cols))
-    return wide.selectExpr(
-        f"stack({len(cols)}, {stack_args}) AS (column, n, nulls, n_distinct, min, max, mean, stddev)")
+    rows = [F.struct(F.lit(c).alias("column"), *(F.col(f"{k}_{i}").alias(k) for k in PROFILE_STATS),
+                     F.lit(kinds[c].simpleString()).alias("type"), F.col(f"min_text_{i}").alias("min_text"), F.col(f"max_text_{i}").alias("max_text"))
+            for i, c in enumerate(cols)]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def check_constraints(current: DataFrame, baseline: DataFrame, tolerance: float = 0.1) -> DataFrame:
@@ -162,22 +177,26 @@ def check_constraints(current: DataFrame, baseline: DataFrame, tolerance: float
 
     Checks per column: null ratio not above baseline + ``tolerance``; min
     not below and max not above the baseline range; mean shift
-    ``|Δmean| <= tolerance * (baseline stddev + |baseline mean|)``.
+    ``|Δmean| <= tolerance * (baseline stddev + |baseline mean|)``. Columns
+    without numbers are checked by their text range, and have no mean check.
     """
     b = baseline.select(*[F.col(c).alias(f"b_{c}") if c != "column" else F.col(c) for c in baseline.columns])
     j = current.join(b, on="column", how="full")
     null_ratio = F.col("nulls") / F.greatest(F.col("n"), F.lit(1))
     b_null_ratio = F.col("b_nulls") / F.greatest(F.col("b_n"), F.lit(1))
+    is_text = F.col("min_text").isNotNull() | F.col("b_min_text").isNotNull()
+    no_mean = F.col("mean").isNull() & F.col("b_mean").isNull() & ~F.col("type").rlike("int|double|float|decimal")
     checks = F.array(
         F.struct(F.lit("null_ratio").alias("check"), b_null_ratio.alias("baseline"), null_ratio.alias("current"),
                  (null_ratio <= b_null_ratio + F.lit(tolerance)).alias("ok")),
         F.struct(F.lit("min").alias("check"), F.col("b_min").alias("baseline"), F.col("min").alias("current"),
-                 (F.col("min") >= F.col("b_min")).alias("ok")),
+                 F.when(is_text, F.col("min_text") >= F.col("b_min_text")).otherwise(F.col("min") >= F.col("b_min")).alias("ok")),
         F.struct(F.lit("max").alias("check"), F.col("b_max").alias("baseline"), F.col("max").alias("current"),
-                 (F.col("max") <= F.col("b_max")).alias("ok")),
+                 F.when(is_text, F.col("max_text") <= F.col("b_max_text")).otherwise(F.col("max") <= F.col("b_max")).alias("ok")),
         F.struct(F.lit("mean").alias("check"), F.col("b_mean").alias("baseline"), F.col("mean").alias("current"),
                  (F.abs(F.col("mean") - F.col("b_mean"))
                   <= F.lit(tolerance) * (F.coalesce(F.col("b_stddev"), F.lit(0.0)) + F.abs(F.col("b_mean")))).alias("ok")),
     )
-    return (j.select("column", F.inline(checks))
+    return (j.select("column", no_mean.alias("_no_mean"), F.inline(checks))
+            .where(~(F.coalesce(F.col("_no_mean"), F.lit(False)) & (F.col("check") == "mean"))).drop("_no_mean")
             .withColumn("ok", F.coalesce(F.col("ok"), F.lit(False))))

@@ -197,9 +197,11 @@ def reduce(df: DataFrame, features: Sequence[str] | str, k: int) -> DataFrame:
     return model.transform(d).withColumn("pcs", vector_to_array("_pcs")).drop("features", "_pcs")
 
 
-def topics(df: DataFrame, text_col: str, k: int, vocab: int = 5000, max_iter: int = 10,
+def topics(df: DataFrame, text_col: str, k: int, vocab: int = 2**31 - 1, max_iter: int = 10,
            seed: int = 42) -> DataFrame:
-    """M14. LDA topic mixture per document (``topic_mix`` array)."""
+    """M14. LDA topic mixture per document (``topic_mix`` array), over all
+    words of two letters or more; a smaller ``vocab`` keeps the most frequent
+    ones only (the vocabulary is held on the driver)."""
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"\W+", minTokenLength=2)
     cv = CountVectorizer(inputCol="_tok", outputCol="_tf", vocabSize=vocab)
     lda = LDA(k=k, maxIter=max_iter, seed=seed, featuresCol="_tf", topicDistributionCol="_mix")

@@ -370,6 +370,29 @@ SELECT 'o_totalprice', count(*), count(*) FILTER (WHERE o_totalprice IS NULL), c
        min(o_totalprice), max(o_totalprice), round(avg(o_totalprice), 2), round(stddev_samp(o_totalprice), 2) FROM orders
 """
 
+ORACLE_SQL["profile_orders"] = """
+SELECT 'o_orderkey' AS "column", count(*) AS n, count(*) FILTER (WHERE o_orderkey IS NULL) AS nulls, count(DISTINCT o_orderkey) AS n_distinct,
+       CAST(min(o_orderkey) AS DOUBLE) AS min, CAST(max(o_orderkey) AS DOUBLE) AS max, round(avg(o_orderkey), 2) AS mean,
+       round(stddev_samp(o_orderkey), 2) AS stddev, CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM orders
+UNION ALL
+SELECT 'o_custkey' AS "column", count(*) AS n, count(*) FILTER (WHERE o_custkey IS NULL) AS nulls, count(DISTINCT o_custkey) AS n_distinct,
+       CAST(min(o_custkey) AS DOUBLE) AS min, CAST(max(o_custkey) AS DOUBLE) AS max, round(avg(o_custkey), 2) AS mean,
+       round(stddev_samp(o_custkey), 2) AS stddev, CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM orders
+UNION ALL
+SELECT 'o_totalprice' AS "column", count(*) AS n, count(*) FILTER (WHERE o_totalprice IS NULL) AS nulls, count(DISTINCT o_totalprice) AS n_distinct,
+       CAST(min(o_totalprice) AS DOUBLE) AS min, CAST(max(o_totalprice) AS DOUBLE) AS max, round(avg(o_totalprice), 2) AS mean,
+       round(stddev_samp(o_totalprice), 2) AS stddev, CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM orders
+UNION ALL
+SELECT 'o_orderstatus', count(*), count(*) FILTER (WHERE o_orderstatus IS NULL), count(DISTINCT o_orderstatus),
+       NULL, NULL, NULL, NULL, CAST(min(o_orderstatus) AS VARCHAR), CAST(max(o_orderstatus) AS VARCHAR) FROM orders
+UNION ALL
+SELECT 'o_orderdate', count(*), count(*) FILTER (WHERE o_orderdate IS NULL), count(DISTINCT o_orderdate),
+       NULL, NULL, NULL, NULL, CAST(min(o_orderdate) AS VARCHAR), CAST(max(o_orderdate) AS VARCHAR) FROM orders
+UNION ALL
+SELECT 'o_orderpriority', count(*), count(*) FILTER (WHERE o_orderpriority IS NULL), count(DISTINCT o_orderpriority),
+       NULL, NULL, NULL, NULL, CAST(min(o_orderpriority) AS VARCHAR), CAST(max(o_orderpriority) AS VARCHAR) FROM orders
+"""
+
 ORACLE_SQL["trust_principals"] = """
 SELECT s_suppkey, 'Service' AS type,
        'svc-' || s_nationkey || ', svc-' || s_suppkey || ', a' AS shown, CAST(4 AS BIGINT) AS n_principals

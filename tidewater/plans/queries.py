@@ -560,6 +560,14 @@ def profile(spark, d):
                     F.round("mean", 2).alias("mean"), F.round("stddev", 2).alias("stddev"))
 
 
+@query
+def profile_orders(spark, d):
+    """Profile of every column of orders, text and dates too."""
+    p = A.profile(load(spark, d, "orders"))
+    return p.select("column", "n", "nulls", "n_distinct", "min", "max", F.round("mean", 2).alias("mean"),
+                    F.round("stddev", 2).alias("stddev"), "min_text", "max_text")
+
+
 # -------------------------------------------------------------- identity audit
 
 def _trust_docs(s: DataFrame) -> DataFrame:
