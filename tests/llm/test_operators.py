@@ -12,7 +12,7 @@ from helpers import doc_frame
 from tidewater.llm.ann import blocks_of, nearest_rows, visit
 from tidewater.llm.line_dedup import alike, dedup_lines, edit_distance, normalise, simhashes
 from tidewater.llm.packing import Encoder, fill_bins, pack_documents
-from tidewater.llm.pii import base_spans, find_pii, redact
+from tidewater.llm.pii import base_spans, candidates, find_pii, redact
 from tidewater.llm.quality_gam import FEATURES, fit, keep_good, quality_scores, text_features
 from tidewater.llm.sentencepiece_unigram import Unigram, encode_digests
 from tidewater.llm.style_tree import extract, main_text
@@ -44,6 +44,18 @@ def test_pii_rows_and_redaction(spark):
     assert find_pii(df.limit(0)).count() == 0 and redact(df.limit(0)).count() == 0
 
 
+def test_secrets_of_any_length_and_long_documents():
+    for n in (128, 129, 400, 200_000):
+        key = ("eyJ" + "aB3x" * n)[:n]
+        assert [(k, a, b) for k, a, b, _ in candidates(f"token = {key}== end", [])] == [(6, 8, 10 + n)]
+    rng = random.Random(2)
+    line = lambda: "api_key=sk-" + "".join(rng.choice("abcdef0123456789") for _ in range(30)) + " plain words" * 40 + "\n"
+    few, many = (candidates("".join(line() for _ in range(n)), []) for n in (40, 60))
+    assert len(many) == 60 and {c for *_, c in many} <= {c for *_, c in few}
+    dense = candidates(" ".join(line()[:41] for _ in range(60)), [])
+    assert {c for *_, c in dense}.isdisjoint(c for *_, c in few)
+
+
 def test_fill_bins_keeps_all_limits():
     rng = np.random.default_rng(1)
     demand = np.stack([rng.integers(1, 2049, 800), np.ones(800, int), rng.integers(0, 600, 800)], 1)

@@ -34,6 +34,8 @@ from tidewater.llm.common import ship_by_value, small_batches, stored, table
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "identity", "iban", "secret", "name")
 N_LABELERS = 7
+# Candidates of one kind that make a table of numbers or codes of a text: so many, and so many a character.
+CROWD, CROWD_RATE = 50, 0.01
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -90,13 +92,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-# Candidate patterns: bounded repetitions only, so long runs stay linear.
+# Candidate patterns: bounded or possessive repetitions only, so long runs stay linear.
 _WIDE = (
     (0, re.compile(r"[A-Za-z0-9._%+-]{1,64}\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]{1,63}(?:(?:\.|\x20?[\[(](?:dot|DOT)[\])]\x20?)[A-Za-z0-9-]{2,63}){1,4}")),
     (3, re.compile(r"(?<![\w+.-])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{2,4}(?:[\x20.-][0-9]{2,4}){1,3}(?![\w-])")),
     (4, re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")),
     (5, re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w)")),
-    (6, re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_-])")),
+    (6, re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_-])")),
     (7, re.compile(r"(?<!\w)(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Señor|Señora)\.?\x20[A-Z][a-z]{1,20}(?:\x20[A-Z][a-z]{1,20})?(?!\w)")),
 )
 # Gazetteers and context words.
@@ -180,7 +182,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             continue
         end = b
         code = 0
-        for v in _votes(text, k, a, b, counts[k] > 50):
+        for v in _votes(text, k, a, b, counts[k] > max(CROWD, len(text) * CROWD_RATE)):
             code = code * 3 + v + 1
         out.append((k, a, b, code))
     return out
