@@ -161,7 +161,7 @@ def test_divergence_of_nothing(spark):
 
 def test_transducer_is_minimal_and_numbers_terms_in_byte_order():
     r = random.Random(3)
-    terms = sorted({"".join(r.choice("abé") for _ in range(r.randrange(1, 8))).encode() for _ in range(400)} | {b"x" * 5000, b"x" * 5001})
+    terms = sorted({"".join(r.choice("abéz日") for _ in range(r.randrange(1, 8))).encode() for _ in range(400)} | {b"x" * 5000, b"x" * 5001})
     b = source_divergence.Builder()
     for t in terms:
         b.add(t)

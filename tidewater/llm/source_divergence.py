@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import ship_by_value, small_batches, stored, table
 from tidewater.session import sized_broadcast
 
-SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+OTHERS = "".join(c for c in map(chr, range(128)) if not c.isalpha())
 MIN_DOCS = 3            # documents of its language that a kept term is in, at least
 TOP_TERMS = 200         # ranks that are reported of a group's terms
 UNIT = 1_000_000_000    # a share of 1
@@ -93,70 +93,96 @@ class Builder:
         self.last = term
 
     def finish(self) -> bytes:
+        """The transducer as a double array, see :class:`Transducer`."""
         self._shorten(0)
         root = self._close(self.path.pop())
-        label, source, target, output = [], [], [], []
-        for s, (edges, accepts) in enumerate(self.states):
-            smaller = int(accepts)  # the term that ends here comes before all longer ones
+        base = _places([[c for c, _ in edges] for edges, _ in self.states])
+        slots = int(base.max()) + 512
+        check, target, output = (np.full(slots, fill, np.int32) for fill in (-1, 0, 0))
+        accepts = np.zeros(slots, np.uint8)
+        for (edges, ends), own in zip(self.states, base.tolist()):
+            accepts[own] = smaller = int(ends)  # the term that ends here comes before all longer ones
             for c, t in edges:
-                label.append(c)
-                source.append(s)
-                target.append(t)
-                output.append(smaller)
+                check[own + c], target[own + c], output[own + c] = own, base[t], smaller
                 smaller += self.size[t]
-        keys = np.array(source, np.int64) * 256 + np.array(label, np.int64)
-        accepts = np.array([a for _, a in self.states], np.uint8)
-        head = np.array([root, len(keys), len(accepts)], np.int64)
-        return b"".join(x.tobytes() for x in (head, keys, np.array(target, np.int32), np.array(output, np.int32), accepts))
+        head = np.array([base[root], slots], np.int64)
+        return b"".join(x.tobytes() for x in (head, check, target, output, accepts))
+
+
+def _places(labels: list[list[int]], window: int = 1024) -> np.ndarray:
+    """A base for each state, no two alike, so that base + label is no other state's: first fit, states of many edges first."""
+    base = np.zeros(len(labels), np.int64)
+    free, fresh = np.ones(1 << 14, bool), np.ones(1 << 14, bool)
+    low, edges = 0, -1
+    for s in sorted(range(len(labels)), key=lambda s: -len(labels[s])):
+        if len(labels[s]) != edges:
+            low, edges = 0, len(labels[s])
+        at = low
+        while True:
+            if at + window + 256 > len(free):
+                free, fresh = (np.concatenate([x, np.ones(len(x), bool)]) for x in (free, fresh))
+            fits = fresh[at:at + window].copy()
+            for c in labels[s]:
+                fits &= free[at + c:at + c + window]
+            k = int(fits.argmax())
+            if fits[k]:
+                break
+            low, at = (low + window if at == low else low), at + window
+        base[s] = at + k
+        fresh[at + k] = False
+        free[[at + k + c for c in labels[s]]] = False
+    return base
 
 
 @dataclass
 class Transducer:
-    """``keys`` are state * 256 + byte, ascending; a walk adds up ``output``."""
+    """Double array: a state is its base; byte c leads from it to ``target[base + c]`` if ``check`` there names the state.
+
+    A walk adds up ``output``; in an accepting state the sum is the term's ordinal.
+    """
     root: int
-    keys: np.ndarray
+    check: np.ndarray
     target: np.ndarray
     output: np.ndarray
     accepts: np.ndarray
 
     @classmethod
     def load(cls, blob: bytes) -> "Transducer":
-        root, n, m = np.frombuffer(blob, np.int64, 3).tolist()
-        keys, at = np.frombuffer(blob, np.int64, n, 24), 24 + 8 * n
-        return cls(root, keys, np.frombuffer(blob, np.int32, n, at), np.frombuffer(blob, np.int32, n, at + 4 * n),
-                   np.frombuffer(blob, np.uint8, m, at + 8 * n))
+        root, n = np.frombuffer(blob, np.int64, 2).tolist()
+        check, target, output = (np.frombuffer(blob, np.int32, n, 16 + 4 * n * k).astype(np.int64) for k in range(3))
+        return cls(root, check, target, output, np.frombuffer(blob, np.uint8, n, 16 + 12 * n))
 
     def ordinals(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Ordinal of each term ``data[start:start + length]``, -1 where it isn't in the vocabulary."""
-        out = np.full(len(start), -1, np.int64)
-        who, state, total = np.arange(len(start)), np.full(len(start), self.root, np.int64), np.zeros(len(start), np.int64)
-        k = 0
-        while len(who):
-            ends = length[who] == k
-            if ends.any():
-                done = ends & (self.accepts[state] == 1)
-                out[who[done]] = total[done]
-                who, state, total = who[~ends], state[~ends], total[~ends]
-            if not len(who) or not len(self.keys):
+        """Ordinal of each term ``data[start:start + length]``, -1 where it isn't in the vocabulary; all take their next byte at once."""
+        order = np.argsort(-length, kind="stable")  # those that still have a byte are always the first ones
+        at, falling = start[order], -length[order]
+        state, total = np.full(len(at), self.root, np.int64), np.zeros(len(at), np.int64)
+        dead = len(self.check) - 256  # nothing leads on from here
+        n, k = len(at), 0
+        while n := int(np.searchsorted(falling[:n], -k)):  # lengths above k
+            slot = state[:n] + data[at[:n] + k]
+            ok = self.check[slot] == state[:n]
+            total[:n] += self.output[slot]
+            state[:n] = np.where(ok, self.target[slot], dead)
+            k += 1
+            if n < 64 and not ok.any():
                 break
-            key = state * 256 + data[start[who] + k]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            ok = self.keys[at] == key
-            at, who = at[ok], who[ok]
-            state, total, k = self.target[at].astype(np.int64), total[ok] + self.output[at], k + 1
+        out = np.empty(len(at), np.int64)
+        out[order] = np.where(self.accepts[state] == 1, total, -1)
         return out
 
     def terms(self) -> Iterator[bytes]:
         """All terms in the order of their ordinals."""
-        first = np.searchsorted(self.keys, np.arange(len(self.accepts) + 1, dtype=np.int64) * 256)
+        edges = np.argsort(self.check, kind="stable")  # a state's edges in the order of their bytes
+        owner = self.check[edges]
         path, stack = bytearray(), [(self.root, 0, b"")]
         while stack:
             state, depth, byte = stack.pop()
             path[depth:] = byte
             if self.accepts[state]:
                 yield bytes(path)
-            for e in range(int(first[state + 1]) - 1, int(first[state]) - 1, -1):
-                stack.append((int(self.target[e]), len(path), bytes([int(self.keys[e]) & 255])))
+            for e in edges[np.searchsorted(owner, state):np.searchsorted(owner, state, "right")][::-1].tolist():
+                stack.append((int(self.target[e]), len(path), bytes([e - state])))
 
 
 def clean(docs: DataFrame) -> DataFrame:
@@ -166,7 +192,7 @@ def clean(docs: DataFrame) -> DataFrame:
 
 def kept_terms(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang and term of the terms in at least ``min_docs`` documents of the language."""
-    words = F.array_distinct(F.split(F.translate("text", UPPER, LOWER), SEPARATORS))
+    words = F.array_distinct(F.split(F.translate("text", UPPER + OTHERS, LOWER + " " * len(OTHERS)), " "))
     found = rows.select("lang", F.explode(words).alias("term")).where("term <> ''")
     return found.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("lang", "term")
 
@@ -255,20 +281,23 @@ def _recount(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.Recor
     """Occurrences of kept terms by (lang, source, ordinal) of one task's texts; partial sums."""
     vocabulary = vocabulary.value
     groups: dict[tuple[str, str], int] = {}
-    held: list[np.ndarray] = []  # [group, ordinal, occurrences] columns
+    held: list[tuple[np.ndarray, np.ndarray]] = []  # group << 40 | ordinal, occurrences
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("ord", pa.int64()), ("n", pa.int64())])
 
-    def merged() -> np.ndarray:
-        rows = np.concatenate(held)
-        order = np.lexsort((rows[:, 1], rows[:, 0]))
-        rows = rows[order]
-        new = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)]))
-        return np.column_stack([rows[new, :2], np.add.reduceat(rows[:, 2], new)])
+    def size() -> int:
+        return sum(len(codes) for codes, _ in held)
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        codes, n = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(codes, kind="stable")
+        codes, n = codes[order], n[order]
+        new = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+        return codes[new], np.add.reduceat(n, new)
 
     def out() -> pa.RecordBatch:
-        rows, names = merged(), list(groups)
-        lang, source = (pa.array([g[k] for g in names], pa.string()).take(pa.array(rows[:, 0])) for k in (0, 1))
-        return pa.RecordBatch.from_arrays([lang, source, pa.array(rows[:, 1]), pa.array(rows[:, 2])], schema=schema)
+        (codes, n), names = merged(), list(groups)
+        lang, source = (pa.array([g[k] for g in names], pa.string()).take(pa.array(codes >> 40)) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([lang, source, pa.array(codes & ((1 << 40) - 1)), pa.array(n)], schema=schema)
 
     for b in batches:
         text = b.column("text").cast(pa.large_string())
@@ -287,16 +316,16 @@ def _recount(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.Recor
                     found = vocabulary.ordinals(lang, data, start[own], length[own])
                     hit = found >= 0
                     pairs = ids[at:to][row[own[hit]]] * (1 << 40) + found[hit]
-                    codes, n = np.unique(pairs, return_counts=True)
-                    held.append(np.column_stack([codes >> 40, codes & ((1 << 40) - 1), n]))
+                    if len(pairs):
+                        held.append(np.unique(pairs, return_counts=True))
             at = to
-            if sum(map(len, held)) > HELD:
+            if size() > HELD:
                 held = [merged()]
-                if len(held[0]) > HELD // 2:
+                if size() > HELD // 2:
                     yield out()
                     held, groups = [], {}
                     ids = np.array([groups.setdefault(k, len(groups)) for k in keys], np.int64)
-    if sum(map(len, held)):
+    if held:
         yield out()
 
 
@@ -334,15 +363,16 @@ def _pair_sums(b: pd.DataFrame, width: int) -> pd.DataFrame:
     mark = b[b["ord"] < 0].sort_values("source")
     names, tile = mark["source"].to_numpy(), mark["tile"].to_numpy()
     terms = b[b["ord"] >= 0]
-    lang, i, j, piece = b["lang"].iat[0], b["i"].iat[0], b["j"].iat[0], b["piece"].iat[0]
+    lang, i, j, piece = (b[c].iat[0] for c in ("lang", "i", "j", "piece"))
     p = np.repeat(mark["p"].to_numpy(np.int64)[:, None], max(0, min(width, int(b["v"].iat[0]) - int(piece) * width)), 1)
     p[np.searchsorted(names, terms["source"].to_numpy()), terms["ord"].to_numpy() - piece * width] = terms["p"].to_numpy(np.int64)
-    found = []
-    for g, name in enumerate(names):
-        other = (tile == (j if tile[g] == i else i)) & (names != name)
-        q = p[other]
-        found.append(pd.DataFrame({"lang": lang, "source": name, "item": names[other], "value": ((p[g] - q) ** 2 // q).sum(1)}))
-    return pd.concat(found) if found else pd.DataFrame({"lang": [], "source": [], "item": [], "value": []})
+    values = np.full((len(names), len(names)), -1, np.int64)
+    for g in range(len(names)):
+        other = tile == (j if tile[g] == i else i)
+        values[g, other] = ((p[g] - p[other]) ** 2 // p[other]).sum(1)
+    np.fill_diagonal(values, -1)
+    a, c = np.nonzero(values >= 0)
+    return pd.DataFrame({"lang": lang, "source": names[a], "item": names[c], "value": values[a, c]})
 
 
 def divergences(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS, block: int = BLOCK,
