@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import keyed as K
 from tidewater.operators import timeseries as TS
 from tidewater.streaming import jobs, tables
-from tidewater.streaming.state import stream_alarm
+from tidewater.streaming.alarm import late_rows, stream_alarm
 from conftest import rows
 
 
@@ -295,7 +295,7 @@ def test_compact_every_and_late_rows(spark, tmp):
          .format("memory").queryName("late_t").outputMode("append").trigger(availableNow=True)
          .option("checkpointLocation", os.path.join(tmp, "cpm")).start())
     _run(q)
-    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p["stateOperators"])
+    dropped = late_rows(q)
     # lateness is judged against the previous batch's watermark: b (next batch
     # after the jump) is still counted, c (one batch later) is dropped
     assert dropped == 1
@@ -328,3 +328,53 @@ def test_stream_alarm_ttl_forgets_silent_key(spark, tmp):
     b_rows = spark.table("ttl_t").filter("k = 'b'").count()
     a_rows = spark.table("ttl_t").filter("k = 'a'").count()
     assert a_rows > b_rows >= 1 and b_rows <= 1800 // 300 + 1  # b stops after its retention
+
+
+def _times(src, names):
+    """Files in this order, one a batch."""
+    import time as _t
+    now = _t.time()
+    for i, f in enumerate(names):
+        os.utime(os.path.join(src, f), (now - 200 + 10 * i, now - 200 + 10 * i))
+
+
+@pytest.mark.parametrize("missing", ["breach", "ok", "missing"])
+def test_stream_alarm_on_silence_equals_batch(spark, tmp, missing):
+    """Keys fall silent at different times and one comes back; a late row is dropped and counted."""
+    src = os.path.join(tmp, "silence")
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda m: (t0 + dt.timedelta(minutes=m)).isoformat()
+    files = [[("a", 0, 5.0), ("b", 1, 0.0), ("c", 2, None)], [("a", 31, 0.5), ("a", 33, 0.2)], [("b", 90, 7.0), ("a", 92, 1.0)],
+             [("a", 95, 2.0)], [("a", 3, 100.0), ("a", 160, 3.0)], [("a", 300, 1.0)]]
+    for i, f in enumerate(files):
+        _write_lines(src, f"f{i}.json", [{"k": k, "ts": at(m), "v": v} for k, m, v in f])
+    _times(src, [f"f{i}.json" for i in range(len(files))])
+    s = spark.readStream.schema("k string, ts timestamp_ntz, v double").option("maxFilesPerTrigger", 1).json(src)
+    q = (stream_alarm(s, "ts", "v", ["k"], "Sum", "<", 1.0, 2, period_s=300, delay="1 minute", missing=missing)
+         .writeStream.format("memory").queryName(f"silence_{missing}").outputMode("append").trigger(availableNow=True)
+         .option("checkpointLocation", os.path.join(tmp, "cp")).start())
+    _run(q)
+    assert late_rows(q) == 1
+    live = spark.table(f"silence_{missing}").selectExpr("k", "cast(period_start as timestamp_ntz) as p", "value", "breaching", "state")
+    end = t0 + dt.timedelta(minutes=295)  # the last watermark is minute 299
+    data = spark.read.schema("k string, ts timestamp_ntz, v double").json(src).where("v is null or v <> 100")
+    stats = TS.metric_statistics(data, "ts", "v", by=["k"], period_s=300, stats=["Sum"])
+    batch = TS.alarm(stats, "Sum", "<", 1.0, 2, by=["k"], missing=missing, start=t0.isoformat(sep=" "), end=end.isoformat(sep=" "))
+    want = batch.selectExpr("k", "period_start as p", "sum as value", "breaching", "state")
+    assert rows(live) == rows(want) and len(rows(live)) == 3 * 59
+
+
+def test_stream_alarm_restart_goes_on_from_its_state(spark, tmp):
+    src = os.path.join(tmp, "restart")
+    t0 = dt.datetime(2024, 1, 1)
+    s = spark.readStream.schema("k string, ts timestamp_ntz, v double").json(src) if os.path.isdir(src) else None
+    for i, minutes in enumerate([(0, 6), (40,), (80,)]):
+        _write_lines(src, f"f{i}.json", [{"k": "a", "ts": (t0 + dt.timedelta(minutes=m)).isoformat(), "v": 1.0} for m in minutes])
+        s = spark.readStream.schema("k string, ts timestamp_ntz, v double").json(src)
+        q = (stream_alarm(s, "ts", "v", ["k"], "Sum", ">", 0.5, 2, delay="0 seconds", missing="ok").writeStream
+             .format("parquet").option("path", os.path.join(tmp, "out")).outputMode("append").trigger(availableNow=True)
+             .option("checkpointLocation", os.path.join(tmp, "cp")).start())
+        _run(q)
+    got = rows(spark.read.parquet(os.path.join(tmp, "out")), "period_start", "state")
+    assert len(got) == 16 and len({r[0] for r in got}) == 16  # minutes 0 to 80, no period twice
+    assert [r[1] for r in got][:3] == ["INSUFFICIENT_DATA", "ALARM", "OK"]

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewater.operators import timeseries as TS
 from conftest import rows
@@ -115,13 +116,13 @@ from hypothesis import given, settings, strategies as st  # noqa: E402
 
 @settings(max_examples=12, deadline=None)
 @given(st.dictionaries(st.integers(0, 30), st.floats(0, 200, allow_nan=False), min_size=1, max_size=20),
-       st.sampled_from([">", "<"]), st.integers(1, 3), st.sampled_from(["missing", "breach", "ok"]))
-def test_alarm_matches_brute_force(spark, points, op, n, missing):
+       st.sampled_from([">", "<"]), st.integers(1, 3), st.sampled_from(["missing", "breach", "ok"]), st.sampled_from([1, 3, 7, 4096]))
+def test_alarm_matches_brute_force(spark, points, op, n, missing, size):
     rows_ = [(T0 + dt.timedelta(seconds=300 * p), "k", v) for p, v in points.items()]
     df = spark.createDataFrame(rows_, "ts timestamp_ntz, k string, v double")
     s = TS.metric_statistics(df, "ts", "v", by=["k"], stats=["Maximum"])
     got = [(int((r.period_start - T0).total_seconds() // 300), r.state)
-           for r in TS.alarm(s, "Maximum", op, 100.0, n, by=["k"], missing=missing).orderBy("period_start").collect()]
+           for r in TS.alarm(s, "Maximum", op, 100.0, n, by=["k"], missing=missing, slice_periods=size).orderBy("period_start").collect()]
     assert got == _brute_alarm(points, op, 100.0, n, missing)
 
 
@@ -143,3 +144,32 @@ def test_metric_statistics_matches_python(spark, pts, start, end):
             groups.setdefault((s // 300 * 300, k), []).append(float(v))
     want = sorted((p, k, sum(vs), max(vs), min(vs), len(vs)) for (p, k), vs in groups.items())
     assert got == want
+
+
+def test_alarm_of_one_long_key_uses_many_tasks(spark):
+    """One key, two rows a million periods apart: the silence between them is worked on in slices."""
+    df = _m(spark, [(-300 * 500, "a", 150.0), (300 * 999_500, "a", 150.0)])
+    s = TS.metric_statistics(df, "ts", "v", by=["k"], stats=["Average"])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        out = TS.alarm(s, "Average", ">", 100, 3, by=["k"], missing="breach")
+        got = out.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("state") == "ALARM").cast("int")).alias("a")).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(r.n for r in got) == 1_000_001 and sum(r.a for r in got) == 999_999
+    assert len(got) == 16 and max(r.n for r in got) < 150_000
+
+
+def test_alarm_periods_with_and_without_zone(spark):
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.sql(f"SELECT k, cast(t AS {kind}) AS ts, v FROM VALUES ('a', '1969-12-31 23:50:00', 5.0D), (NULL, '2024-03-31 02:30:00', 5.0D),"
+                       " ('a', '1970-01-01 00:05:00', 5.0D) AS x(k, t, v)")
+        s = TS.metric_statistics(df, "ts", "v", by=["k"], stats=["Sum"])
+        out = TS.alarm(s, "Sum", ">", 1, 1, by=["k"], slice_periods=2)
+        assert dict(out.dtypes)["period_start"] == kind
+        assert [(r.k, str(r.period_start), r.state) for r in out.orderBy("k", "period_start").collect()] == [
+            (None, "2024-03-31 02:30:00", "ALARM"), ("a", "1969-12-31 23:50:00", "ALARM"), ("a", "1969-12-31 23:55:00", "INSUFFICIENT_DATA"),
+            ("a", "1970-01-01 00:00:00", "INSUFFICIENT_DATA"), ("a", "1970-01-01 00:05:00", "ALARM")]

@@ -205,20 +205,23 @@ def dedup_stream(df: DataFrame, id_cols: Sequence[str], ts: str, delay: str = "1
 
 
 def stream_metrics(df: DataFrame, ts: str, value: str, by: Sequence[str] = (), period_s: int = 300,
-                   delay: str = "10 minutes") -> DataFrame:
+                   delay: str = "10 minutes", closed_at: str | None = None) -> DataFrame:
     """T4. Tumbling statistics, emitted once a period is closed by the
     watermark (append mode). Rows later than ``delay`` are dropped and
     counted in the query progress as ``numRowsDroppedByWatermark``. Spark
     judges lateness against the watermark of the previous micro-batch, so a
     late row that arrives in the batch right after the watermark moved is
-    still aggregated; closed periods are never re-emitted."""
+    still aggregated; closed periods are never re-emitted.
+
+    ``closed_at`` names a column with the event time of the closed period,
+    which a second stateful operator on the stream needs."""
     d = event_time(df, ts).withWatermark(ts, delay)
     x = F.col(value)
     return (d.groupBy(F.window(ts, f"{int(period_s)} seconds").alias("w"), *by)
             .agg(F.sum(x).alias("sum"), F.avg(x).alias("average"), F.max(x).alias("maximum"),
                  F.min(x).alias("minimum"), F.count(x).alias("sample_count"))
-            .select(F.col("w.start").alias("period_start"), *by, "sum", "average", "maximum",
-                    "minimum", "sample_count"))
+            .select(*([F.window_time("w").alias(closed_at)] if closed_at else []), F.col("w.start").alias("period_start"), *by,
+                    "sum", "average", "maximum", "minimum", "sample_count"))
 
 
 # --------------------------------------------------------- T6 change apply
