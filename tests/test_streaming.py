@@ -50,7 +50,7 @@ def test_sensor_ingest_stream_equals_batch_replay_restart(spark, tmp):
     _write_lines(src, "m1.json", SENSOR_1)
     cp = os.path.join(tmp, "cp")
     _run(jobs.run_sensor_ingest(spark, src, out, cp, as_of="2024-01-02 00:00:00"))
-    items = tables.read_table(spark, os.path.join(out, "items"), jobs.SENSOR_KEYS)
+    items = tables.read_table(spark, os.path.join(out, "items"))
     first = rows(items, "device_id", "timestamp", "topic", "temperature", "humidity", "pressure")
     assert [r[0] for r in first] == ["d1", "d2"]
     d1 = [r for r in first if r[0] == "d1"][0]
@@ -59,12 +59,12 @@ def test_sensor_ingest_stream_equals_batch_replay_restart(spark, tmp):
     assert rows(rej, "reject_reason") == [("missing_device_id",)]  # topic 'sensors' passes, weather is filtered out
     # replay of the same input under a fresh checkpoint: same table, no duplicates
     _run(jobs.run_sensor_ingest(spark, src, out, os.path.join(tmp, "cp2"), as_of="2024-01-02 00:00:00"))
-    assert rows(tables.read_table(spark, os.path.join(out, "items"), jobs.SENSOR_KEYS),
+    assert rows(tables.read_table(spark, os.path.join(out, "items")),
                 "device_id", "timestamp", "topic", "temperature", "humidity", "pressure") == first
     # restart from the first checkpoint with a new file
     _write_lines(src, "m2.json", SENSOR_2)
     _run(jobs.run_sensor_ingest(spark, src, out, cp, as_of="2024-01-02 00:00:00"))
-    got = tables.read_table(spark, os.path.join(out, "items"), jobs.SENSOR_KEYS)
+    got = tables.read_table(spark, os.path.join(out, "items"))
     want = _batch_sensor(spark, src)
     cols = ["device_id", "timestamp", "topic", "temperature", "humidity", "pressure", "processed_at"]
     assert rows(got, *cols) == rows(want, *cols)
@@ -91,7 +91,7 @@ def test_consumer_bad_record_and_counts(spark, tmp):
     counts = spark.read.parquet(os.path.join(out, "counts"))
     per_batch = [r.processed for r in counts.collect()]
     assert len(per_batch) == 2 and sum(per_batch) == 5  # 7 files in batches of at most 5
-    t = tables.read_table(spark, log, jobs.MESSAGE_KEYS)
+    t = tables.read_table(spark, log)
     assert t.count() == 5 and {r.status for r in t.collect()} == {"sent"}
     failed = rows(spark.read.parquet(os.path.join(out, "failed")), "error")
     assert failed == [("bad_json",), ("missing message_id",)]
@@ -175,25 +175,65 @@ def test_apply_changes_and_file_index(spark, tmp):
         {"eventName": "REMOVE", "dynamodb": {"Keys": {"id": {"S": "u2"}}}}]}]
     _write_lines(src, "c1.json", recs)
     _run(jobs.apply_changes(spark, src, table, ["id"], {"id": "string", "age": "int"}, os.path.join(tmp, "cp")))
-    assert rows(tables.read_table(spark, table, ["id"]), "id", "age") == [("u1", 31)]
+    assert rows(tables.read_table(spark, table), "id", "age") == [("u1", 31)]
     up = os.path.join(tmp, "uploads")
     os.makedirs(up)
     open(os.path.join(up, "my%20file.txt"), "w").write("abc")
     idx = os.path.join(tmp, "idx")
     _run(jobs.run_file_index(spark, up, idx, checkpoint=os.path.join(tmp, "cp2"), as_of="2024-01-01 00:00:00"))
-    assert rows(tables.read_table(spark, idx, jobs.FILE_INDEX_KEYS), "file_id", "size", "status") == [
+    assert rows(tables.read_table(spark, idx), "file_id", "size", "status") == [
         ("my file.txt", 3, "processed")]
 
 
-def test_compaction_keeps_table(spark, tmp):
+def test_keyed_table_rewrites_touched_buckets_only(spark, tmp):
     path = os.path.join(tmp, "kt")
-    tables.put(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), path, 0)
-    tables.delete(spark.createDataFrame([("b",)], "k string"), path, 1)
-    before = rows(tables.read_table(spark, path, ["k"]))
-    tables.compact(spark, path, ["k"], 1)
-    tables.update(spark.createDataFrame([("a", 5)], "k string, v int"), path, 2, ["v"])
-    assert before == [("a", 1)]
-    assert rows(tables.read_table(spark, path, ["k"])) == [("a", 5)]
+    tables.put(spark.range(200).selectExpr("id as k", "id * 10 as v"), path, ["k"], 0, buckets=8)
+    files = lambda: {r[0] for r in spark.read.parquet(os.path.join(path, "table")).select("_metadata.file_path").distinct().collect()}
+    before = files()
+    tables.delete(spark.createDataFrame([(7,)], "k long"), path, ["k"], 1, buckets=99)  # the table keeps its 8 buckets
+    assert len(before - files()) == len(files() - before) == 1
+    tables.update(spark.createDataFrame([(9, 5, "x"), (7, None, "y"), (900, 1, None)], "k long, v long, note string"), path, ["k"], 2, ["v", "note"])
+    got = {r.k: (r.v, r.note) for r in tables.read_table(spark, path).collect()}
+    assert len(got) == 201 and got[9] == (5, "x") and got[7] == (None, "y") and got[900] == (1, None) and got[8] == (80, None)
+    some = tables.get_rows(spark, path, spark.createDataFrame([(9,), (10,), (12345,)], "k long"), ["k"])
+    assert rows(some, "k") == [(9,), (10,)]
+    # a bucket that loses its last row is replaced too
+    tables.delete(spark.createDataFrame([(k,) for k in got], "k long"), path, ["k"], 3)
+    assert tables.read_table(spark, path).count() == 0
+
+
+def test_changes_of_one_key_apply_in_order_over_messages_and_batches(spark, tmp):
+    """INSERT, REMOVE, INSERT in three messages, then REMOVE in the next batch and INSERT in a third."""
+    rec = lambda seq, op, v: {"Records": [{"eventName": op, "dynamodb": {"SequenceNumber": str(seq), "Keys": {"id": {"S": "u"}},
+                                                                       **({} if op == "REMOVE" else {"NewImage": {"id": {"S": "u"}, "v": {"N": str(v)}}})}}]}
+    schema, src, table, cp = {"id": "string", "v": "int"}, os.path.join(tmp, "cdc"), os.path.join(tmp, "t"), os.path.join(tmp, "cp")
+    steps = [[rec(3, "INSERT", 3), rec(1, "INSERT", 1), rec(2, "REMOVE", 0)], [rec(4, "REMOVE", 0)], [rec(10, "INSERT", 10), rec(9, "INSERT", 9)]]
+    seen = []
+    for i, recs in enumerate(steps):
+        _write_lines(src, f"c{i}.json", recs)
+        _run(jobs.apply_changes(spark, src, table, ["id"], schema, cp))
+        seen.append(rows(tables.read_table(spark, table), "id", "v"))
+    assert seen == [[("u", 3)], [], [("u", 10)]]
+
+
+def test_batch_replaces_buckets_again_after_a_crash(spark, tmp, monkeypatch):
+    """The driver dies while buckets are replaced and one bucket is gone: the batch, run again, brings all rows back."""
+    path = os.path.join(tmp, "kt")
+    old = spark.range(100).selectExpr("id as k", "'old' as v")
+    tables.put(old, path, ["k"], 0, writer="cp", buckets=4)
+    new = spark.range(50, 150).selectExpr("id as k", "'new' as v")
+    tables.put(new, path, ["k"], 1, writer="cp")
+    want = rows(tables.read_table(spark, path))
+    # as if batch 1 had stopped between dropping an old bucket and moving the new one in place
+    part = os.path.join(path, "table", "_buckets=4", "_bucket=2")
+    for f in os.listdir(part):
+        os.remove(os.path.join(part, f))
+    assert len(rows(tables.read_table(spark, path))) < len(want)
+    tables.put(new, path, ["k"], 1, writer="cp")
+    assert rows(tables.read_table(spark, path)) == want and len(want) == 150
+    # another writer's batch 1 is another batch
+    tables.put(spark.createDataFrame([(500, "x")], "k long, v string"), path, ["k"], 1, writer="other")
+    assert tables.read_table(spark, path).count() == 151
 
 
 def test_document_chain_and_fan_out(spark, tmp):
@@ -249,7 +289,7 @@ def test_failed_batch_replays_to_same_table(spark, tmp):
     def flaky(df, batch_id):
         rows_ = jobs.sensor_rows(df, as_of="2024-01-02 00:00:00")
         good = rows_.filter("reject_reason is null").drop("reject_reason")
-        tables.put(good, os.path.join(out, "items"), batch_id)
+        tables.put(good, os.path.join(out, "items"), jobs.SENSOR_KEYS, batch_id)
         calls["n"] += 1
         if calls["n"] == 1:
             raise RuntimeError("executor lost after the first write")
@@ -260,26 +300,11 @@ def test_failed_batch_replays_to_same_table(spark, tmp):
     q = jobs._start(jobs.stream_messages(spark, src), flaky, cp, None)  # restart, same checkpoint
     _run(q)
     assert calls["n"] == 2
-    log = spark.read.parquet(os.path.join(out, "items", "log"))
-    assert log.count() == 3  # 3 valid messages; a duplicated batch would show 6
-    items = tables.read_table(spark, os.path.join(out, "items"), jobs.SENSOR_KEYS)
+    items = tables.read_table(spark, os.path.join(out, "items"))
     assert rows(items, "device_id") == [("d1",), ("d2",)]
 
 
-def test_compact_every_and_late_rows(spark, tmp):
-    src, out = os.path.join(tmp, "src"), os.path.join(tmp, "out")
-    for i in range(4):
-        _write_lines(src, f"m{i}.json", [{"topic": "sensors/t", "device_id": f"d{i % 2}",
-                                          "timestamp": f"2024-01-01T00:0{i}:00Z", "temperature": i}])
-    s = jobs.stream_messages(spark, src, max_files=1)
-    q = jobs._start(s, lambda df, bid: (tables.put(jobs.sensor_rows(df, "2024-01-02 00:00:00")
-                                                    .filter("reject_reason is null").drop("reject_reason"),
-                                                    os.path.join(out, "items"), bid),
-                                         tables.maybe_compact(spark, os.path.join(out, "items"), jobs.SENSOR_KEYS, bid, 2)),
-                    os.path.join(tmp, "cp"), None)
-    _run(q)
-    assert tables._latest_snapshot(spark, os.path.join(out, "items")) == 2
-    assert tables.read_table(spark, os.path.join(out, "items"), jobs.SENSOR_KEYS).count() == 4
+def test_late_rows_are_dropped_and_counted(spark, tmp):
     # late rows: the watermark drops them and the progress counts them
     m = os.path.join(tmp, "m")
     t0 = dt.datetime(2024, 1, 1)

@@ -115,17 +115,15 @@ def sensor_rows(lines: DataFrame, as_of=None, pattern: str = "sensors/#",
 
 def run_sensor_ingest(spark: SparkSession, src: str, out: str, checkpoint: str | None = None,
                       trigger: str | None = None, as_of=None, pattern: str = "sensors/#",
-                      reject_null: Sequence[str] = (), compact_every: int | None = None) -> StreamingQuery:
+                      reject_null: Sequence[str] = ()) -> StreamingQuery:
     """T1. topic filter -> required-field gate -> defaults -> stamp ->
     upsert by (device_id, timestamp) into ``out/items``; rejects to
-    ``out/rejected``. Replays of a batch are idempotent; with
-    ``compact_every`` the item log is folded into a snapshot every N batches."""
+    ``out/rejected``. Replays of a batch are idempotent."""
     def batch(df: DataFrame, batch_id: int) -> None:
         rows = sensor_rows(_lined(df).withColumn("_place", F.struct(*PLACE)).drop(*PLACE), as_of, pattern, reject_null).persist()
         try:
             good = rows.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-            tables.put(good, os.path.join(out, "items"), batch_id, order_col="_place")
-            tables.maybe_compact(spark, os.path.join(out, "items"), SENSOR_KEYS, batch_id, compact_every)
+            tables.put(good, os.path.join(out, "items"), SENSOR_KEYS, batch_id, order_col="_place", writer=cp)
             dead_letters(rows.filter(F.col("reject_reason").isNotNull()).drop("_place"), os.path.join(out, "rejected"), batch_id)
         finally:
             rows.unpersist()
@@ -168,8 +166,7 @@ def consume_rows(lines: DataFrame, as_of=None) -> DataFrame:
 
 
 def run_consumer(spark: SparkSession, src: str, log: str, out: str, checkpoint: str | None = None,
-                 trigger: str | None = None, as_of=None, max_per_batch: int = 5,
-                 compact_every: int | None = None) -> StreamingQuery:
+                 trigger: str | None = None, as_of=None, max_per_batch: int = 5) -> StreamingQuery:
     """T2. Drain the queue in batches of ``max_per_batch`` files: parse,
     render, mark ``sent`` (update by key, created if absent) in the log
     table, write the sent texts and the processed count per batch (A14).
@@ -178,9 +175,8 @@ def run_consumer(spark: SparkSession, src: str, log: str, out: str, checkpoint:
         rows = consume_rows(df, as_of).persist()
         try:
             ok = rows.filter(F.col("error").isNull())
-            tables.update(ok.select(*MESSAGE_KEYS, "status", "processed_at"), log, batch_id,
-                          set_cols=["status", "processed_at"])
-            tables.maybe_compact(spark, log, MESSAGE_KEYS, batch_id, compact_every)
+            tables.update(ok.select(*MESSAGE_KEYS, "status", "processed_at"), log, MESSAGE_KEYS, batch_id,
+                          set_cols=["status", "processed_at"], writer=cp)
             _write_batch(ok.select(*MESSAGE_KEYS, "recipient", "text"), os.path.join(out, "sent"), batch_id)
             dead_letters(rows.filter(F.col("error").isNotNull()), os.path.join(out, "failed"), batch_id)
             counts = ok.agg(F.count(F.lit(1)).alias("processed")).withColumn("batch_id", F.lit(int(batch_id)))
@@ -246,6 +242,13 @@ def change_rows(df: DataFrame, body_col: str, keys: Sequence[str], schema: Mappi
     return d.withColumn("_op", F.when(F.col("event_name") == "REMOVE", F.lit("delete")).otherwise(F.lit("put")))
 
 
+def apply_change_rows(rows: DataFrame, table: str, keys: Sequence[str], schema: Mapping[str, str], batch_id: int, writer: str = "") -> None:
+    """One batch of ``change_rows``, put and deleted in the keyed table in the order of ``_pos``."""
+    puts = tables.changes(rows.filter(F.col("_op") == "put").select(*schema, "_pos"), "put", order_col="_pos")
+    dels = tables.changes(rows.filter(F.col("_op") == "delete").select(*keys, "_pos"), "delete", order_col="_pos")
+    tables.write_changes(puts.unionByName(dels, allowMissingColumns=True), table, keys, batch_id, writer)
+
+
 def apply_changes(spark: SparkSession, src: str, table: str, keys: Sequence[str],
                   schema: Mapping[str, str], checkpoint: str | None = None,
                   trigger: str | None = None) -> StreamingQuery:
@@ -254,12 +257,7 @@ def apply_changes(spark: SparkSession, src: str, table: str, keys: Sequence[str]
     def batch(df: DataFrame, batch_id: int) -> None:
         rows = change_rows(_lined(df), "value", keys, schema, PLACE).persist()
         try:
-            cols = list(schema)
-            puts = tables.changes(rows.filter(F.col("_op") == "put").select(*cols, "_pos"), batch_id,
-                                  "put", order_col="_pos")
-            dels = tables.changes(rows.filter(F.col("_op") == "delete").select(*keys, "_pos"), batch_id,
-                                  "delete", order_col="_pos")
-            tables.write_changes(puts.unionByName(dels, allowMissingColumns=True), table, batch_id)
+            apply_change_rows(rows, table, keys, schema, batch_id, cp)
         finally:
             rows.unpersist()
     cp = checkpoint or _default_cp(spark, "apply_changes", src, table)
@@ -346,7 +344,7 @@ def run_file_index(spark: SparkSession, src: str, out: str, bucket: str = "uploa
     files = stream_files(spark, src, BINARY_FILE_SCHEMA, glob=glob, fmt="binaryFile").drop("content")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        tables.put(file_index_rows(df, bucket, as_of), out, batch_id)
+        tables.put(file_index_rows(df, bucket, as_of), out, FILE_INDEX_KEYS, batch_id, writer=cp)
     cp = checkpoint or _default_cp(spark, "file_index", src, out)
     return _start(files, batch, cp, trigger)
 

@@ -1,114 +1,109 @@
-"""Keyed tables written by streams: an append-only change log partitioned
-by batch id, merged on read (see ``operators.keyed.merge_changes``).
+"""Keyed tables written by streams: Parquet in hash buckets of the key.
 
-Work per micro-batch is proportional to the batch, not to the table;
-``compact`` folds the log into a snapshot when it grows."""
+A batch of puts, updates and deletes is merged with the buckets it touches
+and these alone are replaced (dynamic partition overwrite), so a batch
+costs work in proportion to its buckets, and a read is a plain scan.
+
+Replay. Replacing several partitions is not atomic, so the new buckets are
+first written beside the table and marked complete under (writer, batch id);
+a batch that is run again finds its mark and replaces the buckets from there
+instead of merging into a half-replaced table. Without the mark the table still
+is as the batch before left it. One writer at a time; batches in order.
+"""
 
 from __future__ import annotations
 
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.keyed import DELETE, PUT, UPDATE, as_changes, merge_changes
+from tidewater.operators.keyed import DELETE, OP, PUT, SEQ, UPDATE, as_changes, merge_changes
 
 BATCH = "_batch"
+BUCKETS = 64                     # of a new table; an existing one keeps its number
+COUNT, BUCKET, LIVE = "_buckets", "_bucket", "_live"
 
 
-def _seq(batch_id: int):
-    # Order inside the log: batch id, then the row's position in the batch.
-    return F.struct(F.lit(int(batch_id)).cast("bigint").alias("b"),
-                    F.monotonically_increasing_id().alias("r"))
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """All rows below ``path``, or None where nothing has been written."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
-def changes(df: DataFrame, batch_id: int, op: str = PUT, set_cols: Sequence[str] | None = None,
-            order_col: str | None = None) -> DataFrame:
-    """Tag ``df`` as change rows of batch ``batch_id``. ``order_col`` orders
-    rows of the same key inside the batch (else the row position)."""
-    seq = _seq(batch_id)
-    if order_col:
-        seq = F.struct(F.lit(int(batch_id)).cast("bigint").alias("b"),
-                       F.col(order_col).alias("r"))
+def changes(df: DataFrame, op: str = PUT, set_cols: Sequence[str] | None = None, order_col: str | None = None) -> DataFrame:
+    """Tag ``df`` as change rows of one batch. ``order_col`` orders rows of the same key (else the row position)."""
+    seq = F.struct((F.col(order_col) if order_col else F.monotonically_increasing_id()).alias("r"))
     out = as_changes(df, op, seq, set_cols)
     return out.drop(order_col) if order_col else out
 
 
-def write_changes(ch: DataFrame, path: str, batch_id: int) -> None:
-    """Write all change rows of one batch at once (puts, updates and deletes
-    unioned). Re-running the same ``batch_id`` replaces that batch's
-    partition, so replays do not duplicate rows."""
-    (ch.withColumn(BATCH, F.lit(int(batch_id))).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(os.path.join(path, "log")))
-
-
-def append_changes(df: DataFrame, path: str, batch_id: int, op: str = PUT,
-                   set_cols: Sequence[str] | None = None, order_col: str | None = None) -> None:
-    """One kind of change for one batch (see :func:`write_changes`)."""
-    write_changes(changes(df, batch_id, op, set_cols, order_col), path, batch_id)
-
-
-def put(df, path, batch_id, order_col=None):
-    append_changes(df, path, batch_id, PUT, order_col=order_col)
-
-
-def update(df, path, batch_id, set_cols, order_col=None):
-    append_changes(df, path, batch_id, UPDATE, set_cols, order_col=order_col)
-
-
-def delete(df, path, batch_id):
-    append_changes(df, path, batch_id, DELETE)
-
-
-def _latest_snapshot(spark: SparkSession, path: str) -> int | None:
-    """Highest complete snapshot version under ``path/snapshot`` (Hadoop FS)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(os.path.join(path, "snapshot"))
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return None
-    best = None
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            v = int(name[2:])
-            best = v if best is None or v > best else best
-    return best
-
-
-def read_table(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current rows of the keyed table at ``path``: the latest snapshot
-    (as puts) merged with the log batches written after it."""
-    v = _latest_snapshot(spark, path)
-    log = spark.read.option("mergeSchema", True).parquet(os.path.join(path, "log"))
-    if v is not None:
-        log = log.filter(F.col(BATCH) > F.lit(v))
-        snap = spark.read.parquet(os.path.join(path, "snapshot", f"v={v}"))
-        snap = as_changes(snap, PUT, F.struct(F.lit(v).cast("bigint").alias("b"),
-                                               F.lit(0).cast("bigint").alias("r")))
-        log = snap.unionByName(log.drop(BATCH), allowMissingColumns=True)
-    else:
-        log = log.drop(BATCH)
-    return merge_changes(log, keys)
-
-
-def compact(spark: SparkSession, path: str, keys: Sequence[str], upto_batch: int) -> None:
-    """Write the table state as ``snapshot/v=<upto_batch>``. Readers switch to
-    it once its ``_SUCCESS`` marker exists; log batches up to that id are
-    then no longer read (a retention job may remove them)."""
-    snap = read_table(spark, path, keys)
-    last = spark.read.parquet(os.path.join(path, "log")).agg(F.max(BATCH)).first()[0]
-    if last is not None and last > upto_batch:
-        raise ValueError("compact only up to the newest batch written")
-    if _latest_snapshot(spark, path) == int(upto_batch):
-        return  # already compacted (replayed batch)
-    snap.write.mode("overwrite").parquet(os.path.join(path, "snapshot", f"v={int(upto_batch)}"))
-
-
-def maybe_compact(spark: SparkSession, path: str, keys: Sequence[str], batch_id: int,
-                  every: int | None) -> None:
-    """Compact after every ``every``-th batch (``None``: never)."""
-    if every and batch_id > 0 and batch_id % every == 0:
-        compact(spark, path, keys, batch_id)
+def write_changes(ch: DataFrame, path: str, keys: Sequence[str], batch_id: int, writer: str = "", buckets: int = BUCKETS) -> None:
+    """Apply all change rows of one batch to the table at ``path`` (see module notes).
+
+    ``writer`` names who counts the batches: a stream's checkpoint.
+    """
+    spark, keys = ch.sparkSession, list(keys)
+    table, staged, mark = (os.path.join(path, x) for x in ("table", "staged", "mark"))
+    done = _read(spark, mark)
+    if done is None or done.where((F.col("writer") == writer) & (F.col(BATCH) == int(batch_id))).isEmpty():
+        current = _read(spark, table)
+        n = buckets if current is None else current.select(COUNT).first()[0]
+        ch = ch.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(int(n))).cast("int"))
+        touched = sorted(r[0] for r in ch.select(BUCKET).distinct().collect())  # numbers of buckets: at most n
+        if not touched:
+            return
+        log = ch
+        if current is not None:
+            old = current.where(F.col(BUCKET).isin(touched)).where(LIVE).drop(COUNT, LIVE)
+            old = as_changes(old, PUT, F.lit(None).cast(ch.schema[SEQ].dataType)).withColumn(OP, F.lit("base"))
+            log = old.unionByName(ch, allowMissingColumns=True)
+            # what is in the table comes before every change: its sequence is NULL, and NULLs are no maximum
+            log = log.withColumn(SEQ, F.struct((F.col(OP) != "base").alias("new"), F.col(SEQ).alias("seq"))).withColumn(
+                OP, F.when(F.col(OP) == "base", F.lit(PUT)).otherwise(F.col(OP)))
+        rows = merge_changes(log, [BUCKET, *keys]).withColumn(LIVE, F.lit(True))
+        # a row that is no row in every touched bucket: one that has lost its last key is replaced too
+        ends = spark.createDataFrame([(b, False) for b in touched], f"{BUCKET} int, {LIVE} boolean")
+        rows = rows.unionByName(ends, allowMissingColumns=True).withColumn(COUNT, F.lit(int(n)))
+        rows.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(COUNT, BUCKET).parquet(staged)
+        (spark.createDataFrame([(writer, int(batch_id))], f"writer string, {BATCH} long").coalesce(1)
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(mark))
+    (spark.read.parquet(staged).hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(COUNT, BUCKET).parquet(table))
+
+
+def put(df, path, keys, batch_id, order_col=None, writer="", buckets=BUCKETS):
+    write_changes(changes(df, PUT, order_col=order_col), path, keys, batch_id, writer, buckets)
+
+
+def update(df, path, keys, batch_id, set_cols, order_col=None, writer="", buckets=BUCKETS):
+    write_changes(changes(df, UPDATE, set_cols, order_col), path, keys, batch_id, writer, buckets)
+
+
+def delete(df, path, keys, batch_id, writer="", buckets=BUCKETS):
+    write_changes(changes(df, DELETE), path, keys, batch_id, writer, buckets)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Current rows of the keyed table at ``path``."""
+    rows = _read(spark, os.path.join(path, "table"))
+    if rows is None:
+        raise FileNotFoundError(f"no keyed table at {path}")
+    return rows.where(LIVE).drop(COUNT, BUCKET, LIVE)
+
+
+def get_rows(spark: SparkSession, path: str, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose keys are in the (bounded) ``keys_df``: only their buckets are read."""
+    rows, keys = _read(spark, os.path.join(path, "table")), list(keys)
+    if rows is None:
+        raise FileNotFoundError(f"no keyed table at {path}")
+    n = rows.select(COUNT).first()[0]
+    asked = keys_df.select(*keys).distinct()
+    wanted = [r[0] for r in asked.select(F.pmod(F.xxhash64(*keys), F.lit(int(n))).cast("int")).distinct().collect()]
+    return rows.where(F.col(BUCKET).isin(wanted)).where(LIVE).drop(COUNT, BUCKET, LIVE).join(asked, keys, "left_semi")
