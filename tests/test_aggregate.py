@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from tidewater.operators import aggregate as A
 from conftest import rows
 
@@ -87,3 +89,29 @@ def test_classification_report_matches_python(spark, pairs):
     assert set(got) == set(want)
     for c in want:
         assert all(abs(a - b) < 1e-12 for a, b in zip(got[c], want[c])), (c, got[c], want[c])
+
+
+def test_gather_chunks_of_a_hot_group(spark):
+    """A group with most rows, equal records and a NULL key: chunks in order are the sorted list, none beyond its bound."""
+    data = [(None if i % 10 == 0 else "b" if i % 10 == 1 else "hot", i * 7919 % 1000 if i % 3 else 5, "x" * (i % 4)) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, v int, t string").repartition(6)
+    for size, chunk, most in ((F.lit(1), 100, 100), (None, 500, 500 + 30)):
+        got = A.gather_chunks(df, ["g"], ["v", "t"], chunk, size).collect()
+        lists = {}
+        for r in sorted(got, key=lambda r: r.chunk):
+            assert r.n_items == len(r["items"]) > 0
+            if size is not None:
+                assert r.n_items <= most
+            else:
+                assert sum(len('{"v":,"t":""}') + len(str(x.v)) + len(x.t) for x in r["items"]) <= most
+            lists.setdefault(r.g, []).extend((x.v, x.t) for x in r["items"])
+        assert lists == {g: sorted((v, t) for k, v, t in data if k == g) for g in (None, "b", "hot")}
+    assert A.gather_chunks(df.where("false"), ["g"], ["v"]).collect() == []
+
+
+def test_profiles_merge_without_the_data(spark):
+    df = spark.range(30_000).select((F.col("id") % 3).alias("day"), (F.col("id") % 9000).alias("a"), F.when(F.col("id") % 10 > 0, F.col("id").cast("string")).alias("b"))
+    days = [A.profile_sketches(df.where(f"day = {k}"), ["a", "b"], by=["day"]) for k in range(3)]
+    merged = {r.column: r for r in A.merge_profiles(days[0].unionByName(days[1]).unionByName(days[2])).collect()}
+    assert merged["a"].n == 30_000 and merged["b"].nulls == 3000 and merged["a"].min_text == "0"
+    assert abs(merged["a"].n_distinct - 9000) < 0.03 * 9000 and abs(merged["b"].n_distinct - 27_000) < 0.03 * 27_000

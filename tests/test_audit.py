@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from tidewater.operators import audit as AU
 from tidewater.operators import joins as J
 from conftest import rows
@@ -74,3 +76,28 @@ def test_cost_rollup_worked_example(spark):
     vers = spark.createDataFrame([("k", "v1")], "key string, version string")
     marks = spark.createDataFrame([("k", "v2")], "key string, version string")
     assert rows(J.object_versions(vers, marks)) == [("k", "v1", False), ("k", "v2", True)]
+
+
+def test_role_policy_chunks(spark):
+    roles = spark.createDataFrame([("r1",), ("r2",)], "RoleName string")
+    pol = spark.createDataFrame([("r1", f"p{i:03d}", str(i)) for i in range(25)], "RoleName string, PolicyName string, PolicyArn string")
+    got = AU.role_policy_chunks(roles, pol, chunk=10).orderBy("RoleName", "chunk").collect()
+    assert [(r.RoleName, r.chunk, r.n_policies, len(r.policies)) for r in got] == [("r1", 0, 10, 10), ("r1", 1, 10, 10), ("r1", 2, 5, 5), ("r2", 0, 0, 0)]
+    assert [p.PolicyName for r in got[:3] for p in r.policies] == [f"p{i:03d}" for i in range(25)]
+
+
+def test_csv_text_fields_and_odd_lines(spark):
+    text = '\n a,b,c\r\n1,"x, ""y"" z",3\n,,\n"",q"r,"s"t\n4\n\n5,6,7,8\n\n  '
+    got = AU.explode_csv_text(spark.createDataFrame([(9, text), (10, None), (11, ""), (12, "a,b,c")], "id int, t string"), "t", "c string, a string, b string, d string")
+    assert rows(got) == rows(spark.createDataFrame([(9, "3", "1", 'x, "y" z', None), (9, None, None, None, None), (9, '"s"t', None, 'q"r', None),
+                                                    (9, None, "4", None, None), (9, "7", "5", "6", None)], "id int, c string, a string, b string, d string"))
+
+
+def test_csv_text_is_linear_in_its_lines(spark):
+    """A text of 20,000 lines: nothing but its lines leaves the explode."""
+    import time
+    text = "user,n\n" + "\n".join(f'u{i},"{i}"' for i in range(20_000))
+    df = spark.createDataFrame([(text,)], "t string")
+    start = time.time()
+    got = AU.explode_csv_text(df, "t", "user string, n int").agg(F.count("user"), F.sum("n")).first()
+    assert tuple(got) == (20_000, sum(range(20_000))) and time.time() - start < 20

@@ -1,3 +1,4 @@
+import pandas as pd
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -73,13 +74,49 @@ def test_drift_and_handler(spark):
     assert M.drift(base, same, "x").first().psi < 0.05
     assert M.drift(base, shifted, "x").first().psi > 0.5
 
-    def handler(rec):
-        if rec["id"] == 3:
+    def handler(pdf):
+        if (pdf["id"] % 50 == 3).any():
             raise ValueError("boom")
-        return {"id": rec["id"], "double": rec["id"] * 2}
-    out = M.apply_handler(spark.range(6), handler, "id long, double long")
-    bad = out.filter("error is not null").collect()
-    assert len(bad) == 1 and "boom" in bad[0].error and out.filter("error is null").count() == 5
+        return pd.DataFrame({"id": pdf["id"], "double": pdf["id"] * 2, "error": (pdf["id"] == 7).map({True: "own", False: None})})
+    out = M.apply_handler(spark.range(100), handler, "double long", keep=["id"])
+    got = {r.id: (r.double, r.error) for r in out.collect()}
+    assert len(got) == 100 and [i for i, (_, e) in got.items() if e] == [3, 7, 53] and "boom" in got[3][1] and got[7] == (14, "own")
+    assert all(v == (2 * i, None) for i, v in got.items() if i not in (3, 7, 53))
+    assert got[3][0] is None
+
+
+def test_handler_is_called_on_batches_and_halves(spark):
+    """100 records with one at fault in one batch: about 2 log2(100) calls, not 100."""
+    import numpy as np
+    count = spark.sparkContext.accumulator(0)
+
+    def handler(pdf):
+        count.add(1)
+        if (pdf["id"] == 42).any():
+            raise KeyError("42")
+        return pd.DataFrame({"x": np.ones(len(pdf))})
+    out = M.apply_handler(spark.range(100).coalesce(1), handler, "x double", keep=["id"])
+    assert [r.id for r in out.filter("error is not null").collect()] == [42] and count.value <= 16
+    short = M.apply_handler(spark.range(4), lambda pdf: pdf.head(0), "x double")
+    assert all("rows for 1" in r.error for r in short.collect())
+
+
+def test_drift_by_width_and_by_sketches(spark):
+    base = spark.range(20_000).select((F.col("id") % 1000).cast("double").alias("x"), (F.col("id") % 4).alias("part"))
+    odd = base.unionByName(spark.createDataFrame([(None, 0), (float("nan"), 1)] * 50, "x double, part long"))
+    shifted = base.withColumn("x", F.col("x") + 300)
+    for method in ("width", "quantile"):
+        assert M.drift(base, base, "x", edges=method).first().psi == 0
+        assert M.drift(odd, odd, "x", edges=method).first().psi == 0
+        assert M.drift(base, shifted, "x", edges=method).first().psi > 0.5
+    a, b = (M.value_sketches(d, "x", by=["part"]) for d in (odd, shifted))
+    assert a.count() == 4 and a.agg(F.sum("missing")).first()[0] == 100
+    exact = M.drift(odd, shifted, "x").first().psi
+    assert abs(M.sketch_drift(a, b).first().psi - exact) < 0.05 * exact
+    assert M.sketch_drift(a, M.value_sketches(base, "x")).first().psi < 0.1  # only the missing rows differ
+    # stated rank error of the merged sketch
+    one = a.agg(F.kll_merge_agg_double("sketch").alias("s")).select(F.kll_sketch_get_rank_double("s", F.lit(499.0))).first()[0]
+    assert abs(one - 0.5) < 0.01
 
 
 def test_batch_predict_files(spark, tmp):

@@ -54,3 +54,54 @@ def test_first_n_matches_python(spark, items, n):
         vs = sorted(v for gg, v in items if gg == g)
         want += [(g, r + 1, v, len(vs), max(len(vs) - n, 0)) for r, v in enumerate(vs[:n])]
     assert got == sorted(want)
+
+
+import random  # noqa: E402
+from collections import Counter, defaultdict  # noqa: E402
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("method", ["rank", "dense_rank", "row_number"])
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_ranks_beyond_the_group_limit(spark, method, by):
+    """n above Spark's own limit: salted first, then whole; ties kept, a group with two thirds of the rows."""
+    r = random.Random(4)
+    data = [(r.choice(["a", "a", "b"]), r.randrange(120) if method != "row_number" else i, i) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, s int, i int").repartition(4)
+    old = spark.conf.get(O.GROUP_LIMIT)
+    try:
+        spark.conf.set(O.GROUP_LIMIT, "50")
+        got = Counter((x.g if by else None, x.s, x["rank"]) for x in O.leaderboard(df, by, "s", 90, method=method).collect())
+    finally:
+        spark.conf.set(O.GROUP_LIMIT, old)
+    groups = defaultdict(list)
+    for g, s, _ in data:
+        groups[g if by else None].append(s)
+    want = Counter()
+    for g, scores in groups.items():
+        scores.sort(reverse=True)
+        distinct = sorted(set(scores), reverse=True)
+        for k, s in enumerate(scores, 1):
+            rank = {"rank": scores.index(s) + 1, "dense_rank": distinct.index(s) + 1, "row_number": k}[method]
+            if rank <= 90:
+                want[g, s, rank] += 1
+    assert got == want
+
+
+def test_rank_all_rows_with_a_hot_key_and_nulls(spark):
+    r = random.Random(5)
+    data = [(i, None if i % 50 == 0 else 7.0 if i % 3 == 0 else float(r.randrange(400))) for i in range(2000)]
+    df = spark.createDataFrame(data, "i int, s double").repartition(5)
+    for descending in (False, True):
+        out = O.rank_all(df, ["s"], descending, dense_col="dense")
+        got = {x.i: (x["rank"], x.dense) for x in out.collect()}
+        order = sorted((s for _, s in data if s is not None), reverse=descending)
+        distinct = sorted(set(order), reverse=descending)
+        first, place = {}, {s: k for k, s in enumerate(distinct, 1)}
+        for k, s in enumerate(order, 1):
+            first.setdefault(s, k)
+        want = {i: (len(order) + 1, len(distinct) + 1) if s is None else (first[s], place[s]) for i, s in data}
+        assert got == want
+        assert "Window" in out._jdf.queryExecution().executedPlan().toString() and "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    assert O.rank_all(df.where("false"), ["s"]).collect() == []

@@ -13,7 +13,8 @@ from pyspark.sql.types import StructType
 
 from tidewater.functions.text import is_true
 from tidewater.functions.time import as_ts, elapsed_days
-from tidewater.session import sized_broadcast
+from tidewater.operators.aggregate import gather_chunks
+from tidewater.session import materialised, sized_broadcast
 
 # The credential report's root account name and the
 # timestamp layout of its last-used column.
@@ -49,6 +50,16 @@ def enrich_roles(roles: DataFrame, policies: DataFrame, role_col: str = "RoleNam
     return out.withColumn("policies", F.coalesce(F.col("policies"), empty))
 
 
+def role_policy_chunks(roles: DataFrame, policies: DataFrame, role_col: str = "RoleName",
+                       fields: Sequence[str] = ("PolicyName", "PolicyArn"), chunk: int = 1000) -> DataFrame:
+    """J2 for roles with any number of policies: one row per role and ``chunk`` policies of its sorted list
+    (one row with an empty list for a role that has none)."""
+    lists = gather_chunks(policies, [role_col], fields, chunk, F.lit(1), out="policies", count_out="n_policies")
+    out = roles.join(lists, on=role_col, how="left")
+    return out.withColumns({"chunk": F.coalesce("chunk", F.lit(0)), "n_policies": F.coalesce("n_policies", F.lit(0)),
+                            "policies": F.coalesce("policies", F.array().cast(lists.schema["policies"].dataType))})
+
+
 def with_mfa(users: DataFrame, devices: DataFrame, user_col: str = "UserName") -> DataFrame:
     """J3. Users that have at least one device (semi join). Devices are
     reduced to distinct users first (partial aggregate), so a user with a
@@ -78,7 +89,7 @@ def user_permissions(direct: DataFrame, via_group: DataFrame, user_col: str = "U
         {"origin": F.lit("direct"), "via_group": F.lit(None).cast("string")})
     g = via_group.select(user_col, policy_col, "via_group").withColumn("origin", F.lit("group"))
     u = d.unionByName(g)
-    totals = u.groupBy(user_col).agg(F.count(F.lit(1)).alias("total"))
+    totals = materialised(u.groupBy(user_col).agg(F.count(F.lit(1)).alias("total")), "totals")
     return u.join(sized_broadcast(totals), on=user_col, how="inner")
 
 
@@ -87,21 +98,28 @@ def explode_csv_text(df: DataFrame, col: str, schema: str, sep: str = ",") -> Da
 
     The first line is the header: each column of ``schema`` (a DDL string)
     is read from the place its name has there, NULL where it has none.
-    Fields may be quoted, with doubled quotes inside; a record is a line."""
-    text = F.regexp_replace(F.regexp_replace(F.col(col), "\r\n", "\n"), r"^\s+|\s+$", "")
-    lines = F.split(text, "\n")
-    comma = f"{re.escape(sep)}(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)"  # outside quotes
-    fields = lambda line: F.transform(F.split(line, comma, -1), lambda x: F.when(
-        x.startswith('"'), F.replace(F.regexp_replace(x, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(x))
-    rows = (df.select("*", F.posexplode(lines).alias("_tw_pos", "_tw_line"))
-            .filter((F.col("_tw_pos") > 0) & (F.col("_tw_line") != F.lit(""))))
-    rows = rows.withColumns({"_tw_head": fields(F.element_at(F.split(F.regexp_replace(F.regexp_replace(
-        F.col(col), "\r\n", "\n"), r"^\s+|\s+$", ""), "\n"), 1)), "_tw_vals": fields(F.col("_tw_line"))})
+    Fields may be quoted, with doubled quotes inside; a record is a line.
+    The text is split once and only lines travel on, each read from left to right."""
+    if len(sep) != 1:
+        raise ValueError("sep must be one character")
+    comma = re.escape(sep)
+    field = f'{comma}("[^"]*+(?:""[^"]*+)*+"(?={comma}|$)|[^{comma}]*+)'
+
+    def fields(line: Column) -> Column:
+        found = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(field), 1)
+        bare = lambda x: F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+        return F.transform(found, lambda x: F.when(x.rlike('(?s)^".*"$') & (F.length(x) > 1), bare(x)).otherwise(x))
+
+    lines = F.split(F.btrim(F.replace(F.col(col), F.lit("\r\n"), F.lit("\n")), F.lit(" \t\n\x0b\f\r")), "\n")
+    others = [c for c in df.columns if c != col]
+    docs = df.select(*others, lines.alias("_tw_lines")).select(
+        *others, fields(F.col("_tw_lines")[0]).alias("_tw_head"), F.slice("_tw_lines", 2, F.size("_tw_lines")).alias("_tw_lines"))
+    rows = docs.select(*others, "_tw_head", F.explode("_tw_lines").alias("_tw_line")).where("_tw_line <> ''")
+    rows = rows.withColumn("_tw_vals", fields(F.col("_tw_line")))
     place = lambda name: F.array_position("_tw_head", name).cast("int")
     value = lambda f: F.when(place(f.name) > 0, F.try_element_at("_tw_vals", place(f.name))).try_cast(f.dataType)
-    return rows.select(*[c for c in df.columns if c != col],
-                       *[F.when(value(f) == "", None).otherwise(value(f)).alias(f.name) if f.dataType.simpleString() == "string"
-                         else value(f).alias(f.name) for f in StructType.fromDDL(schema).fields])
+    return rows.select(*others, *[F.when(value(f) == "", None).otherwise(value(f)).alias(f.name) if f.dataType.simpleString() == "string"
+                                  else value(f).alias(f.name) for f in StructType.fromDDL(schema).fields])
 
 
 def credential_findings(report: DataFrame, as_of=None, max_days: int = 90) -> DataFrame:

@@ -218,61 +218,107 @@ def word_vectors(df: DataFrame, text_col: str, size: int = 50, seed: int = 42, m
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
+SKETCH_K = 1000  # size of a quantile sketch: normalised rank error about 0.4 %
+
+
+def _psi(j: DataFrame, eps: float) -> DataFrame:
+    """``PSI = sum of (c - b) * ln(c / b)`` over the shares of the bins' counts ``b`` and ``c`` (a few rows)."""
+    from pyspark.sql import Window
+    everything = Window.partitionBy()
+    pb = F.greatest(F.try_divide(F.col("b"), F.sum("b").over(everything)), F.lit(eps))
+    pc = F.greatest(F.try_divide(F.col("c"), F.sum("c").over(everything)), F.lit(eps))
+    return j.select(((pc - pb) * F.log(pc / pb)).alias("_t")).agg(F.sum("_t").alias("psi"))
+
+
 def drift(baseline: DataFrame, current: DataFrame, col: str, bins: int = 10,
-          eps: float = 1e-6) -> DataFrame:
+          eps: float = 1e-6, edges: str = "quantile") -> DataFrame:
     """M7. Population stability index of ``col`` between two frames.
 
-    Bin edges are baseline quantiles (one ``percentile_approx`` scalar
-    subquery); both frames are binned by the same edges and counted, and
-    ``PSI = Σ (c - b)·ln(c / b)`` over bin shares (``eps`` smoothing). NULLs
-    and NaNs are a bin of their own; an empty frame has share 0 everywhere.
+    ``edges``: baseline quantiles (``"quantile"``, one ``percentile_approx``
+    scalar subquery) or equal widths between the baseline's smallest and largest value
+    (``"width"``, exact). Both frames are binned by the same edges and
+    counted (``eps`` smoothing). NULLs and NaNs are a bin of their own; an
+    empty frame has share 0 everywhere.
     """
+    if edges not in ("quantile", "width"):
+        raise ValueError("edges must be 'quantile' or 'width'")
+    v = F.col(col).cast("double")
+    known = baseline.where(v.isNotNull() & ~F.isnan(v))
     qs = [i / bins for i in range(1, bins)]
-    edges = baseline.select(F.percentile_approx(F.col(col).cast("double"), qs, 10_000)).scalar()
+    if edges == "quantile":
+        cuts = known.select(F.percentile_approx(v, qs, 10_000)).scalar()
+    else:
+        cuts = known.select(F.array(*[F.min(v) + (F.max(v) - F.min(v)) * q for q in qs])).scalar()
 
     def binned(df: DataFrame, side: str) -> DataFrame:
-        x = F.col(col).cast("double")
         # bin = number of edges <= x (edges stay a scalar subquery; no lambda,
         # since subqueries are not allowed inside higher-order functions)
-        b = sum((x >= F.element_at(edges, i + 1)).cast("int") for i in range(len(qs)))
-        b = F.when(x.isNull() | F.isnan(x), F.lit(-1)).otherwise(F.coalesce(b, F.lit(0)))
+        b = sum((v >= F.element_at(cuts, i + 1)).cast("int") for i in range(len(qs)))
+        b = F.when(v.isNull() | F.isnan(v), F.lit(-1)).otherwise(F.coalesce(b, F.lit(0)))
         return (df.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias(side)))
 
-    from pyspark.sql import Window
-    j = binned(baseline, "b").join(binned(current, "c"), on="bin", how="full").fillna(0, ["b", "c"])
-    # totals from the (at most bins + 1) binned rows, not from new scans
-    everything = Window.partitionBy()
-    pb = F.greatest(F.try_divide(F.col("b"), F.sum("b").over(everything)), F.lit(eps))
-    pc = F.greatest(F.try_divide(F.col("c"), F.sum("c").over(everything)), F.lit(eps))
-    return (j.select(((pc - pb) * F.log(pc / pb)).alias("_t"))
-            .agg(F.sum("_t").alias("psi")))
+    return _psi(binned(baseline, "b").join(binned(current, "c"), on="bin", how="full").fillna(0, ["b", "c"]), eps)
+
+
+def value_sketches(df: DataFrame, col: str, by: Sequence[str] = (), k: int = SKETCH_K) -> DataFrame:
+    """M7 for incremental runs: per part (``by``), rows, NULL or NaN rows, and a mergeable quantile sketch of the other values."""
+    v = F.col(col).cast("double")
+    known = F.when(~F.isnan(v), v)
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_if(v.isNull() | F.isnan(v)).alias("missing"),
+                               F.kll_sketch_agg_double(known, F.lit(k)).alias("sketch"))
+
+
+def sketch_drift(baseline: DataFrame, current: DataFrame, bins: int = 10, eps: float = 1e-6) -> DataFrame:
+    """M7 from stored :func:`value_sketches`: no data is read again. Edges and shares are off by the sketches' rank error."""
+    qs = [i / bins for i in range(1, bins)]
+    one = lambda df: df.where("n > missing").agg(F.kll_merge_agg_double("sketch").alias("s"))
+    cuts = one(baseline).where("s IS NOT NULL").select(*[F.kll_sketch_get_quantile_double("s", F.lit(q)) for q in qs]).first()  # bins - 1 numbers
 
+    def shares(df: DataFrame, side: str) -> DataFrame:
+        sums = df.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("missing"), F.lit(0)).alias("m"))
+        below = one(df).where("s IS NOT NULL").select(*[F.kll_sketch_get_rank_double("s", F.lit(c)) for c in cuts or []]).first() if cuts else None
+        known = (F.col("n") - F.col("m")).cast("double")
+        up = [F.lit(0.0), *map(F.lit, below or [0.0] * len(qs)), F.lit(1.0)]
+        counts = [F.struct(F.lit(-1).alias("bin"), F.col("m").cast("double").alias(side)),
+                  *[F.struct(F.lit(i).alias("bin"), (known * (up[i + 1] - up[i])).alias(side)) for i in range(bins)]]
+        return sums.select(F.explode(F.array(*counts)).alias("_f")).select("_f.*")
 
-def apply_handler(df: DataFrame, fn: Callable[[dict], dict], schema: str,
+    return _psi(shares(baseline, "b").join(shares(current, "c"), on="bin"), eps)
+
+
+def apply_handler(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
                   error_col: str = "error", keep: Sequence[str] = ()) -> DataFrame:
-    """M16. User handler per record inside ``mapInPandas`` (one Python
-    worker per partition, Arrow batches). ``keep`` columns are copied from
-    the input to every output row; a record whose handler raises becomes a
-    row with ``error`` set (and its ``keep`` values); the batch goes on."""
+    """M16. User handler on batches of records (``mapInPandas``, Arrow batches).
+
+    ``fn`` gets a frame and returns one of as many rows in the same order with the
+    fields of ``schema``; it may reject single rows by an ``error_col`` of its
+    own. If it raises, the batch is halved until the records at fault stand
+    alone: these get the error (and nulls), all others their result. ``keep``
+    columns are copied from the input to every output row.
+    """
     from pyspark.sql.types import StructType
     out_fields = [f.name for f in StructType.fromDDL(schema).fields]
     keep = list(keep)
     keep_ddl = ", ".join(f"{c} {t}" for c, t in df.select(*keep).dtypes) if keep else ""
-    cols = keep + out_fields + [error_col]
+
+    def handled(pdf: pd.DataFrame) -> list[pd.DataFrame]:
+        try:
+            got = fn(pdf).reset_index(drop=True)
+            if len(got) != len(pdf):
+                raise ValueError(f"handler returned {len(got)} rows for {len(pdf)}")
+            return [got.reindex(columns=[*out_fields, error_col])]
+        except Exception as e:
+            if len(pdf) == 1:
+                return [pd.DataFrame({**{c: [None] for c in out_fields}, error_col: [f"{type(e).__name__}: {e}"]})]
+            half = len(pdf) // 2
+            return handled(pdf.iloc[:half]) + handled(pdf.iloc[half:])
 
     def run(batches):
         for pdf in batches:
-            out = []
-            for rec in pdf.to_dict("records"):
-                try:
-                    r = dict(fn(rec) or {})
-                    r[error_col] = None
-                except Exception as e:  # isolate the failing record
-                    r = {error_col: f"{type(e).__name__}: {e}"}
-                for c in keep:
-                    r[c] = rec[c]
-                out.append({c: r.get(c) for c in cols})
-            yield pd.DataFrame(out, columns=cols)
+            if len(pdf):
+                out = pd.concat([p.astype(object) for p in handled(pdf.reset_index(drop=True))], ignore_index=True)
+                out = out.where(out.notna(), None)
+                yield pd.concat([pdf[keep].reset_index(drop=True), out], axis=1)
 
     full = ", ".join(x for x in [keep_ddl, schema, f"{error_col} string"] if x)
     return df.mapInPandas(run, full)

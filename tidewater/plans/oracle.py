@@ -531,3 +531,94 @@ SELECT '/app/events' AS log_group, 'stream-1' AS log_stream, epoch_us(ts) // 100
                    'source', 'tidewater')::VARCHAR AS message
 FROM events
 """
+
+ORACLE_SQL["apply_change_log"] = """
+WITH last AS (SELECT o_custkey, max(o_orderkey) AS k FROM orders GROUP BY 1)
+SELECT o.o_custkey AS custkey, o_orderstatus AS status, CAST(round(o_totalprice * 100) AS BIGINT) AS cents
+FROM last JOIN orders o ON o.o_orderkey = last.k WHERE k % 7 <> 0
+"""
+
+ORACLE_SQL["top5000_prices"] = """
+WITH r AS (SELECT o_orderstatus, o_orderkey, o_totalprice,
+                  rank() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders)
+SELECT * FROM r WHERE rank <= 5000
+"""
+
+ORACLE_SQL["price_ranks"] = """
+SELECT o_orderkey, rank() OVER (ORDER BY o_totalprice DESC) AS rank, dense_rank() OVER (ORDER BY o_totalprice DESC) AS dense_rank
+FROM orders
+"""
+
+ORACLE_SQL["gather_chunks"] = """
+WITH r AS (SELECT l_returnflag, l_orderkey, l_linenumber,
+                  (row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) - 1) // 5000 AS chunk FROM lineitem)
+SELECT l_returnflag, chunk, count(*) AS n_items, min(l_orderkey) AS first_order, max(l_orderkey) AS last_order,
+       CAST(sum(l_linenumber) AS BIGINT) AS lines
+FROM r GROUP BY 1, 2
+"""
+
+ORACLE_SQL["role_chunks"] = """
+WITH r AS (SELECT n_name, c_name, (row_number() OVER (PARTITION BY n_name ORDER BY c_name, CAST(c_custkey AS VARCHAR)) - 1) // 50 AS chunk
+           FROM customer JOIN nation ON c_nationkey = n_nationkey),
+g AS (SELECT n_name, chunk, count(*) AS n_policies, min(c_name) AS first_policy FROM r GROUP BY 1, 2),
+n AS (SELECT n_name FROM nation UNION ALL SELECT 'NOWHERE')
+SELECT n.n_name AS RoleName, coalesce(chunk, 0) AS chunk, coalesce(n_policies, 0) AS n_policies, first_policy FROM n LEFT JOIN g ON n.n_name = g.n_name
+"""
+
+ORACLE_SQL["drift_width"] = """
+WITH s AS (SELECT CAST(o_totalprice AS DOUBLE) AS x, o_orderdate < TIMESTAMP '1998-05-01 00:00:00' AS old FROM orders),
+e AS (SELECT min(x) AS lo, max(x) AS hi FROM s WHERE old),
+b AS (SELECT old, len(list_filter(range(1, 10), lambda i: x >= lo + (hi - lo) * (CAST(i AS DOUBLE) / CAST(10 AS DOUBLE)))) AS bin FROM s, e),
+c AS (SELECT bin, sum(CASE WHEN old THEN 1 ELSE 0 END) AS b, sum(CASE WHEN old THEN 0 ELSE 1 END) AS c FROM b GROUP BY 1),
+p AS (SELECT greatest(b / sum(b) OVER (), CAST(1e-6 AS DOUBLE)) AS pb, greatest(c / sum(c) OVER (), CAST(1e-6 AS DOUBLE)) AS pc FROM c)
+SELECT round(sum((pc - pb) * ln(pc / pb)), 8) AS psi FROM p
+"""
+
+ORACLE_SQL["enrich_users"] = """
+SELECT c_name AS "user", any_value(c_acctbal) > 0 AS has_console, count(o_orderkey) AS n_keys,
+       coalesce(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY CAST(o_orderkey AS VARCHAR)), '') AS access_keys
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_name
+"""
+
+ORACLE_SQL["average_quantity"] = """
+SELECT l_returnflag, l_linestatus, round(avg(l_quantity), 6) AS average FROM lineitem GROUP BY 1, 2
+"""
+
+ORACLE_SQL["maximum_value"] = """
+SELECT event_type, max(value) AS maximum FROM events GROUP BY 1
+"""
+
+ORACLE_SQL["assemble_chunks"] = """
+SELECT l_orderkey, string_agg(CAST(l_linenumber AS VARCHAR) || ';', '' ORDER BY l_linenumber) AS text
+FROM lineitem WHERE l_linenumber <> 1 GROUP BY 1
+"""
+
+ORACLE_SQL["json_payloads"] = """
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'u' || event_id WHEN 1 THEN 'x' ELSE 'nobody' END AS "user",
+       CASE event_id % 3 WHEN 0 THEN event_id ELSE 0 END AS value,
+       CASE event_id % 3 WHEN 2 THEN 'null:user' END AS reject_reason
+FROM events
+"""
+
+ORACLE_SQL["constraint_checks"] = """
+WITH l AS (SELECT 'o_custkey' AS "column", o_orderdate, CAST(o_custkey AS DOUBLE) AS x FROM orders
+           UNION ALL SELECT 'o_totalprice', o_orderdate, CAST(o_totalprice AS DOUBLE) FROM orders),
+p AS (SELECT "column", o_orderdate < TIMESTAMP '1998-05-01 00:00:00' AS old, avg(CASE WHEN x IS NULL THEN 1.0 ELSE 0.0 END) AS nulls,
+             min(x) AS lo, max(x) AS hi, avg(x) AS mean, stddev_samp(x) AS sd FROM l GROUP BY 1, 2),
+j AS (SELECT a."column", a.nulls <= b.nulls + 0.01 AS c1, a.lo >= b.lo AS c2, a.hi <= b.hi AS c3,
+             abs(a.mean - b.mean) <= 0.01 * (b.sd + abs(b.mean)) AS c4
+      FROM p a JOIN p b ON a."column" = b."column" WHERE NOT a.old AND b.old)
+SELECT "column", 'null_ratio' AS "check", c1 AS ok FROM j UNION ALL SELECT "column", 'min', c2 FROM j
+UNION ALL SELECT "column", 'max', c3 FROM j UNION ALL SELECT "column", 'mean', c4 FROM j
+"""
+
+ORACLE_SQL["consume_queue"] = """
+SELECT CASE WHEN o_orderkey % 10 <> 0 THEN 'm' || o_orderkey END AS message_id,
+       CASE WHEN o_orderkey % 10 > 1 THEN 'AWS Bildirim: ' || o_orderpriority END AS subject_line,
+       CASE WHEN o_orderkey % 10 > 1 THEN '🔔 Yeni Bildirim' || chr(10) || chr(10) || '📧 Alıcı: ' || o_custkey || '@x.org' || chr(10) ||
+            '📌 Konu: ' || o_orderpriority || chr(10) || '💬 Mesaj: ' || o_orderstatus || chr(10) || '📅 Tarih: 2024-01-01T00:00:00' || chr(10) ||
+            '🆔 ID: m' || o_orderkey END AS text,
+       'sent' AS status, '2024-01-01T01:00:00.000000' AS processed_at,
+       CASE o_orderkey % 10 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'missing recipient' END AS error
+FROM orders
+"""

@@ -8,8 +8,10 @@ reproducible.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from tidewater.operators import ordering as O
 from tidewater.operators import shape as P
 from tidewater.operators import timeseries as TS
 from tidewater.operators.vector import vector_top_k
-from tidewater.session import ship_by_value, spread
+from tidewater.session import checkpoint_path, ship_by_value, spread
 
 ship_by_value(__name__)  # the user handler below runs in Python workers
 
@@ -823,16 +825,16 @@ def order_json(spark, d):
     return N.as_json(o, ["o_orderkey", "o_orderstatus", "price"], out="json", keep=["o_orderkey"])
 
 
-def _event_handler(rec: dict) -> dict:
-    """A per-record user handler: error events are rejected, values classed."""
-    if rec["event_type"] == "error":
-        raise ValueError("rejected")
-    return {"value_class": "high" if rec["value"] > 100 else "low"}
+def _event_handler(events: pd.DataFrame) -> pd.DataFrame:
+    """A user handler on batches: error events are rejected, values classed."""
+    bad = events["event_type"] == "error"
+    kind = (events["value"] > 100).map({True: "high", False: "low"})
+    return pd.DataFrame({"value_class": kind.where(~bad, None), "error": bad.map({True: "ValueError: rejected", False: None})})
 
 
 @query
 def event_handler(spark, d):
-    """User handler per event (mapInPandas); failures isolated per record."""
+    """User handler on batches of events (mapInPandas); failures isolated per record."""
     from tidewater.operators import ml as M
     e = load(spark, d, "events").select("event_id", "event_type", "value")
     return M.apply_handler(e, _event_handler, "value_class string", keep=["event_id"])
@@ -867,3 +869,145 @@ def event_logs(spark, d):
     from tidewater.sinks import to_log_rows
     e = load(spark, d, "events")
     return to_log_rows(e, "/app/events", "stream-1", "event_type", "ts", source="tidewater")
+
+
+# ------------------------------------------- keyed changes, ranks, long lists
+
+@query
+def apply_change_log(spark, d):
+    """Change records of customers (one an order, eight a message), applied to a bucketed keyed table in three batches."""
+    from tidewater.streaming import jobs, tables
+    o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    value = lambda s, n: F.struct(s.cast("string").alias("S"), n.cast("string").alias("N"))
+    none = F.lit(None)
+    key = F.create_map(F.lit("custkey"), value(none, F.col("o_custkey")))
+    image = F.create_map(F.lit("custkey"), value(none, F.col("o_custkey")), F.lit("status"), value(F.col("o_orderstatus"), none),
+                         F.lit("cents"), value(none, F.col("cents")))
+    kind = F.when(F.col("o_orderkey") % 7 == 0, "REMOVE").when(F.col("o_orderkey") % 7 < 4, "INSERT").otherwise("MODIFY")
+    record = F.struct(kind.alias("eventName"), F.struct(F.col("o_orderkey").cast("string").alias("SequenceNumber"), key.alias("Keys"),
+                                                        F.when(kind != "REMOVE", image).alias("NewImage")).alias("dynamodb"))
+    messages = o.select(F.floor(F.col("o_orderkey") / 8).alias("m"), record.alias("r")).groupBy("m").agg(F.collect_list("r").alias("Records"))
+    messages = messages.select("m", F.to_json(F.struct("Records")).alias("value"))
+    schema = {"custkey": "bigint", "status": "string", "cents": "bigint"}
+    third = (o.agg(F.max("o_orderkey")).first()[0] or 0) // 24 + 1
+    path = checkpoint_path(spark, f"change-log-{uuid.uuid4().hex}")
+    for i in range(3):
+        batch = messages.where((F.col("m") >= third * i) & (F.col("m") < third * (i + 1)))
+        rows = jobs.change_rows(batch, "value", ["custkey"], schema)
+        jobs.apply_change_rows(rows, path, ["custkey"], schema, i, buckets=8)
+    return tables.read_table(spark, path).select(*schema)
+
+
+@query
+def top5000_prices(spark, d):
+    """W9 beyond Spark's own group limit: the 5000 highest orders of each status."""
+    o = load(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice")
+    lb = O.leaderboard(o, ["o_orderstatus"], "o_totalprice", 5000, method="rank", tie=["o_orderkey"])
+    return lb.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query
+def price_ranks(spark, d):
+    """W9 over all rows: rank and dense rank of every order by price."""
+    return O.rank_all(load(spark, d, "orders").select("o_orderkey", "o_totalprice"), ["o_totalprice"], descending=True, dense_col="dense_rank").select(
+        "o_orderkey", F.col("rank").cast("bigint").alias("rank"), F.col("dense_rank").cast("bigint").alias("dense_rank"))
+
+
+@query
+def gather_chunks(spark, d):
+    """The line items of each return flag (a third of all rows and more) as lists of 5000."""
+    g = A.gather_chunks(load(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber"), ["l_returnflag"],
+                        ["l_orderkey", "l_linenumber"], 5000, F.lit(1))
+    return g.select("l_returnflag", "chunk", "n_items", F.get("items", F.lit(0))["l_orderkey"].alias("first_order"),
+                    F.element_at("items", -1)["l_orderkey"].alias("last_order"),
+                    F.aggregate("items", F.lit(0).cast("bigint"), lambda a, x: a + x["l_linenumber"]).alias("lines"))
+
+
+@query
+def role_chunks(spark, d):
+    """Nations as roles with their customers as attached policies, 50 a row."""
+    n = load(spark, d, "nation").select(F.col("n_name").alias("RoleName"), "n_nationkey")
+    pol = (load(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+           .select("RoleName", F.col("c_name").alias("PolicyName"), F.col("c_custkey").cast("string").alias("PolicyArn")))
+    r = AU.role_policy_chunks(n.unionByName(spark.createDataFrame([("NOWHERE", -1)], "RoleName string, n_nationkey long"), allowMissingColumns=True)
+                              .select("RoleName"), pol, chunk=50)
+    return r.select("RoleName", "chunk", "n_policies", F.get(F.col("policies"), F.lit(0))["PolicyName"].alias("first_policy"))
+
+
+@query
+def drift_width(spark, d):
+    """M7 with equal-width bins: population stability of order prices, first half of the period vs the second."""
+    from tidewater.operators import ml as M
+    o = load(spark, d, "orders")
+    cut = _ntz("1998-05-01 00:00:00")
+    return M.drift(o.filter(F.col("o_orderdate") < cut), o.filter(F.col("o_orderdate") >= cut), "o_totalprice", edges="width").select(
+        F.round("psi", 8).alias("psi"))
+
+
+# ------------------------------------ operators bound one by one to a table
+
+@query
+def enrich_users(spark, d):
+    """Customers as users, those with a balance have a console, their orders are access keys."""
+    users = load(spark, d, "customer").select(F.col("c_name").alias("UserName"), "c_custkey")
+    profiles = load(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_name").alias("UserName"))
+    keys = load(spark, d, "orders").join(users, F.col("o_custkey") == F.col("c_custkey")).select("UserName", F.col("o_orderkey").cast("string").alias("AccessKeyId"))
+    return AU.enrich_users(users.select("UserName"), profiles, keys).select(
+        F.col("UserName").alias("user"), "has_console", F.col("n_keys").cast("bigint").alias("n_keys"), F.array_join("access_keys", ",").alias("access_keys"))
+
+
+@query
+def average_quantity(spark, d):
+    """A3: mean quantity of each return flag and line status."""
+    return A.average(load(spark, d, "lineitem"), "l_quantity", "average", by=["l_returnflag", "l_linestatus"]).withColumn("average", F.round("average", 6))
+
+
+@query
+def maximum_value(spark, d):
+    """A4: largest value of each event type."""
+    return A.maximum(load(spark, d, "events"), "value", "maximum", by=["event_type"])
+
+
+@query
+def assemble_chunks(spark, d):
+    """Line items as streamed reply chunks; only content_block_delta chunks make the text."""
+    li = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.to_json(F.struct(
+        F.when(F.col("l_linenumber") == 1, "message_start").otherwise("content_block_delta").alias("type"),
+        F.struct(F.concat(F.col("l_linenumber").cast("string"), F.lit(";")).alias("text")).alias("delta"))).alias("body"))
+    return N.assemble_chunks(li, "l_orderkey", "l_linenumber", "body")
+
+
+@query
+def json_payloads(spark, d):
+    """P6 on JSON payloads: a missing key takes its default, an explicit null of a required one rejects the row."""
+    n = F.col("event_id").cast("string")
+    body = (F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"user":"u'), n, F.lit('","value":'), n, F.lit("}")))
+            .when(F.col("event_id") % 3 == 1, F.lit('{"user":"x"}')).otherwise(F.lit('{"user":null,"value":null}')))
+    e = load(spark, d, "events").select("event_id", body.alias("body"))
+    return P.json_fields(e, "body", {"user": ("string", "nobody"), "value": ("bigint", 0)}, reject_null=["user"]).select(
+        "event_id", "user", "value", "reject_reason")
+
+
+@query
+def constraint_checks(spark, d):
+    """The second half of the orders checked against a profile of the first."""
+    o = load(spark, d, "orders").select("o_orderdate", "o_custkey", "o_totalprice")
+    cut = _ntz("1998-05-01 00:00:00")
+    first, second = (A.profile(x.select("o_custkey", "o_totalprice")) for x in (o.filter(F.col("o_orderdate") < cut), o.filter(F.col("o_orderdate") >= cut)))
+    return A.check_constraints(second, first, tolerance=0.01).select("column", "check", "ok")
+
+
+@query
+def consume_queue(spark, d):
+    """T2 without the stream: orders as queue records, some broken, some without a recipient."""
+    from tidewater.streaming import jobs
+    k = F.col("o_orderkey").cast("string")
+    fields = [F.concat(F.lit("m"), k).alias("message_id"), F.lit("2024-01-01T00:00:00").alias("timestamp"),
+              F.when(F.col("o_orderkey") % 10 != 1, F.concat(F.col("o_custkey").cast("string"), F.lit("@x.org"))).alias("recipient"),
+              F.col("o_orderpriority").alias("subject"), F.col("o_orderstatus").alias("message")]
+    body = F.when(F.col("o_orderkey") % 10 == 0, F.lit("{broken")).otherwise(F.to_json(F.struct(*fields)))
+    lines = load(spark, d, "orders").select(F.to_json(F.struct(body.alias("body"))).alias("value"))
+    rows = jobs.consume_rows(lines, as_of="2024-01-01 01:00:00")
+    ok = F.col("error").isNull()
+    return rows.select("message_id", F.when(ok, F.col("subject_line")).alias("subject_line"), F.when(ok, F.col("text")).alias("text"),
+                       "status", "processed_at", "error")

@@ -142,6 +142,16 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``cols`` where NULL equals NULL; their left values are kept."""
+    for i, c in enumerate(cols):
+        right = right.withColumnRenamed(c, f"_tw_key{i}")
+    on = F.lit(True)
+    for i, c in enumerate(cols):
+        on = on & left[c].eqNullSafe(right[f"_tw_key{i}"])
+    return left.join(right, on, how).drop(*[f"_tw_key{i}" for i in range(len(cols))])
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Parallelism floor for narrow inputs.
 

@@ -134,17 +134,19 @@ def run_sensor_ingest(spark: SparkSession, src: str, out: str, checkpoint: str |
 
 # ------------------------------------------------------------- T2 consumer
 
-# Fixed value: text sent for each notification (fields of the message),
-# without the surrounding blank lines.
+# Text and subject line sent for each notification (fields of
+# the message), the text without the surrounding blank lines.
 NOTIFICATION_TEXT = ("🔔 Yeni Bildirim\n\n📧 Alıcı: {recipient}\n📌 Konu: {subject}\n💬 Mesaj: {message}\n"
                      "📅 Tarih: {timestamp}\n🆔 ID: {message_id}")
+SUBJECT_LINE = "AWS Bildirim: {subject}"
 SENT = "sent"
 MESSAGE_KEYS = ("message_id", "timestamp")
 
 
-def consume_rows(lines: DataFrame, as_of=None) -> DataFrame:
+def consume_rows(lines: DataFrame, as_of=None, text: str = NOTIFICATION_TEXT, subject_line: str = SUBJECT_LINE) -> DataFrame:
     """Queue records (``{"body": "<message json>"}`` per line) -> parsed
-    messages with the rendered text and an ``error`` for records that
+    messages with the rendered text and subject line (both templates over the message's
+    fields) and an ``error`` for records that
     cannot be processed (bad JSON, or a missing required field)."""
     outer = F.try_parse_json(F.col("value"))
     body_txt = F.coalesce(F.try_variant_get(outer, "$.body", "string"), F.col("value"))
@@ -159,7 +161,7 @@ def consume_rows(lines: DataFrame, as_of=None) -> DataFrame:
                        .when(F.col("recipient").isNull(), F.lit("missing recipient"))
                        .when(F.col("subject").isNull(), F.lit("missing subject"))
                        .when(F.col("message").isNull(), F.lit("missing message"))).drop("_bad")
-    df = P.render(df, NOTIFICATION_TEXT, "text")
+    df = P.render(P.render(df, text, "text"), subject_line, "subject_line")
     ts = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     return df.withColumns({"status": F.lit(SENT),
                            "processed_at": F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")})
@@ -177,7 +179,7 @@ def run_consumer(spark: SparkSession, src: str, log: str, out: str, checkpoint:
             ok = rows.filter(F.col("error").isNull())
             tables.update(ok.select(*MESSAGE_KEYS, "status", "processed_at"), log, MESSAGE_KEYS, batch_id,
                           set_cols=["status", "processed_at"], writer=cp)
-            _write_batch(ok.select(*MESSAGE_KEYS, "recipient", "text"), os.path.join(out, "sent"), batch_id)
+            _write_batch(ok.select(*MESSAGE_KEYS, "recipient", "subject_line", "text"), os.path.join(out, "sent"), batch_id)
             dead_letters(rows.filter(F.col("error").isNotNull()), os.path.join(out, "failed"), batch_id)
             counts = ok.agg(F.count(F.lit(1)).alias("processed")).withColumn("batch_id", F.lit(int(batch_id)))
             _write_batch(counts, os.path.join(out, "counts"), batch_id)
@@ -242,11 +244,12 @@ def change_rows(df: DataFrame, body_col: str, keys: Sequence[str], schema: Mappi
     return d.withColumn("_op", F.when(F.col("event_name") == "REMOVE", F.lit("delete")).otherwise(F.lit("put")))
 
 
-def apply_change_rows(rows: DataFrame, table: str, keys: Sequence[str], schema: Mapping[str, str], batch_id: int, writer: str = "") -> None:
+def apply_change_rows(rows: DataFrame, table: str, keys: Sequence[str], schema: Mapping[str, str], batch_id: int, writer: str = "",
+                      buckets: int = tables.BUCKETS) -> None:
     """One batch of ``change_rows``, put and deleted in the keyed table in the order of ``_pos``."""
     puts = tables.changes(rows.filter(F.col("_op") == "put").select(*schema, "_pos"), "put", order_col="_pos")
     dels = tables.changes(rows.filter(F.col("_op") == "delete").select(*keys, "_pos"), "delete", order_col="_pos")
-    tables.write_changes(puts.unionByName(dels, allowMissingColumns=True), table, keys, batch_id, writer)
+    tables.write_changes(puts.unionByName(dels, allowMissingColumns=True), table, keys, batch_id, writer, buckets)
 
 
 def apply_changes(spark: SparkSession, src: str, table: str, keys: Sequence[str],
