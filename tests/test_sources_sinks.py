@@ -120,3 +120,15 @@ def test_pixels(spark, tmp):
     spark.createDataFrame([(1, [255.0] * 784), (2, [0.0] * 10)], "label int, pixels array<float>").write.parquet(p)
     got = {r.label: r for r in read_pixels(spark, p).collect()}
     assert got[1].valid and abs(got[1].pixels[0] - 1.0) < 1e-6 and not got[2].valid
+
+
+def test_inventory_lists_only_what_begins_with_the_prefix(spark, tmp):
+    for f in ("logs/2024/a.txt", "logs/2024/sub/b.txt", "logs/2025/c.txt", "lo[g/d.txt", "other/e.txt", "log.txt"):
+        os.makedirs(os.path.dirname(os.path.join(tmp, f)), exist_ok=True)
+        open(os.path.join(tmp, f), "w").write("x")
+    keys = lambda p: sorted(r.key for r in object_inventory(spark, tmp, p).collect())
+    assert keys("logs/2024") == ["logs/2024/a.txt", "logs/2024/sub/b.txt"]
+    assert keys("log") == ["log.txt", "logs/2024/a.txt", "logs/2024/sub/b.txt", "logs/2025/c.txt"]
+    assert keys("lo[") == ["lo[g/d.txt"] and keys("nothing") == [] and len(keys("")) == 6
+    listed = object_inventory(spark, tmp, "logs/2025").inputFiles()
+    assert len(listed) == 1 and listed[0].endswith("logs/2025/c.txt")

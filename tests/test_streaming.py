@@ -90,7 +90,7 @@ def test_consumer_bad_record_and_counts(spark, tmp):
     _run(jobs.run_consumer(spark, q, log, out, os.path.join(tmp, "cp"), as_of="2024-01-01 01:00:00", max_per_batch=5))
     counts = spark.read.parquet(os.path.join(out, "counts"))
     per_batch = [r.processed for r in counts.collect()]
-    assert len(per_batch) == 2 and sum(per_batch) == 5  # 7 files in batches of at most 5
+    assert len(per_batch) == 2 and sum(per_batch) == 5  # 7 messages in batches of at most 5
     t = tables.read_table(spark, log)
     assert t.count() == 5 and {r.status for r in t.collect()} == {"sent"}
     failed = rows(spark.read.parquet(os.path.join(out, "failed")), "error")
@@ -403,3 +403,24 @@ def test_stream_alarm_restart_goes_on_from_its_state(spark, tmp):
     got = rows(spark.read.parquet(os.path.join(tmp, "out")), "period_start", "state")
     assert len(got) == 16 and len({r[0] for r in got}) == 16  # minutes 0 to 80, no period twice
     assert [r[1] for r in got][:3] == ["INSUFFICIENT_DATA", "ALARM", "OK"]
+
+
+def test_queue_drains_one_file_in_batches_of_messages(spark, tmp):
+    """60 messages of one file and 7 of two more, in batches of five; a restart goes on where the last run ended."""
+    q, cp, seen = os.path.join(tmp, "queue"), os.path.join(tmp, "cp"), []
+    _write_lines(q, "a.json", [f"m{i}" for i in range(60)])
+    take = lambda df, batch_id: seen.append([r.value for r in df.collect()])
+    from tidewater.streaming.sources import stream_queue
+    assert jobs._drain(stream_queue(spark, q, 5), take, cp).exception() is None
+    assert [len(b) for b in seen] == [5] * 12 and [m for b in seen for m in b] == [f"m{i}" for i in range(60)]
+    _write_lines(q, "b.json", ["n0", "", "n1", "n2"])
+    _write_lines(q, "c.json", ["n3", "n4", "n5", "n6"])
+    _times(q, ["a.json", "b.json", "c.json"])  # a.json gets a new time: it is not read again only if it sorts before b
+    os.utime(os.path.join(q, "a.json"), (1, 1))
+    seen.clear()
+    assert jobs._drain(stream_queue(spark, q, 5), take, os.path.join(tmp, "cp2")).exception() is None
+    assert [len(b) for b in seen] == [5] * 13 + [2] and [m for b in seen[12:] for m in b] == [f"n{i}" for i in range(7)]
+    _write_lines(q, "d.json", ["o0"])
+    seen.clear()
+    assert jobs._drain(stream_queue(spark, q, 5), take, os.path.join(tmp, "cp2")).exception() is None
+    assert seen == [["o0"]]

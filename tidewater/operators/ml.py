@@ -18,7 +18,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.clustering import LDA, KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, CountVectorizer, RegexTokenizer, VectorAssembler, Word2Vec
+from pyspark.ml.feature import PCA, CountVectorizer, HashingTF, RegexTokenizer, VectorAssembler, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
@@ -197,15 +197,20 @@ def reduce(df: DataFrame, features: Sequence[str] | str, k: int) -> DataFrame:
     return model.transform(d).withColumn("pcs", vector_to_array("_pcs")).drop("features", "_pcs")
 
 
-def topics(df: DataFrame, text_col: str, k: int, vocab: int = 2**31 - 1, max_iter: int = 10,
-           seed: int = 42) -> DataFrame:
+def topics(df: DataFrame, text_col: str, k: int, vocab: int | None = None, max_iter: int = 10,
+           seed: int = 42, features: int = 1 << 18) -> DataFrame:
     """M14. LDA topic mixture per document (``topic_mix`` array), over all
-    words of two letters or more; a smaller ``vocab`` keeps the most frequent
-    ones only (the vocabulary is held on the driver)."""
+    words of two letters or more.
+
+    Words are hashed to ``features`` counters, so every word counts and the driver holds
+    ``features * k`` numbers however large the vocabulary is. With ``vocab`` the
+    most frequent words are counted by name instead (that many words on the driver).
+    """
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"\W+", minTokenLength=2)
-    cv = CountVectorizer(inputCol="_tok", outputCol="_tf", vocabSize=vocab)
+    tf = (HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=features) if vocab is None
+          else CountVectorizer(inputCol="_tok", outputCol="_tf", vocabSize=vocab))
     lda = LDA(k=k, maxIter=max_iter, seed=seed, featuresCol="_tf", topicDistributionCol="_mix")
-    model = Pipeline(stages=[tok, cv, lda]).fit(df)
+    model = Pipeline(stages=[tok, tf, lda]).fit(df)
     return model.transform(df).withColumn("topic_mix", vector_to_array("_mix")).drop("_tok", "_tf", "_mix")
 
 

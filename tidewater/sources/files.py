@@ -4,6 +4,9 @@ to be typed with :func:`tidewater.operators.shape.cast_columns`."""
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -61,18 +64,28 @@ def object_inventory(spark: SparkSession, path: str, prefix: str = "", glob: str
     """S5. Objects under ``path``: key (relative path), size, last modified.
 
     Uses the ``binaryFile`` source without its ``content`` column, so only
-    file metadata is listed, never the bytes."""
+    file metadata is listed, never the bytes. ``prefix`` becomes a path
+    pattern: what does not begin with it is never listed. What matches at the first
+    level are the roots of the listing, which Spark spreads over tasks when they are many."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.load(path)
     base = path.rstrip("/") + "/"
+    pattern = base + re.sub(r"([\\\[\]{}*?,^])", r"\\\1", prefix) + "*"
+    try:
+        df = r.load(pattern)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        if not prefix:
+            r.load(path)  # an error where there is no such folder
+        df = spark.createDataFrame([], "path string, modificationTime timestamp, length bigint")
     rel = F.regexp_replace(F.col("path"), r"^(file:)?(//)?", "")
     base_clean = base.replace("file://", "").replace("file:", "")
     key = F.when(rel.startswith(base_clean), F.substring(rel, len(base_clean) + 1, 1 << 30)).otherwise(rel)
     out = df.select(key.alias("key"), F.col("length").alias("size"),
                     F.col("modificationTime").alias("last_modified"))
-    return out.filter(F.col("key").startswith(prefix)) if prefix else out
+    return out
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType | str | None = None) -> DataFrame:

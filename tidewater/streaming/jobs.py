@@ -37,6 +37,15 @@ def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
             .trigger(**trigger_kwargs(trigger)).start())
 
 
+def _drain(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Run batch after batch until the source has nothing more, then stop: for
+    sources with a batch limit of their own, which ``availableNow`` would end after one batch."""
+    query = _start(df, fn, checkpoint, "0 seconds")
+    query.processAllAvailable()
+    query.stop()
+    return query
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Append one batch as partition ``_batch=<id>``; replay overwrites it."""
     (df.withColumn(BATCH, F.lit(int(batch_id))).write.mode("overwrite")
@@ -169,7 +178,7 @@ def consume_rows(lines: DataFrame, as_of=None, text: str = NOTIFICATION_TEXT, su
 
 def run_consumer(spark: SparkSession, src: str, log: str, out: str, checkpoint: str | None = None,
                  trigger: str | None = None, as_of=None, max_per_batch: int = 5) -> StreamingQuery:
-    """T2. Drain the queue in batches of ``max_per_batch`` files: parse,
+    """T2. Drain the queue in batches of ``max_per_batch`` messages: parse,
     render, mark ``sent`` (update by key, created if absent) in the log
     table, write the sent texts and the processed count per batch (A14).
     A bad record goes to ``out/failed`` and never stops the batch."""
@@ -186,7 +195,8 @@ def run_consumer(spark: SparkSession, src: str, log: str, out: str, checkpoint:
         finally:
             rows.unpersist()
     cp = checkpoint or _default_cp(spark, "consumer", src, log, out)
-    return _start(stream_queue(spark, src, max_per_batch), batch, cp, trigger)
+    queue = stream_queue(spark, src, max_per_batch)
+    return _drain(queue, batch, cp) if trigger in (None, "availableNow") else _start(queue, batch, cp, trigger)
 
 
 # ------------------------------------------------- T3 / T4 stateless + state
@@ -269,9 +279,9 @@ def apply_changes(spark: SparkSession, src: str, table: str, keys: Sequence[str]
 
 # ---------------------------------------------------- T7 document chain
 
-def document_metadata(docs: DataFrame, as_of=None) -> DataFrame:
+def document_metadata(docs: DataFrame, as_of=None, out_folder: str = "converted", suffix: str = ".pdf") -> DataFrame:
     """Converter stage: text files (``path``, ``value`` whole text) ->
-    metadata rows (name, title, section count, created)."""
+    metadata rows (name, title, section count, created, name and path of the converted file)."""
     secs = N.sections(docs.select("path", "value"), "value", ["path"], sep="\n\n", title_prefix="Slide")
     counts = secs.groupBy("path").agg(F.count(F.lit(1)).alias("slide_count"),
                                       F.min_by("title", "section_no").alias("first_title"))
@@ -279,6 +289,8 @@ def document_metadata(docs: DataFrame, as_of=None) -> DataFrame:
     from tidewater.functions.text import base_name, title_from_file
     return counts.select(
         base_name("path").alias("original_name"),
+        F.concat(F.regexp_replace(base_name("path"), r"\.[^.]*$", ""), F.lit(suffix)).alias("pdf_name"),
+        F.concat(F.lit(f"{out_folder}/"), F.regexp_replace(base_name("path"), r"\.[^.]*$", ""), F.lit(suffix)).alias("pdf_path"),
         title_from_file("path").alias("title"),
         "slide_count", "first_title",
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("create_date"),
@@ -303,7 +315,7 @@ def run_document_chain(spark: SparkSession, root: str, trigger: str | None = Non
     cp = checkpoint or _default_cp(spark, "document_chain", root)
     q1 = _start(inc, convert, os.path.join(cp, "convert"), trigger)
     q1.awaitTermination() if trigger in (None, "availableNow", "once") else None
-    md_schema = "title string, slide_count int, first_title string, create_date string, source_path string"
+    md_schema = "pdf_name string, pdf_path string, title string, slide_count int, first_title string, create_date string, source_path string"
     md = stream_files(spark, os.path.join(root, "metadata"), md_schema, glob="*.json") \
         .withColumn("file", F.col("_metadata.file_path"))
 

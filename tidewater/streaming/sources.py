@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidewater.streaming.message_queue import FORMAT, QueueSource
+
 
 def stream_files(spark: SparkSession, path: str, schema: StructType | str | None = None,
                  glob: str | None = None, fmt: str = "json", max_files: int | None = None) -> DataFrame:
@@ -33,9 +35,10 @@ def stream_messages(spark: SparkSession, path: str, max_files: int | None = None
 
 
 def stream_queue(spark: SparkSession, path: str, max_per_batch: int = 5) -> DataFrame:
-    """S9. Queue drained in bounded micro-batches (``max_per_batch`` files,
-    one message file each, as the reference's batch size of 5)."""
-    return stream_messages(spark, path, max_files=max_per_batch)
+    """S9. Queue drained in batches of at most ``max_per_batch`` messages (lines
+    of the files below ``path``, in the order of file time and name)."""
+    spark.dataSource.register(QueueSource)
+    return spark.readStream.format(FORMAT).option("path", path).option("maxMessages", max_per_batch).load()
 
 
 def stream_logs(spark: SparkSession, path: str, contains: str | None = None) -> DataFrame:
