@@ -138,3 +138,18 @@ def test_topics_keep_every_word(spark):
     df = spark.createDataFrame([(1, f"{words} {words}"), (2, "rare")], "id int, text string")
     mix = {r.id: r.topic_mix for r in ml.topics(df, "text", 2, max_iter=1).collect()}
     assert abs(sum(mix[2]) - 1) < 1e-6
+
+
+def test_forest_is_the_same_from_any_layout(spark):
+    df, feats = _emb(spark)
+    trees = {M.train_forest(d, feats, "label", num_trees=5).stages[-1].toDebugString.split("\n", 1)[1]
+             for d in (df, df.repartition(3), df.coalesce(1).orderBy(F.desc("vec_id")), df.repartition(9, "label"))}
+    assert len(trees) == 1
+
+
+def test_vocabulary_bound_of_word_vectors(spark):
+    df = spark.createDataFrame([("aa aa aa bb bb cc dd ee",), (None,), ("AA bb",)], "text string")
+    assert {r.word: r.n for r in M.word_counts(df, "text").collect()} == {"aa": 4, "bb": 3, "cc": 1, "dd": 1, "ee": 1}
+    known = df.where("text is not null")
+    assert {r.word for r in M.word_vectors(known, "text", size=2).collect()} == {"aa", "bb", "cc", "dd", "ee"}
+    assert {r.word for r in M.word_vectors(known, "text", size=2, max_words=4).collect()} == {"aa", "bb"}

@@ -34,6 +34,16 @@ def title_from_file(col) -> Column:
     return F.initcap(F.regexp_replace(stem, "_", " "))
 
 
+def two_decimals(col) -> Column:
+    """A number as text with two decimals and thousands separators."""
+    return F.format_number(_c(col), 2)
+
+
+def new_id() -> Column:
+    """A random id per row (UUID text): drawn again whenever the plan runs again, so write it before it is used twice."""
+    return F.uuid()
+
+
 def html_escape(col) -> Column:
     """Escape '&' first, then '<' and '>'."""
     c = F.replace(_c(col), F.lit("&"), F.lit("&amp;"))

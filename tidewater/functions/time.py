@@ -55,3 +55,8 @@ def format_or_raw(col, pattern: str = "MMM dd, yyyy HH:mm") -> Column:
 def weekday_name(ts, lang: str = "en") -> Column:
     names = WEEKDAYS_TR if lang == "tr" else WEEKDAYS_EN
     return F.element_at(F.array(*[F.lit(n) for n in names]), F.dayofweek(_c(ts)))
+
+
+def from_epoch(col) -> Column:
+    """Epoch seconds (fractions too) as a timestamp."""
+    return F.timestamp_seconds(F.col(col) if isinstance(col, str) else col)

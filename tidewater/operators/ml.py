@@ -22,27 +22,33 @@ from pyspark.ml.feature import PCA, CountVectorizer, HashingTF, RegexTokenizer,
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tidewater.session import ship_by_value, spread
 
 ship_by_value(__name__)
 
 
-def _bucket(id_col: str, seed: int):
-    return F.pmod(F.xxhash64(F.col(id_col), F.lit(int(seed))), F.lit(10_000))
+def hash_number(id_col: str, seed: int, method: str = "xxhash64") -> Column:
+    """A number per (id, seed) that other engines can give too (``"md5"``: the first 32 bits of md5 of ``id:seed``) or a faster one of Spark's."""
+    if method == "xxhash64":
+        return F.xxhash64(F.col(id_col), F.lit(int(seed)))
+    if method != "md5":
+        raise ValueError("method must be 'xxhash64' or 'md5'")
+    text = F.concat(F.col(id_col).cast("string"), F.lit(f":{int(seed)}"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
 
 
-def split(df: DataFrame, id_col: str, test: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """M1. Repeatable train/test split by a hash of (id, seed)."""
-    b = _bucket(id_col, seed)
+def split(df: DataFrame, id_col: str, test: float = 0.2, seed: int = 42, method: str = "xxhash64") -> tuple[DataFrame, DataFrame]:
+    """M1. Repeatable train/test split by a hash of (id, seed), see ``hash_number``."""
+    b = F.pmod(hash_number(id_col, seed, method), F.lit(10_000))
     cut = int(round(test * 10_000))
     return df.filter(b >= cut), df.filter(b < cut)
 
 
-def shuffle(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
+def shuffle(df: DataFrame, id_col: str, seed: int = 42, method: str = "xxhash64") -> DataFrame:
     """M6. Seeded, repeatable row order (range-partitioned sort on a hash)."""
-    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(int(seed))), F.col(id_col))
+    return df.orderBy(hash_number(id_col, seed, method), F.col(id_col))
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -51,12 +57,18 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
 
 
+LAYOUT_ROWS = 100_000  # rows of a partition of a forest's training data
+
+
 def _featurize(df: DataFrame, features: Sequence[str] | str) -> tuple[DataFrame, list]:
-    """Forest training input with the parallelism floor (trees of one level
-    are grown in parallel over partitions; iterative learners, which run one
-    job per iteration, keep the input's partitioning). ``features`` is a
+    """Forest training input in a fixed layout: bags are drawn by partition
+    and place in it, so rows are dealt over a number of partitions that follows from
+    their number (``LAYOUT_ROWS`` each, 8 at least) and sorted there by
+    a hash of their values. The same rows and seed give the same forest on any
+    cluster and from any files. ``features`` is a
     list of numeric columns (assembled in the pipeline) or one array column."""
-    df = spread(df)
+    parts = max(8, df.count() // LAYOUT_ROWS)
+    df = df.withColumn("_tw_h", F.xxhash64(*df.columns)).repartition(parts, "_tw_h").sortWithinPartitions("_tw_h").drop("_tw_h")
     if isinstance(features, str):
         return df.withColumn("features", array_to_vector(F.col(features))), []
     return df, [_assembler(features)]
@@ -108,7 +120,7 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (),
         fine = F.coalesce(F.forall(features, lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))), F.lit(False))
         df = df.withColumn("features", array_to_vector(F.when(fine, F.col(features).cast("array<double>")).otherwise(blank)))
     else:
-        fine = F.lit(True)
+        fine, model = F.lit(True), model.copy()  # the caller's stages stay as they are
         for st in model.stages:
             if isinstance(st, VectorAssembler):
                 st.setHandleInvalid("keep")
@@ -214,9 +226,26 @@ def topics(df: DataFrame, text_col: str, k: int, vocab: int | None = None, max_i
     return model.transform(df).withColumn("topic_mix", vector_to_array("_mix")).drop("_tok", "_tf", "_mix")
 
 
-def word_vectors(df: DataFrame, text_col: str, size: int = 50, seed: int = 42, min_count: int = 1) -> DataFrame:
+def word_counts(df: DataFrame, text_col: str, min_length: int = 2) -> DataFrame:
+    """All words (lower case, ``min_length`` letters or more) with their number of occurrences."""
+    words = F.explode(F.split(F.lower(F.col(text_col)), r"\W+")).alias("word")
+    return df.select(words).where(F.length("word") >= min_length).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def word_vectors(df: DataFrame, text_col: str, size: int = 50, seed: int = 42, min_count: int = 1, max_words: int = 1_000_000) -> DataFrame:
     """M15. Word2Vec embeddings: one row per vocabulary word, words seen once
-    too (``min_count`` leaves rarer ones out)."""
+    too (``min_count`` leaves rarer ones out).
+
+    The learner holds its vocabulary and two vectors a word on the driver, so words are
+    counted first: where more than ``max_words`` are left, ``min_count`` is
+    raised until they are not (whole frequencies go, not some of their words).
+    """
+    sizes = word_counts(df, text_col).where(F.col("n") >= min_count).groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    if (sizes.agg(F.sum("words")).first()[0] or 0) > max_words:
+        from pyspark.sql import Window
+        above = sizes.withColumn("held", F.sum("words").over(Window.orderBy(F.desc("n"))))  # a row a frequency
+        least = above.where(F.col("held") <= max_words).agg(F.min("n")).first()[0]
+        min_count = least if least is not None else above.agg(F.max("n")).first()[0] + 1
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"\W+", minTokenLength=2)
     d = tok.transform(df)
     model = Word2Vec(vectorSize=size, inputCol="_tok", outputCol="_vec", seed=seed, minCount=min_count).fit(d)

@@ -622,3 +622,25 @@ SELECT CASE WHEN o_orderkey % 10 <> 0 THEN 'm' || o_orderkey END AS message_id,
        CASE o_orderkey % 10 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'missing recipient' END AS error
 FROM orders
 """
+
+ORACLE_SQL["md5_split"] = """
+WITH b AS (SELECT o_orderkey, CAST('0x' || substr(md5(o_orderkey || ':42'), 1, 8) AS BIGINT) % 10000 < 2000 AS test FROM orders)
+SELECT CASE WHEN test THEN 'test' ELSE 'train' END AS part, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM b GROUP BY test
+"""
+
+ORACLE_SQL["md5_shuffle"] = """
+SELECT o_orderkey, row_number() OVER (ORDER BY substr(md5(o_orderkey || ':7'), 1, 8), o_orderkey) AS place FROM orders
+"""
+
+ORACLE_SQL["document_metadata"] = r"""
+WITH t AS (SELECT doc_id, string_split(text, chr(10) || chr(10)) AS parts FROM documents),
+f AS (SELECT doc_id, len(parts) AS n, regexp_replace(split_part(parts[1], chr(10), 1), '^\s+|\s+$', '', 'g') AS first FROM t)
+SELECT 'doc_' || doc_id || '.txt' AS original_name, 'doc_' || doc_id || '.pdf' AS pdf_name, 'converted/doc_' || doc_id || '.pdf' AS pdf_path,
+       'Doc ' || doc_id AS title, n AS slide_count, CASE WHEN first <> '' THEN first ELSE 'Slide 1' END AS first_title,
+       '2024-01-01T00:00:00Z' AS create_date, 'incoming/doc_' || doc_id || '.txt' AS source_path
+FROM f
+"""
+
+ORACLE_SQL["epoch_text"] = """
+SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch, date_trunc('second', ts) AS "at", format('{:,.2f}', value) AS shown FROM events
+"""

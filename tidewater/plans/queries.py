@@ -15,7 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.time import weekday_name
+from tidewater.functions.text import two_decimals
+from tidewater.functions.time import from_epoch, weekday_name
 from tidewater.operators import aggregate as A
 from tidewater.operators import audit as AU
 from tidewater.operators import filters as FL
@@ -1011,3 +1012,36 @@ def consume_queue(spark, d):
     ok = F.col("error").isNull()
     return rows.select("message_id", F.when(ok, F.col("subject_line")).alias("subject_line"), F.when(ok, F.col("text")).alias("text"),
                        "status", "processed_at", "error")
+
+
+@query
+def md5_split(spark, d):
+    """M1 by md5: sizes of an 80/20 split of orders."""
+    from tidewater.operators import ml as M
+    train, test = M.split(load(spark, d, "orders"), "o_orderkey", 0.2, 42, "md5")
+    sums = lambda x, name: x.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+    return sums(train, "train").unionByName(sums(test, "test"))
+
+
+@query
+def md5_shuffle(spark, d):
+    """M6 by md5: the place of every order in the seeded order."""
+    from tidewater.operators import ml as M
+    o = load(spark, d, "orders").select("o_orderkey", M.hash_number("o_orderkey", 7, "md5").alias("h"))
+    return O.rank_all(o, ["h", "o_orderkey"], rank_col="place").select("o_orderkey", "place")
+
+
+@query
+def document_metadata(spark, d):
+    """T7 without the stream: metadata of every document as a converted file."""
+    from tidewater.streaming import jobs
+    docs = load(spark, d, "documents").select(F.concat(F.lit("incoming/doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
+                                              F.col("text").alias("value"))
+    return jobs.document_metadata(docs, as_of="2024-01-01 00:00:00")
+
+
+@query
+def epoch_text(spark, d):
+    """Epoch seconds and back, and values as text with two decimals."""
+    e = load(spark, d, "events").select("event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("epoch"), "value")
+    return e.select("event_id", "epoch", from_epoch("epoch").cast("timestamp_ntz").alias("at"), two_decimals("value").alias("shown"))

@@ -60,7 +60,8 @@ def to_log_rows(df: DataFrame, group: str, stream: str, message: str | Column, t
                                         F.lit(source).alias("source"))).alias("message"))
 
 
-def write_metadata(df: DataFrame, path: str) -> None:
-    """K9. Small result frames (model metrics, run metadata) as JSON; the
-    frame is one or a few rows, so a single output file is fine."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+def write_metadata(df: DataFrame, path: str, max_rows: int = 1000) -> None:
+    """K9. Small result frames (model metrics, run metadata) as JSON: one file
+    up to ``max_rows`` rows, which is checked; a larger frame keeps its partitions."""
+    small = df.limit(max_rows + 1).count() <= max_rows
+    (df.coalesce(1) if small else df).write.mode("overwrite").json(path)
