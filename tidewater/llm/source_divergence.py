@@ -24,6 +24,7 @@ rows; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -37,8 +38,6 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import ship_by_value, small_batches, stored, table
 from tidewater.session import sized_broadcast
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-OTHERS = "".join(c for c in map(chr, range(128)) if not c.isalpha())
 MIN_DOCS = 3            # documents of its language that a kept term is in, at least
 TOP_TERMS = 200         # ranks that are reported of a group's terms
 UNIT = 1_000_000_000    # a share of 1
@@ -53,6 +52,7 @@ FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
 IN_TERM = np.zeros(256, bool)
 IN_TERM[97:123] = IN_TERM[128:] = True
+TO_WORDS = np.where(IN_TERM[FOLD], FOLD, 32).astype(np.uint8).tobytes()  # letters folded, all that is no term a space
 
 
 class Builder:
@@ -190,11 +190,29 @@ def clean(docs: DataFrame) -> DataFrame:
     return docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
 
 
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, term, documents that have it) of one task's texts; partial sums."""
+    seen: dict[str, Counter] = {}
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for lang, counts in seen.items():
+            terms = pa.array(list(counts), pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(counts), pa.string()), terms, pa.array(list(counts.values()), pa.int64())],
+                                             names=["lang", "term", "n"])
+        seen.clear()
+
+    for b in batches:
+        for lang, text in zip(b.column("lang").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
+            seen.setdefault(lang, Counter()).update(set(text.translate(TO_WORDS).split()))
+        if sum(map(len, seen.values())) > HELD // 2:
+            yield from out()
+    yield from out()
+
+
 def kept_terms(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang and term of the terms in at least ``min_docs`` documents of the language."""
-    words = F.array_distinct(F.split(F.translate("text", UPPER + OTHERS, LOWER + " " * len(OTHERS)), " "))
-    found = rows.select("lang", F.explode(words).alias("term")).where("term <> ''")
-    return found.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("lang", "term")
+    found = small_batches(rows).select("lang", "text").mapInArrow(_terms, "lang string, term string, n long")
+    return found.groupBy("lang", "term").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).select("lang", "term")
 
 
 def _build(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
