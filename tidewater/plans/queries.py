@@ -27,7 +27,7 @@ from tidewater.operators import ordering as O
 from tidewater.operators import shape as P
 from tidewater.operators import timeseries as TS
 from tidewater.operators.vector import vector_top_k
-from tidewater.session import checkpoint_path, ship_by_value, spread
+from tidewater.session import checkpoint_path, materialised, ship_by_value, spread
 
 ship_by_value(__name__)  # the user handler below runs in Python workers
 
@@ -892,10 +892,10 @@ def apply_change_log(spark, d):
     schema = {"custkey": "bigint", "status": "string", "cents": "bigint"}
     third = (o.agg(F.max("o_orderkey")).first()[0] or 0) // 24 + 1
     path = checkpoint_path(spark, f"change-log-{uuid.uuid4().hex}")
+    rows = materialised(jobs.change_rows(messages, "value", ["custkey"], schema, ["m"]), "changes")
     for i in range(3):
-        batch = messages.where((F.col("m") >= third * i) & (F.col("m") < third * (i + 1)))
-        rows = jobs.change_rows(batch, "value", ["custkey"], schema)
-        jobs.apply_change_rows(rows, path, ["custkey"], schema, i, buckets=8)
+        m = F.col("_pos")["m"]
+        jobs.apply_change_rows(rows.where((m >= third * i) & (m < third * (i + 1))), path, ["custkey"], schema, i, buckets=8)
     return tables.read_table(spark, path).select(*schema)
 
 
