@@ -27,10 +27,13 @@ BUCKETS = 64                     # of a new table; an existing one keeps its num
 COUNT, BUCKET, LIVE = "_buckets", "_bucket", "_live"
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    """All rows below ``path``, or None where nothing has been written."""
+MARK = f"writer string, {BATCH} long"
+
+
+def _read(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """All rows below ``path`` (with the columns of all its files, or of ``schema``), or None where nothing has been written."""
     try:
-        return spark.read.option("mergeSchema", True).parquet(path)
+        return spark.read.schema(schema).parquet(path) if schema else spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -51,7 +54,7 @@ def write_changes(ch: DataFrame, path: str, keys: Sequence[str], batch_id: int,
     """
     spark, keys = ch.sparkSession, list(keys)
     table, staged, mark = (os.path.join(path, x) for x in ("table", "staged", "mark"))
-    done = _read(spark, mark)
+    done, schema = _read(spark, mark, MARK), None
     if done is None or done.where((F.col("writer") == writer) & (F.col(BATCH) == int(batch_id))).isEmpty():
         current = _read(spark, table)
         n = buckets if current is None else current.select(COUNT).first()[0]
@@ -71,10 +74,12 @@ def write_changes(ch: DataFrame, path: str, keys: Sequence[str], batch_id: int,
         # a row that is no row in every touched bucket: one that has lost its last key is replaced too
         ends = spark.createDataFrame([(b, False) for b in touched], f"{BUCKET} int, {LIVE} boolean")
         rows = rows.unionByName(ends, allowMissingColumns=True).withColumn(COUNT, F.lit(int(n)))
+        schema = rows.schema
         rows.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(COUNT, BUCKET).parquet(staged)
-        (spark.createDataFrame([(writer, int(batch_id))], f"writer string, {BATCH} long").coalesce(1)
+        (spark.createDataFrame([(writer, int(batch_id))], MARK).coalesce(1)
          .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(mark))
-    (spark.read.parquet(staged).hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    new = spark.read.schema(schema).parquet(staged) if schema else spark.read.parquet(staged)
+    (new.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(COUNT, BUCKET).parquet(table))
 
 
