@@ -12,11 +12,11 @@ from tidewater.operators import audit as AU
 from tidewater.operators import ml as M
 from tidewater.operators import nested as N
 from tidewater.operators import shape as P
-from tidewater.operators.keyed import merge_changes
 from tidewater.operators.vector import vector_top_k
 from tidewater.sinks import to_log_rows
 from tidewater.sources.catalog import register_table
 from tidewater.streaming.jobs import apply_changes, consume_rows
+from tidewater.streaming.tables import read_table
 
 
 def test_missing_prediction_is_wrong(spark):
@@ -109,8 +109,7 @@ def test_changes_apply_in_order(spark, tmp, files):
             f.write("".join(json.dumps({"Records": [_change(*m.split())]}) + "\n" for m in messages))
         os.utime(p, (1_700_000_000 + n, 1_700_000_000 + n))
     apply_changes(spark, f"{tmp}/src", f"{tmp}/t", ["id"], {"id": "string", "v": "int"}, checkpoint=f"{tmp}/cp").awaitTermination()
-    log = spark.read.parquet(f"{tmp}/t/log")
-    assert [(r.id, r.v) for r in merge_changes(log.drop("_batch"), ["id"]).collect()] == [("k", 5)]
+    assert [(r.id, r.v) for r in read_table(spark, f"{tmp}/t").collect()] == [("k", 5)]
 
 
 def test_changes_follow_sequence_numbers(spark, tmp):
@@ -119,5 +118,4 @@ def test_changes_follow_sequence_numbers(spark, tmp):
         for m in (_change("INSERT", 5, "900"), _change("INSERT", 1, "100"), _change("REMOVE", 0, "200")):
             f.write(json.dumps({"Records": [m]}) + "\n")
     apply_changes(spark, f"{tmp}/src", f"{tmp}/t", ["id"], {"id": "string", "v": "int"}, checkpoint=f"{tmp}/cp").awaitTermination()
-    log = spark.read.parquet(f"{tmp}/t/log")
-    assert [(r.id, r.v) for r in merge_changes(log.drop("_batch"), ["id"]).collect()] == [("k", 5)]
+    assert [(r.id, r.v) for r in read_table(spark, f"{tmp}/t").collect()] == [("k", 5)]
