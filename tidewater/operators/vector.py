@@ -31,7 +31,7 @@ from tidewater.session import materialised, ship_by_value
 
 ship_by_value(__name__)
 
-BLOCK_ROWS = 2048      # corpus vectors that a task multiplies against at once, about
+BLOCK_ROWS = 4096      # corpus vectors that a task multiplies against at once, about
 MAX_PIVOTS = 512       # pivots, at most
 SAMPLE = 8             # vectors that the driver draws to choose a pivot from
 QUERY_CHUNK = 512
@@ -133,7 +133,7 @@ def pivot_index(corpus: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
                 max_pivots: int = MAX_PIVOTS) -> PivotIndex:
     """Cut ``corpus`` into blocks around pivots (module notes). The driver holds the pivots and one row a block."""
     c = _directed(corpus, id_col, vec_col)
-    wanted = max(1, min(max_pivots, -(-c.count() // block_rows)))
+    wanted = max(1, min(max_pivots, -(-corpus.count() // block_rows)))  # rows without a direction count too: a few pivots more
     drawn = c.withColumn("_h", F.xxhash64("id", F.lit("pivot"))).orderBy("_h", "id").limit(SAMPLE * wanted).select("v").collect()
     pivots = _spread_out(_unit(_matrix([r["v"] for r in drawn])), wanted) if drawn else np.zeros((1, 1))
 
