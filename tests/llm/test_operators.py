@@ -15,7 +15,7 @@ from tidewater.llm.packing import Encoder, fill_bins, pack_documents
 from tidewater.llm.pii import base_spans, candidates, find_pii, redact
 from tidewater.llm.quality_gam import FEATURES, fit, keep_good, quality_scores, text_features
 from tidewater.llm.sentencepiece_unigram import Unigram, encode_digests
-from tidewater.llm.style_tree import extract, main_text
+from tidewater.llm.style_tree import _hash, counted, extract, main_text, parse, style_tree
 from tidewater.llm.warc import MAGIC, read_warc, with_revisits, write_warc
 
 ODD = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "x@y.org \n\n 10.0.0.1"), (4, "word " * 40000), (5, "y" * 50000), (6, "é 日本 \U0001F600\n")]
@@ -301,3 +301,46 @@ def test_style_tree_removes_what_a_host_repeats_inside_the_article(spark):
     assert all(got[i] == f"Dated {i}\nTitle {i}\nText {i}\nMore {i}" for i in range(8))
     assert all(got[20 + i] == "One text\nin two blocks" for i in range(8))
     assert got[40].split("\n") == ["Dated 40", "Read our other texts", "Title 40", "Text 40", "Follow us", "More 40", "Mind the gap"]
+
+
+def test_words_do_not_decide_on_prose_inside_the_article(spark):
+    for inside, want in (("<p>The <span class='search-hit'>court</span> ruled.</p>", "The court ruled."), ("<p class=legal>Law</p>", "Law"),
+                         ("<div class='share-price'>9</div>", "9"), ("<section class=alert>Storm</section>", "Storm"),
+                         ("<p>a <span class=share>x<span>y</span>z</span> b</p>", "a b"), ("<div class='ad box'>Buy</div><p>a", "a"),
+                         ("<div><span class=ad>x</div><p>kept</p></span>", "kept"), ("<p>a <i class=ad>b", "a b"), ("<div hidden>x</div><p>a", "a")):
+        assert main_text(f"<body><article>{inside}</article></body>") == want, inside
+    assert main_text("<article>" + "<div class='c legal'>" * 50_000 + "deep" + "</p></section></div>" * 50_000 + "end</article>") == "deep\nend"
+    assert main_text("<p>" + "<span class=ad>x" * 50_000) == "x" * 50_000
+    page = "<body><article><p>Text {0}</p><div class=share-now><p>Tell {1}</p></div></article></body>"
+    rows = [(i, "https://a.example/", page.format(i, "a friend")) for i in range(6)] + [(10 + i, "https://b.example/", page.format(i, i)) for i in range(6)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Text {i}" and got[10 + i] == f"Text {i}\nTell {i}" for i in range(6))
+
+
+def test_importance_equals_entropies_by_definition(spark):
+    rng = random.Random(5)
+    pages = []
+    for host in (1, 2, -3):
+        for i in range(rng.randint(6, 12)):
+            parts = [f"<div class=c{rng.randint(0, 1)}>" + "".join(f"<p>w{rng.randint(0, 3)}</p>" for _ in range(rng.randint(1, 3))) + "</div>" for _ in range(2)]
+            pages.append((host, "<body><h1>same</h1>" + "".join(parts) + f"<article><p>t{i}</p><p class=legal>c</p></article><nav>n</nav></body>"))
+    got = {(r.host, r.path): r for r in style_tree(counted(spark.createDataFrame(pages, "host long, html string"))).collect()}
+
+    def entropy(share):
+        return -sum(p * np.log(p) for p in share)
+
+    seen = {}
+    for host, html in pages:
+        blocks, styles = parse(html)
+        for path in {b.path for b in blocks if not b.noise}:
+            seen.setdefault((host, path), []).append((" ".join(styles.get(path, [])), {b.text for b in blocks if b.path == path}, next(b.lean for b in blocks if b.path == path)))
+    assert set(got) == set(seen)
+    for key, on in seen.items():
+        m, texts = len(on), [t for _, ts, _ in on for t in ts]
+        look = entropy([sum(s == x for s, _, _ in on) / m for x in {s for s, _, _ in on}]) / np.log(m) if m > 1 else 1
+        # a block's entropy over the pages with the node, averaged over the blocks of those pages
+        content = 1 - np.mean([np.log(texts.count(t)) / np.log(m) for t in texts]) if m > 1 else 1
+        want, lean = 0.9 * content + 0.1 * look, max(x for *_, x in on)
+        want = (want * m + (lean > 0)) / (m + abs(lean))
+        assert got[key].pages == m and abs(got[key].importance - want) < 1e-9
+    assert {x for on in seen.values() for *_, x in on} == {1, 0, -1} and _hash("a", -5) == _hash("a", -5) != _hash("a", 5)
