@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from helpers import doc_frame
-from tidewater.llm.ann import blocks_of, nearest_rows, visit
+from tidewater.llm.ann import blocks_of, nearest_rows, scaled, visit
 from tidewater.llm.line_dedup import alike, dedup_lines, edit_distance, normalise, simhashes
 from tidewater.llm.packing import Encoder, fill_bins, pack_documents
 from tidewater.llm.pii import base_spans, candidates, find_pii, redact
@@ -244,7 +244,7 @@ def test_nearest_rows(spark):
     rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
     odd = [(1000, None, 0), (1050, [0.0] * 8, 0), (1100, [float("nan")] * 8, 0), (1150, [1.0], 0), (1200, [None] * 8, 0), (0, x[0].tolist(), 0)]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, label int")
-    got = nearest_rows(df, chunk=64).toPandas()
+    got = nearest_rows(df, chunk=64, query_chunk=5).toPandas()
     u = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(1, keepdims=True))
     hits = 0
     for q in range(0, 600, 50):
@@ -259,6 +259,26 @@ def test_nearest_rows(spark):
     assert nearest_rows(df.limit(0)).count() == 0
 
 
+def test_nearest_rows_of_very_large_and_small_components(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(80, 3))
+    size = 10.0 ** rng.choice([-300, -200, 0, 200, 300], 80)
+    x[0], size[0] = [1, 1, 0], 1e200
+    x[50], size[50] = [1, 0, 0], 1e-200
+    tiny = [(200, [5e-324, 0.0, 0.0]), (250, [1.7e308, 1.7e308, -1.7e308])]
+    df = spark.createDataFrame([(i, (v * m).tolist()) for i, (v, m) in enumerate(zip(x, size))] + tiny, "vec_id long, embedding array<double>")
+    ids, all_ = [*range(80), 200, 250], np.vstack([x, [1, 0, 0], [1, 1, -1]])
+    u = all_ / np.sqrt((all_ ** 2).sum(1, keepdims=True))
+    got = nearest_rows(df, recall=1.0).toPandas()
+    for q in (0, 50, 200, 250):
+        s = u @ u[ids.index(q)]
+        g = got[got.query_id == q].sort_values("rank")
+        best = sorted((i for i in range(len(ids)) if ids[i] != q), key=lambda i: (-round(s[i], 12), ids[i]))[:5]
+        assert np.allclose(g.score, s[best], atol=1e-12) and len(set(ids[i] for i in best) & set(g.vec_id)) >= 4, q
+    u = scaled(np.array([[0.0, 0.0], [3e-320, 1.0], [5e-324, 0], [-1e308, 1e308]]))
+    assert np.isfinite(u).all() and (np.abs(u).max(1)[1:] >= 0.5).all() and (np.abs(u) <= 1).all()
+
+
 def test_main_text():
     page = ("<html><head><title>T</title><script>if (a<b) x('</p>')</script></head><body><header><a>Top</a></header><nav><ul><li>Home</ul></nav>"
             "<div class='cookie-notice'>We use cookies</div><article><h1>Title &amp; more</h1><p>One<br>two  <b>three</b><p>Four&nbsp;five"

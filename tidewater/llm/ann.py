@@ -9,6 +9,11 @@ entries the cells must hold is measured: a bounded sample of the queries is
 answered by brute force first, and the visit goes as far as the wanted share
 of their neighbours needs. Clustered vectors need few cells, random ones many.
 
+A block of cells is scanned against one chunk of about ``QUERY_CHUNK`` of its
+visitors at a time, so neither the entries nor the queries of a group grow with
+the table; a block's entries are copied once a chunk of its own visitors, and
+blocks without visitors not at all.
+
 Equal vectors are one index entry with their smallest ids, so a vector that a
 third of the rows share costs no more than any other. Cells with many entries
 are dealt into chunks. The codebooks are fitted on the driver from about
@@ -17,8 +22,10 @@ counted over all entries; there are at most ``MAX_CENTROIDS ** 2`` of them.
 
 Rules for odd input: vectors that are null, zero, not of the most frequent
 length, or hold null or non-finite components take no part; rows repeated
-with the same id and vector count once; a query's own id is no candidate;
-ties go to the smaller id; an empty table gives an empty result.
+with the same id and vector count once; an id with several vectors is a query
+with ranks of its own for each; a query's own id is no candidate; components
+of any finite size are scaled by the largest before they are squared; ties go
+to the smaller id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,6 +44,8 @@ from tidewater.llm.common import ship_by_value, stored, table
 MAX_TRAIN = 8192
 MAX_CENTROIDS = 256
 CHUNK = 4096          # entries of neighbouring cells scanned together
+QUERY_CHUNK = 1024    # queries that a block's entries are scanned for together, about
+MAX_VISITED = 1 << 20 # blocks whose numbers of chunks are broadcast, at most (16 bytes each)
 RECALL = 0.97         # share of the sampled queries' neighbours that the visit must reach
 PROBES = 128          # queries answered by brute force to measure how far to visit, at most
 
@@ -63,7 +72,18 @@ def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def unit(x: np.ndarray) -> np.ndarray:
-    return x / np.sqrt((x ** 2).sum(1, keepdims=True))
+    return scaled(x) / norm(scaled(x))[:, None]
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component near 1, so that squares neither overflow nor vanish."""
+    _, exponent = np.frexp(np.abs(x).max(1, initial=0, keepdims=True))
+    half = exponent // 2  # the whole factor itself may be beyond a double
+    return np.ldexp(np.ldexp(x, -half), half - exponent)
+
+
+def norm(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x ** 2).sum(1))
 
 
 def visit(d1: np.ndarray, d2: np.ndarray, counts: np.ndarray, target: int) -> list[int]:
@@ -128,19 +148,20 @@ def _scan(k: int):
     def run(queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(entries):
-            e, least, ids = _matrix(entries["v"]), entries["least"].to_numpy(), entries["ids"].to_list()
+            e, least, ids = scaled(_matrix(entries["v"])), entries["least"].to_numpy(), entries["ids"].to_list()
             names, of = np.unique(entries["cell"].to_numpy(), return_inverse=True)
-            ne = np.sqrt((e ** 2).sum(1))
+            ne = norm(e)
             take = min(4 * k, len(e))
             for a in range(0, len(queries), 256):
                 part = queries.iloc[a:a + 256]
-                q = _matrix(part["v"])
+                q = scaled(_matrix(part["v"]))
+                nq = norm(q)
                 visits = np.stack([np.isin(names, c) for c in part["cells"]])
-                rough = np.where(visits[:, of], (q @ e.T) / ne, -np.inf)
+                rough = np.where(visits[:, of], (q @ e.T) / ne / nq[:, None], -np.inf)
                 cut = np.partition(rough, len(e) - take, axis=1)[:, len(e) - take]
                 for i, (qa, qb) in enumerate(zip(part["va"], part["vb"])):
                     best = np.flatnonzero((rough[i] >= cut[i] - 1e-12) & (rough[i] > -np.inf))
-                    s = (e[best] * q[i]).sum(1) / (ne[best] * np.sqrt((q[i] ** 2).sum()))
+                    s = (e[best] * q[i]).sum(1) / (ne[best] * nq[i])
                     for j in np.lexsort((least[best], -s))[:k]:
                         out.append((qa, qb, float(s[j]), int(least[best[j]]), list(ids[best[j]])))
         return pd.DataFrame(out, columns=["va", "vb", "score", "least", "ids"])
@@ -159,7 +180,7 @@ def entries_of(vectors: DataFrame, id_col: str, vec_col: str, k: int) -> tuple[D
 
 
 def nearest_rows(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 50, k: int = 5,
-                 recall: float = RECALL, max_train: int = MAX_TRAIN, chunk: int = CHUNK) -> DataFrame:
+                 recall: float = RECALL, max_train: int = MAX_TRAIN, chunk: int = CHUNK, query_chunk: int = QUERY_CHUNK) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every row whose id is divisible by ``every``."""
     rows, dims = entries_of(vectors, id_col, vec_col, k)
     rows = stored(rows, "vectors")
@@ -225,9 +246,15 @@ def nearest_rows(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
             c = b["cell"].to_numpy()
             yield b.assign(block=first[c] + b["vb"].to_numpy() % parts[c])
 
-    sent = queries.mapInPandas(probes, "va long, vb long, v array<double>, cells array<long>, block long")
+    spread_out = queries.repartition(queries.sparkSession.sparkContext.defaultParallelism, "va")
+    sent = stored(spread_out.mapInPandas(probes, "va long, vb long, v array<double>, cells array<long>, block long"), "visits")
     held = index.mapInPandas(dealt, "va long, vb long, least long, ids array<long>, v array<double>, cell long, block long")
-    found = (sent.groupBy("block").cogroup(held.groupBy("block"))
+    visitors = stored(sent.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / query_chunk).alias("chunks")), "visitors")
+    if visitors.count() <= MAX_VISITED:
+        visitors = F.broadcast(visitors)
+    sent = sent.join(visitors, "block").withColumn("part", F.pmod("va", "chunks")).drop("chunks")
+    held = held.join(visitors, "block").withColumn("part", F.explode(F.expr("sequence(0L, chunks - 1)"))).drop("chunks")
+    found = (sent.groupBy("block", "part").cogroup(held.groupBy("block", "part"))
                  .applyInPandas(_scan(k + 1), "va long, vb long, score double, least long, ids array<long>"))
     best = Window.partitionBy("va", "vb").orderBy(F.desc("score"), "least")
     top = stored(found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
