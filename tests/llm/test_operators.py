@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ from helpers import doc_frame
 from tidewater.llm.ann import blocks_of, nearest_rows, scaled, visit
 from tidewater.llm.line_dedup import alike, dedup_lines, edit_distance, normalise, simhashes
 from tidewater.llm.packing import Encoder, fill_bins, pack_documents
-from tidewater.llm.pii import base_spans, candidates, find_pii, redact
+from tidewater.llm.pii import KINDS, base_spans, candidates, find_pii, redact, reliabilities
 from tidewater.llm.quality_gam import FEATURES, fit, keep_good, quality_scores, text_features
 from tidewater.llm.sentencepiece_unigram import Unigram, encode_digests
 from tidewater.llm.style_tree import _hash, counted, extract, main_text, parse, style_tree
@@ -29,6 +30,95 @@ def test_base_spans_follow_the_patterns():
     assert base_spans("9" * 300000) == [] and base_spans("a" * 300000 + "@") == []
 
 
+def test_base_spans_equal_the_literal_patterns():
+    """Random strings against the contract's patterns, read as they stand."""
+    patterns = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+",
+                r"\+[0-9][\x20().0-9-]+[0-9]"]
+
+    def luhn(d):
+        return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    def plain(t):
+        out = []
+        for k, p in enumerate(patterns):
+            for m in re.finditer(p, t):
+                d = re.sub("[^0-9]", "", m[0])
+                if (True, all(int(x) <= 255 for x in m[0].split(".")) if k == 1 else 0, 13 <= len(d) <= 19 and luhn(d), 9 <= len(d) <= 15)[k]:
+                    out.append((k, *m.span()))
+        return sorted(out)
+
+    rng = random.Random(11)
+    found = 0
+    for alphabet in ("a@.b-", "12.@a", "0123456789.", "4 1-0", "+1 (2).-9", "a1.@+-() %_é\u0661\n"):
+        for _ in range(6000):
+            t = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40)))
+            want = plain(t)
+            found += len(want)
+            assert base_spans(t) == want, t
+    assert found > 4000
+
+
+def _planted(rng):
+    """(text, kind, span) with spans that are personal data and spans that only look like it (kind None)."""
+    digits = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    word = lambda: "".join(rng.choice("bdklmnrst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4)))
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+
+    def iban(good):
+        body = digits(18)
+        check = 98 - int(body + "131400") % 97                     # D and E are 13 and 14
+        return f"DE{check if good else (check + 5) % 90 + 10:02d}{body}"
+    first, last = rng.choice(["Maria", "Paul", "Sofia", "Hans"]), word().title()
+    true = {"email": ("write to ", f"{word()} [at] {word()}.org"), "phone": (rng.choice(["tel ", "call "]), f"(030) {digits(3)} {digits(4)}"),
+            "identity": (rng.choice(["SSN ", "social security "]), f"{rng.randint(100, 600)}-{digits(2)}-{digits(4)}"),
+            "iban": ("IBAN ", iban(True)), "secret": (rng.choice(["api_key=", "secret token: "]), "sk-" + hexa(32)),
+            "name": (rng.choice(["signed ", "Dear "]), f"{rng.choice(['', 'Dr ', 'Mrs '])}{first} {last}")}
+    false = {"email": ("version ", f"{word()} [at] {word()}.{word()}"), "phone": ("page ", f"{digits(2)} {digits(2)} {digits(2)}"),
+             "identity": ("order ", f"9{digits(2)}-{digits(2)}-0000"), "iban": ("invoice ", iban(False)),
+             "secret": ("commit ", f"{word()}_{word()}_{word()}_{word()}_{digits(1)}_{word()}")}
+    kind = rng.choice(list(true))
+    good = kind == "name" or rng.random() < 0.6
+    before, span = (true if good else false)[kind]
+    head = f"{word()} {word()} {before}"
+    return f"{head}{span} {word()} {word()}", kind if good else None, (len(head), len(head) + len(span)), kind
+
+
+def test_pii_finds_planted_spans_and_rejects_lookalikes(spark):
+    rng = random.Random(4)
+    planted = [_planted(rng) for _ in range(900)]
+    got = {r.doc_id: r.spans for r in find_pii(doc_frame(spark, [(i, t) for i, (t, *_) in enumerate(planted)])).collect()}
+    for kind in ("email", "phone", "identity", "iban", "secret", "name"):
+        hits = misses = wrong = 0
+        for i, (_, true, (a, b), like) in enumerate(planted):
+            if like == kind:
+                hit = f"{kind}:{a}:{b}" in got[i].split(",")
+                hits, misses, wrong = hits + (hit and true == kind), misses + (not hit and true == kind), wrong + (bool(got[i]) and true is None)
+        assert hits >= 40 and hits / (hits + misses) >= 0.95 and hits / (hits + wrong) >= 0.95, (kind, hits, misses, wrong)
+
+
+def test_kinds_compete_for_a_span():
+    for text, want in (("SSN 123-45-6789", "identity"), ("tel 123-45-6789", "phone"), ("x 123-45-6789 y", "identity"), ("call Maria Lopez now", "name"),
+                       ("password: hunter22 ok", "secret")):
+        assert [KINDS[k] for k, *_ in candidates(text, [])] == [want], text
+    many = candidates("123-45-6789 (030) 123 4567 " * 20000, [])
+    assert len(many) == 40000 and all(x[2] <= y[1] for x, y in zip(many, many[1:]))
+    a = "Maria Lopez 123-45-6789"
+    assert [x[:3] for x in candidates(a, [(0, 6, 14)])] == []
+
+
+def test_reliabilities_are_of_each_kind():
+    rng = np.random.default_rng(8)
+    kinds = rng.choice([3, 6], 4000)
+    true = rng.random(4000) < 0.5
+    votes = np.where(rng.random((4000, 7)) < 0.8, np.where(true, 1, -1)[:, None], np.where(true, -1, 1)[:, None])
+    votes[:, 1] = np.where(kinds == 3, votes[:, 1], rng.choice([-1, 1], 4000))   # the second labeler only knows phones
+    p, post = reliabilities(kinds, votes, np.ones(4000))
+    informative = np.where(np.arange(7) == 1, (kinds == 3)[:, None], True)
+    best = (votes * informative).sum(1)                             # with equal true reliabilities the sum of votes decides
+    assert ((post > 0.5) == true)[best != 0].mean() > (np.sign(best[best != 0]) == np.where(true, 1, -1)[best != 0]).mean() - 0.01
+    assert p[3, 1, 1, 2] > 0.75 and abs(p[6, 1, 1, 2] - 0.5) < 0.07 and p[6, 1, 0, 2] > 0.75
+
+
 def test_pii_rows_and_redaction(spark):
     secret = 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"'
     rows = [*ODD, *[(10 + i, f"see {secret} or mail me@a.io") for i in range(5)]]
