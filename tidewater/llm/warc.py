@@ -12,8 +12,8 @@ followed from the file's start with doubling, so rounds grow with the
 logarithm of a file's splits. Only candidates reached from offset 0 are
 records. Payloads that hold the magic are put together from their segments.
 
-Rules for odd input: null html is an empty payload; control characters and
-spaces in urls are percent-encoded in the archive; a null url or id is left
+Rules for odd input: null html is an empty payload; CR and LF in urls are
+percent-encoded in the archive; revisits are found when reading, all are written whole; a null url or id is left
 out of the record and comes back null; repeated rows are records of their
 own; garbage before or after the chain is no record; of equal payloads the
 largest id is the response (a null id only without another).
