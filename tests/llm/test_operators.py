@@ -5,11 +5,13 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from helpers import doc_frame
+from pyspark.sql import functions as F
 from tidewater.llm.ann import blocks_of, nearest_rows, scaled, visit
 from tidewater.llm.line_dedup import alike, dedup_lines, edit_distance, normalise, simhashes
 from tidewater.llm.packing import Encoder, fill_bins, pack_documents
@@ -17,7 +19,7 @@ from tidewater.llm.pii import KINDS, base_spans, candidates, find_pii, redact, r
 from tidewater.llm.quality_gam import FEATURES, fit, keep_good, quality_scores, text_features
 from tidewater.llm.sentencepiece_unigram import Unigram, encode_digests
 from tidewater.llm.style_tree import _hash, counted, extract, main_text, parse, style_tree
-from tidewater.llm.warc import MAGIC, read_warc, with_revisits, write_warc
+from tidewater.llm.warc import MAGIC, base32, read_warc, with_revisits, write_warc
 
 ODD = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "x@y.org \n\n 10.0.0.1"), (4, "word " * 40000), (5, "y" * 50000), (6, "é 日本 \U0001F600\n")]
 
@@ -218,6 +220,14 @@ def test_warc_rejects_magic_in_payloads(spark, tmp):
             assert (r.payload_bytes, r.payload_digest) == (len(b), base64.b32encode(hashlib.sha1(b).digest()).decode()), r.page_id
     assert {r.page_id: (r.record_type, r.refers_to) for r in got if r.page_id in (0, 1, 6, 7)} == \
         {0: ("revisit", 1), 1: ("response", None), 6: ("revisit", 7), 7: ("response", None)}
+    kinds = {r.page_id: (r.record_type, r.refers_to) for r in records.collect()}   # the archive itself says it
+    assert kinds[0] == ("revisit", 1) and kinds[7] == ("response", None)
+    files = [f.read_bytes() for f in Path(tmp, "w").glob("part-*")]
+    assert sum(x.count(b"\r\n\r\nsame\r\n\r\n") for x in files) == 1          # a revisit leaves the payload out
+    assert sum(x.count(b"WARC-Type: revisit") for x in files) == 3
+    sha = spark.range(300).select(F.sha1(F.col("id").cast("string").cast("binary")).alias("h"))
+    for r in sha.select("h", base32(F.col("h")).alias("b")).collect():
+        assert r.b == base64.b32encode(bytes.fromhex(r.h)).decode()
     write_warc(pages.limit(0), f"{tmp}/none")
     assert with_revisits(read_warc(spark, f"{tmp}/none")).count() == 0
 
