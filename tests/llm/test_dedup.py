@@ -11,7 +11,7 @@ from helpers import doc_frame, near_components, shingles
 from tidewater.llm import bloom
 from tidewater.llm.components import components
 from tidewater.llm.exact_dedup import drop_duplicates, mark_duplicates
-from tidewater.llm.ngram_join import drop_near_duplicates, heap_merge, ngram_components, op3_ngram_join, reaches
+from tidewater.llm.ngram_join import _short_pairs, drop_near_duplicates, heap_merge, ngram_components, op3_ngram_join, reaches
 from tidewater.llm.shingles import shingle_sets
 
 SF = "/root/testdata/sf0.001"
@@ -74,6 +74,26 @@ def test_heap_merge_and_probe(lists, need):
         assert got == both if both >= need else got < need
 
 
+def test_the_count_of_the_merge_rejects_candidates(spark):
+    entries = spark.createDataFrame([(h, r, n) for h, reps in {1: (10, 11, 12), 2: (10, 12), 3: (20, 21), 4: (30, 31)}.items()
+                                     for r in reps for n in [1 if r >= 30 else 20]], "h long, rep long, n long")
+    got = {(r.x, r.y) for r in _short_pairs(entries, 85, 64).collect()}
+    # 10 and 11, 11 and 12, 20 and 21 meet once where two occurrences are needed; sets of one shingle need one
+    assert got == {(10, 12), (30, 31)}
+
+
+@pytest.mark.parametrize("merged", [1, 2, 5])
+def test_links_do_not_depend_on_how_many_lists_are_merged(spark, monkeypatch, merged):
+    from tidewater.llm import ngram_join
+    monkeypatch.setattr(ngram_join, "MERGED", merged)
+    rng = random.Random(merged)
+    base = [[rng.choice("abcdefgh") * 3 + str(rng.randrange(9)) for _ in range(n)] for n in (2, 4, 5, 9, 20, 40) for _ in range(3)]
+    rows = [(i, " ".join(w if rng.random() > 0.02 else "zz" for w in base[i % len(base)])) for i in range(120)]
+    sets, want = near_components(rows, 4, 85)
+    got = ngram_components(doc_frame(spark, rows), words=4, percent=85).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: want[n] for n, (i, _) in enumerate(rows)}
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(40)] + [(7, 7)]

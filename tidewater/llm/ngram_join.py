@@ -9,13 +9,15 @@ in a partner, which the search uses in three steps:
    has cannot link; nothing else of it is looked at. (No false negatives; the
    keys that remain go into a Bloom filter of bounded size.)
 2. Lists. The remaining texts, equal sets collapsed into one, are indexed by
-   shingle. Of a text's r shared shingles, the r - T + 1 with the shortest
-   inverted lists are its short lists: every partner is in one of them. They
-   are merged with a heap, which counts each candidate's occurrences; the
-   other T - 1, longer lists are not merged but binary-probed, which is done
-   on the candidate's own sorted shingles (the transposed index). Probing
-   ends as soon as T can't be reached.
-3. Lists longer than ``max_list`` are never spread into pairs. Lists with the
+   shingle. Of a text's r shared shingles, the L = T - ``MERGED`` with the
+   longest inverted lists aren't merged; the others are its short lists. They
+   are merged with a heap, which counts each candidate's occurrences: every
+   partner is in T - L = ``MERGED`` of them at least (in all T, if T is less),
+   candidates met less often go. The L longer lists are binary-probed, which
+   is done on the candidate's own sorted shingles (the transposed index).
+   Probing ends as soon as T can't be reached.
+3. Lists longer than ``max_list`` are never spread into pairs (a partner met in
+   none of them is met in ``MERGED`` others). Lists with the
    same smallest-hash member (hub) are a bundle; every member is probed against
    the hub, and a bundle that is one component then is done. The others are
    dealt into chunks of bounded size, and every two chunks are compared in a
@@ -48,6 +50,7 @@ from tidewater.llm.components import components
 from tidewater.llm.shingles import shingle_sets
 
 MAX_LIST = 64
+MERGED = 2           # T - L: occurrences in the merged lists that make a candidate
 CHUNK = 1024         # sets compared with each other at a time, of long lists
 _QUARTER = np.uint64(1 << 62)
 
@@ -57,6 +60,11 @@ def _needed(percent: int, n: str = "n") -> Column:
     return F.expr(f"cast(({percent} * {n} + 99) div 100 as long)")
 
 
+def _merged(percent: int, n: str = "n") -> Column:
+    """T - L: the occurrences in the merged lists without which two sets can't link, the smaller one of n."""
+    return F.least(F.lit(MERGED).cast("long"), _needed(percent, n))
+
+
 def _thin(words: int):
     """Batches of (key, id, text) to (key, id, n, q): set size and its lowest quarter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,10 +127,11 @@ def reaches(x: np.ndarray, y: np.ndarray, need: int, step: int = 64) -> int:
 def _merge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         xs, ys = [], []
-        for x, lists in zip(b.column("x").to_pylist(), b.column("lists").to_pylist()):
-            for y, _ in heap_merge(lists):
-                xs.append(x)
-                ys.append(y)
+        for x, need, lists in zip(*(b.column(c).to_pylist() for c in ("x", "need", "lists"))):
+            for y, count in heap_merge(lists):
+                if count >= need:
+                    xs.append(x)
+                    ys.append(y)
         yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], ["x", "y"])
 
 
@@ -162,7 +171,7 @@ def _index(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     shared = (rows.join(counts, "h").groupBy("rep").agg(F.first("n").alias("n"), F.collect_list(F.struct("c", "h")).alias("s"))
                   .where(F.size("s") >= _needed(percent)))
     sets = stored(shared.select("rep", "n", F.sort_array(F.col("s.h")).alias("s"),
-                                F.slice(F.sort_array("s"), F.lit(1), (F.size("s") - _needed(percent) + 1).cast("int"))
+                                F.slice(F.sort_array("s"), F.lit(1), (F.size("s") - _needed(percent) + _merged(percent)).cast("int"))
                                  .alias("short")), "sets")
     entries = sets.select("rep", "n", F.explode("short.h").alias("h"))
     return sets.drop("short"), entries
@@ -172,9 +181,9 @@ def _short_pairs(entries: DataFrame, percent: int, max_list: int) -> DataFrame:
     """Candidates (x, y) from the lists of at most ``max_list`` entries."""
     lists = entries.groupBy("h").agg(F.sort_array(F.collect_list(F.struct("n", "rep"))).alias("l"))
     after = lists.select(F.posexplode("l").alias("i", "e"), "l").select(
-        F.col("e.rep").alias("x"), F.expr(
+        F.col("e.rep").alias("x"), _merged(percent, "e.n").alias("need"), F.expr(
             f"sort_array(transform(filter(slice(l, i + 2, {max_list}), y -> 100 * e.n >= {percent} * y.n), y -> y.rep))").alias("ys"))
-    return (after.where(F.size("ys") > 0).groupBy("x").agg(F.collect_list("ys").alias("lists"))
+    return (after.where(F.size("ys") > 0).groupBy("x").agg(F.first("need").alias("need"), F.collect_list("ys").alias("lists"))
                  .mapInArrow(_merge_rows, "x long, y long"))
 
 
