@@ -1,7 +1,9 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidewater.operators import vector
 from tidewater.operators.vector import vector_top_k
 
 
@@ -81,3 +83,23 @@ def test_plan_has_no_cartesian(spark):
     df = spark.range(50).select("id", F.array(*[F.rand(i) for i in range(4)]).cast("array<float>").alias("e"))
     plan = vector_top_k(df, df, 3, id_col="id", vec_col="e", block_rows=16)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("later", [False, True])
+def test_visits_are_handed_on_in_bounded_frames(later):
+    """A batch of queries that all visit nearly every block piece: no frame grows with the number of blocks, none is lost."""
+    rng = np.random.default_rng(3)
+    n, blocks, dims = 3000, 40, 64
+    pieces = np.array([3 if b % 7 == 0 else 1 for b in range(blocks)])
+    index = vector.PivotIndex(None, vector._unit(rng.normal(size=(blocks, dims))), np.arange(blocks), np.zeros(blocks), np.full(blocks, 3.1),
+                              np.full(blocks, 5000), pieces)
+    batch = pd.DataFrame({"id": np.arange(n), "v": list(rng.normal(size=(n, dims))), "kth": np.where(np.arange(n) % 2, np.nan, -1.0)})
+    frames = list(vector._visits(index, 6, later)(iter([batch])))
+    assert max(len(f) for f in frames) * dims * 8 <= 4 << 20
+    got = pd.concat(frames)
+    bounds = index.bounds(vector._unit(np.stack(batch["v"])))
+    go = (index.nearest(bounds, 6) != later) if later else index.nearest(bounds, 6)
+    want = {(q, b, p) for q, b in zip(*np.nonzero(go)) for p in range(pieces[b])}
+    seen = list(zip(got["id"], got["block"], got["piece"]))
+    assert len(seen) == len(want) and set(seen) == want
+    assert all((v == batch["v"][i]).all() for i, v in list(zip(got["id"], got["v"]))[::997])

@@ -35,6 +35,8 @@ BLOCK_ROWS = 4096      # corpus vectors that a task multiplies against at once,
 MAX_PIVOTS = 512       # pivots, at most
 SAMPLE = 8             # vectors that the driver draws to choose a pivot from
 QUERY_CHUNK = 512
+VISIT_BYTES = 4 << 20  # of query vectors in a frame that a task hands on, about
+BOUND_CELLS = 250_000  # (query, block piece) bounds that a task holds at once
 SLACK = 1e-6           # radians: far above the rounding of an angle
 NEIGHBOUR_SCHEMA = "query_id long, neighbor_id long, similarity double"
 
@@ -190,6 +192,35 @@ def _search(index: PivotIndex, visits: DataFrame, k: int, exclude_self: bool) ->
     return rows.repartition(tasks, "block", "piece").sortWithinPartitions("block", "piece", "asks").mapInPandas(run, NEIGHBOUR_SCHEMA)
 
 
+def _visits(index: PivotIndex, need: int, later: bool):
+    """The (block, piece) that each query goes to: first the nearest ones, ``later`` the others in reach of its ``kth`` similarity.
+
+    A query may visit every piece, so neither bounds nor visits are held for a whole batch of queries.
+    """
+    step = max(1, BOUND_CELLS // max(1, int(index.pieces.sum())))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for lo in range(0, len(b) if len(index.pivot) else 0, step):
+                part = b.iloc[lo:lo + step]
+                unit = _unit(_matrix(part["v"]))
+                bounds = index.bounds(unit)
+                go = first = index.nearest(bounds, need)
+                if later:  # a query with fewer than k neighbours so far visits all
+                    reach = np.where(np.isnan(part["kth"]), np.inf, np.arccos(np.clip(part["kth"], -1, 1)) + SLACK)
+                    go = (bounds <= reach[:, None]) & ~first
+                q, block = np.nonzero(go)
+                times = index.pieces[block]
+                ends = np.cumsum(times)
+                size = max(1, VISIT_BYTES // (8 * unit.shape[1]))
+                for a in range(0, int(ends[-1]) if len(q) else 0, size):
+                    at = np.arange(a, min(a + size, int(ends[-1])))
+                    of = np.searchsorted(ends, at, side="right")
+                    yield pd.DataFrame({"block": block[of], "piece": at - (ends[of] - times[of]),
+                                        "id": part["id"].to_numpy()[q[of]], "v": part["v"].to_numpy()[q[of]]})
+    return run
+
+
 def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, id_col: str = "vec_id",
                  vec_col: str = "embedding", exclude_self: bool = False,
                  prefix: str | None = None, prefix_col: str | None = None,
@@ -209,37 +240,17 @@ def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, id_col: str
     index = pivot_index(corpus, id_col, vec_col, block_rows, max_pivots)
     asked, need = _directed(queries, id_col, vec_col), k + int(exclude_self)
     pivots = PivotIndex(None, index.pivots, index.pivot, index.low, index.high, index.count, index.pieces)
-    step = max(1, 4_000_000 // max(1, len(index.pivot)))  # queries bounded against all blocks at once
-
-    def visits(later: bool):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                for lo in range(0, len(b) if len(pivots.pivot) else 0, step):
-                    part = b.iloc[lo:lo + step]
-                    bounds = pivots.bounds(_unit(_matrix(part["v"])))
-                    go = first = pivots.nearest(bounds, need)
-                    if later:  # a query with fewer than k neighbours so far visits all
-                        reach = np.where(np.isnan(part["kth"]), np.inf, np.arccos(np.clip(part["kth"], -1, 1)) + SLACK)
-                        go = (bounds <= reach[:, None]) & ~first
-                    q, block = np.nonzero(go)
-                    times = pivots.pieces[block]
-                    if len(q):
-                        yield pd.DataFrame({"block": np.repeat(block, times), "piece": np.concatenate([np.arange(t) for t in times]),
-                                            "id": np.repeat(part["id"].to_numpy()[q], times),
-                                            "v": part["v"].iloc[np.repeat(q, times)].to_numpy()})
-        return run
-
     schema = "block long, piece long, id long, v array<double>"
-    near = materialised(_search(index, asked.mapInPandas(visits(False), schema), k, exclude_self), "near")
+    near = materialised(_search(index, asked.mapInPandas(_visits(pivots, need, False), schema), k, exclude_self), "near")
     w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), F.col("neighbor_id").asc())
     top = lambda found: found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     kth = top(near).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("similarity").alias("kth"))
-    second = asked.join(kth, "id", "left").mapInPandas(visits(True), schema)
+    second = asked.join(kth, "id", "left").mapInPandas(_visits(pivots, need, True), schema)
     if report:
         second = materialised(second, "visits")
     out = top(near.unionByName(_search(index, second, k, exclude_self))).select("query_id", "rank", "neighbor_id", "similarity")
     if not report:
         return out
-    seen = asked.mapInPandas(visits(False), schema).unionByName(second).select("id", "block").distinct()
+    seen = asked.mapInPandas(_visits(pivots, need, False), schema).unionByName(second).select("id", "block").distinct()
     seen = seen.groupBy(F.col("id").alias("query_id")).agg(F.count(F.lit(1)).alias("blocks_visited"))
     return out.join(seen, "query_id").withColumn("blocks", F.lit(len(index.pivot)).cast("long"))
