@@ -109,6 +109,24 @@ def test_gather_chunks_of_a_hot_group(spark):
     assert A.gather_chunks(df.where("false"), ["g"], ["v"]).collect() == []
 
 
+def test_gather_chunks_parts_by_size(spark, monkeypatch):
+    """Parts and blocks follow the number and width of the records: none holds more than its share, lists stay whole."""
+    monkeypatch.setattr(A, "TASK_BYTES", 40_000, raising=False)  # about 300 of these records
+    monkeypatch.setattr(A, "BLOCK_ROWS", 16, raising=False)
+    kept = {}
+    write = A.materialised
+    monkeypatch.setattr(A, "materialised", lambda df, name: kept.setdefault(name, write(df, name)))
+    data = [("hot" if i % 20 else f"g{i % 60}" if i % 40 else None, i * 7919 % 1000 if i % 3 else 5) for i in range(6000)]
+    out = A.gather_chunks(spark.createDataFrame(data, "g string, v int").repartition(6), ["g"], ["v"], 70, F.lit(1))
+    per_part = [r["count"] for r in kept["gather"].groupBy("_tw_part").count().collect()]
+    assert sum(per_part) == 6000 and max(per_part) <= 900
+    lists = {}
+    for r in sorted(out.collect(), key=lambda r: r.chunk):
+        assert r.n_items == len(r["items"]) and r.chunk == len(lists.get(r.g, [])) // 70 and r.n_items <= 70
+        lists.setdefault(r.g, []).extend(x.v for x in r["items"])
+    assert lists == {g: sorted(v for k, v in data if k == g) for g in {k for k, _ in data}}
+
+
 def test_profiles_merge_without_the_data(spark):
     df = spark.range(30_000).select((F.col("id") % 3).alias("day"), (F.col("id") % 9000).alias("a"), F.when(F.col("id") % 10 > 0, F.col("id").cast("string")).alias("b"))
     days = [A.profile_sketches(df.where(f"day = {k}"), ["a", "b"], by=["day"]) for k in range(3)]

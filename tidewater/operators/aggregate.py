@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 
 from tidewater.session import join_null_safe, materialised, sized_broadcast
 
+TASK_BYTES = 64 << 20  # of records that a task of gather_chunks sorts, about
+ROW_BYTES = 100        # of a record in memory beside its JSON, about
+BLOCK_ROWS = 4096      # positions of a block, at most
+WIDTH_SHARE = 0.01     # of the records, whose JSON gives the width
+
 
 def row_count(df: DataFrame, out: str = "n") -> DataFrame:
     """A1. One row with the row count."""
@@ -75,20 +80,40 @@ def gather_chunks(df: DataFrame, by: Sequence[str], fields: Sequence[str], chunk
     A record is in chunk ``(sum of size of the group's records before it) div chunk``, by
     default sizes are bytes of the record as JSON; so a chunk is at most ``chunk``
     and one record long, and chunks in order are the whole list. Records are sorted by
-    ``fields`` over all tasks (range partition, equal records dealt apart), and
-    offsets of a group's parts are added up, so no task ever sees a whole group.
+    ``fields`` over all tasks (range partition, equal records dealt apart), in as many parts as
+    their number and width ask for, so no task ever sees a whole group or a fixed share of the
+    table. Parts are cut into blocks of positions; only a block's first group can have records before it,
+    whose sizes are summed by blocks and by parts.
     """
     by = list(by)
     rows = df.select(*by, F.struct(*fields).alias("_tw_r"), (size if size is not None else F.octet_length(F.to_json(F.struct(*fields)))).cast("long").alias("_tw_s"))
-    rows = rows.withColumn("_tw_i", F.monotonically_increasing_id()).repartitionByRange(*by, "_tw_r", "_tw_i")
-    rows = materialised(rows.withColumn("_tw_part", F.spark_partition_id()), "gather")
-    parts = rows.groupBy(*by, "_tw_part").agg(F.sum("_tw_s").alias("_tw_own"))
+    wide = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in by], "_tw_r")))
+    n, width = rows.withColumn("_tw_u", F.rand(7)).agg(F.count(F.lit(1)), F.avg(F.when(F.col("_tw_u") < WIDTH_SHARE, wide))).first()
+    width = ROW_BYTES + (width or 0)
+    n_parts = max(df.sparkSession.sparkContext.defaultParallelism, int(n * width / TASK_BYTES) + 1)
+    block = int(max(1, min(BLOCK_ROWS, TASK_BYTES / 16 / width)))
+    rows = rows.withColumn("_tw_i", F.monotonically_increasing_id()).repartitionByRange(n_parts, *by, "_tw_r", "_tw_i")
+    rows = rows.sortWithinPartitions(*by, "_tw_r", "_tw_i").withColumn("_tw_i", F.monotonically_increasing_id())
+    at = F.col("_tw_i").bitwiseAND((1 << 33) - 1)  # a record's position in its part, the bits above are the part's number
+    rows = materialised(rows.withColumns({"_tw_part": F.shiftright("_tw_i", 33), "_tw_block": F.floor(at / block)}), "gather")
+
+    ones = rows.groupBy(*by, "_tw_part", "_tw_block").agg(F.sum("_tw_s").alias("_tw_own"), F.min("_tw_i").alias("_tw_first"))
+    ones = materialised(ones, "gather-blocks")
+    parts = ones.groupBy(*by, "_tw_part").agg(F.sum("_tw_own").alias("_tw_sum"))
     w = Window.partitionBy(*by).orderBy("_tw_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part
-    parts = parts.withColumn("_tw_before", F.coalesce(F.sum("_tw_own").over(w), F.lit(0))).drop("_tw_own")
-    w = Window.partitionBy(*by, "_tw_part").orderBy("_tw_r", "_tw_i").rowsBetween(Window.unboundedPreceding, -1)
-    at = F.coalesce(F.sum("_tw_s").over(w), F.lit(0))
-    rows = join_null_safe(rows.withColumn("_tw_at", at), parts, [*by, "_tw_part"])
-    rows = rows.withColumn(chunk_col, F.floor((F.col("_tw_at") + F.col("_tw_before")) / chunk))
+    parts = parts.withColumn("_tw_before", F.coalesce(F.sum("_tw_sum").over(w), F.lit(0))).drop("_tw_sum")
+    w = Window.partitionBy(*by, "_tw_part").orderBy("_tw_block").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
+    ones = join_null_safe(ones.withColumn("_tw_inner", F.coalesce(F.sum("_tw_own").over(w), F.lit(0))), parts, [*by, "_tw_part"])
+    starts = F.col("_tw_first").bitwiseAND((1 << 33) - 1) == F.col("_tw_block") * block
+    carry = ones.where(starts).select("_tw_part", "_tw_block", (F.col("_tw_inner") + F.col("_tw_before")).alias("_tw_carry"))
+
+    own = Window.partitionBy("_tw_part", "_tw_block", *by).orderBy("_tw_i")
+    rows = rows.repartition(n_parts, "_tw_part", "_tw_block").withColumns({
+        "_tw_sum": F.coalesce(F.sum("_tw_s").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_tw_first": F.first("_tw_i").over(own.rowsBetween(Window.unboundedPreceding, 0))})
+    rows = rows.join(carry, ["_tw_part", "_tw_block"])
+    rows = rows.withColumn(chunk_col, F.floor((F.col("_tw_sum") + F.when(starts, F.col("_tw_carry")).otherwise(F.lit(0))) / chunk))
+    rows = rows.select(*by, chunk_col, "_tw_r").repartition(n_parts, *by, chunk_col)
     return rows.groupBy(*by, chunk_col).agg(F.array_sort(F.collect_list("_tw_r")).alias(out), F.count(F.lit(1)).alias(count_out))
 
 
