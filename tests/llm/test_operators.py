@@ -5,13 +5,16 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from helpers import doc_frame
 from pyspark.sql import functions as F
+from tidewater.llm import line_dedup
 from tidewater.llm.ann import blocks_of, nearest_rows, scaled, visit
 from tidewater.llm.line_dedup import alike, dedup_lines, edit_distance, normalise, simhashes
 from tidewater.llm.packing import Encoder, fill_bins, pack_documents
@@ -327,6 +330,60 @@ def test_lines_recall_against_edit_similarity_alone(spark):
         assert len(alike_before) >= 40 and len(got & alike_before) >= 0.95 * len(alike_before), n
 
 
+def test_lines_recall_at_the_threshold(spark):
+    """One in ten characters replaced all over the line: the farthest lines that still link."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randrange(3, 8)))
+    lines, linked = [], {20: 0, 40: 0, 60: 0, 100: 0}
+    for n in linked:
+        for _ in range(150):
+            a = " ".join(word() for _ in range(n))
+            c = list(a)
+            for i in rng.sample(range(len(c)), len(c) // 10):
+                c[i] = rng.choice("vwxyz")
+            if alike(a, "".join(c), 0.9):
+                linked[n] += 1
+                lines += [(n, a), (n, "".join(c))]
+    got = Counter(lines[r.doc_id][0] for r in dedup_lines(doc_frame(spark, [(i, x) for i, (_, x) in enumerate(lines)])).collect() if r.n_dropped)
+    assert sum(linked.values()) > 500 and all(got[n] <= linked[n] for n in linked)
+    assert sum(got.values()) >= 0.9 * sum(linked.values()) and all(got[n] >= 0.86 * linked[n] for n in linked), (got, linked)
+
+
+def test_lines_lists_do_not_depend_on_the_buffer():
+    """Long lists written before their range ends have the same members, short lists the same pairs."""
+    rng = np.random.default_rng(5)
+    key = np.concatenate([np.repeat(np.uint32(7), 900), rng.integers(0, 400, 900).astype(np.uint32) + np.uint32(10)])
+    rep = rng.permutation(np.arange(-900, 900))
+    order = rng.permutation(len(key))
+    key, rep, size = key[order], rep[order].astype(np.int64), np.full(len(key), 9000, np.uint16)
+    cuts = np.arange(0, len(key), 50)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(cuts), np.int32)), *(line_dedup._binary(x, cuts) for x in (key, rep, size))],
+                                       names=["part", "keys", "reps", "sizes"])
+    found = []
+    for limit in (10_000, 200):
+        t = pa.Table.from_batches(list(line_dedup._meet(32, 0.9, limit)(iter([batch])))).to_pylist()
+        found.append(({(r["a"], r["b"]) for r in t if not r["bundled"]}, {r["b"] for r in t if r["bundled"]}))
+    assert found[0] == found[1] and found[0][1] == set(rep[key == 7].tolist())
+    want = {(x, y) for k in set(key.tolist()) - {7} for x in rep[key == k].tolist() for y in rep[key == k].tolist() if x < y}
+    assert found[0][0] == want
+
+
+def test_edit_distance_may_stop_early():
+    rng = random.Random(9)
+    for _ in range(600):
+        letters = rng.choice(["ab ", "abcdefghij "])
+        a = [rng.choice(letters) for _ in range(rng.randrange(1, 150))]
+        b = list(a)
+        for _ in range(rng.randrange(len(a) // 5 + 2)):
+            i = rng.randrange(len(b) + 1)
+            b[i:i + rng.randrange(2)] = [rng.choice(letters) for _ in range(rng.randrange(3))]
+        a, b = "".join(a), "".join(b)
+        d, most = edit_distance(a, b), rng.randrange(30)
+        assert (edit_distance(a, b, most) <= most) == (d <= most) and alike(a, b, 0.9) == (d <= int(0.1 * max(len(a), len(b)) + 1e-9))
+        counts = line_dedup.profiles([a, b or "x"])
+        assert line_dedup.may_be_alike(counts[0], counts[1:], np.array([d + (not b)])).all()
+
+
 def test_visit_order_and_blocks():
     rng = np.random.default_rng(3)
     d1, d2, counts = rng.random(7), rng.random(5), rng.integers(0, 4, 35)
