@@ -384,6 +384,52 @@ def test_edit_distance_may_stop_early():
         assert line_dedup.may_be_alike(counts[0], counts[1:], np.array([d + (not b)])).all()
 
 
+def test_lines_with_a_common_passage_meet_only_at_like_places():
+    """A passage in many unlike lines makes neither a bundle nor many pairs; its near copies still meet."""
+    rng = random.Random(21)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n)).replace(" ", "q")
+    passage, lines = text(80), []
+    for i in range(120):
+        a = i * 2
+        lines.append(text(a) + passage + text(240 - a + rng.randrange(200)))
+    copies = [lines[7][:30] + "zz" + lines[7][31:], lines[60] + "z"]
+    nh = np.arange(len(lines) + 2)
+    batch = pa.RecordBatch.from_arrays([pa.array(nh), pa.array(lines + copies)], names=["nh", "s"])
+    for limit in (line_dedup.HELD, 500):
+        blocks = pa.Table.from_batches(list(line_dedup._pack(1, 0.9)(iter([batch])))).to_batches()
+        met = pa.Table.from_batches(list(line_dedup._meet(32, 0.9, limit)(iter(blocks)))).to_pylist()
+        pairs = {(r["a"], r["b"]) for r in met if not r["bundled"]}
+        assert {(7, 120), (60, 121)} <= pairs
+        if limit == line_dedup.HELD:
+            assert not any(r["bundled"] for r in met) and len(pairs) < 0.1 * 122 * 121 / 2
+
+
+def test_lines_that_repeat_themselves_share_keys():
+    for line in ("spam and eggs " * 60, "a" * 900, "ab " * 30):
+        line = line.strip()
+        key, of, place = line_dedup.entries([line, line[:50] + "x" + line[51:]])
+        assert set(key[of == 0].tolist()) & set(key[of == 1].tolist()) and (np.bincount(of) < 100).all()
+
+
+def test_many_edit_distances_and_marks():
+    rng = random.Random(12)
+    pairs = []
+    for _ in range(400):
+        letters = rng.choice(["ab ", "abcdefghij ", "a\u00e9\u6f22\U0001d11e "])
+        a = [rng.choice(letters) for _ in range(rng.choice([0, 3, 20, 70, 150, 700]) + rng.randrange(9))]
+        b = list(a)
+        for _ in range(rng.randrange(len(a) // 6 + 2)):
+            i = rng.randrange(len(b) + 1)
+            b[i:i + rng.randrange(2)] = [rng.choice(letters) for _ in range(rng.randrange(3))]
+        a, b = "".join(a), "".join(b)
+        d = edit_distance(a, b)
+        pairs.append((a, b, max(0, d + rng.randrange(-2, 3)) if rng.random() < 0.6 else rng.randrange(len(a) // 4 + 3)))
+        x, y = line_dedup.marks([a]), line_dedup.marks([b])
+        assert line_dedup.marks_apart(x, y)[0] <= 2 * d
+        assert line_dedup.bags_fit(line_dedup.bags([a]), line_dedup.bags([b]), np.array([d])).all()
+    assert line_dedup.within(pairs).tolist() == [edit_distance(a, b) <= room for a, b, room in pairs]
+
+
 def test_visit_order_and_blocks():
     rng = np.random.default_rng(3)
     d1, d2, counts = rng.random(7), rng.random(5), rng.integers(0, 4, 35)
