@@ -9,6 +9,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -430,6 +431,41 @@ def test_many_edit_distances_and_marks():
     assert line_dedup.within(pairs).tolist() == [edit_distance(a, b) <= room for a, b, room in pairs]
 
 
+def test_lines_are_compared_many_at_once(monkeypatch):
+    """Pairs of lines up to some thousand characters take no Python steps of their own, in pairs and in bundles."""
+    rng = random.Random(17)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    lines, base = [], [text(rng.choice((40, 300, 700))) for _ in range(6)]
+    for i in range(240):
+        c = list(base[i % 6])
+        for j in rng.sample(range(len(c)), len(c) * rng.randrange(2, 9) // 100):
+            c[j] = rng.choice("uvwxyz")
+        lines.append("".join(c))
+    x, y = np.triu_indices(len(lines), 1)
+    like = [abs(len(lines[i]) - len(lines[j])) < 100 for i, j in zip(x, y)]
+    x, y = x[like], y[like]
+    want = {(i, j) for i, j in zip(x.tolist(), y.tolist()) if alike(lines[i], lines[j], 0.9)}
+    alone = []
+    for name in ("_quick", "edit_distance"):
+        real = getattr(line_dedup, name)
+        monkeypatch.setattr(line_dedup, name, lambda *a, real=real: (alone.append(a), real(*a))[1])
+    batch = pd.DataFrame({"x": x, "y": y, "sx": [lines[i] for i in x], "sy": [lines[j] for j in y]})
+    got = pd.concat(line_dedup._verify(0.9)(iter([batch])))
+    assert set(zip(got["a"].tolist(), got["b"].tolist())) == want and 1000 < len(want) < len(x) / 2
+    rows = pd.DataFrame({"rep": range(240), "s": lines, "sim": simhashes(lines).view(np.int64), "label": range(240), "chunk": 0, "i": 0, "j": 0})
+    links = line_dedup._compare_chunks(64, 0.9)(rows)
+    groups = lambda pairs: len({tuple(sorted(g)) for g in _groups(240, pairs)})
+    assert groups(zip(links["a"], links["b"])) == groups(want) and len(links) == 240 - groups(want)
+    assert len(alone) < len(x) / 20, (len(alone), len(x))
+
+
+def _groups(n, pairs):
+    root = list(range(n))
+    for a, b in pairs:
+        root = [root[a] if r == root[b] else r for r in root]
+    return [[i for i in range(n) if root[i] == r] for r in set(root)]
+
+
 def test_visit_order_and_blocks():
     rng = np.random.default_rng(3)
     d1, d2, counts = rng.random(7), rng.random(5), rng.integers(0, 4, 35)
