@@ -459,6 +459,40 @@ def test_lines_are_compared_many_at_once(monkeypatch):
     assert len(alone) < len(x) / 20, (len(alone), len(x))
 
 
+def test_lines_meet_unless_their_characters_need_too_many_edits():
+    """Characters that come or go count once and not as half a replacement; no alike lines are lost by it."""
+    rng = random.Random(18)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    def met(lines):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(lines))), pa.array(lines)], names=["nh", "s"])
+        blocks = pa.Table.from_batches(list(line_dedup._pack(1, 0.9)(iter([batch])))).to_batches()
+        found = pa.Table.from_batches(list(line_dedup._meet(32, 0.9)(iter(blocks)))).to_pylist()
+        return {(r["a"], r["b"]) for r in found}
+
+    x = text(200)
+    assert met([x, x[:184]]) == met([x, x[:100] + "x" * 10 + x[110:]]) == {(0, 1)}
+    assert met([x, x[:100] + "x" * 10 + x[110:184]]) == set()  # 26 edits, where 20 may be
+    lines = []
+    for _ in range(300):
+        c = list(text(rng.choice((30, 100, 300, 900))))
+        lines.append("".join(c))
+        for _ in range(rng.randrange(len(c) // 10 + 1)):
+            i = rng.randrange(len(c))
+            c[i:i + rng.randrange(2)] = [rng.choice("uvwxyz")] * rng.randrange(2)
+        lines.append("".join(c))
+    found, (key, of, place) = met(lines), line_dedup.entries(lines)
+    keys = [dict(zip(key[of == i].tolist(), place[of == i].tolist())) for i in range(len(lines))]
+    size, want = [len(s) for s in lines], set()
+    for i in range(0, len(lines), 2):
+        for k in keys[i].keys() & keys[i + 1].keys():
+            before = [keys[j][k] / line_dedup.PLACES * size[j] for j in (i, i + 1)]
+            apart = abs(before[0] - before[1]) + abs(size[i] - before[0] - size[i + 1] + before[1])
+            if apart < 0.099 * max(size[i:i + 2]) and alike(lines[i], lines[i + 1], 0.9):
+                want.add((i, i + 1))
+    assert len(want) > 200 and want <= found
+
+
 def _groups(n, pairs):
     root = list(range(n))
     for a, b in pairs:
